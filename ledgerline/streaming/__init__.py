@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reports are one-shot batch jobs over bookings: no operator in them keeps state
+across batches, reads an unbounded source or handles late data, so there is nothing
+to express with Structured Streaming. Bookings that arrive incrementally are handled
+by re-running a report over the period (its inputs are filtered at the scan).
+"""
