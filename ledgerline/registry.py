@@ -45,11 +45,23 @@ def _q(fn, variant=C.CURRENT, period=None, **kw) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    from .plans import sme
-
-    return {
-        "sme_leads": _q(sme.sme_leads),
-        "sme_summary": _q(sme.sme_summary, C.SUMMARY),
-        "sme_leads_legacy": _q(sme.sme_leads, C.LEGACY),
-        "sme_leads_no_sell_now": _q(sme.sme_leads, C.NO_SELL_NOW),
+    from .plans import health, life, motor, sme
+
+    q = {}
+    lines = {
+        "sme": (sme.sme_leads, sme.sme_summary),
+        "motor": (motor.motor_leads, motor.motor_summary),
+        "health_fresh": (health.health_fresh_leads, health.health_fresh_summary),
+        "health_renewal": (health.health_renewal_leads, health.health_renewal_summary),
+        "life": (life.life_leads, life.life_summary),
     }
+    for name, (leads, summary) in lines.items():
+        q[f"{name}_leads"] = _q(leads)
+        # the legacy health-renewal report keeps the full-year window
+        legacy_period = C.Period.year(FIXTURE_YEAR) if name == "health_renewal" else None
+        q[f"{name}_leads_legacy"] = _q(leads, C.LEGACY, legacy_period)
+        q[f"{name}_leads_no_sell_now"] = _q(leads, C.NO_SELL_NOW)
+        q[f"{name}_summary"] = _q(summary, C.SUMMARY)
+    for i, tag in enumerate(("jfm", "amj", "jas", "ond"), start=1):
+        q[f"motor_leads_{tag}"] = _q(motor.motor_leads, C.CURRENT, C.Period.quarter(FIXTURE_YEAR, i))
+    return q
