@@ -45,7 +45,9 @@ def _q(fn, variant=C.CURRENT, period=None, **kw) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    from .plans import health, life, motor, sme
+    from .functions.text import eq
+    from .operators import deals, partners
+    from .plans import annual, combine, health, life, motor, parts, persistency, sme
 
     q = {}
     lines = {
@@ -64,4 +66,19 @@ def queries() -> dict[str, Query]:
         q[f"{name}_summary"] = _q(summary, C.SUMMARY)
     for i, tag in enumerate(("jfm", "amj", "jas", "ond"), start=1):
         q[f"motor_leads_{tag}"] = _q(motor.motor_leads, C.CURRENT, C.Period.quarter(FIXTURE_YEAR, i))
+    q.update({
+        "partner_universe": _q(partners.partner_universe),
+        "partner_universe_legacy": _q(partners.partner_universe_legacy, C.LEGACY),
+        "partner_vertical": _q(partners.partner_vertical),
+        "special_deals": _q(deals.special_deals),
+        "qtr_locking_date": _q(lambda cat, cfg: parts.booking_calendar(cat)),
+        "renewal_locking_date": _q(lambda cat, cfg: parts.renewal_calendar(cat)),
+        "motor_status_flags": _q(parts.motor_status_flags),
+        "life_plan_enrichment": _q(parts.life_plan_enrichment),
+        "health_persistency": _q(persistency.health_persistency),
+        "annual_clubs": _q(lambda cat, cfg: annual.annual_clubs(cat, FIXTURE_YEAR)),
+        "combined_leads": _q(combine.combined_leads),
+        # caller condition on a pre-projection column (BookingMode is not an output column)
+        "condition_pushdown": _q(health.health_fresh_leads, condition=eq("BookingMode", "Online")),
+    })
     return q

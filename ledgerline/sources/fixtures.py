@@ -9,6 +9,8 @@ rules are the ones written down in FIXTURES.md section 2.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -212,16 +214,14 @@ class FixtureTables:
         rows = [(13, "Booked"), (39, "Payment Done"), (41, "Policy Issued"), (42, "Sale Complete"),
                 (43, "Docs Awaited"), (44, "Soft Copy Received"), (77, "Inspection"), (50, "Refunded"),
                 (51, "rejected")]
-        return self.spark.createDataFrame(rows, "StatusId int, StatusName string")
+        return self.spark.createDataFrame(rows, "StatusId int, StatusName string").coalesce(1)
 
     def life_plans(self) -> DataFrame:
-        plans = self.spark.createDataFrame([(p,) for p in (0, 1, 2, 3, 5, 5)], "PlanID int")
-        prods = self.spark.createDataFrame([(p,) for p in (7, 115, 200)], "ProductID int")
-        sups = self.spark.createDataFrame([(s,) for s in (0, 1, 2)], "SupplierID int")
-        return plans.crossJoin(prods).crossJoin(sups).select(
-            "PlanID", "ProductID", "SupplierID",
-            F.when(F.col("PlanID") == 5, F.lit("ULIP")).otherwise(F.lit("Term")).alias("PayoutProdCat"),
-        )
+        # every (plan, product, supplier) combination; plan 5 listed twice on purpose
+        rows = [(plan, prod, sup, "ULIP" if plan == 5 else "Term")
+                for plan, prod, sup in itertools.product((0, 1, 2, 3, 5, 5), (7, 115, 200), (0, 1, 2))]
+        return self.spark.createDataFrame(rows, "PlanID int, ProductID int, SupplierID int, PayoutProdCat string") \
+            .coalesce(1)
 
     def pay_term(self) -> DataFrame:
         l = F.col("leadid")
