@@ -10,12 +10,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from decimal import Decimal
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..functions.text import isin, like, like_any
+from ..functions.text import norm
 
 
 @dataclass(frozen=True)
@@ -32,63 +31,70 @@ class Rule:
     label: str = ""
 
 
-def _test(col: str, op: str, value) -> Column:
-    c = F.col(col)
+def _q(col: str) -> str:
+    """Column reference for a SQL expression (backticks allow blanks in names)."""
+    return "`" + col.replace("`", "``") + "`"
+
+
+def _s(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _key(col: str) -> str:
+    return f"upper(rtrim({_q(col)}))"
+
+
+def _test(col: str, op: str, value) -> str:
+    c = _q(col)
     if op == "in":
-        return c.isin(list(value))
-    if op == "kin":
-        return isin(c, value)
-    if op == "nkin":
-        return ~isin(c, value)
-    if op == ">=":
-        return c >= F.lit(value)
-    if op == ">":
-        return c > F.lit(value)
-    if op == "=":
-        return c == F.lit(value)
-    if op == "<":
-        return c < F.lit(value)
+        return f"{c} IN ({', '.join(str(int(v)) for v in value)})"
+    if op in ("kin", "nkin"):
+        t = f"{_key(col)} IN ({', '.join(_s(norm(v)) for v in value)})"
+        return t if op == "kin" else f"NOT ({t})"
+    if op in (">=", ">", "=", "<"):
+        return f"{c} {op} {value}"
     if op == "like":
-        return like(c, value)
+        return f"{c} ILIKE {_s(value)}"
     if op == "nlike":
-        return ~like(c, value)
+        return f"NOT ({c} ILIKE {_s(value)})"
     raise ValueError(f"unknown test {op!r}")
 
 
-def _result(rule: Rule, base: Column) -> Column:
+def _result(rule: Rule, base: str) -> str:
     if rule.constant is not None:
-        return F.lit(int(rule.constant)) if rule.constant.isdigit() else F.lit(Decimal(rule.constant))
+        return rule.constant
     if rule.factor == "1":
         return base
-    return base * F.lit(Decimal(rule.factor))
+    # exact numeric literal: parsed as DECIMAL by Spark SQL
+    return f"{base} * {Decimal(rule.factor)}"
 
 
-def compile_ladder(rules, base: Column, otherwise: Column | None = None) -> Column:
-    """Fold the rules into one ``F.when`` chain; no match -> ``otherwise``
-    (default: the base amount unchanged)."""
-    expr = None
-    for r in rules:
-        cond = reduce(lambda a, b: a & b, (_test(*t) for t in r.tests))
-        expr = F.when(cond, _result(r, base)) if expr is None else expr.when(cond, _result(r, base))
-    return expr.otherwise(base if otherwise is None else otherwise)
+def ladder_sql(rules, base: str, otherwise: str | None = None) -> str:
+    arms = " ".join(
+        f"WHEN {' AND '.join(_test(*t) for t in r.tests)} THEN {_result(r, _q(base))}" for r in rules)
+    return f"CASE {arms} ELSE {_q(base) if otherwise is None else otherwise} END"
 
 
-def classify(classes, otherwise: str) -> Column:
+def compile_ladder(rules, base: str, otherwise: str | None = None) -> Column:
+    """Fold the rules into one ``CASE WHEN`` over column ``base``; no match ->
+    ``otherwise`` (a SQL expression; default: the base amount unchanged).
+
+    The rule table is rendered as one SQL expression and handed to Spark's parser in a
+    single call, so building the plan costs one round trip, not one per literal."""
+    return F.expr(ladder_sql(rules, base, otherwise))
+
+
+def classify(classes, otherwise: str, col: str = "Insurer Name") -> Column:
     """Label from ordered ``(label, equals, patterns)`` classes: a row gets the first
     label whose exact values (collation) or LIKE patterns match."""
-    expr = None
+    arms = []
     for label, equals, patterns in classes:
         tests = []
         if equals:
-            tests.append(isin(F.col(_CLASS_COL), equals))
-        if patterns:
-            tests.append(like_any(F.col(_CLASS_COL), patterns))
-        cond = reduce(lambda a, b: a | b, tests)
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return expr.otherwise(F.lit(otherwise))
-
-
-_CLASS_COL = "Insurer Name"
+            tests.append(_test(col, "kin", equals))
+        tests.extend(_test(col, "like", p) for p in patterns)
+        arms.append(f"WHEN {' OR '.join(tests)} THEN {_s(label)}")
+    return F.expr(f"CASE {' '.join(arms)} ELSE {_s(otherwise)} END")
 
 
 # ---------------------------------------------------------------------------

@@ -54,7 +54,22 @@ def universe_for(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
     return partner_universe(cat, cfg)
 
 
-def attach_partner(bookings: DataFrame, universe: DataFrame, cfg: C.ReportConfig) -> DataFrame:
+def partner_dimension(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
+    """The universe keyed for the booking join: ``_pk`` (collation key),
+    ``upper(PartnerCode)`` and the partner columns; broadcast when within the row
+    bound. Memoised per catalog and universe configuration."""
+
+    def build():
+        u = universe_for(cat, cfg)
+        cols = [c for c in u.columns if c != "PartnerCode"]
+        u = u.select(key("PartnerCode").alias("_pk"), F.upper("PartnerCode").alias("PartnerCode"), *cols)
+        return bounded_broadcast(u, cfg.max_broadcast_rows)
+
+    v = cfg.variant
+    return cat.derived(("partner_dimension", v.legacy_universe, cfg.lists, cfg.max_broadcast_rows), build)
+
+
+def attach_partner(bookings: DataFrame, cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
     """Inner join of bookings to the partner universe on ``Utm_term = PartnerCode``
     under the collation. Output starts with ``upper(PartnerCode)`` and the partner
     columns, followed by every booking column.
@@ -63,9 +78,8 @@ def attach_partner(bookings: DataFrame, universe: DataFrame, cfg: C.ReportConfig
     configured bound, so a partner owning a large share of bookings costs nothing
     extra; above the bound the join is a shuffle join and AQE splits the hot key.
     """
-    cols = [c for c in universe.columns if c != "PartnerCode"]
-    u = universe.select(key("PartnerCode").alias("_pk"), F.upper("PartnerCode").alias("PartnerCode"), *cols)
-    u = bounded_broadcast(u, cfg.max_broadcast_rows)
+    u = partner_dimension(cat, cfg)
+    cols = [c for c in u.columns if c not in ("_pk", "PartnerCode")]
     joined = bookings.join(u, key(bookings["Utm_term"]) == u["_pk"], "inner")
     return joined.select("PartnerCode", *cols, *[bookings[c] for c in bookings.columns])
 

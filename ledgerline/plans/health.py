@@ -11,7 +11,7 @@ from .. import config as C
 from ..functions.dates import add_months, month_start, renewal_locking_date
 from ..functions.text import isin
 from ..operators.ladders import HEALTH_INSURER_CLASSES, OTHERS, classify, compile_ladder, health_fresh_rules
-from ..operators.partners import attach_partner, universe_for
+from ..operators.partners import attach_partner
 from ..sources.catalog import Catalog
 from .common import (bookings_in_period, compliance_flag, credited, exact_credited, expand_fanout, finish,
                      join_deal_count, join_verification_count, summarize, with_month_and_lock)
@@ -59,7 +59,7 @@ def health_fresh_detail(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
     b = join_verification_count(b, cat)
     b = join_deal_count(b, cat, cfg, PRODUCT)
     b = join_sum_insured(b, cat)
-    t = attach_partner(b, universe_for(cat, cfg), cfg)
+    t = attach_partner(b, cat, cfg)
     t = t.withColumn("Health_bt", health_bt(v))
     t = _insurer_step(t.withColumns({
         "netpr": F.col("APE"),
@@ -69,7 +69,7 @@ def health_fresh_detail(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
         .when(F.col("Product_updated").isin(190, 130, 224) & isin("Health_bt", ("New", "Port")), F.lit(0))
         .otherwise(F.lit(1)),
     }))
-    t = t.withColumn("Accrual_Net_Pr", compile_ladder(health_fresh_rules(), F.col("netpr")))
+    t = t.withColumn("Accrual_Net_Pr", compile_ladder(health_fresh_rules(), "netpr"))
     psu = F.col("health_insurers") == "PSU"
     if v.hf_psu_keeps_product3:
         psu = psu & (F.col("Product_updated") != 3)
@@ -186,7 +186,7 @@ def health_renewal_detail(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
         F.lit("Health_Renewal").alias("bt"),
         renewal_locking_date("_prev_end", "BookingDate").alias("Qtr_Locking_Date"),
     )
-    t = attach_partner(b, universe_for(cat, cfg), cfg)
+    t = attach_partner(b, cat, cfg)
     t = _insurer_step(t.withColumns({
         "Health_bt": F.lit("Renewal"),
         "netpr": F.col("APE"),

@@ -11,7 +11,7 @@ from .. import config as C
 from ..functions.text import isin
 from ..operators.joins import bounded_broadcast
 from ..operators.ladders import LIFE_INSURER_CLASSES, OTHERS, classify, compile_ladder, life_rules
-from ..operators.partners import attach_partner, universe_for
+from ..operators.partners import attach_partner
 from ..sources.catalog import Catalog
 from .common import (bookings_in_period, compliance_flag, credited, exact_credited, expand_fanout, finish,
                      join_deal_count, summarize, with_month_and_lock)
@@ -32,8 +32,9 @@ def life_plan_details(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
         F.col("LEADID").alias("_bp_lead"), "PlanId", "SupplierId", F.col("ProductID").alias("_bp_prod"),
         "BasicPremium", "PaymentPeriodicity", F.col("issuanceDate").cast("date").alias("issuanceDate"),
     )
-    plans = cat.table("life_plans").select("PlanID", "ProductID", "SupplierID", "PayoutProdCat").distinct()
-    plans = bounded_broadcast(plans, cfg.max_broadcast_rows)
+    plans = cat.derived(("life_plans", cfg.max_broadcast_rows), lambda: bounded_broadcast(
+        cat.table("life_plans").select("PlanID", "ProductID", "SupplierID", "PayoutProdCat").distinct(),
+        cfg.max_broadcast_rows))
     j = d.join(
         plans,
         (d["PlanId"] == plans["PlanID"]) & (d["_bp_prod"] == plans["ProductID"]) & (d["SupplierId"] == plans["SupplierID"]),
@@ -56,14 +57,14 @@ def life_detail(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
     pt = cat.table("pay_term").select(F.col("LeadId").alias("_pt_lead"), "PayTerm")
     b = b.join(pt, b["leadid"] == pt["_pt_lead"], "left").drop("_pt_lead")
     b = join_deal_count(b, cat, cfg, PRODUCT)
-    t = attach_partner(b, universe_for(cat, cfg), cfg)
+    t = attach_partner(b, cat, cfg)
     t = t.withColumns({
         "netpr": F.col("BasicPremium"),
         "policy_issued_flag": F.when(isin("Status", C.LIFE_ISSUED_STATUSES), F.lit(1)).otherwise(F.lit(0)),
         "policy_verified_flag": F.lit(1),
         "life_insurers": classify(LIFE_INSURER_CLASSES, OTHERS),
     })
-    t = t.withColumn("Accrual_Net_Pr", compile_ladder(life_rules(), F.col("netpr")))
+    t = t.withColumn("Accrual_Net_Pr", compile_ladder(life_rules(), "netpr"))
     pr = F.col("Accrual_Net_Pr")
     cls = F.col("life_insurers")
     t = t.withColumns({

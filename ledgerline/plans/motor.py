@@ -9,7 +9,7 @@ from .. import config as C
 from ..functions.text import eq, isin, like
 from ..operators.joins import bounded_broadcast
 from ..operators.ladders import MOTOR_INSURER_CLASSES, OTHERS, classify, compile_ladder, motor_rules
-from ..operators.partners import attach_partner, universe_for
+from ..operators.partners import attach_partner
 from ..sources.catalog import Catalog
 from .common import (bookings_in_period, compliance_flag, credited, exact_credited, expand_fanout, finish,
                      join_deal_count, summarize, with_month_and_lock)
@@ -42,13 +42,17 @@ def status_classes(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
 
     The status master is a small dimension and bookings share few status ids, so it is
     broadcast (behind the row bound) rather than shuffled on a low-cardinality key."""
-    s = cat.table("status")
-    name = F.col("StatusName")
-    classes = s.where(F.col("StatusId").isNotNull()).groupBy(F.col("StatusId").alias("_sid")).agg(
-        F.max(F.when(like(name, "re%"), F.lit(1)).otherwise(F.lit(0))).alias("_cancel"),
-        F.max(F.when(~like(name, "re%"), F.lit(1)).otherwise(F.lit(0))).alias("_booked"),
-    )
-    return bounded_broadcast(classes, cfg.max_broadcast_rows)
+
+    def build():
+        s = cat.table("status")
+        name = F.col("StatusName")
+        classes = s.where(F.col("StatusId").isNotNull()).groupBy(F.col("StatusId").alias("_sid")).agg(
+            F.max(F.when(like(name, "re%"), F.lit(1)).otherwise(F.lit(0))).alias("_cancel"),
+            F.max(F.when(~like(name, "re%"), F.lit(1)).otherwise(F.lit(0))).alias("_booked"),
+        )
+        return bounded_broadcast(classes, cfg.max_broadcast_rows)
+
+    return cat.derived(("status_classes", cfg.max_broadcast_rows), build)
 
 
 def motor_detail(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
@@ -66,7 +70,7 @@ def motor_detail(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
     mb = motor_business_type(cat)
     b = b.join(mb, b["leadid"] == mb["_bt_lead"], "left").drop("_bt_lead")
     b = join_deal_count(b, cat, cfg, PRODUCT)
-    t = attach_partner(b, universe_for(cat, cfg), cfg)
+    t = attach_partner(b, cat, cfg)
     od = F.when(F.col("ODTerm") > 0, F.col("ODPremium").cast("double") / F.col("ODTerm")).otherwise(F.lit(0.0))
     tp = F.when(F.col("TPTerm") > 0, F.col("TPPremium").cast("double") / F.col("TPTerm")).otherwise(F.lit(0.0))
     t = t.withColumn("netpr", od + tp)
@@ -78,7 +82,7 @@ def motor_detail(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
         "policy_booked_flag": F.when(F.col("_booked") == 1, F.lit(1)).otherwise(F.lit(0)),
         "motor_insurers": classify(MOTOR_INSURER_CLASSES, OTHERS),
     }).drop("_sid", "_cancel", "_booked")
-    t = t.withColumn("Accrual_Net_Pr", compile_ladder(motor_rules(v.tw_tp_offline_factor), F.col("netpr")))
+    t = t.withColumn("Accrual_Net_Pr", compile_ladder(motor_rules(v.tw_tp_offline_factor), "netpr"))
     ins = F.col("Accrual_Net_Pr")
     t = t.withColumns({
         "Accrual_Net_Ins": F.when(F.col("motor_insurers") == "PSU", ins * F.lit(0.9))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.text import isin
 from ..operators.ladders import compile_ladder, sme_rules
-from ..operators.partners import attach_partner, universe_for
+from ..operators.partners import attach_partner
 from ..sources.catalog import Catalog
 from .common import (bookings_in_period, compliance_flag, credited, exact_credited, expand_fanout, finish,
                      join_deal_count, summarize, with_month_and_lock)
@@ -27,9 +27,9 @@ def sme_detail(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
     )
     b = with_month_and_lock(b)
     b = join_deal_count(b, cat, cfg, PRODUCT)
-    t = attach_partner(b, universe_for(cat, cfg), cfg)
+    t = attach_partner(b, cat, cfg)
     t = t.withColumn("netpr", F.col("Net Premium"))
-    t = t.withColumn("Accrual_Net_Pr", compile_ladder(sme_rules(), F.col("netpr")))
+    t = t.withColumn("Accrual_Net_Pr", compile_ladder(sme_rules(), "netpr"))
     t = t.withColumn("compliance_flag", compliance_flag(v))
     return expand_fanout(t, "_n_deal")
 

@@ -1,19 +1,22 @@
-"""Registered queries over the test catalog (used by ``__spark_entry__``).
+"""Registered reports over the test catalog (used by ``__spark_entry__`` and bench).
 
 Every query derives the report tables from the given star-schema parquet files with
 Spark (``sources.fixtures``), then runs one report over the whole derived tables.
 The fixture configuration (period 1997, invented market/team lists) is the one
-FIXTURES.md prescribes.
+FIXTURES.md prescribes. ``run(name, catalog)`` runs the same report on any catalog,
+e.g. the derived tables stored as parquet.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 from . import config as C
+from .sources.catalog import Catalog
 from .sources.fixtures import fixture_catalog
 
 FIXTURE_YEAR = 1997
@@ -33,23 +36,23 @@ def fixture_config(variant: C.Variant = C.CURRENT, period: C.Period | None = Non
     return C.ReportConfig(period=period, variant=variant, lists=FIXTURE_LISTS, as_of=AS_OF)
 
 
-Query = Callable[[SparkSession, str], DataFrame]
-
+@dataclass(frozen=True)
+class Spec:
+    fn: Callable
+    variant: C.Variant = C.CURRENT
+    period: C.Period | None = None
+    kwargs: dict = field(default_factory=dict)
 
-def _q(fn, variant=C.CURRENT, period=None, **kw) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(fixture_catalog(spark, sf_dir), fixture_config(variant, period), **kw)
+    def run(self, cat: Catalog) -> DataFrame:
+        return self.fn(cat, fixture_config(self.variant, self.period), **self.kwargs)
 
-    run.__name__ = getattr(fn, "__name__", "query")
-    return run
 
-
-def queries() -> dict[str, Query]:
+def specs() -> dict[str, Spec]:
     from .functions.text import eq
     from .operators import deals, partners
     from .plans import annual, combine, health, life, motor, parts, persistency, sme
 
-    q = {}
+    out: dict[str, Spec] = {}
     lines = {
         "sme": (sme.sme_leads, sme.sme_summary),
         "motor": (motor.motor_leads, motor.motor_summary),
@@ -58,27 +61,44 @@ def queries() -> dict[str, Query]:
         "life": (life.life_leads, life.life_summary),
     }
     for name, (leads, summary) in lines.items():
-        q[f"{name}_leads"] = _q(leads)
+        out[f"{name}_leads"] = Spec(leads)
         # the legacy health-renewal report keeps the full-year window
         legacy_period = C.Period.year(FIXTURE_YEAR) if name == "health_renewal" else None
-        q[f"{name}_leads_legacy"] = _q(leads, C.LEGACY, legacy_period)
-        q[f"{name}_leads_no_sell_now"] = _q(leads, C.NO_SELL_NOW)
-        q[f"{name}_summary"] = _q(summary, C.SUMMARY)
+        out[f"{name}_leads_legacy"] = Spec(leads, C.LEGACY, legacy_period)
+        out[f"{name}_leads_no_sell_now"] = Spec(leads, C.NO_SELL_NOW)
+        out[f"{name}_summary"] = Spec(summary, C.SUMMARY)
     for i, tag in enumerate(("jfm", "amj", "jas", "ond"), start=1):
-        q[f"motor_leads_{tag}"] = _q(motor.motor_leads, C.CURRENT, C.Period.quarter(FIXTURE_YEAR, i))
-    q.update({
-        "partner_universe": _q(partners.partner_universe),
-        "partner_universe_legacy": _q(partners.partner_universe_legacy, C.LEGACY),
-        "partner_vertical": _q(partners.partner_vertical),
-        "special_deals": _q(deals.special_deals),
-        "qtr_locking_date": _q(lambda cat, cfg: parts.booking_calendar(cat)),
-        "renewal_locking_date": _q(lambda cat, cfg: parts.renewal_calendar(cat)),
-        "motor_status_flags": _q(parts.motor_status_flags),
-        "life_plan_enrichment": _q(parts.life_plan_enrichment),
-        "health_persistency": _q(persistency.health_persistency),
-        "annual_clubs": _q(lambda cat, cfg: annual.annual_clubs(cat, FIXTURE_YEAR)),
-        "combined_leads": _q(combine.combined_leads),
+        out[f"motor_leads_{tag}"] = Spec(motor.motor_leads, C.CURRENT, C.Period.quarter(FIXTURE_YEAR, i))
+    out.update({
+        "partner_universe": Spec(partners.partner_universe),
+        "partner_universe_legacy": Spec(partners.partner_universe_legacy, C.LEGACY),
+        "partner_vertical": Spec(partners.partner_vertical),
+        "special_deals": Spec(deals.special_deals),
+        "qtr_locking_date": Spec(lambda cat, cfg: parts.booking_calendar(cat)),
+        "renewal_locking_date": Spec(lambda cat, cfg: parts.renewal_calendar(cat)),
+        "motor_status_flags": Spec(parts.motor_status_flags),
+        "life_plan_enrichment": Spec(parts.life_plan_enrichment),
+        "health_persistency": Spec(persistency.health_persistency),
+        "annual_clubs": Spec(lambda cat, cfg: annual.annual_clubs(cat, FIXTURE_YEAR)),
+        "combined_leads": Spec(combine.combined_leads),
         # caller condition on a pre-projection column (BookingMode is not an output column)
-        "condition_pushdown": _q(health.health_fresh_leads, condition=eq("BookingMode", "Online")),
+        "condition_pushdown": Spec(health.health_fresh_leads, kwargs={"condition": eq("BookingMode", "Online")}),
     })
-    return q
+    return out
+
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def queries() -> dict[str, Query]:
+    def wrap(spec: Spec) -> Query:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return spec.run(fixture_catalog(spark, sf_dir))
+
+        return run
+
+    return {name: wrap(spec) for name, spec in specs().items()}
+
+
+def run(name: str, cat: Catalog) -> DataFrame:
+    return specs()[name].run(cat)

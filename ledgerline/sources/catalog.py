@@ -37,6 +37,7 @@ class Catalog:
         self.spark = spark
         self._loaders = dict(loaders)
         self._cache: dict[str, DataFrame] = {}
+        self._derived: dict[object, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         if name not in self._cache:
@@ -46,6 +47,13 @@ class Catalog:
             self._cache[name] = src if isinstance(src, DataFrame) else src()
         return self._cache[name]
 
+    def derived(self, key, build: Callable[[], DataFrame]) -> DataFrame:
+        """Memoised derived relation (e.g. a size-checked dimension), so its size check
+        and plan are made once per catalog, not once per report."""
+        if key not in self._derived:
+            self._derived[key] = build()
+        return self._derived[key]
+
     def __getitem__(self, name: str) -> DataFrame:
         return self.table(name)
 

@@ -256,3 +256,18 @@ class FixtureTables:
 
 def fixture_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
     return FixtureTables(spark, sf_dir).catalog()
+
+
+def write_fixture_tables(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Store every derived table as ``{root}/{name}`` parquet.
+
+    The bookings table feeds most other tables, so it is written first and the rest is
+    derived from the stored copy (one pass over lineitem/orders instead of one per
+    table)."""
+    ft = FixtureTables(spark, sf_dir)
+    ft.bookings().write.mode("overwrite").parquet(f"{root}/bookings")
+    ft._memo["bookings"] = spark.read.parquet(f"{root}/bookings")
+    cat = ft.catalog()
+    for n in cat.names():
+        if n != "bookings":
+            cat.table(n).write.mode("overwrite").parquet(f"{root}/{n}")
