@@ -82,7 +82,8 @@ def specs() -> dict[str, Spec]:
         "annual_clubs": Spec(lambda cat, cfg: annual.annual_clubs(cat, FIXTURE_YEAR)),
         "combined_leads": Spec(combine.combined_leads),
         # caller condition on a pre-projection column (BookingMode is not an output column)
-        "condition_pushdown": Spec(health.health_fresh_leads, kwargs={"condition": eq("BookingMode", "Online")}),
+        "condition_pushdown": Spec(
+            lambda cat, cfg: health.health_fresh_leads(cat, cfg, condition=eq("BookingMode", "Online"))),
     })
     return out
 

@@ -1,0 +1,127 @@
+"""Report semantics on hand-made rows (FIXTURES.md section 3.5) and invariants."""
+
+import datetime as dt
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from ledgerline import config as C
+from ledgerline.plans import annual, combine, persistency
+from ledgerline.operators import partners
+from ledgerline.operators.joins import expand, multiplicity
+from ledgerline.registry import FIXTURE_LISTS, fixture_config
+from ledgerline.sources.catalog import Catalog
+
+BOOK = "leadid long, Utm_term string, PolicyEndDate timestamp_ntz, ProductId int, StatusId int"
+
+
+def _persistency(spark, bookings, referrals):
+    cat = Catalog(spark, {
+        "bookings": spark.createDataFrame(bookings, BOOK),
+        "lead_referral": spark.createDataFrame(referrals, "LeadID long, ReferralID long"),
+    })
+    cfg = fixture_config()
+    return {(r.PartnerCode, r.Quarter): r for r in persistency.health_persistency(cat, cfg).collect()}
+
+
+def _due(partner, n, start_id, month=2):
+    return [(start_id + i, partner, dt.datetime(1997, month, 10), 190, 41) for i in range(n)]
+
+
+def test_persistency_rounding_and_multipliers(spark):
+    b = _due("P1", 200, 1000) + _due("P2", 200, 5000) + _due("P3", 4, 9000)
+    refs = [(100000 + i, 1000 + i) for i in range(179)] + [(200000 + i, 5000 + i) for i in range(29)]
+    out = _persistency(spark, b, refs)
+    p1 = out[("P1", "Q1-JFM")]
+    assert p1.Qtr_Health_Persistency == 0.9 and p1.Qtr_Health_Persistency_Multiplier == 0.75  # .895 -> .90
+    p2 = out[("P2", "Q1-JFM")]
+    assert p2.Qtr_Health_Persistency == 0.15 and p2.Qtr_Health_Persistency_Multiplier == 0.0  # 29/200 half-up
+    p3 = out[("P3", "Q1-JFM")]
+    assert p3.Yearly_Renewal_Due == 4.0 and p3.Annual_Health_Persistency == 0.0
+    assert p3.Annual_Health_Persistency_Multiplier == 1.0 and p3.rnk == 1
+
+
+def test_persistency_fanout_and_collation(spark):
+    b = [(1, "ip7", dt.datetime(1997, 5, 1), 130, 13), (2, "IP7 ", dt.datetime(1997, 5, 2), 224, 42),
+         (3, "IP7", dt.datetime(1997, 8, 2), 190, 44), (4, "IP7", dt.datetime(1998, 1, 2), 190, 44),
+         (5, "IP7", dt.datetime(1997, 8, 2), 190, 99), (6, None, dt.datetime(1997, 8, 2), 190, 44)]
+    refs = [(11, 1), (12, 1)]  # one due lead renewed twice
+    out = _persistency(spark, b, refs)
+    q2 = out[("IP7", "Q2-AMJ")]
+    assert (q2.Qtr_Renewal_Due, q2.Qtr_Renewal_Done) == (3.0, 2.0)
+    assert (q2.Yearly_Renewal_Due, q2.Yearly_Renewal_Done) == (4.0, 2.0)
+    assert out[("IP7", "Q3-JAS")].rnk == 2 and q2.rnk == 1
+    assert set(out) == {("IP7", "Q2-AMJ"), ("IP7", "Q3-JAS")}  # NULL partner, other year, status dropped
+
+
+def test_annual_clubs(spark):
+    rows = []
+    # A: 26M with 2 crowns; B: 26M, no crown; C/D/E: first-quarter passes
+    for q, tier, amt in [("Q1-JFM", "Crown", 10e6), ("Q2-AMJ", "Crown", 10e6), ("Q3-JAS", "Gold", 6e6)]:
+        rows.append(("A", 1997, q, tier, Decimal(int(amt))))
+    rows.append(("B", 1997, "Q4-OND", "Gold", Decimal(26000000)))
+    rows += [("C", 1997, "Q1-JFM", "Base", Decimal(3750000)), ("D", 1997, "Q1-JFM", "Base", Decimal(7500000)),
+             ("E", 1997, "Q1-JFM", "crown", Decimal(12500000)), ("F", 1996, "Q1-JFM", "Crown", Decimal(1))]
+    cat = Catalog(spark, {"partner_quarter": spark.createDataFrame(
+        rows, "PartnerCode string, CalendarYear int, Quarter string, Tier string, WeightedNet decimal(18,2)")})
+    out = annual.annual_clubs(cat, 1997).collect()
+    by = {r.PartnerCode: r for r in out}
+    assert [r.PartnerCode for r in out][:2] in (["A", "B"], ["B", "A"]) and "F" not in by
+    assert (by["A"].Annual_Club, by["A"].Annual_Club_with_Crown_Logic, by["A"].Crown_Count) == ("One Club", "CBO", 2)
+    assert (by["B"].Annual_Club, by["B"].Annual_Club_with_Crown_Logic) == ("One Club", None)
+    assert [by[k].JFM_Pass for k in "CDE"] == ["Dubai Pass", "Armenia Pass", "Paris Pass"]
+    assert by["E"].Crown_Count == 1 and by["E"].Annual_Club_with_Crown_Logic == "Masters"
+    assert by["B"].JFM_NWP == 0.0 and by["B"].JFM_Club is None
+
+
+def test_vertical(spark):
+    cols = ("PartnerCode string, PartnerName string, RMCode string, RMName string, MarketType string, "
+            "PartnerPhoneNumber string, PartnerEmailId string, ComplianceCertified string, SellNowEnabled string, "
+            "SalesCat string, NH_NAME string")
+    rows = [("IP1", "a", None, None, "Region A", None, None, "Yes", "Yes", "VRM", "Health Team 1"),
+            ("IP2", "b", None, None, None, None, None, "Yes", "Yes", "VRM", "Life Team"),
+            ("IP3", "c", None, None, None, None, None, "Yes", "Yes", "VRM", "Motor Team"),
+            ("XX4", "d", None, None, None, None, None, "Yes", "Yes", "VRM", "Motor Team")]
+    cat = Catalog(spark, {"partner_directory": spark.createDataFrame(rows, cols)})
+    out = {r.PartnerCode: r.Vertical for r in partners.partner_vertical(cat, fixture_config()).collect()}
+    assert out == {"IP1": "Motor", "IP2": "Life", "IP3": "VRM"}
+
+
+def test_universe_inclusion_and_null_market(spark):
+    p = spark.createDataFrame([
+        ("IP1", "Yes", "Yes", "Region C"), ("IP2", "Yes", "Yes", "Fleets"), ("IP3", "No", "No", None),
+        ("ip4", "Yes", "No", "prime"), ("XX5", "Yes", "Yes", "Region C"), ("IP6", "Yes", "Yes", "Region C"),
+    ], "PartnerCode string, SellNowEnabled string, ComplianceCertified string, Markettype string")
+    inc = spark.createDataFrame([("IP2",), ("IP3",), ("IP6",), ("XX5",)], "PartnerCode string")
+    cat = Catalog(spark, {"partners": p, "inclusion": inc})
+    got = sorted(r.PartnerCode for r in partners.partner_universe(cat, fixture_config()).collect())
+    # base: IP1, IP6 (ip4 is PRIME under the collation, IP3 has a NULL market);
+    # inclusion adds IP2, IP3 and XX5 but not IP6 again
+    assert got == ["IP1", "IP2", "IP3", "IP6", "XX5"]
+
+
+def test_consolidate_fallbacks(spark):
+    motor = spark.createDataFrame([(1, 100.0, 90.0, 80.0, "Motor", 1, 0, 1)],
+                                  "leadid long, netpr double, Accrual_Net double, Accrual_Net_C double, product_name string, "
+                                  "motor_booked_flag int, motor_cancelled_flag int, policy_booked_flag int")
+    renewal = spark.createDataFrame([(2, 50.0, 50.0, 40.0, 40.0, 200.0, 160.0, 160.0, "Health", "Health_Renewal",
+                                      dt.date(1997, 3, 1), dt.date(1997, 3, 20), 1)],
+                                    "leadid long, netpr double, Accrual_Net_Ins double, Accrual_Net double, "
+                                    "Accrual_Net_C double, W_Net_Booked double, W_Net double, W_Net_C double, "
+                                    "product_name string, bt string, MON date, Prev_end_date date, policy_issued_flag int")
+    out = {r.leadid: r for r in combine.consolidate([motor, renewal]).collect()}
+    m, h = out[1], out[2]
+    assert (m.policy_issued_flag, m.policy_verified_flag) == (1, 1)
+    assert (m.Accrual_Net_Pr, m.Accrual_Net_Ins, m.Accrual_Net_Booked) == (100.0, 100.0, 90.0)
+    assert (m.W_Net, m.W_Net_Booked, m.W_Net_C, m.bt) == (90.0, 90.0, 80.0, "Motor")
+    assert (h.Accrual_Net_Pr, h.policy_booked_flag, h.motor_booked_flag) == (50.0, 1, 0)
+    assert h.Prev_end_date == dt.datetime(1997, 3, 20) and h.MON == dt.datetime(1997, 3, 1)
+
+
+def test_fanout_expand(spark):
+    left = spark.createDataFrame([(1,), (2,), (3,)], "leadid long")
+    look = spark.createDataFrame([(1,), (1,), (1,), (2,), (None,)], "k long")
+    m = multiplicity(look, "k", "n")
+    j = left.join(m, left["leadid"] == m["_k"], "left")
+    got = sorted(r.leadid for r in expand(j, "n").collect())
+    assert got == [1, 1, 1, 2, 3]
