@@ -11,7 +11,7 @@ from .. import config as C
 from ..functions.dates import add_months, month_start, renewal_locking_date
 from ..functions.text import isin
 from ..operators.ladders import HEALTH_INSURER_CLASSES, OTHERS, classify, compile_ladder, health_fresh_rules
-from ..operators.partners import attach_partner
+from ..operators.partners import attach_partner, partner_dimension
 from ..sources.catalog import Catalog
 from .common import (bookings_in_period, compliance_flag, credited, exact_credited, expand_fanout, finish,
                      join_deal_count, join_verification_count, summarize, with_month_and_lock)
@@ -55,11 +55,10 @@ def health_fresh_detail(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
         F.col("ProductId").alias("Product_updated"), F.lit(PRODUCT).alias("product_name"),
         F.lit("Health_Fresh").alias("bt"),
     )
-    b = with_month_and_lock(b)
+    b = attach_partner(with_month_and_lock(b), cat, cfg)
     b = join_verification_count(b, cat)
     b = join_deal_count(b, cat, cfg, PRODUCT)
-    b = join_sum_insured(b, cat)
-    t = attach_partner(b, cat, cfg)
+    t = join_sum_insured(b, cat)
     t = t.withColumn("Health_bt", health_bt(v))
     t = _insurer_step(t.withColumns({
         "netpr": F.col("APE"),
@@ -156,6 +155,8 @@ def renewal_bookings(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
         & (F.col("BookingDate") < F.lit(dt.datetime.combine(hi, dt.time())))
         & F.col("StatusId").isin(list(C.RENEWAL_STATUS_IDS))
     )
+    # the partner universe is a broadcast dimension: filter the renewals map-side first
+    cur = attach_partner(cur, cat, cfg)
     ref = cat.table("lead_referral").select(F.col("LeadID").alias("_ref_lead"), F.col("ReferralID").alias("_ref_id"))
     prev = fact.where(
         (F.col("PolicyEndDate") >= F.lit(dt.datetime.combine(p.min_date, dt.time())))
@@ -175,8 +176,9 @@ def health_renewal_detail(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
     j = j.join(prev, j["_ref_id"] == prev["_prev_lead"], "inner")
     if v.renewal_early_guard:
         j = j.where(F.col("BookingDate") >= F.col("_prev_end") - F.expr("INTERVAL 3 MONTHS"))
-    b = j.select(
-        "Utm_term", "leadid", "TotalPremium", "APE", "Net Premium", "ProductId", "IsComplianceN", "Insurer Name",
+    partner_cols = [c for c in partner_dimension(cat, cfg).columns if c != "_pk"]
+    t = j.select(
+        *partner_cols, "Utm_term", "leadid", "TotalPremium", "APE", "Net Premium", "ProductId", "IsComplianceN", "Insurer Name",
         "BookingMode", "BookingDate", "BusinessType", "Status", "StatusId", "SumInsured", "_n_ver", "_n_deal",
         "special_deal_flag",
         month_start("_prev_end").alias("MON"),
@@ -186,7 +188,6 @@ def health_renewal_detail(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
         F.lit("Health_Renewal").alias("bt"),
         renewal_locking_date("_prev_end", "BookingDate").alias("Qtr_Locking_Date"),
     )
-    t = attach_partner(b, cat, cfg)
     t = _insurer_step(t.withColumns({
         "Health_bt": F.lit("Renewal"),
         "netpr": F.col("APE"),

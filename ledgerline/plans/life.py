@@ -51,13 +51,12 @@ def life_detail(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
         F.col("PolicyStartDate").cast("date").alias("PolicyStartDate"),
         F.lit(PRODUCT).alias("product_name"), F.col("ProductId").alias("Product_updated"),
     )
-    b = with_month_and_lock(b)
+    b = attach_partner(with_month_and_lock(b), cat, cfg)
     bp = life_plan_details(cat, cfg)
     b = b.join(bp, b["leadid"] == bp["_bp_lead"], "left").drop("_bp_lead")
     pt = cat.table("pay_term").select(F.col("LeadId").alias("_pt_lead"), "PayTerm")
     b = b.join(pt, b["leadid"] == pt["_pt_lead"], "left").drop("_pt_lead")
-    b = join_deal_count(b, cat, cfg, PRODUCT)
-    t = attach_partner(b, cat, cfg)
+    t = join_deal_count(b, cat, cfg, PRODUCT)
     t = t.withColumns({
         "netpr": F.col("BasicPremium"),
         "policy_issued_flag": F.when(isin("Status", C.LIFE_ISSUED_STATUSES), F.lit(1)).otherwise(F.lit(0)),

@@ -66,11 +66,10 @@ def motor_detail(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
         "ODTerm", "TPTerm", "Status", "StatusId", F.lit(PRODUCT).alias("product_name"),
         motor_product(v.taxi_strict).alias("Product_updated"),
     )
-    b = with_month_and_lock(b)
+    b = attach_partner(with_month_and_lock(b), cat, cfg)
     mb = motor_business_type(cat)
     b = b.join(mb, b["leadid"] == mb["_bt_lead"], "left").drop("_bt_lead")
-    b = join_deal_count(b, cat, cfg, PRODUCT)
-    t = attach_partner(b, cat, cfg)
+    t = join_deal_count(b, cat, cfg, PRODUCT)
     od = F.when(F.col("ODTerm") > 0, F.col("ODPremium").cast("double") / F.col("ODTerm")).otherwise(F.lit(0.0))
     tp = F.when(F.col("TPTerm") > 0, F.col("TPPremium").cast("double") / F.col("TPTerm")).otherwise(F.lit(0.0))
     t = t.withColumn("netpr", od + tp)

@@ -25,9 +25,8 @@ def sme_detail(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
         F.col("PolicyStartDate").cast("date").alias("PolicyStartDate"),
         F.col("ProductId").alias("Product_updated"), F.lit(PRODUCT).alias("product_name"),
     )
-    b = with_month_and_lock(b)
-    b = join_deal_count(b, cat, cfg, PRODUCT)
-    t = attach_partner(b, cat, cfg)
+    b = attach_partner(with_month_and_lock(b), cat, cfg)
+    t = join_deal_count(b, cat, cfg, PRODUCT)
     t = t.withColumn("netpr", F.col("Net Premium"))
     t = t.withColumn("Accrual_Net_Pr", compile_ladder(sme_rules(), "netpr"))
     t = t.withColumn("compliance_flag", compliance_flag(v))

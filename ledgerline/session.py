@@ -13,6 +13,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # lead-keyed lookups join on (lead) or (lead, product): let a partitioning on the
+    # lead id alone serve both, instead of re-shuffling the booking stream (lead ids are
+    # unique per booking, so this cannot create skew)
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

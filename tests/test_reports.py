@@ -101,21 +101,30 @@ def test_universe_inclusion_and_null_market(spark):
 
 
 def test_consolidate_fallbacks(spark):
-    motor = spark.createDataFrame([(1, 100.0, 90.0, 80.0, "Motor", 1, 0, 1)],
-                                  "leadid long, netpr double, Accrual_Net double, Accrual_Net_C double, product_name string, "
+    motor = spark.createDataFrame([(1, 100.0, 100.0, 90.0, 90.0, 80.0, "Motor", 1, 0, 1)],
+                                  "leadid long, netpr double, Accrual_Net_Pr double, Accrual_Net_Ins double, "
+                                  "Accrual_Net double, Accrual_Net_C double, product_name string, "
                                   "motor_booked_flag int, motor_cancelled_flag int, policy_booked_flag int")
-    renewal = spark.createDataFrame([(2, 50.0, 50.0, 40.0, 40.0, 200.0, 160.0, 160.0, "Health", "Health_Renewal",
+    fresh = spark.createDataFrame([(2, 10.0, 12.5, 12.5, 12.5, 12.5, 10.0, 50.0, 50.0, 40.0, "Health", "Health_Fresh",
+                                    1, 1, dt.date(1997, 3, 1))],
+                                  "leadid long, netpr double, Accrual_Net_Pr double, Accrual_Net_Ins double, "
+                                  "Accrual_Net_Booked double, Accrual_Net double, Accrual_Net_C double, "
+                                  "W_Net_Booked double, W_Net double, W_Net_C double, product_name string, bt string, "
+                                  "policy_issued_flag int, policy_verified_flag int, MON date")
+    renewal = spark.createDataFrame([(3, 50.0, 50.0, 40.0, 40.0, "Health", "Health_Renewal",
                                       dt.date(1997, 3, 1), dt.date(1997, 3, 20), 1)],
                                     "leadid long, netpr double, Accrual_Net_Ins double, Accrual_Net double, "
-                                    "Accrual_Net_C double, W_Net_Booked double, W_Net double, W_Net_C double, "
-                                    "product_name string, bt string, MON date, Prev_end_date date, policy_issued_flag int")
-    out = {r.leadid: r for r in combine.consolidate([motor, renewal]).collect()}
-    m, h = out[1], out[2]
-    assert (m.policy_issued_flag, m.policy_verified_flag) == (1, 1)
-    assert (m.Accrual_Net_Pr, m.Accrual_Net_Ins, m.Accrual_Net_Booked) == (100.0, 100.0, 90.0)
-    assert (m.W_Net, m.W_Net_Booked, m.W_Net_C, m.bt) == (90.0, 90.0, 80.0, "Motor")
-    assert (h.Accrual_Net_Pr, h.policy_booked_flag, h.motor_booked_flag) == (50.0, 1, 0)
+                                    "Accrual_Net_C double, product_name string, bt string, MON date, "
+                                    "Prev_end_date date, policy_issued_flag int")
+    out = {r.leadid: r for r in combine.consolidate([motor, fresh, renewal]).collect()}
+    m, f, h = out[1], out[2], out[3]
+    assert (m.policy_issued_flag, m.policy_verified_flag, f.policy_booked_flag) == (1, 1, 1)
+    assert (m.Accrual_Net_Booked, m.W_Net, m.W_Net_Booked, m.W_Net_C, m.bt) == (90.0, 90.0, 90.0, 80.0, "Motor")
+    assert (f.W_Net_Booked, f.W_Net, f.motor_booked_flag, f.motor_cancelled_flag) == (50.0, 50.0, 0, 0)
+    assert (h.Accrual_Net_Pr, h.policy_booked_flag, h.policy_verified_flag) == (50.0, 1, 1)
+    assert (h.W_Net, h.W_Net_Booked, h.W_Net_C) == (40.0, 40.0, 40.0)  # W_Net_Booked sees the filled W_Net
     assert h.Prev_end_date == dt.datetime(1997, 3, 20) and h.MON == dt.datetime(1997, 3, 1)
+    assert m.Prev_end_date is None and m.MON is None
 
 
 def test_fanout_expand(spark):
