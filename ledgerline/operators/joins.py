@@ -38,3 +38,49 @@ def expand(df: DataFrame, *counts: str) -> DataFrame:
         r = F.coalesce(F.col(c), F.lit(1))
         reps = r if reps is None else reps * r
     return df.select("*", F.explode(F.array_repeat(F.lit(True), reps.cast("int"))).alias("_copy")).drop("_copy")
+
+
+def hot_keys(right: DataFrame, keys: list[str], min_rows: int) -> DataFrame:
+    """Keys of ``right`` with more than ``min_rows`` rows. There are at most
+    ``rows(right) / min_rows`` of them; counting is partially aggregated."""
+    return right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > min_rows).select(*keys)
+
+
+def lookup_join(left: DataFrame, right: DataFrame, left_keys: list[str], right_keys: list[str],
+                hot: DataFrame | None, how: str = "left") -> DataFrame:
+    """``left`` joined to a lookup on ``left_keys = right_keys`` (left or inner), safe
+    against lookup keys that hold a large share of the lookup's rows.
+
+    ``hot`` (small, see ``hot_keys``; ``None`` or empty when there is none) splits the
+    work: rows of ordinary keys join as usual (a shuffle join that keeps the left side's
+    partitioning); rows of hot keys are joined by broadcasting the few left rows that
+    carry a hot key against the lookup's hot rows, which stay spread over all tasks.
+    A hot key has matching lookup rows by definition, so an inner join on that part
+    equals the left join. Result rows and multiplicities are those of the plain join.
+    """
+    def cond(l, r):
+        c = None
+        for a, b in zip(left_keys, right_keys):
+            t = l[a] == r[b]
+            c = t if c is None else c & t
+        return c
+
+    if hot is None:
+        return left.join(right, cond(left, right), how)
+    hk = [f"_hot{i}" for i in range(len(right_keys))]
+    hot = F.broadcast(hot.select(*[F.col(k).alias(h) for k, h in zip(right_keys, hk)]))
+
+    def on(df, keys):
+        c = None
+        for k, h in zip(keys, hk):
+            t = df[k] == hot[h]
+            c = t if c is None else c & t
+        return c
+
+    left_cold = left.join(hot, on(left, left_keys), "left_anti")
+    right_cold = right.join(hot, on(right, right_keys), "left_anti")
+    left_hot = left.join(hot, on(left, left_keys), "left_semi")
+    right_hot = right.join(hot, on(right, right_keys), "left_semi")
+    cold = left_cold.join(right_cold, cond(left_cold, right_cold), how)
+    hot_part = right_hot.join(F.broadcast(left_hot), cond(left_hot, right_hot), "inner")
+    return cold.unionByName(hot_part.select(*cold.columns))

@@ -9,7 +9,7 @@ from .. import config as C
 from ..functions.dates import in_window, month_start, qtr_locking_date
 from ..functions.text import eq, like
 from ..operators.deals import special_deals
-from ..operators.joins import expand, multiplicity
+from ..operators.joins import bounded_broadcast, expand, hot_keys, lookup_join, multiplicity
 from ..sources.catalog import Catalog
 
 # Money columns leave a report as DOUBLE: amounts are computed exactly in DECIMAL up to
@@ -108,3 +108,24 @@ def summarize(df: DataFrame, product_name: str, measures: dict[str, Column]) ->
         else:
             cols.append(F.col(f.name))
     return out.select(*cols)
+
+
+def join_lookup(df: DataFrame, cat: Catalog, cfg: C.ReportConfig, name: str, lookup: DataFrame,
+                left_keys: list[str], right_keys: list[str], how: str = "left") -> DataFrame:
+    """Join a lead-keyed value lookup, splitting off hot lookup keys.
+
+    Whether the lookup has hot keys is checked once per catalog (an aggregation over the
+    lookup's key columns): with none the join is the plain shuffle join; with a bounded
+    number of them those keys are joined separately (``joins.lookup_join``); with more
+    than ``max_hot_keys`` the plain join is used and AQE handles what it can.
+    ``name`` identifies the lookup *including its filters*: the split is exact only if
+    every hot key has rows in the lookup that is joined."""
+
+    def detect():
+        hot = hot_keys(lookup, right_keys, cfg.hot_key_rows)
+        n = hot.limit(cfg.max_hot_keys + 1).count()
+        return hot if 0 < n <= cfg.max_hot_keys else None
+
+    key = ("hot_keys", name, tuple(right_keys), cfg.hot_key_rows, cfg.max_hot_keys)
+    hot = cat.derived(key, detect) if cat is not None else None
+    return lookup_join(df, lookup, left_keys, right_keys, hot, how)

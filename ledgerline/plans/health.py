@@ -14,7 +14,7 @@ from ..operators.ladders import HEALTH_INSURER_CLASSES, OTHERS, classify, compil
 from ..operators.partners import attach_partner, partner_dimension
 from ..sources.catalog import Catalog
 from .common import (bookings_in_period, compliance_flag, credited, exact_credited, expand_fanout, finish,
-                     join_deal_count, join_verification_count, summarize, with_month_and_lock)
+                     join_deal_count, join_lookup, join_verification_count, summarize, with_month_and_lock)
 
 PRODUCT = "Health"
 HEALTH_WEIGHT = 4.0
@@ -29,11 +29,11 @@ def health_bt(variant: C.Variant) -> Column:
     return e
 
 
-def join_sum_insured(df: DataFrame, cat: Catalog) -> DataFrame:
+def join_sum_insured(df: DataFrame, cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
     """Left join of the health booking details on (lead, product) for SumInsured."""
     d = cat.table("booking_details").where(F.col("ProductID").isin(list(C.HEALTH_FRESH_PRODUCTS))).select(
         F.col("LEADID").alias("_si_lead"), F.col("ProductID").alias("_si_prod"), "SumInsured")
-    return df.join(d, (df["leadid"] == d["_si_lead"]) & (df["ProductId"] == d["_si_prod"]), "left") \
+    return join_lookup(df, cat, cfg, "health_details", d, ["leadid", "ProductId"], ["_si_lead", "_si_prod"]) \
         .drop("_si_lead", "_si_prod")
 
 
@@ -58,7 +58,7 @@ def health_fresh_detail(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
     b = attach_partner(with_month_and_lock(b), cat, cfg)
     b = join_verification_count(b, cat)
     b = join_deal_count(b, cat, cfg, PRODUCT)
-    t = join_sum_insured(b, cat)
+    t = join_sum_insured(b, cat, cfg)
     t = t.withColumn("Health_bt", health_bt(v))
     t = _insurer_step(t.withColumns({
         "netpr": F.col("APE"),
@@ -172,7 +172,7 @@ def health_renewal_detail(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
     # lead-keyed enrichments first, while rows are still partitioned by lead id
     j = join_verification_count(j, cat)
     j = join_deal_count(j, cat, cfg, PRODUCT)
-    j = join_sum_insured(j, cat)
+    j = join_sum_insured(j, cat, cfg)
     j = j.join(prev, j["_ref_id"] == prev["_prev_lead"], "inner")
     if v.renewal_early_guard:
         j = j.where(F.col("BookingDate") >= F.col("_prev_end") - F.expr("INTERVAL 3 MONTHS"))

@@ -14,7 +14,7 @@ from ..operators.ladders import LIFE_INSURER_CLASSES, OTHERS, classify, compile_
 from ..operators.partners import attach_partner
 from ..sources.catalog import Catalog
 from .common import (bookings_in_period, compliance_flag, credited, exact_credited, expand_fanout, finish,
-                     join_deal_count, summarize, with_month_and_lock)
+                     join_deal_count, join_lookup, summarize, with_month_and_lock)
 
 PRODUCT = "Life"
 LIFE_WEIGHT = 1.5
@@ -53,9 +53,10 @@ def life_detail(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
     )
     b = attach_partner(with_month_and_lock(b), cat, cfg)
     bp = life_plan_details(cat, cfg)
-    b = b.join(bp, b["leadid"] == bp["_bp_lead"], "left").drop("_bp_lead")
+    details = f"life_details:{cfg.variant.life_details_product_filter}"
+    b = join_lookup(b, cat, cfg, details, bp, ["leadid"], ["_bp_lead"]).drop("_bp_lead")
     pt = cat.table("pay_term").select(F.col("LeadId").alias("_pt_lead"), "PayTerm")
-    b = b.join(pt, b["leadid"] == pt["_pt_lead"], "left").drop("_pt_lead")
+    b = join_lookup(b, cat, cfg, "pay_term", pt, ["leadid"], ["_pt_lead"]).drop("_pt_lead")
     t = join_deal_count(b, cat, cfg, PRODUCT)
     t = t.withColumns({
         "netpr": F.col("BasicPremium"),

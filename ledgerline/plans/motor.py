@@ -12,7 +12,7 @@ from ..operators.ladders import MOTOR_INSURER_CLASSES, OTHERS, classify, compile
 from ..operators.partners import attach_partner
 from ..sources.catalog import Catalog
 from .common import (bookings_in_period, compliance_flag, credited, exact_credited, expand_fanout, finish,
-                     join_deal_count, summarize, with_month_and_lock)
+                     join_deal_count, join_lookup, summarize, with_month_and_lock)
 
 PRODUCT = "Motor"
 
@@ -68,7 +68,7 @@ def motor_detail(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
     )
     b = attach_partner(with_month_and_lock(b), cat, cfg)
     mb = motor_business_type(cat)
-    b = b.join(mb, b["leadid"] == mb["_bt_lead"], "left").drop("_bt_lead")
+    b = join_lookup(b, cat, cfg, "business_type", mb, ["leadid"], ["_bt_lead"]).drop("_bt_lead")
     t = join_deal_count(b, cat, cfg, PRODUCT)
     od = F.when(F.col("ODTerm") > 0, F.col("ODPremium").cast("double") / F.col("ODTerm")).otherwise(F.lit(0.0))
     tp = F.when(F.col("TPTerm") > 0, F.col("TPPremium").cast("double") / F.col("TPTerm")).otherwise(F.lit(0.0))

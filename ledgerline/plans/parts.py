@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.dates import month_start, qtr_locking_date, renewal_locking_date
 from ..sources.catalog import Catalog
+from .common import join_lookup
 from .life import life_plan_details
 from .motor import status_classes
 
@@ -57,7 +58,8 @@ def life_plan_enrichment(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
     b = cat.table("bookings").where(F.col("ProductId").isin(list(C.LIFE_PRODUCTS))).select("leadid", "ProductId")
     bp = life_plan_details(cat, cfg)
     pt = cat.table("pay_term").select(F.col("LeadId").alias("_pt_lead"), "PayTerm")
-    j = b.join(bp, b["leadid"] == bp["_bp_lead"], "left").join(pt, b["leadid"] == pt["_pt_lead"], "left")
+    j = join_lookup(b, cat, cfg, f"life_details:{cfg.variant.life_details_product_filter}", bp, ["leadid"], ["_bp_lead"])
+    j = join_lookup(j, cat, cfg, "pay_term", pt, ["leadid"], ["_pt_lead"])
     return j.select(
         "leadid", "ProductId", F.col("BasicPremium").cast("double").alias("BasicPremium"), "PaymentPeriodicity",
         "issuanceDate", "PayoutProdCat", "PayTerm",

@@ -134,3 +134,23 @@ def test_fanout_expand(spark):
     j = left.join(m, left["leadid"] == m["_k"], "left")
     got = sorted(r.leadid for r in expand(j, "n").collect())
     assert got == [1, 1, 1, 2, 3]
+
+
+def test_lookup_join_splits_hot_keys(spark):
+    from ledgerline.plans.common import join_lookup
+
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, "d")], "leadid long, x string")
+    rows = [(1, 7, i) for i in range(5)] + [(1, 8, 99), (2, 7, 1), (2, 7, 1), (5, 7, 3)]
+    right = spark.createDataFrame(rows, "_lead long, _prod int, v int")
+    expected = sorted(tuple(r) for r in left.join(right, left["leadid"] == right["_lead"], "left").collect())
+    cfg = C.ReportConfig(period=C.Period.year(1997), hot_key_rows=2, max_hot_keys=10)
+    cat = Catalog(spark, {})
+    got_df = join_lookup(left, cat, cfg, "t", right, ["leadid"], ["_lead"])
+    assert cat._derived[("hot_keys", "t", ("_lead",), 2, 10)] is not None  # lead 1 is hot
+    assert sorted(tuple(r) for r in got_df.collect()) == expected
+    # two-key lookup: (1, 7) is hot, (1, 8) is not
+    left2 = left.withColumn("p", F.lit(7))
+    exp2 = sorted(tuple(r) for r in left2.join(
+        right, (left2["leadid"] == right["_lead"]) & (left2["p"] == right["_prod"]), "left").collect())
+    got2 = join_lookup(left2, cat, cfg, "t2", right, ["leadid", "p"], ["_lead", "_prod"])
+    assert sorted(tuple(r) for r in got2.collect()) == exp2
