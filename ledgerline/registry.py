@@ -91,10 +91,23 @@ def specs() -> dict[str, Spec]:
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_CATALOGS: dict[tuple[int, str], tuple[SparkSession, Catalog]] = {}
+
+
+def shared_fixture_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
+    """One fixture catalog per live session and directory, so dimension size checks
+    and hot-key detection run once for all registered queries, not once per query."""
+    k = (id(spark), sf_dir)
+    hit = _CATALOGS.get(k)
+    if hit is None or hit[0] is not spark:
+        _CATALOGS[k] = (spark, fixture_catalog(spark, sf_dir))
+    return _CATALOGS[k][1]
+
+
 def queries() -> dict[str, Query]:
     def wrap(spec: Spec) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return spec.run(fixture_catalog(spark, sf_dir))
+            return spec.run(shared_fixture_catalog(spark, sf_dir))
 
         return run
 
