@@ -7,27 +7,29 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import col
+from .text import col, q
 
 
 def month_start(c: str | Column) -> Column:
     """``DATEFROMPARTS(YEAR(c), MONTH(c), 1)`` as a DATE."""
-    return F.trunc(col(c).cast("date"), "month")
+    if isinstance(c, str):
+        return F.expr(f"trunc(CAST({q(c)} AS DATE), 'month')")
+    return F.trunc(c.cast("date"), "month")
 
 
-def quarter_lock(c: str | Column) -> Column:
+def quarter_lock_sql(name: str) -> str:
+    c = q(name)
+    return (f"CASE WHEN month({c}) <= 3 THEN make_date(year({c}), 5, 15) "
+            f"WHEN month({c}) <= 6 THEN make_date(year({c}), 8, 15) "
+            f"WHEN month({c}) <= 9 THEN make_date(year({c}), 11, 15) "
+            f"ELSE make_date(year({c}) + 1, 2, 15) END")
+
+
+def quarter_lock(c: str) -> Column:
     """Date on which the quarter of ``c`` is locked: the 15th of the second month
     after the quarter ends (Q1 -> 15 May, Q2 -> 15 Aug, Q3 -> 15 Nov, Q4 -> 15 Feb
-    of the next year)."""
-    c = col(c)
-    m = F.month(c)
-    y = F.year(c)
-    return (
-        F.when(m <= 3, F.make_date(y, F.lit(5), F.lit(15)))
-        .when(m <= 6, F.make_date(y, F.lit(8), F.lit(15)))
-        .when(m <= 9, F.make_date(y, F.lit(11), F.lit(15)))
-        .when(m.isNotNull(), F.make_date(y + 1, F.lit(2), F.lit(15)))
-    )
+    of the next year). NULL stays NULL."""
+    return F.expr(quarter_lock_sql(c))
 
 
 def qtr_locking_date(booking: str | Column) -> Column:
@@ -40,24 +42,23 @@ def renewal_locking_date(prev_end: str | Column, booked: str | Column) -> Column
     """Lock date of the quarter in which the prior policy ended, or NULL when the
     renewal was booked after that lock. ``booked`` keeps its time of day: a booking
     at 10:00 on the lock day is late."""
-    lock = quarter_lock(prev_end)
-    return F.when(col(booked) <= lock.cast("timestamp_ntz"), lock)
+    lock = quarter_lock_sql(prev_end)
+    return F.expr(f"CASE WHEN {q(booked)} <= CAST({lock} AS TIMESTAMP_NTZ) THEN {lock} END")
+
+
+def quarter_label(c: str) -> Column:
+    m = f"month({q(c)})"
+    return F.expr(f"CASE WHEN {m} IN (1, 2, 3) THEN 'Q1-JFM' WHEN {m} IN (4, 5, 6) THEN 'Q2-AMJ' "
+                  f"WHEN {m} IN (7, 8, 9) THEN 'Q3-JAS' ELSE 'Q4-OND' END")
 
 
-def quarter_label(c: str | Column) -> Column:
-    m = F.month(col(c))
-    return (
-        F.when(m.isin(1, 2, 3), F.lit("Q1-JFM"))
-        .when(m.isin(4, 5, 6), F.lit("Q2-AMJ"))
-        .when(m.isin(7, 8, 9), F.lit("Q3-JAS"))
-        .otherwise(F.lit("Q4-OND"))
-    )
+def ts_literal(d: dt.date | dt.datetime) -> str:
+    return f"TIMESTAMP_NTZ '{_ts(d).isoformat(sep=' ')}'"
 
 
-def in_window(c: str | Column, lo: dt.date | dt.datetime, hi: dt.date | dt.datetime) -> Column:
+def in_window(c: str, lo: dt.date | dt.datetime, hi: dt.date | dt.datetime) -> Column:
     """Half-open ``lo <= c < hi`` with literal bounds (pushed down to the scan)."""
-    c = col(c)
-    return (c >= F.lit(_ts(lo))) & (c < F.lit(_ts(hi)))
+    return F.expr(f"{q(c)} >= {ts_literal(lo)} AND {q(c)} < {ts_literal(hi)}")
 
 
 def _ts(d: dt.date | dt.datetime) -> dt.datetime:

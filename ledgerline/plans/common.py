@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.dates import in_window, month_start, qtr_locking_date
-from ..functions.text import eq, like
+from ..functions.text import key_sql, like
 from ..operators.deals import special_deals
 from ..operators.joins import bounded_broadcast, expand, hot_keys, lookup_join, multiplicity
 from ..sources.catalog import Catalog
@@ -23,7 +23,8 @@ MONEY = frozenset({
 def bookings_in_period(cat: Catalog, cfg: C.ReportConfig, products, extra: Column | None = None) -> DataFrame:
     """Fact rows of the given products booked inside the period. The predicate uses
     literal bounds and an integer set, so it reaches the scan as pushed filters."""
-    cond = F.col("ProductId").isin(list(products)) & in_window("BookingDate", cfg.period.min_date, cfg.period.max_date)
+    ids = ", ".join(str(int(p)) for p in products)
+    cond = F.expr(f"ProductId IN ({ids})") & in_window("BookingDate", cfg.period.min_date, cfg.period.max_date)
     if extra is not None:
         cond = cond & extra
     return cat.table("bookings").where(cond)
@@ -41,7 +42,7 @@ def join_deal_count(df: DataFrame, cat: Catalog, cfg: C.ReportConfig, product: s
     (``_n_deal``); ``special_deal_flag`` is 1 when the lead has no deal."""
     m = multiplicity(special_deals(cat, cfg, product), "MatrixLeadId", "_n_deal")
     out = df.join(m, df["leadid"] == m["_k"], "left").drop("_k")
-    return out.withColumn("special_deal_flag", F.when(F.col("_n_deal").isNull(), F.lit(1)).otherwise(F.lit(0)))
+    return out.withColumn("special_deal_flag", F.expr("CASE WHEN _n_deal IS NULL THEN 1 ELSE 0 END"))
 
 
 def join_verification_count(df: DataFrame, cat: Catalog) -> DataFrame:
@@ -52,10 +53,10 @@ def join_verification_count(df: DataFrame, cat: Catalog) -> DataFrame:
 
 
 def compliance_flag(variant: C.Variant) -> Column:
-    cond = eq("IsComplianceN", "Yes")
+    cond = f"{key_sql('IsComplianceN')} = 'YES'"
     if variant.compliance_needs_certificate:
-        cond = eq("ComplianceCertified", "Yes") & cond
-    return F.when(cond, F.lit(1)).otherwise(F.lit(0))
+        cond = f"{key_sql('ComplianceCertified')} = 'YES' AND {cond}"
+    return F.expr(f"CASE WHEN {cond} THEN 1 ELSE 0 END")
 
 
 def expand_fanout(df: DataFrame, *counts: str) -> DataFrame:
@@ -70,23 +71,22 @@ def finish(df: DataFrame, columns, condition: Column | None) -> DataFrame:
     project the output columns, money as DOUBLE."""
     if condition is not None:
         df = df.where(condition)
-    return df.select(*[F.col(f"`{c}`").cast("double").alias(c) if c in MONEY else F.col(f"`{c}`") for c in columns])
+    # one projection expression list: a single call to build, however many columns
+    return df.selectExpr(*[f"CAST({_q(c)} AS DOUBLE) AS {_q(c)}" if c in MONEY else _q(c) for c in columns])
+
+
+def _q(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
 
 
 def credited(ins: str, *flags: str) -> Column:
     """``Ins * flag1 * flag2 ...`` in DOUBLE (flags are 0/1 so every step is exact)."""
-    out = F.col(ins).cast("double")
-    for f in flags:
-        out = out * F.col(f)
-    return out
+    return F.expr(" * ".join([f"CAST({_q(ins)} AS DOUBLE)"] + [_q(f) for f in flags]))
 
 
 def exact_credited(ins: str, *flags: str) -> Column:
     """``Ins * (flag1 * flag2 ...)`` kept in DECIMAL, for exact sums."""
-    prod = None
-    for f in flags:
-        prod = F.col(f) if prod is None else prod * F.col(f)
-    return F.col(ins) * prod
+    return F.expr(f"{_q(ins)} * ({' * '.join(_q(f) for f in flags)})")
 
 
 def summarize(df: DataFrame, product_name: str, measures: dict[str, Column]) -> DataFrame:

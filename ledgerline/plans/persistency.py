@@ -47,7 +47,7 @@ def health_persistency(cat: Catalog, cfg: C.ReportConfig, condition: Column | No
     as_of = cfg.as_of or dt.date.today()
     end = F.col("PolicyEndDate")
     due = cat.table("bookings").where(
-        in_window(end, p.min_date, p.max_date)
+        in_window("PolicyEndDate", p.min_date, p.max_date)
         & (end <= F.lit(dt.datetime.combine(as_of, dt.time())))
         & F.col("ProductId").isin(list(C.HEALTH_RENEWAL_PRODUCTS))
         & F.col("StatusId").isin(list(C.PERSISTENCY_STATUS_IDS))
@@ -59,7 +59,7 @@ def health_persistency(cat: Catalog, cfg: C.ReportConfig, condition: Column | No
     done_rows = F.coalesce(F.col("_n_ref"), F.lit(0))
     q = j.groupBy(
         key("Utm_term").alias("PartnerCode"),
-        quarter_label(end).alias("Quarter"),
+        quarter_label("PolicyEndDate").alias("Quarter"),
         F.year(end).alias("Year"),
     ).agg(F.sum(due_rows).alias("_due"), F.sum(done_rows).alias("_done"))
     # the reference joins quarters to years on (PartnerCode, Year): NULL partners drop out
