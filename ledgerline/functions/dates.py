@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import col, q
+from .text import q
 
 
 def month_start(c: str | Column) -> Column:

@@ -27,10 +27,6 @@ def s(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
-def col(c: str | Column) -> Column:
-    return F.expr(q(c)) if isinstance(c, str) else c
-
-
 def norm(value: str) -> str:
     return value.rstrip().upper()
 
@@ -64,11 +60,3 @@ def isin(c: str | Column, values: Iterable[str]) -> Column:
 
 def like(c: str | Column, pattern: str) -> Column:
     return F.expr(f"{q(c)} ILIKE {s(pattern)}") if isinstance(c, str) else c.ilike(pattern)
-
-
-def like_any(c: str | Column, patterns: Iterable[str]) -> Column:
-    out = None
-    for p in patterns:
-        t = like(c, p)
-        out = t if out is None else (out | t)
-    return out

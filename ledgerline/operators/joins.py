@@ -23,8 +23,10 @@ def multiplicity(lookup: DataFrame, key: str | Column, name: str) -> DataFrame:
     Counting is partially aggregated before the shuffle, so a key that holds a large
     share of the lookup sends one row per map task, not all its rows, to one reducer.
     """
-    k = F.col(key) if isinstance(key, str) else key
-    return lookup.where(k.isNotNull()).groupBy(k.alias("_k")).agg(F.count(F.lit(1)).alias(name))
+    if isinstance(key, str):
+        k = "`" + key.replace("`", "``") + "`"
+        return lookup.where(f"{k} IS NOT NULL").groupBy(F.expr(f"{k} AS _k")).agg(F.expr(f"count(1) AS {name}"))
+    return lookup.where(key.isNotNull()).groupBy(key.alias("_k")).agg(F.count(F.lit(1)).alias(name))
 
 
 def expand(df: DataFrame, *counts: str) -> DataFrame:
@@ -33,11 +35,8 @@ def expand(df: DataFrame, *counts: str) -> DataFrame:
     A left join to a lookup with ``n`` matches yields ``n`` copies (1 when none); with
     several lookups the copies multiply. ``counts`` are nullable count columns.
     """
-    reps = None
-    for c in counts:
-        r = F.coalesce(F.col(c), F.lit(1))
-        reps = r if reps is None else reps * r
-    return df.select("*", F.explode(F.array_repeat(F.lit(True), reps.cast("int"))).alias("_copy")).drop("_copy")
+    reps = " * ".join(f"coalesce({c}, 1)" for c in counts)
+    return df.selectExpr("*", f"explode(array_repeat(true, CAST({reps} AS INT))) AS _copy").drop("_copy")
 
 
 def hot_keys(right: DataFrame, keys: list[str], min_rows: int) -> DataFrame:

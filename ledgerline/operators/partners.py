@@ -80,8 +80,8 @@ def attach_partner(bookings: DataFrame, cat: Catalog, cfg: C.ReportConfig) -> Da
     """
     u = partner_dimension(cat, cfg)
     cols = [c for c in u.columns if c not in ("_pk", "PartnerCode")]
-    joined = bookings.join(u, key(bookings["Utm_term"]) == u["_pk"], "inner")
-    return joined.select("PartnerCode", *cols, *[bookings[c] for c in bookings.columns])
+    joined = bookings.join(u, F.expr("upper(rtrim(Utm_term)) = _pk"), "inner")
+    return joined.selectExpr(*[f"`{c}`" for c in ("PartnerCode", *cols, *bookings.columns)])
 
 
 def partner_vertical(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:

@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .. import config as C
 from ..functions.text import eq
 from ..sources.catalog import Catalog
 

@@ -9,7 +9,7 @@ from .. import config as C
 from ..functions.dates import in_window, month_start, qtr_locking_date
 from ..functions.text import key_sql, like
 from ..operators.deals import special_deals
-from ..operators.joins import bounded_broadcast, expand, hot_keys, lookup_join, multiplicity
+from ..operators.joins import expand, hot_keys, lookup_join, multiplicity
 from ..sources.catalog import Catalog
 
 # Money columns leave a report as DOUBLE: amounts are computed exactly in DECIMAL up to
@@ -41,7 +41,7 @@ def join_deal_count(df: DataFrame, cat: Catalog, cfg: C.ReportConfig, product: s
     """Left join to the special deals of ``product`` reduced to a per-lead count
     (``_n_deal``); ``special_deal_flag`` is 1 when the lead has no deal."""
     m = multiplicity(special_deals(cat, cfg, product), "MatrixLeadId", "_n_deal")
-    out = df.join(m, df["leadid"] == m["_k"], "left").drop("_k")
+    out = df.join(m, F.expr("leadid = _k"), "left").drop("_k")
     return out.withColumn("special_deal_flag", F.expr("CASE WHEN _n_deal IS NULL THEN 1 ELSE 0 END"))
 
 
@@ -49,7 +49,7 @@ def join_verification_count(df: DataFrame, cat: Catalog) -> DataFrame:
     """Left join to verified health leads reduced to a per-lead count (``_n_ver``)."""
     v = cat.table("verification").where(like("VerificationStatus", "%Verif%"))
     m = multiplicity(v, "LeadId", "_n_ver")
-    return df.join(m, df["leadid"] == m["_k"], "left").drop("_k")
+    return df.join(m, F.expr("leadid = _k"), "left").drop("_k")
 
 
 def compliance_flag(variant: C.Variant) -> Column:
@@ -92,7 +92,7 @@ def exact_credited(ins: str, *flags: str) -> Column:
 def summarize(df: DataFrame, product_name: str, measures: dict[str, Column]) -> DataFrame:
     """Partner x product x month totals. Decimal sums are exact and converted to
     DOUBLE once; DOUBLE sums are rounded to cents (their order is not fixed)."""
-    aggs = [F.sum(F.col(c)).alias(c) for c in ()]
+    aggs = []
     grouped = df.groupBy(F.col("PartnerCode"), F.lit(product_name).alias("product_name"), F.col("MON"))
     for name, expr in measures.items():
         aggs.append(F.sum(expr).alias(name))

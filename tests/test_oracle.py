@@ -1,6 +1,5 @@
 """Every registered query against its DuckDB oracle on the smallest scale factor."""
 
-import collections
 import os
 import sys
 

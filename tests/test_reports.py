@@ -9,7 +9,7 @@ from ledgerline import config as C
 from ledgerline.plans import annual, combine, persistency
 from ledgerline.operators import partners
 from ledgerline.operators.joins import expand, multiplicity
-from ledgerline.registry import FIXTURE_LISTS, fixture_config
+from ledgerline.registry import fixture_config
 from ledgerline.sources.catalog import Catalog
 
 BOOK = "leadid long, Utm_term string, PolicyEndDate timestamp_ntz, ProductId int, StatusId int"
