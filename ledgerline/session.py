@@ -45,3 +45,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def cluster_conf(total_cores: int, advisory_mb: int = 256) -> dict[str, str]:
+    """Settings for a large cluster (e.g. 1000 executors over ~100 TB).
+
+    Shuffles start with many partitions (a few per core, so no reducer holds more than
+    a few hundred MB even for the whole fact) and AQE coalesces them to
+    ``advisory_mb``-sized partitions from the real map output sizes; file splits match
+    that size; skewed join partitions (5x the median and above the advisory size) are
+    split. Automatic broadcast stays at Spark's default threshold; the report code
+    broadcasts dimensions only behind its own row bound."""
+    initial = max(200, 4 * total_cores)
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{advisory_mb}m",
+        "spark.sql.files.maxPartitionBytes": f"{advisory_mb}m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{advisory_mb}m",
+        "spark.sql.requireAllClusterKeysForCoPartition": "false",
+        "spark.sql.parquet.filterPushdown": "true",
+    }
