@@ -23,6 +23,8 @@ HEADLINE = (
     "sme_leads", "motor_leads", "health_fresh_leads", "health_renewal_leads", "life_leads",
     "motor_summary", "health_persistency", "annual_clubs", "combined_leads",
 )
+# reported beside the headline: the combined dataset reading the fact once
+EXTRA = ("combined_leads_shared_scan",)
 
 
 def main() -> None:
@@ -46,10 +48,10 @@ def main() -> None:
     times: dict[str, float] = {}
     rows: dict[str, int] = {}
     t0 = time.time()
-    for name in HEADLINE:  # warm-up, untimed
+    for name in HEADLINE + EXTRA:  # warm-up, untimed
         run(name, cat).write.format("noop").mode("overwrite").save()
     warmup = time.time() - t0
-    for name in HEADLINE:
+    for name in HEADLINE + EXTRA:
         runs = []
         for _ in range(repeat):
             t = time.time()
@@ -61,7 +63,7 @@ def main() -> None:
         rows[name] = run(name, cat).count()
     print(json.dumps({
         "metric": "headline_reports_total_median",
-        "value": round(sum(times.values()), 3),
+        "value": round(sum(times[n] for n in HEADLINE), 3),
         "unit": "sec",
         "queries": times,
         "rows": rows,

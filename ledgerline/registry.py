@@ -81,6 +81,7 @@ def specs() -> dict[str, Spec]:
         "health_persistency": Spec(persistency.health_persistency),
         "annual_clubs": Spec(lambda cat, cfg: annual.annual_clubs(cat, FIXTURE_YEAR)),
         "combined_leads": Spec(combine.combined_leads),
+        "combined_leads_shared_scan": Spec(combine.combined_leads, kwargs={"shared_scan": True}),
         # caller condition on a pre-projection column (BookingMode is not an output column)
         "condition_pushdown": Spec(
             lambda cat, cfg: health.health_fresh_leads(cat, cfg, condition=eq("BookingMode", "Online"))),

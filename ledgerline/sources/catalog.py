@@ -54,6 +54,16 @@ class Catalog:
             self._derived[key] = build()
         return self._derived[key]
 
+    def with_table(self, name: str, df: DataFrame) -> "Catalog":
+        """A catalog identical to this one except for table ``name``. Memoised derived
+        relations are shared, so ``name`` must not feed any of them (the staged bookings
+        of the combined dataset do not: derived relations are dimensions and lookups)."""
+        loaders = dict(self._loaders)
+        loaders[name] = df
+        out = Catalog(self.spark, loaders)
+        out._derived = self._derived
+        return out
+
     def __getitem__(self, name: str) -> DataFrame:
         return self.table(name)
 
