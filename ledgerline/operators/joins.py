@@ -17,6 +17,14 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
+def bounded_dimension(df: DataFrame, max_rows: int) -> DataFrame:
+    """``bounded_broadcast`` for a dimension reused by several reports: within the bound
+    it is also cached (its size is bounded, and a lost block is recomputed from
+    lineage), so reports do not re-run the dimension's own scans and joins."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df.cache()) if n <= max_rows else df
+
+
 def multiplicity(lookup: DataFrame, key: str | Column, name: str) -> DataFrame:
     """``key -> number of rows`` of a lookup used only for its existence.
 

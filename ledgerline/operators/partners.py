@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.text import eq, isin, key, like
 from ..sources.catalog import Catalog
-from .joins import bounded_broadcast
+from .joins import bounded_broadcast, bounded_dimension
 
 UNIVERSE_COLUMNS = ("PartnerCode", "SellNowEnabled", "ComplianceCertified", "Markettype")
 LEGACY_UNIVERSE_COLUMNS = ("PartnerCode", "SellNowEnabled", "ComplianceCertified")
@@ -63,7 +63,7 @@ def partner_dimension(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
         u = universe_for(cat, cfg)
         cols = [c for c in u.columns if c != "PartnerCode"]
         u = u.select(key("PartnerCode").alias("_pk"), F.upper("PartnerCode").alias("PartnerCode"), *cols)
-        return bounded_broadcast(u, cfg.max_broadcast_rows)
+        return bounded_dimension(u, cfg.max_broadcast_rows)
 
     v = cfg.variant
     return cat.derived(("partner_dimension", v.legacy_universe, cfg.lists, cfg.max_broadcast_rows), build)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.text import isin
-from ..operators.joins import bounded_broadcast
+from ..operators.joins import bounded_dimension
 from ..operators.ladders import LIFE_INSURER_CLASSES, OTHERS, classify, compile_ladder, life_rules
 from ..operators.partners import attach_partner
 from ..sources.catalog import Catalog
@@ -32,7 +32,7 @@ def life_plan_details(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
         F.col("LEADID").alias("_bp_lead"), "PlanId", "SupplierId", F.col("ProductID").alias("_bp_prod"),
         "BasicPremium", "PaymentPeriodicity", F.col("issuanceDate").cast("date").alias("issuanceDate"),
     )
-    plans = cat.derived(("life_plans", cfg.max_broadcast_rows), lambda: bounded_broadcast(
+    plans = cat.derived(("life_plans", cfg.max_broadcast_rows), lambda: bounded_dimension(
         cat.table("life_plans").select("PlanID", "ProductID", "SupplierID", "PayoutProdCat").distinct(),
         cfg.max_broadcast_rows))
     j = d.join(

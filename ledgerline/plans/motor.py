@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.text import eq, isin, like
-from ..operators.joins import bounded_broadcast
+from ..operators.joins import bounded_dimension
 from ..operators.ladders import MOTOR_INSURER_CLASSES, OTHERS, classify, compile_ladder, motor_rules
 from ..operators.partners import attach_partner
 from ..sources.catalog import Catalog
@@ -50,7 +50,7 @@ def status_classes(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
             F.max(F.when(like(name, "re%"), F.lit(1)).otherwise(F.lit(0))).alias("_cancel"),
             F.max(F.when(~like(name, "re%"), F.lit(1)).otherwise(F.lit(0))).alias("_booked"),
         )
-        return bounded_broadcast(classes, cfg.max_broadcast_rows)
+        return bounded_dimension(classes, cfg.max_broadcast_rows)
 
     return cat.derived(("status_classes", cfg.max_broadcast_rows), build)
 
