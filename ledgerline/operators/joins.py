@@ -54,7 +54,7 @@ def hot_keys(right: DataFrame, keys: list[str], min_rows: int) -> DataFrame:
 
 
 def lookup_join(left: DataFrame, right: DataFrame, left_keys: list[str], right_keys: list[str],
-                hot: DataFrame | None, how: str = "left") -> DataFrame:
+                hot: DataFrame | None, how: str = "left", max_left_hot_rows: int = 2_000_000) -> DataFrame:
     """``left`` joined to a lookup on ``left_keys = right_keys`` (left or inner), safe
     against lookup keys that hold a large share of the lookup's rows.
 
@@ -64,6 +64,8 @@ def lookup_join(left: DataFrame, right: DataFrame, left_keys: list[str], right_k
     carry a hot key against the lookup's hot rows, which stay spread over all tasks.
     A hot key has matching lookup rows by definition, so an inner join on that part
     equals the left join. Result rows and multiplicities are those of the plain join.
+    The left rows with hot keys are broadcast only if there are at most
+    ``max_left_hot_rows`` of them (checked); otherwise the plain join is used.
     """
     def cond(l, r):
         c = None
@@ -87,6 +89,8 @@ def lookup_join(left: DataFrame, right: DataFrame, left_keys: list[str], right_k
     left_cold = left.join(hot, on(left, left_keys), "left_anti")
     right_cold = right.join(hot, on(right, right_keys), "left_anti")
     left_hot = left.join(hot, on(left, left_keys), "left_semi")
+    if left_hot.limit(max_left_hot_rows + 1).count() > max_left_hot_rows:
+        return left.join(right, cond(left, right), how)
     right_hot = right.join(hot, on(right, right_keys), "left_semi")
     cold = left_cold.join(right_cold, cond(left_cold, right_cold), how)
     hot_part = right_hot.join(F.broadcast(left_hot), cond(left_hot, right_hot), "inner")

@@ -128,4 +128,4 @@ def join_lookup(df: DataFrame, cat: Catalog, cfg: C.ReportConfig, name: str, loo
 
     key = ("hot_keys", name, tuple(right_keys), cfg.hot_key_rows, cfg.max_hot_keys)
     hot = cat.derived(key, detect) if cat is not None else None
-    return lookup_join(df, lookup, left_keys, right_keys, hot, how)
+    return lookup_join(df, lookup, left_keys, right_keys, hot, how, max_left_hot_rows=cfg.max_broadcast_rows)

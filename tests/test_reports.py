@@ -192,3 +192,15 @@ def test_accrual_c_not_above_accrual(spark, small_catalog):
 
     rows = combine.combined_leads(small_catalog, fixture_config()).select("Accrual_Net", "Accrual_Net_C").collect()
     assert rows and all(r.Accrual_Net_C <= r.Accrual_Net + 1e-9 for r in rows if r.Accrual_Net is not None)
+
+
+def test_lookup_join_fallback_when_left_hot_rows_exceed_bound(spark):
+    from ledgerline.operators.joins import hot_keys, lookup_join
+
+    left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "leadid long, x string")
+    right = spark.createDataFrame([(1, i) for i in range(4)] + [(2, 9)], "_lead long, v int")
+    hot = hot_keys(right, ["_lead"], 2)
+    expected = sorted(tuple(r) for r in left.join(right, left["leadid"] == right["_lead"], "left").collect())
+    for bound in (0, 10):  # 0: two left rows carry the hot key -> plain join; 10: split
+        got = lookup_join(left, right, ["leadid"], ["_lead"], hot, "left", max_left_hot_rows=bound)
+        assert sorted(tuple(r) for r in got.collect()) == expected
