@@ -22,7 +22,8 @@ def partner_universe(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
         .select(*UNIVERSE_COLUMNS)
     listed = bounded_broadcast(
         cat.table("inclusion").select(key("PartnerCode").alias("_k")), cfg.max_broadcast_rows)
-    base_keys = base.select(key("PartnerCode").alias("_b"))
+    # one row per key (partially aggregated), so a repeated code cannot skew the anti join
+    base_keys = base.select(key("PartnerCode").alias("_b")).distinct()
     extra = (
         p.join(listed, key(p["PartnerCode"]) == listed["_k"], "left_semi")
         .join(base_keys, key(p["PartnerCode"]) == base_keys["_b"], "left_anti")
