@@ -4,6 +4,7 @@ Derives the report tables from ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1)
 and stores them as parquet (the reports' real inputs are stored tables), then times
 each headline report end to end (plan + size checks + full execution into Spark's
 no-op sink), median of ``$BENCH_REPEAT`` runs (default 3), on ``local[$BENCH_CPUS]``.
+``$BENCH_EVENT_LOG_DIR`` (optional) receives Spark's event log for stage and task times.
 One untimed warm-up run of every report comes first (JVM class loading and code
 generation caches), as is usual for steady-state timings. Prints one JSON line.
 """
@@ -36,8 +37,10 @@ def main() -> None:
     from ledgerline.sources.catalog import Catalog
     from ledgerline.sources.fixtures import write_fixture_tables
 
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus, app="ledgerline-bench",
-                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
+    if os.environ.get("BENCH_EVENT_LOG_DIR"):  # stage / task times without the web UI
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]})
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus, app="ledgerline-bench", extra=extra)
     # stored copy of the derived tables, under the session's checkpoint folder
     store = tempfile.mkdtemp(prefix="tables-", dir=_local_dir(spark.conf.get("spark.checkpoint.dir")))
     t0 = time.time()
