@@ -20,11 +20,20 @@ MONEY = frozenset({
 })
 
 
+def ints(values) -> str:
+    """SQL list of integer literals."""
+    return ", ".join(str(int(v)) for v in values)
+
+
+def flag(condition_sql: str) -> Column:
+    """0/1 flag from a SQL condition (NULL counts as 0, as in ``CASE WHEN``)."""
+    return F.expr(f"CASE WHEN {condition_sql} THEN 1 ELSE 0 END")
+
+
 def bookings_in_period(cat: Catalog, cfg: C.ReportConfig, products, extra: Column | None = None) -> DataFrame:
     """Fact rows of the given products booked inside the period. The predicate uses
     literal bounds and an integer set, so it reaches the scan as pushed filters."""
-    ids = ", ".join(str(int(p)) for p in products)
-    cond = F.expr(f"ProductId IN ({ids})") & in_window("BookingDate", cfg.period.min_date, cfg.period.max_date)
+    cond = F.expr(f"ProductId IN ({ints(products)})") & in_window("BookingDate", cfg.period.min_date, cfg.period.max_date)
     if extra is not None:
         cond = cond & extra
     return cat.table("bookings").where(cond)

@@ -8,25 +8,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.dates import add_months, month_start, renewal_locking_date
-from ..functions.text import isin
+from ..functions.dates import add_months, in_window, renewal_locking_date
+from ..functions.text import isin, isin_sql
 from ..operators.ladders import HEALTH_INSURER_CLASSES, OTHERS, classify, compile_ladder, health_fresh_rules
 from ..operators.partners import attach_partner, partner_dimension
 from ..sources.catalog import Catalog
 from .common import (bookings_in_period, compliance_flag, credited, exact_credited, expand_fanout, finish,
-                     join_deal_count, join_lookup, join_verification_count, summarize, with_month_and_lock)
+                     flag, ints, join_deal_count, join_lookup, join_verification_count, summarize,
+                     with_month_and_lock)
 
 PRODUCT = "Health"
 HEALTH_WEIGHT = 4.0
+# Products whose fresh bookings need a verification record
+VERIFIED_PRODUCTS = (190, 130, 224)
 
 
 def health_bt(variant: C.Variant) -> Column:
     """Business-type class: New / Port (/ Renewal in the summary rules); else NULL."""
-    e = F.when(isin("BusinessType", C.HEALTH_NEW_TYPES), F.lit("New")) \
-        .when(isin("BusinessType", C.HEALTH_PORT_TYPES), F.lit("Port"))
+    arms = [f"WHEN {isin_sql('BusinessType', C.HEALTH_NEW_TYPES)} THEN 'New'",
+            f"WHEN {isin_sql('BusinessType', C.HEALTH_PORT_TYPES)} THEN 'Port'"]
     if variant.health_bt_renewal_arm:
-        e = e.when(isin("BusinessType", ("Renewal",)), F.lit("Renewal"))
-    return e
+        arms.append(f"WHEN {isin_sql('BusinessType', ('Renewal',))} THEN 'Renewal'")
+    return F.expr(f"CASE {' '.join(arms)} END")
 
 
 def join_sum_insured(df: DataFrame, cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
@@ -37,43 +40,41 @@ def join_sum_insured(df: DataFrame, cat: Catalog, cfg: C.ReportConfig) -> DataFr
         .drop("_si_lead", "_si_prod")
 
 
-def _insurer_step(t: DataFrame) -> DataFrame:
-    return t.withColumn("health_insurers", classify(HEALTH_INSURER_CLASSES, OTHERS))
-
-
 # -- fresh -------------------------------------------------------------------------
 
 def health_fresh_detail(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
     v = cfg.variant
     b = bookings_in_period(
         cat, cfg, C.HEALTH_FRESH_PRODUCTS,
-        ~isin("BusinessType", ("Renewal",)) & F.col("StatusId").isin(list(C.HEALTH_FRESH_STATUS_IDS)),
-    ).select(
-        "Utm_term", "leadid", "TotalPremium", "APE", "Net Premium", "ProductId", "IsComplianceN", "Insurer Name",
+        F.expr(f"NOT ({isin_sql('BusinessType', ('Renewal',))}) AND StatusId IN ({ints(C.HEALTH_FRESH_STATUS_IDS)})"),
+    ).selectExpr(
+        "Utm_term", "leadid", "TotalPremium", "APE", "`Net Premium`", "ProductId", "IsComplianceN", "`Insurer Name`",
         "BookingMode", "BookingDate", "BusinessType", "Status", "StatusId",
-        F.col("PolicyStartDate").cast("date").alias("PolicyStartDate"),
-        F.col("ProductId").alias("Product_updated"), F.lit(PRODUCT).alias("product_name"),
-        F.lit("Health_Fresh").alias("bt"),
+        "CAST(PolicyStartDate AS DATE) AS PolicyStartDate", "ProductId AS Product_updated",
+        f"'{PRODUCT}' AS product_name", "'Health_Fresh' AS bt",
     )
     b = attach_partner(with_month_and_lock(b), cat, cfg)
     b = join_verification_count(b, cat)
     b = join_deal_count(b, cat, cfg, PRODUCT)
     t = join_sum_insured(b, cat, cfg)
-    t = t.withColumn("Health_bt", health_bt(v))
-    t = _insurer_step(t.withColumns({
-        "netpr": F.col("APE"),
-        "policy_booked_flag": F.lit(1),
-        "policy_issued_flag": F.when(F.col("StatusId").isin(list(C.HEALTH_ISSUED_STATUS_IDS)), F.lit(1)).otherwise(F.lit(0)),
-        "policy_verified_flag": F.when(F.col("_n_ver").isNotNull(), F.lit(1))
-        .when(F.col("Product_updated").isin(190, 130, 224) & isin("Health_bt", ("New", "Port")), F.lit(0))
-        .otherwise(F.lit(1)),
-    }))
-    t = t.withColumn("Accrual_Net_Pr", compile_ladder(health_fresh_rules(), "netpr"))
-    psu = F.col("health_insurers") == "PSU"
-    if v.hf_psu_keeps_product3:
-        psu = psu & (F.col("Product_updated") != 3)
     t = t.withColumns({
-        "Accrual_Net_Ins": F.when(psu, F.col("Accrual_Net_Pr") * F.lit(0)).otherwise(F.col("Accrual_Net_Pr")),
+        "Health_bt": health_bt(v),
+        "netpr": F.expr("APE"),
+        "policy_booked_flag": F.expr("1"),
+        "policy_issued_flag": flag(f"StatusId IN ({ints(C.HEALTH_ISSUED_STATUS_IDS)})"),
+        "health_insurers": classify(HEALTH_INSURER_CLASSES, OTHERS),
+    })
+    t = t.withColumns({
+        # verified row -> 1; none, for the verified products and New/Port business -> 0
+        "policy_verified_flag": F.expr(
+            f"CASE WHEN _n_ver IS NOT NULL THEN 1 "
+            f"WHEN Product_updated IN ({ints(VERIFIED_PRODUCTS)}) AND {isin_sql('Health_bt', ('New', 'Port'))} THEN 0 "
+            f"ELSE 1 END"),
+        "Accrual_Net_Pr": compile_ladder(health_fresh_rules(), "netpr"),
+    })
+    psu = "health_insurers = 'PSU'" + (" AND Product_updated <> 3" if v.hf_psu_keeps_product3 else "")
+    t = t.withColumns({
+        "Accrual_Net_Ins": F.expr(f"CASE WHEN {psu} THEN Accrual_Net_Pr * 0 ELSE Accrual_Net_Pr END"),
         "compliance_flag": compliance_flag(v),
     })
     return expand_fanout(t, "_n_ver", "_n_deal")
@@ -140,29 +141,26 @@ def renewal_window(period: C.Period) -> tuple[dt.date, dt.date]:
     return lo, hi
 
 
-def renewal_bookings(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
-    """Renewal bookings joined to the prior policy they renew.
+def renewal_bookings(cat: Catalog, cfg: C.ReportConfig) -> tuple[DataFrame, DataFrame]:
+    """The two halves of the renewal extract: renewal bookings of the partner universe
+    joined to their referral edge (``_ref_id`` = the renewed lead), and the prior
+    policies that ended inside the period (``_prev_lead``, ``_prev_end``).
 
-    booking -(leadid = LeadID)-> referral edge -(ReferralID = leadid)-> prior booking,
-    kept when the prior policy ended inside the period (and, with the early guard, the
-    renewal was booked at most three months before that end)."""
-    v, p = cfg.variant, cfg.period
+    booking -(leadid = LeadID)-> referral edge -(ReferralID = leadid)-> prior booking."""
+    p = cfg.period
     lo, hi = renewal_window(p)
     fact = cat.table("bookings")
     cur = fact.where(
-        F.col("ProductId").isin(list(C.HEALTH_RENEWAL_PRODUCTS)) & isin("BusinessType", ("Renewal",))
-        & (F.col("BookingDate") >= F.lit(dt.datetime.combine(lo, dt.time())))
-        & (F.col("BookingDate") < F.lit(dt.datetime.combine(hi, dt.time())))
-        & F.col("StatusId").isin(list(C.RENEWAL_STATUS_IDS))
+        F.expr(f"ProductId IN ({ints(C.HEALTH_RENEWAL_PRODUCTS)}) AND {isin_sql('BusinessType', ('Renewal',))} "
+               f"AND StatusId IN ({ints(C.RENEWAL_STATUS_IDS)})")
+        & in_window("BookingDate", lo, hi)
     )
     # the partner universe is a broadcast dimension: filter the renewals map-side first
     cur = attach_partner(cur, cat, cfg)
-    ref = cat.table("lead_referral").select(F.col("LeadID").alias("_ref_lead"), F.col("ReferralID").alias("_ref_id"))
-    prev = fact.where(
-        (F.col("PolicyEndDate") >= F.lit(dt.datetime.combine(p.min_date, dt.time())))
-        & (F.col("PolicyEndDate") < F.lit(dt.datetime.combine(p.max_date, dt.time())))
-    ).select(F.col("leadid").alias("_prev_lead"), F.col("PolicyEndDate").alias("_prev_end"))
-    j = cur.join(ref, cur["leadid"] == ref["_ref_lead"], "inner")
+    ref = cat.table("lead_referral").selectExpr("LeadID AS _ref_lead", "ReferralID AS _ref_id")
+    prev = fact.where(in_window("PolicyEndDate", p.min_date, p.max_date)) \
+        .selectExpr("leadid AS _prev_lead", "PolicyEndDate AS _prev_end")
+    j = cur.join(ref, F.expr("leadid = _ref_lead"), "inner")
     return j, prev
 
 
@@ -173,28 +171,26 @@ def health_renewal_detail(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
     j = join_verification_count(j, cat)
     j = join_deal_count(j, cat, cfg, PRODUCT)
     j = join_sum_insured(j, cat, cfg)
-    j = j.join(prev, j["_ref_id"] == prev["_prev_lead"], "inner")
+    j = j.join(prev, F.expr("_ref_id = _prev_lead"), "inner")
     if v.renewal_early_guard:
-        j = j.where(F.col("BookingDate") >= F.col("_prev_end") - F.expr("INTERVAL 3 MONTHS"))
-    partner_cols = [c for c in partner_dimension(cat, cfg).columns if c != "_pk"]
-    t = j.select(
-        *partner_cols, "Utm_term", "leadid", "TotalPremium", "APE", "Net Premium", "ProductId", "IsComplianceN", "Insurer Name",
-        "BookingMode", "BookingDate", "BusinessType", "Status", "StatusId", "SumInsured", "_n_ver", "_n_deal",
-        "special_deal_flag",
-        month_start("_prev_end").alias("MON"),
-        F.col("PolicyStartDate").cast("date").alias("PolicyStartDate"),
-        F.col("_prev_end").cast("date").alias("Prev_end_date"),
-        F.col("ProductId").alias("Product_updated"), F.lit(PRODUCT).alias("product_name"),
-        F.lit("Health_Renewal").alias("bt"),
-        renewal_locking_date("_prev_end", "BookingDate").alias("Qtr_Locking_Date"),
-    )
-    t = _insurer_step(t.withColumns({
-        "Health_bt": F.lit("Renewal"),
-        "netpr": F.col("APE"),
-        "policy_issued_flag": F.when(F.col("StatusId").isin(list(C.HEALTH_ISSUED_STATUS_IDS)), F.lit(1)).otherwise(F.lit(0)),
-    }))
+        # keeps the time of day: month arithmetic on the timestamp, not on a date
+        j = j.where("BookingDate >= _prev_end - INTERVAL 3 MONTHS")
+    partner_cols = [f"`{c}`" for c in partner_dimension(cat, cfg).columns if c != "_pk"]
+    t = j.selectExpr(
+        *partner_cols, "Utm_term", "leadid", "TotalPremium", "APE", "`Net Premium`", "ProductId", "IsComplianceN",
+        "`Insurer Name`", "BookingMode", "BookingDate", "BusinessType", "Status", "StatusId", "SumInsured", "_n_ver",
+        "_n_deal", "special_deal_flag", "trunc(CAST(_prev_end AS DATE), 'month') AS MON",
+        "CAST(PolicyStartDate AS DATE) AS PolicyStartDate", "CAST(_prev_end AS DATE) AS Prev_end_date",
+        "ProductId AS Product_updated", f"'{PRODUCT}' AS product_name", "'Health_Renewal' AS bt", "_prev_end",
+    ).withColumn("Qtr_Locking_Date", renewal_locking_date("_prev_end", "BookingDate")).drop("_prev_end")
+    t = t.withColumns({
+        "Health_bt": F.expr("'Renewal'"),
+        "netpr": F.expr("APE"),
+        "policy_issued_flag": flag(f"StatusId IN ({ints(C.HEALTH_ISSUED_STATUS_IDS)})"),
+        "health_insurers": classify(HEALTH_INSURER_CLASSES, OTHERS),
+    })
     t = t.withColumns({
-        "Accrual_Net_Ins": F.when(F.col("health_insurers") == "PSU", F.lit(0)).otherwise(F.col("netpr")),
+        "Accrual_Net_Ins": F.expr("CASE WHEN health_insurers = 'PSU' THEN 0 ELSE netpr END"),
         "compliance_flag": compliance_flag(v),
     })
     return expand_fanout(t, "_n_ver", "_n_deal")

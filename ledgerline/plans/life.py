@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.text import isin
+from ..functions.text import isin, isin_sql
 from ..operators.joins import bounded_dimension
 from ..operators.ladders import LIFE_INSURER_CLASSES, OTHERS, classify, compile_ladder, life_rules
 from ..operators.partners import attach_partner
 from ..sources.catalog import Catalog
 from .common import (bookings_in_period, compliance_flag, credited, exact_credited, expand_fanout, finish,
-                     join_deal_count, join_lookup, summarize, with_month_and_lock)
+                     flag, ints, join_deal_count, join_lookup, summarize, with_month_and_lock)
 
 PRODUCT = "Life"
 LIFE_WEIGHT = 1.5
@@ -27,10 +25,10 @@ def life_plan_details(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
     small dimension with few distinct keys, so it is broadcast behind the row bound."""
     d = cat.table("booking_details")
     if cfg.variant.life_details_product_filter:
-        d = d.where(F.col("ProductID").isin(list(C.LIFE_PRODUCTS)))
-    d = d.select(
-        F.col("LEADID").alias("_bp_lead"), "PlanId", "SupplierId", F.col("ProductID").alias("_bp_prod"),
-        "BasicPremium", "PaymentPeriodicity", F.col("issuanceDate").cast("date").alias("issuanceDate"),
+        d = d.where(f"ProductID IN ({ints(C.LIFE_PRODUCTS)})")
+    d = d.selectExpr(
+        "LEADID AS _bp_lead", "PlanId", "SupplierId", "ProductID AS _bp_prod",
+        "BasicPremium", "PaymentPeriodicity", "CAST(issuanceDate AS DATE) AS issuanceDate",
     )
     plans = cat.derived(("life_plans", cfg.max_broadcast_rows), lambda: bounded_dimension(
         cat.table("life_plans").select("PlanID", "ProductID", "SupplierID", "PayoutProdCat").distinct(),
@@ -39,39 +37,38 @@ def life_plan_details(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
         plans,
         (d["PlanId"] == plans["PlanID"]) & (d["_bp_prod"] == plans["ProductID"]) & (d["SupplierId"] == plans["SupplierID"]),
         "left",
-    )
+    )  # PlanId / PlanID differ only in case: qualified references keep the sides apart
     return j.select("_bp_lead", "BasicPremium", "PaymentPeriodicity", "issuanceDate", "PayoutProdCat")
 
 
 def life_detail(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
     v = cfg.variant
-    b = bookings_in_period(cat, cfg, C.LIFE_PRODUCTS, isin("Status", C.LIFE_STATUSES)).select(
-        "Utm_term", "leadid", "TotalPremium", "APE", "Net Premium", "ProductId", "IsComplianceN", "Insurer Name",
+    b = bookings_in_period(cat, cfg, C.LIFE_PRODUCTS, isin("Status", C.LIFE_STATUSES)).selectExpr(
+        "Utm_term", "leadid", "TotalPremium", "APE", "`Net Premium`", "ProductId", "IsComplianceN", "`Insurer Name`",
         "BookingMode", "BookingDate", "BusinessType", "Status", "StatusId",
-        F.col("PolicyStartDate").cast("date").alias("PolicyStartDate"),
-        F.lit(PRODUCT).alias("product_name"), F.col("ProductId").alias("Product_updated"),
+        "CAST(PolicyStartDate AS DATE) AS PolicyStartDate", f"'{PRODUCT}' AS product_name",
+        "ProductId AS Product_updated",
     )
     b = attach_partner(with_month_and_lock(b), cat, cfg)
     bp = life_plan_details(cat, cfg)
     details = f"life_details:{cfg.variant.life_details_product_filter}"
     b = join_lookup(b, cat, cfg, details, bp, ["leadid"], ["_bp_lead"]).drop("_bp_lead")
-    pt = cat.table("pay_term").select(F.col("LeadId").alias("_pt_lead"), "PayTerm")
+    pt = cat.table("pay_term").selectExpr("LeadId AS _pt_lead", "PayTerm")
     b = join_lookup(b, cat, cfg, "pay_term", pt, ["leadid"], ["_pt_lead"]).drop("_pt_lead")
     t = join_deal_count(b, cat, cfg, PRODUCT)
     t = t.withColumns({
-        "netpr": F.col("BasicPremium"),
-        "policy_issued_flag": F.when(isin("Status", C.LIFE_ISSUED_STATUSES), F.lit(1)).otherwise(F.lit(0)),
-        "policy_verified_flag": F.lit(1),
+        "netpr": F.expr("BasicPremium"),
+        "policy_issued_flag": flag(isin_sql("Status", C.LIFE_ISSUED_STATUSES)),
+        "policy_verified_flag": F.expr("1"),
         "life_insurers": classify(LIFE_INSURER_CLASSES, OTHERS),
     })
-    t = t.withColumn("Accrual_Net_Pr", compile_ladder(life_rules(), "netpr"))
-    pr = F.col("Accrual_Net_Pr")
-    cls = F.col("life_insurers")
     t = t.withColumns({
-        "Accrual_Net_Ins": F.when(cls == "PSU", F.lit(0)).when(cls == "Pvt", pr)
-        .when(cls == OTHERS, pr * F.lit(Decimal("0.75"))).otherwise(pr),
+        "Accrual_Net_Pr": compile_ladder(life_rules(), "netpr"),
         "compliance_flag": compliance_flag(v),
     })
+    t = t.withColumn("Accrual_Net_Ins", F.expr(
+        f"CASE WHEN life_insurers = 'PSU' THEN 0 WHEN life_insurers = 'Pvt' THEN Accrual_Net_Pr "
+        f"WHEN life_insurers = '{OTHERS}' THEN Accrual_Net_Pr * 0.75 ELSE Accrual_Net_Pr END"))
     return expand_fanout(t, "_n_deal")
 
 

@@ -6,34 +6,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.text import eq, isin, like
+from ..functions.text import eq, isin_sql, key_sql, like
 from ..operators.joins import bounded_dimension
 from ..operators.ladders import MOTOR_INSURER_CLASSES, OTHERS, classify, compile_ladder, motor_rules
 from ..operators.partners import attach_partner
 from ..sources.catalog import Catalog
 from .common import (bookings_in_period, compliance_flag, credited, exact_credited, expand_fanout, finish,
-                     join_deal_count, join_lookup, summarize, with_month_and_lock)
+                     flag, join_deal_count, join_lookup, summarize, with_month_and_lock)
 
 PRODUCT = "Motor"
 
 
 def motor_product(strict: bool = False) -> Column:
     """Taxi private cars (186) are credited as commercial vehicles (188)."""
-    p = F.col("ProductId")
+    sub, veh = f"{key_sql('SubProduct')} = 'TAXI'", f"{key_sql('VehicleSubClass')} = 'TAXI'"
     if strict:
-        return (
-            F.when((p == 186) & eq("SubProduct", "Taxi"), F.lit(188))
-            .when((p == 186) & F.col("SubProduct").isNull() & eq("VehicleSubClass", "Taxi"), F.lit(188))
-            .otherwise(p)
-        )
-    return F.when((p == 186) & (eq("SubProduct", "Taxi") | eq("VehicleSubClass", "Taxi")), F.lit(188)).otherwise(p)
+        return F.expr(f"CASE WHEN ProductId = 186 AND {sub} THEN 188 "
+                      f"WHEN ProductId = 186 AND SubProduct IS NULL AND {veh} THEN 188 ELSE ProductId END")
+    return F.expr(f"CASE WHEN ProductId = 186 AND ({sub} OR {veh}) THEN 188 ELSE ProductId END")
 
 
 def motor_business_type(cat: Catalog) -> DataFrame:
     """Lead -> New / Renewal (a NULL business type counts as Renewal)."""
-    return cat.table("business_type").select(
-        F.col("Leadid").alias("_bt_lead"),
-        F.when(isin("PBPBusinessType", C.MOTOR_NEW_TYPES), F.lit("New")).otherwise(F.lit("Renewal")).alias("Motor_bt"),
+    return cat.table("business_type").selectExpr(
+        "Leadid AS _bt_lead",
+        f"CASE WHEN {isin_sql('PBPBusinessType', C.MOTOR_NEW_TYPES)} THEN 'New' ELSE 'Renewal' END AS Motor_bt",
     )
 
 
@@ -60,32 +57,31 @@ def motor_detail(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
     extra = None
     if v.motor_exclude_lead_source:
         extra = key_ne("Leadsource", C.MOTOR_EXCLUDED_LEAD_SOURCE)
-    b = bookings_in_period(cat, cfg, C.MOTOR_PRODUCTS, extra).select(
-        "Utm_term", "leadid", "TotalPremium", "APE", "Net Premium", "ProductId", "IsComplianceN", "Insurer Name",
+    b = bookings_in_period(cat, cfg, C.MOTOR_PRODUCTS, extra).selectExpr(
+        "Utm_term", "leadid", "TotalPremium", "APE", "`Net Premium`", "ProductId", "IsComplianceN", "`Insurer Name`",
         "BookingMode", "BookingDate", "BusinessType", "SubProduct", "VehicleSubClass", "ODPremium", "TPPremium",
-        "ODTerm", "TPTerm", "Status", "StatusId", F.lit(PRODUCT).alias("product_name"),
-        motor_product(v.taxi_strict).alias("Product_updated"),
-    )
+        "ODTerm", "TPTerm", "Status", "StatusId", f"'{PRODUCT}' AS product_name",
+    ).withColumn("Product_updated", motor_product(v.taxi_strict))
     b = attach_partner(with_month_and_lock(b), cat, cfg)
     mb = motor_business_type(cat)
     b = join_lookup(b, cat, cfg, "business_type", mb, ["leadid"], ["_bt_lead"]).drop("_bt_lead")
     t = join_deal_count(b, cat, cfg, PRODUCT)
-    od = F.when(F.col("ODTerm") > 0, F.col("ODPremium").cast("double") / F.col("ODTerm")).otherwise(F.lit(0.0))
-    tp = F.when(F.col("TPTerm") > 0, F.col("TPPremium").cast("double") / F.col("TPTerm")).otherwise(F.lit(0.0))
-    t = t.withColumn("netpr", od + tp)
+    # premium per term year, in DOUBLE (premium cast before dividing); no term -> 0
+    t = t.withColumn("netpr", F.expr(
+        "CASE WHEN ODTerm > 0 THEN CAST(ODPremium AS DOUBLE) / ODTerm ELSE 0.0D END"
+        " + CASE WHEN TPTerm > 0 THEN CAST(TPPremium AS DOUBLE) / TPTerm ELSE 0.0D END"))
     sc = status_classes(cat, cfg)
-    t = t.join(sc, t["StatusId"] == sc["_sid"], "left")
+    t = t.join(sc, F.expr("StatusId = _sid"), "left")
     t = t.withColumns({
-        "motor_booked_flag": F.lit(1),
-        "motor_cancelled_flag": F.when(F.col("_cancel") == 1, F.lit(1)).otherwise(F.lit(0)),
-        "policy_booked_flag": F.when(F.col("_booked") == 1, F.lit(1)).otherwise(F.lit(0)),
+        "motor_booked_flag": F.expr("1"),
+        "motor_cancelled_flag": flag("_cancel = 1"),
+        "policy_booked_flag": flag("_booked = 1"),
         "motor_insurers": classify(MOTOR_INSURER_CLASSES, OTHERS),
+        "Accrual_Net_Pr": compile_ladder(motor_rules(v.tw_tp_offline_factor), "netpr"),
     }).drop("_sid", "_cancel", "_booked")
-    t = t.withColumn("Accrual_Net_Pr", compile_ladder(motor_rules(v.tw_tp_offline_factor), "netpr"))
-    ins = F.col("Accrual_Net_Pr")
     t = t.withColumns({
-        "Accrual_Net_Ins": F.when(F.col("motor_insurers") == "PSU", ins * F.lit(0.9))
-        .when(F.col("motor_insurers") == "Pvt", ins * F.lit(0.75)).otherwise(ins),
+        "Accrual_Net_Ins": F.expr("CASE WHEN motor_insurers = 'PSU' THEN Accrual_Net_Pr * 0.9D "
+                                  "WHEN motor_insurers = 'Pvt' THEN Accrual_Net_Pr * 0.75D ELSE Accrual_Net_Pr END"),
         "compliance_flag": compliance_flag(v),
     })
     return expand_fanout(t, "_n_deal")

@@ -19,17 +19,18 @@ PRODUCT = "SME"
 def sme_detail(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
     """All pre-projection columns of the SME report (one row per credited lead)."""
     v = cfg.variant
-    b = bookings_in_period(cat, cfg, C.SME_PRODUCTS, isin("Status", C.SME_STATUSES)).select(
-        "Utm_term", "leadid", "TotalPremium", "APE", "Net Premium", "ProductId", "IsComplianceN", "PlanName",
+    b = bookings_in_period(cat, cfg, C.SME_PRODUCTS, isin("Status", C.SME_STATUSES)).selectExpr(
+        "Utm_term", "leadid", "TotalPremium", "APE", "`Net Premium`", "ProductId", "IsComplianceN", "PlanName",
         "BookingMode", "BookingDate", "BusinessType", "Status", "StatusId",
-        F.col("PolicyStartDate").cast("date").alias("PolicyStartDate"),
-        F.col("ProductId").alias("Product_updated"), F.lit(PRODUCT).alias("product_name"),
+        "CAST(PolicyStartDate AS DATE) AS PolicyStartDate", "ProductId AS Product_updated",
+        f"'{PRODUCT}' AS product_name",
     )
     b = attach_partner(with_month_and_lock(b), cat, cfg)
-    t = join_deal_count(b, cat, cfg, PRODUCT)
-    t = t.withColumn("netpr", F.col("Net Premium"))
+    t = join_deal_count(b, cat, cfg, PRODUCT).withColumns({
+        "netpr": F.expr("`Net Premium`"),
+        "compliance_flag": compliance_flag(v),
+    })
     t = t.withColumn("Accrual_Net_Pr", compile_ladder(sme_rules(), "netpr"))
-    t = t.withColumn("compliance_flag", compliance_flag(v))
     return expand_fanout(t, "_n_deal")
 
 
