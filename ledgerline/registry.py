@@ -14,6 +14,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import config as C
 from .sources.catalog import Catalog
@@ -82,6 +83,12 @@ def specs() -> dict[str, Spec]:
         "annual_clubs": Spec(lambda cat, cfg: annual.annual_clubs(cat, FIXTURE_YEAR)),
         "combined_leads": Spec(combine.combined_leads),
         "combined_leads_shared_scan": Spec(combine.combined_leads, kwargs={"shared_scan": True}),
+        # one caller condition applied to every line before consolidation
+        "combined_leads_condition": Spec(
+            lambda cat, cfg: combine.combined_leads(cat, cfg, condition=eq("BookingMode", "Online"))),
+        # persistency's condition sees its output columns, the quarter rank included
+        "health_persistency_condition": Spec(
+            lambda cat, cfg: persistency.health_persistency(cat, cfg, condition=F.expr("rnk = 1"))),
         # caller condition on a pre-projection column (BookingMode is not an output column)
         "condition_pushdown": Spec(
             lambda cat, cfg: health.health_fresh_leads(cat, cfg, condition=eq("BookingMode", "Online"))),
