@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from ..functions.dates import in_window, month_start, qtr_locking_date
 from ..functions.text import key_sql, like
 from ..operators.deals import special_deals
 from ..operators.joins import expand, hot_keys, lookup_join, multiplicity
-from ..sources.catalog import Catalog
+from ..sources.catalog import PARTITION_MONTH, Catalog
 
 # Money columns leave a report as DOUBLE: amounts are computed exactly in DECIMAL up to
 # the insurer step and converted once, so both engines of a comparison agree bit for bit.
@@ -36,7 +38,16 @@ def bookings_in_period(cat: Catalog, cfg: C.ReportConfig, products, extra: Colum
     cond = F.expr(f"ProductId IN ({ints(products)})") & in_window("BookingDate", cfg.period.min_date, cfg.period.max_date)
     if extra is not None:
         cond = cond & extra
-    return cat.table("bookings").where(cond)
+    fact = cat.table("bookings")
+    return fact.where(cond & month_partitions(fact, cfg.period.min_date, cfg.period.max_date)).drop(PARTITION_MONTH) \
+        if PARTITION_MONTH in fact.columns else fact.where(cond)
+
+
+def month_partitions(fact: DataFrame, lo, hi) -> Column:
+    """Predicate on the month partition column implied by ``lo <= BookingDate < hi``
+    (months from the month of ``lo`` up to the month of the last instant before ``hi``)."""
+    first = dt.date(lo.year, lo.month, 1)
+    return F.expr(f"{PARTITION_MONTH} >= DATE '{first.isoformat()}' AND {PARTITION_MONTH} < DATE '{hi.isoformat()}'")
 
 
 def with_month_and_lock(df: DataFrame) -> DataFrame:

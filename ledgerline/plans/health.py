@@ -12,10 +12,10 @@ from ..functions.dates import add_months, in_window, renewal_locking_date
 from ..functions.text import isin, isin_sql
 from ..operators.ladders import HEALTH_INSURER_CLASSES, OTHERS, classify, compile_ladder, health_fresh_rules
 from ..operators.partners import attach_partner, partner_dimension
-from ..sources.catalog import Catalog
+from ..sources.catalog import PARTITION_MONTH, Catalog
 from .common import (bookings_in_period, compliance_flag, credited, exact_credited, expand_fanout, finish,
-                     flag, ints, join_deal_count, join_lookup, join_verification_count, summarize,
-                     with_month_and_lock)
+                     flag, ints, join_deal_count, join_lookup, join_verification_count, month_partitions,
+                     summarize, with_month_and_lock)
 
 PRODUCT = "Health"
 HEALTH_WEIGHT = 4.0
@@ -150,11 +150,12 @@ def renewal_bookings(cat: Catalog, cfg: C.ReportConfig) -> tuple[DataFrame, Data
     p = cfg.period
     lo, hi = renewal_window(p)
     fact = cat.table("bookings")
-    cur = fact.where(
-        F.expr(f"ProductId IN ({ints(C.HEALTH_RENEWAL_PRODUCTS)}) AND {isin_sql('BusinessType', ('Renewal',))} "
-               f"AND StatusId IN ({ints(C.RENEWAL_STATUS_IDS)})")
-        & in_window("BookingDate", lo, hi)
-    )
+    cond = (F.expr(f"ProductId IN ({ints(C.HEALTH_RENEWAL_PRODUCTS)}) AND {isin_sql('BusinessType', ('Renewal',))} "
+                   f"AND StatusId IN ({ints(C.RENEWAL_STATUS_IDS)})")
+            & in_window("BookingDate", lo, hi))
+    if PARTITION_MONTH in fact.columns:
+        cond = cond & month_partitions(fact, lo, hi)
+    cur = fact.where(cond)
     # the partner universe is a broadcast dimension: filter the renewals map-side first
     cur = attach_partner(cur, cat, cfg)
     ref = cat.table("lead_referral").selectExpr("LeadID AS _ref_lead", "ReferralID AS _ref_id")

@@ -14,7 +14,7 @@ import itertools
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .catalog import Catalog
+from .catalog import Catalog, write_bookings
 
 
 def case_map(expr: Column, mapping: dict, default=None) -> Column:
@@ -258,14 +258,17 @@ def fixture_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
     return FixtureTables(spark, sf_dir).catalog()
 
 
-def write_fixture_tables(spark: SparkSession, sf_dir: str, root: str) -> None:
+def write_fixture_tables(spark: SparkSession, sf_dir: str, root: str, partition_fact: bool = False) -> None:
     """Store every derived table as ``{root}/{name}`` parquet.
 
     The bookings table feeds most other tables, so it is written first and the rest is
     derived from the stored copy (one pass over lineitem/orders instead of one per
     table)."""
     ft = FixtureTables(spark, sf_dir)
-    ft.bookings().write.mode("overwrite").parquet(f"{root}/bookings")
+    if partition_fact:
+        write_bookings(ft.bookings(), f"{root}/bookings")
+    else:
+        ft.bookings().write.mode("overwrite").parquet(f"{root}/bookings")
     ft._memo["bookings"] = spark.read.parquet(f"{root}/bookings")
     cat = ft.catalog()
     for n in cat.names():
