@@ -1,4 +1,6 @@
-"""Calendar helpers: accrual month, quarter locking dates, renewal windows."""
+"""Calendar helpers: accrual month, quarter locking dates, renewal windows.
+
+Helpers take column names and build one SQL expression each (see ``functions.text``)."""
 
 from __future__ import annotations
 
@@ -32,13 +34,13 @@ def quarter_lock(c: str) -> Column:
     return F.expr(quarter_lock_sql(c))
 
 
-def qtr_locking_date(booking: str | Column) -> Column:
+def qtr_locking_date(booking: str) -> Column:
     """Lock date of a booking's quarter. Bookings with no date fall into the last arm
     in the reference (``else``), which yields NULL there as well."""
     return quarter_lock(booking)
 
 
-def renewal_locking_date(prev_end: str | Column, booked: str | Column) -> Column:
+def renewal_locking_date(prev_end: str, booked: str) -> Column:
     """Lock date of the quarter in which the prior policy ended, or NULL when the
     renewal was booked after that lock. ``booked`` keeps its time of day: a booking
     at 10:00 on the lock day is late."""
