@@ -14,7 +14,7 @@ def special_deals(cat: Catalog, cfg: C.ReportConfig, product: str | None = None)
     """Contest rows from the period start on (no upper bound), optionally only active
     ones; with ``product`` only that product's rows (compared under the collation)."""
     t = cat.table("contest")
-    cond = F.col("ContestMonth") >= F.lit(cfg.period.min_date)
+    cond = F.expr(f"ContestMonth >= DATE '{cfg.period.min_date.isoformat()}'")
     if cfg.variant.deals_active_only:
         cond = cond & (F.col("IsActive") == 1)
     if product is not None:

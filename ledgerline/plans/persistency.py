@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.dates import in_window, quarter_label
+from ..functions.dates import in_window, quarter_label, ts_literal
 from ..functions.text import key
 from ..operators.joins import multiplicity
 from ..sources.catalog import Catalog
@@ -48,7 +48,7 @@ def health_persistency(cat: Catalog, cfg: C.ReportConfig, condition: Column | No
     end = F.col("PolicyEndDate")
     due = cat.table("bookings").where(
         in_window("PolicyEndDate", p.min_date, p.max_date)
-        & (end <= F.lit(dt.datetime.combine(as_of, dt.time())))
+        & F.expr(f"PolicyEndDate <= {ts_literal(as_of)}")
         & F.col("ProductId").isin(list(C.HEALTH_RENEWAL_PRODUCTS))
         & F.col("StatusId").isin(list(C.PERSISTENCY_STATUS_IDS))
     ).select("leadid", "Utm_term", "PolicyEndDate")
