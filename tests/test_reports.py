@@ -3,6 +3,8 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from ledgerline import config as C
@@ -204,3 +206,23 @@ def test_lookup_join_fallback_when_left_hot_rows_exceed_bound(spark):
     for bound in (0, 10):  # 0: two left rows carry the hot key -> plain join; 10: split
         got = lookup_join(left, right, ["leadid"], ["_lead"], hot, "left", max_left_hot_rows=bound)
         assert sorted(tuple(r) for r in got.collect()) == expected
+
+
+@pytest.mark.parametrize("report", ["motor_leads", "health_fresh_leads", "life_leads", "health_renewal_leads"])
+def test_reports_identical_when_every_lookup_key_is_hot(spark, small_catalog, report):
+    """Force the hot-key split on every lead-keyed lookup: same rows as the plain join."""
+    import dataclasses
+
+    from ledgerline.plans import health, life, motor
+    from ledgerline.sources.fixtures import fixture_catalog
+
+    if report == "health_renewal_leads":  # no renewal rows at the smallest scale
+        small_catalog = fixture_catalog(spark, "/root/testdata/sf0.01")
+
+    fn = {"motor_leads": motor.motor_leads, "health_fresh_leads": health.health_fresh_leads,
+          "life_leads": life.life_leads, "health_renewal_leads": health.health_renewal_leads}[report]
+    cfg = fixture_config()
+    hot_cfg = dataclasses.replace(cfg, hot_key_rows=0, max_hot_keys=10**7)
+    plain = sorted(tuple(r) for r in fn(small_catalog, cfg).collect())
+    split = sorted(tuple(r) for r in fn(small_catalog, hot_cfg).collect())
+    assert plain and plain == split
