@@ -226,3 +226,20 @@ def test_reports_identical_when_every_lookup_key_is_hot(spark, small_catalog, re
     plain = sorted(tuple(r) for r in fn(small_catalog, cfg).collect())
     split = sorted(tuple(r) for r in fn(small_catalog, hot_cfg).collect())
     assert plain and plain == split
+
+
+@pytest.mark.parametrize("report", ["motor_leads", "life_leads", "sme_summary"])
+def test_reports_identical_when_dimensions_exceed_the_broadcast_bound(spark, small_catalog, report):
+    """With a row bound of 1 no dimension is broadcast (shuffle joins): same rows."""
+    import dataclasses
+
+    from ledgerline.plans import life, motor, sme
+    from ledgerline.sources.fixtures import fixture_catalog
+
+    fn, variant = {"motor_leads": (motor.motor_leads, C.CURRENT), "life_leads": (life.life_leads, C.CURRENT),
+                   "sme_summary": (sme.sme_summary, C.SUMMARY)}[report]
+    cfg = fixture_config(variant)
+    plain = sorted(tuple(r) for r in fn(small_catalog, cfg).collect())
+    fresh = fixture_catalog(spark, "/root/testdata/sf0.001")  # no memoised broadcast decisions
+    shuffled = fn(fresh, dataclasses.replace(cfg, max_broadcast_rows=1))
+    assert plain and plain == sorted(tuple(r) for r in shuffled.collect())
