@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.dates import add_months, in_window, renewal_locking_date
-from ..functions.text import isin, isin_sql
+from ..functions.text import isin_sql
 from ..operators.ladders import HEALTH_INSURER_CLASSES, OTHERS, classify, compile_ladder, health_fresh_rules
 from ..operators.partners import attach_partner, partner_dimension
 from ..sources.catalog import PARTITION_MONTH, Catalog
