@@ -243,3 +243,19 @@ def test_reports_identical_when_dimensions_exceed_the_broadcast_bound(spark, sma
     fresh = fixture_catalog(spark, "/root/testdata/sf0.001")  # no memoised broadcast decisions
     shuffled = fn(fresh, dataclasses.replace(cfg, max_broadcast_rows=1))
     assert plain and plain == sorted(tuple(r) for r in shuffled.collect())
+
+
+def test_run_reports_returns_the_six_reports_under_one_condition(spark, small_catalog):
+    from ledgerline.functions.text import eq
+    from ledgerline.plans import combine
+
+    cfg = fixture_config()
+    out = combine.run_reports(small_catalog, cfg)
+    assert list(out) == ["Motor", "Health_Fresh", "Health_Renewal", "Life", "SME", "Health_Persistency"]
+    assert "rnk" in out["Health_Persistency"].columns
+    # a lead-level condition on a pre-projection column reaches every line
+    cond = combine.line_reports(small_catalog, cfg, eq("BookingMode", "Online"))
+    for name, df in cond.items():
+        assert df.count() <= out[name].count()
+    total = sum(df.count() for df in cond.values())
+    assert combine.combined_leads(small_catalog, cfg, eq("BookingMode", "Online")).count() == total
