@@ -81,6 +81,9 @@ def specs() -> dict[str, Spec]:
         "life_plan_enrichment": Spec(parts.life_plan_enrichment),
         "health_persistency": Spec(persistency.health_persistency),
         "annual_clubs": Spec(lambda cat, cfg: annual.annual_clubs(cat, FIXTURE_YEAR)),
+        # the annual report has no placeholder: the condition wraps its output columns
+        "annual_clubs_condition": Spec(
+            lambda cat, cfg: annual.annual_clubs(cat, FIXTURE_YEAR, condition=F.expr("Crown_Count >= 1"))),
         "combined_leads": Spec(combine.combined_leads),
         "combined_leads_shared_scan": Spec(combine.combined_leads, kwargs={"shared_scan": True}),
         # one caller condition applied to every line before consolidation
