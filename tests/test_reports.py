@@ -259,3 +259,31 @@ def test_run_reports_returns_the_six_reports_under_one_condition(spark, small_ca
         assert df.count() <= out[name].count()
     total = sum(df.count() for df in cond.values())
     assert combine.combined_leads(small_catalog, cfg, eq("BookingMode", "Online")).count() == total
+
+
+def test_legacy_universe_arms(spark):
+    p = spark.createDataFrame([
+        ("IP1", "Yes", "Yes", "Region A", "Retail"),    # certified arm
+        ("IP2", "Yes", "No", "Region A", "Retail"),     # allowed market but not certified: neither arm
+        ("IP3", "Yes", "No", "Region C", "Retail"),     # other arm
+        ("IP4", "Yes", "No", "Region C", "Others"),     # other arm excludes SalesCat Others
+        ("IP5", "Yes", "Yes", "region b", "PRIME"),     # certified arm excludes prime (collation)
+        ("IP6", "No", "Yes", "Region C", "Retail"),     # no SellNow
+        ("IP7", "Yes", "Yes", None, "Retail"),          # NULL market: NOT IN drops it
+        ("XX8", "Yes", "Yes", "Region A", "Retail"),    # not an IP code
+    ], "PartnerCode string, SellNowEnabled string, ComplianceCertified string, Markettype string, SalesCat string")
+    cat = Catalog(spark, {"partners": p})
+    got = sorted(r.PartnerCode for r in partners.partner_universe_legacy(cat, fixture_config(C.LEGACY)).collect())
+    assert got == ["IP1", "IP3"]
+
+
+def test_special_deals_cutoff_and_active_filter(spark):
+    from ledgerline.operators.deals import special_deals
+
+    rows = [(1, "Motor", dt.date(1996, 12, 31), 1), (2, "motor", dt.date(1997, 1, 1), 1),
+            (3, "Motor", dt.date(1999, 5, 1), 0), (4, "Health", dt.date(1997, 6, 1), 1)]
+    cat = Catalog(spark, {"contest": spark.createDataFrame(
+        rows, "MatrixLeadId long, product string, ContestMonth date, IsActive int")})
+    active = sorted(r.MatrixLeadId for r in special_deals(cat, fixture_config(C.CURRENT), "Motor").collect())
+    every = sorted(r.MatrixLeadId for r in special_deals(cat, fixture_config(C.NO_SELL_NOW), "Motor").collect())
+    assert active == [2] and every == [2, 3]  # no upper bound on the contest month
