@@ -287,3 +287,30 @@ def test_special_deals_cutoff_and_active_filter(spark):
     active = sorted(r.MatrixLeadId for r in special_deals(cat, fixture_config(C.CURRENT), "Motor").collect())
     every = sorted(r.MatrixLeadId for r in special_deals(cat, fixture_config(C.NO_SELL_NOW), "Motor").collect())
     assert active == [2] and every == [2, 3]  # no upper bound on the contest month
+
+
+def test_taxi_remap_business_types_and_compliance(spark):
+    from ledgerline.plans import health, motor
+    from ledgerline.plans.common import compliance_flag
+
+    rows = [(186, "Taxi", "Car"), (186, None, "taxi"), (186, "Private", "Taxi"), (187, "Taxi", "Taxi"), (186, None, None)]
+    df = spark.createDataFrame(rows, "ProductId int, SubProduct string, VehicleSubClass string")
+    current = [r.p for r in df.select(motor.motor_product(False).alias("p")).collect()]
+    strict = [r.p for r in df.select(motor.motor_product(True).alias("p")).collect()]
+    assert current == [188, 188, 188, 187, 186]
+    assert strict == [188, 188, 186, 187, 186]  # strict: VehicleSubClass counts only without SubProduct
+
+    bt = spark.createDataFrame([("Fresh Booking",), ("new business ",), ("Rollover",), ("Renewal",), (None,)],
+                               "BusinessType string")
+    assert [r.b for r in bt.select(health.health_bt(C.CURRENT).alias("b")).collect()] == ["New", "New", "Port", None, None]
+    assert [r.b for r in bt.select(health.health_bt(C.SUMMARY).alias("b")).collect()][3] == "Renewal"
+
+    mt = spark.createDataFrame([(1, "New"), (2, "rollover"), (3, "Renewal"), (4, None)], "Leadid long, PBPBusinessType string")
+    cat = Catalog(spark, {"business_type": mt})
+    assert [r.Motor_bt for r in motor.motor_business_type(cat).orderBy("_bt_lead").collect()] == \
+        ["New", "New", "Renewal", "Renewal"]
+
+    cf = spark.createDataFrame([("Yes", "Yes"), ("yes ", "No"), ("No", "Yes"), (None, "Yes")],
+                               "IsComplianceN string, ComplianceCertified string")
+    assert [r.c for r in cf.select(compliance_flag(C.CURRENT).alias("c")).collect()] == [1, 1, 0, 0]
+    assert [r.c for r in cf.select(compliance_flag(C.LEGACY).alias("c")).collect()] == [1, 0, 0, 0]
