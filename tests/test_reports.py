@@ -314,3 +314,17 @@ def test_taxi_remap_business_types_and_compliance(spark):
                                "IsComplianceN string, ComplianceCertified string")
     assert [r.c for r in cf.select(compliance_flag(C.CURRENT).alias("c")).collect()] == [1, 1, 0, 0]
     assert [r.c for r in cf.select(compliance_flag(C.LEGACY).alias("c")).collect()] == [1, 0, 0, 0]
+
+
+def test_status_existence_flags(spark):
+    from ledgerline.plans import parts
+
+    status = spark.createDataFrame([(50, "Refunded"), (50, "Booked"), (51, "REJECTED"), (60, None), (13, "Booked")],
+                                   "StatusId int, StatusName string")
+    bookings = spark.createDataFrame([(1, 50, "x", 186), (2, 51, "x", 187), (3, 60, "x", 188), (4, 13, "x", 186),
+                                      (5, 70, "x", 186), (6, 13, "x", 7)],
+                                     "leadid long, StatusId int, Status string, ProductId int")
+    cat = Catalog(spark, {"status": status, "bookings": bookings})
+    got = {r.leadid: (r.motor_cancelled_flag, r.policy_booked_flag)
+           for r in parts.motor_status_flags(cat, fixture_config()).collect()}
+    assert got == {1: (1, 1), 2: (1, 0), 3: (0, 0), 4: (0, 1), 5: (0, 0)}  # lead 6 is not motor
