@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import wider
+from .common import map_arrow, wider
 
 LEAF = 12            # bytes that are merged directly
 CACHED = 400_000     # distinct matches remembered per worker
@@ -196,7 +196,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: st
                 yield pa.RecordBatch.from_arrays([*[part[c] for c in keep], lists], names=[*keep, ids])
 
     rows = docs.select(*keep, F.col(text).alias("_text"))
-    return rows.mapInArrow(run, wider(rows.drop("_text"), f"{ids} array<int>"))
+    return map_arrow(rows, run, wider(rows.drop("_text"), f"{ids} array<int>"))
 
 
 def decode(rows: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -216,5 +216,5 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -
                 got = [bpe.decode(flat[s:e].tolist()) for s, e in zip([0, *ends], ends)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(got, pa.binary())], names=[*part.schema.names, out])
 
-    return rows.mapInArrow(run, wider(rows, f"{out} binary"))
+    return map_arrow(rows, run, wider(rows, f"{out} binary"))
 

@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import wider
+from .common import map_arrow, wider
 from .hashing import mix, text_buffers, word_hashes
 
 U = np.uint64
@@ -79,7 +79,7 @@ def count(docs: DataFrame, target: DataFrame, how: Bigrams = Bigrams()) -> DataF
     # the sample is bounded by `max_target_rows`, so it may be broadcast
     rows = docs.select("doc_id", "text").join(F.broadcast(ids), F.expr("doc_id = _id"), "left")
     rows = rows.select("text", F.expr("_id IS NOT NULL AS good"))
-    counted = rows.mapInArrow(lambda it: _count(it, how), "bucket int, n long, n_target long")
+    counted = map_arrow(rows, lambda it: _count(it, how), "bucket int, n long, n_target long")
     return counted.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
 
 
@@ -125,7 +125,7 @@ def score(docs: DataFrame, table: np.ndarray, how: Bigrams = Bigrams()) -> DataF
                 names=["doc_id", "n_tokens", "ce_target", "ce_background", "score"])
 
     rows = docs.select("doc_id", F.col("text").alias("_text"))
-    return rows.mapInArrow(run, wider(rows.drop("_text"), "n_tokens long, ce_target double, ce_background double, score double"))
+    return map_arrow(rows, run, wider(rows.drop("_text"), "n_tokens long, ce_target double, ce_background double, score double"))
 
 
 def cross_entropy_difference(docs: DataFrame, target: DataFrame, how: Bigrams = Bigrams()) -> DataFrame:

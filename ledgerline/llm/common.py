@@ -32,6 +32,19 @@ def stage_table(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of an Arrow batch sent to a Python worker: texts may be long, so batches are short.
+BATCH_ROWS = 1000
+
+
+def map_arrow(rows: DataFrame, fn, schema) -> DataFrame:
+    """``rows.mapInArrow`` with short batches (the session setting is lowered, never raised)."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(rows.sparkSession.conf.get(name))
+    if now <= 0 or now > BATCH_ROWS:
+        rows.sparkSession.conf.set(name, BATCH_ROWS)
+    return rows.mapInArrow(fn, schema)
+
+
 def words_sql(col: str = "text") -> str:
     """SQL expression: the array of words of a text (null text: empty array)."""
     pattern = f"[{SPACE}]+".replace("\\", "\\\\")

@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import wider
+from .common import map_arrow, wider
 from .hashing import mix
 
 LETTER = re.compile(r"[^\W\d_]")
@@ -90,7 +90,7 @@ def train(rows: DataFrame, how: NaiveBayes = NaiveBayes()) -> Model:
     if n > how.max_train_rows:
         share = int(how.max_train_rows / n * (1 << 30))
         rows = rows.where(F.expr(f"pmod(xxhash64(doc_id, {how.seed}), {1 << 30}) < {share}"))
-    counted = rows.select("text", "lang").mapInArrow(lambda it: _count(it, how), "lang string, bucket int, n long")
+    counted = map_arrow(rows.select("text", "lang"), lambda it: _count(it, how), "lang string, bucket int, n long")
     counted = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     got = counted.toArrow()
     langs = sorted(set(got["lang"].to_pylist()), key=lambda s: s.encode())
@@ -132,7 +132,7 @@ def predict(docs: DataFrame, model: Model, how: NaiveBayes = NaiveBayes(), keep:
                 names=[*keep, "lang_pred", "score"])
 
     rows = docs.select(*keep, F.col("text").alias("_text"))
-    return rows.mapInArrow(run, wider(rows.drop("_text"), "lang_pred string, score double"))
+    return map_arrow(rows, run, wider(rows.drop("_text"), "lang_pred string, score double"))
 
 
 def held_out() -> Column:

@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import salted_join, stage_table
+from .common import map_arrow, salted_join, stage_table
 from .components import connected_components
 from .hashing import mix, text_buffers, word_hashes
 
@@ -107,7 +107,7 @@ def sketches(docs: DataFrame, how: Forest) -> DataFrame:
                 names=["id", "n", "set_id", "labels", "sketch"])
 
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), F.col("text").alias("_text"))
-    return rows.mapInArrow(run, "id long, n long, set_id binary, labels binary, sketch binary")
+    return map_arrow(rows, run, "id long, n long, set_id binary, labels binary, sketch binary")
 
 
 def _scan(batches, look: int, how: Forest, ends: bool):
@@ -169,10 +169,10 @@ _SCANNED = "a long, b long, t int, label binary, component long, n long, sketch
 def _neighbours(rows: DataFrame, look: int, how: Forest) -> DataFrame:
     """Candidate pairs ``a, b`` of ``t, label, node, component, n, sketch`` rows."""
     ordered = rows.repartitionByRange("t", "label", "node").sortWithinPartitions("t", "label", "node")
-    got = stage_table(ordered.mapInArrow(lambda it: _scan(it, look, how, True), _SCANNED), "candidates")
+    got = stage_table(map_arrow(ordered, lambda it: _scan(it, look, how, True), _SCANNED), "candidates")
     ends = got.where("b IS NULL").withColumnRenamed("a", "node").drop("b")
     ends = ends.repartition("t", F.expr(f"substring(label, 1, {2 * PREFIX})")).sortWithinPartitions("t", "label", "node")
-    more = ends.mapInArrow(lambda it: _scan(it, look, how, False), _SCANNED)
+    more = map_arrow(ends, lambda it: _scan(it, look, how, False), _SCANNED)
     return got.where("b IS NOT NULL").unionByName(more).select("a", "b").distinct()
 
 
@@ -215,7 +215,7 @@ def link(docs: DataFrame, how: Forest = Forest()) -> DataFrame:
                 flat = np.concatenate([np.zeros(0, np.uint64), *got]).view(np.int64)
                 yield pa.RecordBatch.from_arrays([part["node"], pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["node", "s"])
 
-    sets = stage_table(texts.mapInArrow(make, "node long, s array<long>"), "sets")
+    sets = stage_table(map_arrow(texts, make, "node long, s array<long>"), "sets")
     known = None
     for first, last, look in how.rounds:
         now = crowd.withColumn("component", F.col("node"))

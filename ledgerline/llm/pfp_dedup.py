@@ -34,7 +34,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage_table
+from .common import map_arrow, stage_table
 from .hashing import SpanHash, text_buffers
 
 U = np.uint64
@@ -158,7 +158,7 @@ def repeated_spans(docs: DataFrame, how: Repeats = Repeats()) -> DataFrame:
     """``doc_id`` (null as ``NULL_ID``), ``mark, spans``: per text with repeats, the (first
     start, last start) ranges of its repeated strings. ``mark`` (a hash of the text) tells rows of one id apart."""
     keyed = _keyed(docs)
-    rows = stage_table(keyed.mapInArrow(lambda it: _parse(it, how), _PIECES), "pieces")
+    rows = stage_table(map_arrow(keyed, lambda it: _parse(it, how), _PIECES), "pieces")
     whole, open_ = _repeated(rows)
     found = [whole]
     # the strings of the open entries, read once from their texts
@@ -183,9 +183,9 @@ def repeated_spans(docs: DataFrame, how: Repeats = Repeats()) -> DataFrame:
 
     joined = keyed.join(wanted, F.expr("doc_id = _d AND mark = _m")).select("doc_id", "mark", "_text", "want")
     kind = "doc_id long, mark int, p long, lo int, hi int, m long, ctx binary"
-    strings = stage_table(joined.mapInArrow(fetch, kind).dropDuplicates(["doc_id", "mark", "p", "lo"]), "strings")
+    strings = stage_table(map_arrow(joined, fetch, kind).dropDuplicates(["doc_id", "mark", "p", "lo"]), "strings")
     for i, step in enumerate(how.steps[1:]):
-        rows = stage_table(strings.mapInArrow(lambda it, step=step: _cut(it, step, how), _PIECES), "pieces")
+        rows = stage_table(map_arrow(strings, lambda it, step=step: _cut(it, step, how), _PIECES), "pieces")
         whole, open_ = _repeated(rows)
         found.append(whole)
         if step > 1:
@@ -237,5 +237,5 @@ def remove_repeats(docs: DataFrame, how: Repeats = Repeats()) -> DataFrame:
                 names=["doc_id", "n_bytes", "kept", "removed"])
 
     rows = _keyed(docs).join(spans, F.expr("doc_id = _d AND mark = _m"), "left").select("doc_id", "_text", "spans")
-    out = rows.mapInArrow(cut, "doc_id long, n_bytes long, kept binary, removed array<struct<start:long,end:long>>")
+    out = map_arrow(rows, cut, "doc_id long, n_bytes long, kept binary, removed array<struct<start:long,end:long>>")
     return out.withColumn("doc_id", F.when(F.col("doc_id") != F.lit(NULL_ID), F.col("doc_id")))

@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import wider
+from .common import map_arrow, wider
 from .hashing import LOWER, text_buffers
 
 # The base patterns.
@@ -204,7 +204,7 @@ def _cells(batches, how: Battery):
 
 def thresholds(docs: DataFrame, how: Battery = Battery()) -> dict[int, int]:
     """Per length class, the least probability bin that false-discovery control accepts."""
-    cells = docs.select("text").mapInArrow(lambda it: _cells(it, how), "class int, bin int, n long")
+    cells = map_arrow(docs.select("text"), lambda it: _cells(it, how), "class int, bin int, n long")
     rows = cells.groupBy("class", "bin").agg(F.sum("n").alias("n")).collect()  # a fixed number of cells
     out = {}
     for c in {r["class"] for r in rows}:
@@ -242,7 +242,7 @@ def scan(docs: DataFrame, how: Battery = Battery(), least: dict[int, int] | None
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(out, pa.list_(span))], names=["doc_id", "spans"])
 
     rows = docs.select("doc_id", F.col("text").alias("_text"))
-    return rows.mapInArrow(run, wider(rows.drop("_text"), "spans array<struct<start:int,kind:string,end:int>>"))
+    return map_arrow(rows, run, wider(rows.drop("_text"), "spans array<struct<start:int,kind:string,end:int>>"))
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]", how: Battery = Battery()) -> DataFrame:
@@ -272,4 +272,4 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", how: Battery = Battery()) ->
                 batch = batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(texts, col.type))
             yield batch
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_arrow(docs, run, docs.schema)
