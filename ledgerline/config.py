@@ -150,12 +150,6 @@ class ReportConfig:
     lists: PartnerLists = field(default_factory=PartnerLists)
     # renewal / persistency "today" (the reference reads the clock)
     as_of: dt.date | None = None
-    # dimension sides are broadcast only when they have at most this many rows
-    max_broadcast_rows: int = 2_000_000
-    # a lookup key with more rows than this is "hot" and joined by broadcasting the
-    # left rows that carry it (at most rows / hot_key_rows such keys exist)
-    hot_key_rows: int = 1_000_000
-    max_hot_keys: int = 100_000
 
     def with_variant(self, variant: Variant) -> "ReportConfig":
         return replace(self, variant=variant)

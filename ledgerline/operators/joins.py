@@ -1,28 +1,14 @@
-"""Join helpers with explicit size checks and skew-safe lookups."""
+"""Join helpers: counted lookups, spread dimensions, and row copies."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it provably has at most ``max_rows`` rows.
-
-    The bound is checked with ``limit(max_rows + 1).count()``, which stops reading as
-    soon as the bound is exceeded. Above the bound the frame is returned unhinted and
-    the join falls back to a shuffle join (AQE still splits skewed partitions).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def bounded_dimension(df: DataFrame, max_rows: int) -> DataFrame:
-    """``bounded_broadcast`` for a dimension reused by several reports: within the bound
-    it is also cached (its size is bounded, and a lost block is recomputed from
-    lineage), so reports do not re-run the dimension's own scans and joins."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df.cache()) if n <= max_rows else df
+# A partition key of few distinct values is spread over this many reducers.
+SALTS = 8
+# Copies of one row that are made from one array.
+CHUNK = 10_000
 
 
 def multiplicity(lookup: DataFrame, key: str | Column, name: str) -> DataFrame:
@@ -37,61 +23,42 @@ def multiplicity(lookup: DataFrame, key: str | Column, name: str) -> DataFrame:
     return lookup.where(key.isNotNull()).groupBy(key.alias("_k")).agg(F.count(F.lit(1)).alias(name))
 
 
-def expand(df: DataFrame, *counts: str) -> DataFrame:
-    """Re-create the row multiplication of left joins whose matches were counted.
+def counted_lookup(df: DataFrame, lookup: DataFrame, left_keys: list[str], right_keys: list[str], name: str) -> DataFrame:
+    """Left join to a value lookup reduced to distinct (keys, values) with a count.
+
+    The lookup's columns besides ``right_keys`` are its values; ``name`` is the count of
+    equal lookup rows (null without a match). Whatever share of the lookup one key
+    holds, it reaches the join as its distinct values only, combined map-side."""
+    some = " AND ".join(f"{k} IS NOT NULL" for k in right_keys)
+    one = lookup.where(some).groupBy(*lookup.columns).agg(F.count(F.lit(1)).alias(name))
+    on = " AND ".join(f"{a} = {b}" for a, b in zip(left_keys, right_keys))
+    return df.join(one, F.expr(on), "left").drop(*right_keys)
+
+
+def spread(dimension: DataFrame) -> DataFrame:
+    """A dimension repeated once per salt value (``_dsalt``), for a join that also
+    matches ``salt_sql`` of the large side: rows of one dimension key then meet in
+    several tasks, whichever join Spark picks from the sizes."""
+    return dimension.withColumn("_dsalt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
-    A left join to a lookup with ``n`` matches yields ``n`` copies (1 when none); with
-    several lookups the copies multiply. ``counts`` are nullable count columns.
-    """
-    reps = " * ".join(f"coalesce({c}, 1)" for c in counts)
-    return df.selectExpr("*", f"explode(array_repeat(true, CAST({reps} AS INT))) AS _copy").drop("_copy")
 
+def salt_sql(column: str) -> str:
+    return f"pmod(xxhash64({column}), {SALTS}) = _dsalt"
 
-def hot_keys(right: DataFrame, keys: list[str], min_rows: int) -> DataFrame:
-    """Keys of ``right`` with more than ``min_rows`` rows. There are at most
-    ``rows(right) / min_rows`` of them; counting is partially aggregated."""
-    return right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > min_rows).select(*keys)
 
+def copies_sql(*counts: str) -> str:
+    """BIGINT: rows that left joins with these (nullable) match counts produce."""
+    return " * ".join(f"coalesce(CAST({c} AS BIGINT), 1L)" for c in counts) or "1L"
 
-def lookup_join(left: DataFrame, right: DataFrame, left_keys: list[str], right_keys: list[str],
-                hot: DataFrame | None, how: str = "left", max_left_hot_rows: int = 2_000_000) -> DataFrame:
-    """``left`` joined to a lookup on ``left_keys = right_keys`` (left or inner), safe
-    against lookup keys that hold a large share of the lookup's rows.
 
-    ``hot`` (small, see ``hot_keys``; ``None`` or empty when there is none) splits the
-    work: rows of ordinary keys join as usual (a shuffle join that keeps the left side's
-    partitioning); rows of hot keys are joined by broadcasting the few left rows that
-    carry a hot key against the lookup's hot rows, which stay spread over all tasks.
-    A hot key has matching lookup rows by definition, so an inner join on that part
-    equals the left join. Result rows and multiplicities are those of the plain join.
-    The left rows with hot keys are broadcast only if there are at most
-    ``max_left_hot_rows`` of them (checked); otherwise the plain join is used.
+def expand(df: DataFrame, *counts: str) -> DataFrame:
+    """Re-create the row multiplication of left joins whose matches were counted.
+
+    A left join to a lookup with ``n`` matches yields ``n`` copies (1 when none); with
+    several lookups the copies multiply. Copies are made in chunks: first one row per
+    ``CHUNK`` copies, then the copies of each chunk, so no array grows with the count.
     """
-    def cond(l, r):
-        c = None
-        for a, b in zip(left_keys, right_keys):
-            t = l[a] == r[b]
-            c = t if c is None else c & t
-        return c
-
-    if hot is None:
-        return left.join(right, cond(left, right), how)
-    hk = [f"_hot{i}" for i in range(len(right_keys))]
-    hot = F.broadcast(hot.select(*[F.col(k).alias(h) for k, h in zip(right_keys, hk)]))
-
-    def on(df, keys):
-        c = None
-        for k, h in zip(keys, hk):
-            t = df[k] == hot[h]
-            c = t if c is None else c & t
-        return c
-
-    left_cold = left.join(hot, on(left, left_keys), "left_anti")
-    right_cold = right.join(hot, on(right, right_keys), "left_anti")
-    left_hot = left.join(hot, on(left, left_keys), "left_semi")
-    if left_hot.limit(max_left_hot_rows + 1).count() > max_left_hot_rows:
-        return left.join(right, cond(left, right), how)
-    right_hot = right.join(hot, on(right, right_keys), "left_semi")
-    cold = left_cold.join(right_cold, cond(left_cold, right_cold), how)
-    hot_part = right_hot.join(F.broadcast(left_hot), cond(left_hot, right_hot), "inner")
-    return cold.unionByName(hot_part.select(*cold.columns))
+    n = copies_sql(*counts)
+    chunks = df.selectExpr("*", f"{n} AS _copies", f"explode(sequence(0L, ({n} - 1L) div {CHUNK})) AS _chunk")
+    return chunks.selectExpr("*", f"explode(sequence(1L, least({CHUNK}L, _copies - _chunk * {CHUNK}))) AS _copy") \
+        .drop("_copies", "_chunk", "_copy")

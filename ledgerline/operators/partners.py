@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.text import eq, isin, key, like
 from ..sources.catalog import Catalog
-from .joins import bounded_broadcast, bounded_dimension
+from .joins import salt_sql, spread
 
 UNIVERSE_COLUMNS = ("PartnerCode", "SellNowEnabled", "ComplianceCertified", "Markettype")
 LEGACY_UNIVERSE_COLUMNS = ("PartnerCode", "SellNowEnabled", "ComplianceCertified")
@@ -20,8 +20,7 @@ def partner_universe(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
     p = cat.table("partners")
     base = p.where(like("PartnerCode", C.PARTNER_CODE_PREFIX) & ~isin("Markettype", C.CURRENT_EXCLUDED_MARKETS)) \
         .select(*UNIVERSE_COLUMNS)
-    listed = bounded_broadcast(
-        cat.table("inclusion").select(key("PartnerCode").alias("_k")), cfg.max_broadcast_rows)
+    listed = cat.table("inclusion").select(key("PartnerCode").alias("_k")).distinct()
     # one row per key (partially aggregated), so a repeated code cannot skew the anti join
     base_keys = base.select(key("PartnerCode").alias("_b")).distinct()
     extra = (
@@ -57,17 +56,10 @@ def universe_for(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
 
 def partner_dimension(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
     """The universe keyed for the booking join: ``_pk`` (collation key),
-    ``upper(PartnerCode)`` and the partner columns; broadcast when within the row
-    bound. Memoised per catalog and universe configuration."""
-
-    def build():
-        u = universe_for(cat, cfg)
-        cols = [c for c in u.columns if c != "PartnerCode"]
-        u = u.select(key("PartnerCode").alias("_pk"), F.upper("PartnerCode").alias("PartnerCode"), *cols)
-        return bounded_dimension(u, cfg.max_broadcast_rows)
-
-    v = cfg.variant
-    return cat.derived(("partner_dimension", v.legacy_universe, cfg.lists, cfg.max_broadcast_rows), build)
+    ``upper(PartnerCode)`` and the partner columns."""
+    u = universe_for(cat, cfg)
+    cols = [c for c in u.columns if c != "PartnerCode"]
+    return u.select(key("PartnerCode").alias("_pk"), F.upper("PartnerCode").alias("PartnerCode"), *cols)
 
 
 def attach_partner(bookings: DataFrame, cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
@@ -75,18 +67,19 @@ def attach_partner(bookings: DataFrame, cat: Catalog, cfg: C.ReportConfig) -> Da
     under the collation. Output starts with ``upper(PartnerCode)`` and the partner
     columns, followed by every booking column.
 
-    The universe is a dimension: it is broadcast when its row count is within the
-    configured bound, so a partner owning a large share of bookings costs nothing
-    extra; above the bound the join is a shuffle join and AQE splits the hot key.
+    The universe is repeated per salt value and bookings are salted by lead id, so a
+    partner owning a large share of bookings is spread over several tasks; whether the
+    universe is broadcast is Spark's decision, by bytes.
     """
     u = partner_dimension(cat, cfg)
     cols = [c for c in u.columns if c not in ("_pk", "PartnerCode")]
-    joined = bookings.join(u, F.expr("upper(rtrim(Utm_term)) = _pk"), "inner")
+    joined = bookings.join(spread(u), F.expr(f"upper(rtrim(Utm_term)) = _pk AND {salt_sql('leadid')}"), "inner")
     return joined.selectExpr(*[f"`{c}`" for c in ("PartnerCode", *cols, *bookings.columns)])
 
 
-def partner_vertical(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
-    """Vertical (Motor / Health / Life / sales category) of every IP partner."""
+def partner_vertical(cat: Catalog, cfg: C.ReportConfig, condition: Column | None = None) -> DataFrame:
+    """Vertical (Motor / Health / Life / sales category) of every IP partner; the
+    condition sees the output columns."""
     d = cat.table("partner_directory")
     lists = cfg.lists
     vertical = (
@@ -96,7 +89,8 @@ def partner_vertical(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
         .when(eq("SalesCat", "VRM") & isin("NH_NAME", lists.vertical_life_teams), F.lit("Life"))
         .otherwise(F.col("SalesCat"))
     )
-    return d.where(like("PartnerCode", C.PARTNER_CODE_PREFIX)).select(
+    out = d.where(like("PartnerCode", C.PARTNER_CODE_PREFIX)).select(
         "PartnerCode", "PartnerName", "RMCode", "RMName", "MarketType", "PartnerPhoneNumber",
         "PartnerEmailId", "ComplianceCertified", "SellNowEnabled", vertical.alias("Vertical"),
     )
+    return out.where(condition) if condition is not None else out

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import eq
+from ..functions.text import eq, key
 from ..sources.catalog import Catalog
 
 # Club thresholds on total weighted net premium (with the crown count
@@ -36,12 +36,13 @@ def annual_clubs(cat: Catalog, year: int, condition: Column | None = None) -> Da
     crown = None
     for label, tag in QUARTER_PREFIX.items():
         in_q = eq("Quarter", label)
-        aggs.append(F.max(F.when(in_q, F.col("Tier"))).alias(f"{tag}_Club"))
+        # the greatest tier under the collation; of its spellings the greatest
+        aggs.append(F.max(F.when(in_q, F.struct(key("Tier"), F.col("Tier"))))["Tier"].alias(f"{tag}_Club"))
         aggs.append(F.sum(F.when(in_q, F.col("WeightedNet")).otherwise(F.lit(0))).alias(f"{tag}_NWP"))
         c = F.when(in_q & eq("Tier", CROWN), F.lit(1)).otherwise(F.lit(0))
         crown = c if crown is None else crown + c
     aggs.append(F.sum(crown).alias("Crown_Count"))
-    g = t.groupBy("PartnerCode").agg(*aggs)
+    g = t.groupBy(key("PartnerCode").alias("PartnerCode")).agg(*aggs)
     total = F.col("JFM_NWP") + F.col("AMJ_NWP") + F.col("JAS_NWP") + F.col("OND_NWP")
     g = g.withColumn("Total_NWP", total)
     nwp = F.col("Total_NWP")

@@ -110,3 +110,13 @@ def run_reports(cat: Catalog, cfg: C.ReportConfig, condition: Column | None = No
     out = line_reports(cat, cfg, condition)
     out["Health_Persistency"] = persistency.health_persistency(cat, cfg, condition)
     return out
+
+
+def report_totals(cat: Catalog, cfg: C.ReportConfig, condition: Column | None = None) -> DataFrame:
+    """One row per report of ``run_reports``: its name and number of rows."""
+    parts = [df.select(F.lit(name).alias("report")).groupBy("report").agg(F.count(F.lit(1)).alias("n_rows"))
+             for name, df in run_reports(cat, cfg, condition).items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.dates import in_window, month_start, qtr_locking_date
-from ..functions.text import key_sql, like
+from ..functions.text import key, key_sql, like
 from ..operators.deals import special_deals
-from ..operators.joins import expand, hot_keys, lookup_join, multiplicity
+from ..operators.joins import copies_sql, counted_lookup, expand, multiplicity
 from ..sources.catalog import PARTITION_MONTH, Catalog
 
 # Money columns leave a report as DOUBLE: amounts are computed exactly in DECIMAL up to
@@ -22,6 +22,10 @@ MONEY = frozenset({
 })
 
 
+# Summary measures that are counts of rows.
+COUNTS = frozenset({"motor_booked", "motor_cancelled"})
+
+
 def ints(values) -> str:
     """SQL list of integer literals."""
     return ", ".join(str(int(v)) for v in values)
@@ -59,17 +63,18 @@ def with_month_and_lock(df: DataFrame) -> DataFrame:
 
 def join_deal_count(df: DataFrame, cat: Catalog, cfg: C.ReportConfig, product: str) -> DataFrame:
     """Left join to the special deals of ``product`` reduced to a per-lead count
-    (``_n_deal``); ``special_deal_flag`` is 1 when the lead has no deal."""
+    (``_n_deal``); ``special_deal_flag`` is 1 when the lead has no deal, and
+    ``MatrixLeadId`` (for conditions) is the deal's lead."""
     m = multiplicity(special_deals(cat, cfg, product), "MatrixLeadId", "_n_deal")
-    out = df.join(m, F.expr("leadid = _k"), "left").drop("_k")
+    out = df.join(m, F.expr("leadid = _k"), "left").withColumnRenamed("_k", "MatrixLeadId")
     return out.withColumn("special_deal_flag", F.expr("CASE WHEN _n_deal IS NULL THEN 1 ELSE 0 END"))
 
 
 def join_verification_count(df: DataFrame, cat: Catalog) -> DataFrame:
-    """Left join to verified health leads reduced to a per-lead count (``_n_ver``)."""
+    """Left join to verified health leads: ``VerificationStatus`` (for conditions) and the
+    number of rows per lead and status (``_n_ver``)."""
     v = cat.table("verification").where(like("VerificationStatus", "%Verif%"))
-    m = multiplicity(v, "LeadId", "_n_ver")
-    return df.join(m, F.expr("leadid = _k"), "left").drop("_k")
+    return counted_lookup(df, v.selectExpr("LeadId AS _ver_lead", "VerificationStatus"), ["leadid"], ["_ver_lead"], "_n_ver")
 
 
 def compliance_flag(variant: C.Variant) -> Column:
@@ -79,18 +84,19 @@ def compliance_flag(variant: C.Variant) -> Column:
     return F.expr(f"CASE WHEN {cond} THEN 1 ELSE 0 END")
 
 
-def expand_fanout(df: DataFrame, *counts: str) -> DataFrame:
-    """Restore the row copies that duplicate lookup rows produce in the reference
-    (each count ``n`` -> ``n`` copies), then drop the count columns."""
-    return expand(df, *counts).drop(*counts)
+def with_copies(df: DataFrame, *counts: str) -> DataFrame:
+    """Replace match counts by ``_copies``: how many rows this row stands for when
+    lookups hold duplicates. Lead reports expand it, summaries weight by it."""
+    return df.withColumn("_copies", F.expr(copies_sql(*counts))).drop(*counts)
 
 
 def finish(df: DataFrame, columns, condition: Column | None) -> DataFrame:
     """Apply the caller's condition to the pre-projection rows (it may use any input
-    column, as the reference's placeholder sits before the final projection), then
-    project the output columns, money as DOUBLE."""
+    column, as the reference's placeholder sits before the final projection), restore
+    the row copies, then project the output columns, money as DOUBLE."""
     if condition is not None:
         df = df.where(condition)
+    df = expand(df.withColumnRenamed("_copies", "_n"), "_n")
     # one projection expression list: a single call to build, however many columns
     return df.selectExpr(*[f"CAST({_q(c)} AS DOUBLE) AS {_q(c)}" if c in MONEY else _q(c) for c in columns])
 
@@ -105,15 +111,22 @@ def credited(ins: str, *flags: str) -> Column:
 
 
 def exact_credited(ins: str, *flags: str) -> Column:
-    """``Ins * (flag1 * flag2 ...)`` kept in DECIMAL, for exact sums."""
-    return F.expr(f"{_q(ins)} * ({' * '.join(_q(f) for f in flags)})")
+    """``Ins * (flag1 * flag2 ... * copies)`` kept in DECIMAL (DOUBLE for motor), for exact sums."""
+    weight = " * ".join([*map(_q, flags), "_copies"])
+    return F.expr(f"{_q(ins)} * CAST({weight} AS DECIMAL(10, 0))")
+
 
+def weighted(column: str) -> Column:
+    """A measure times the copies its row stands for."""
+    return F.expr(f"{_q(column)} * CAST(_copies AS DECIMAL(10, 0))")
 
-def summarize(df: DataFrame, product_name: str, measures: dict[str, Column]) -> DataFrame:
-    """Partner x product x month totals. Decimal sums are exact and converted to
-    DOUBLE once; DOUBLE sums are rounded to cents (their order is not fixed)."""
+
+def summarize(df: DataFrame, product_name: str, measures: dict[str, Column], condition: Column | None = None) -> DataFrame:
+    """Partner x product x month totals (partners under the collation); the condition
+    sees the output columns. Measures are weighted already; decimal sums are exact and
+    converted to DOUBLE once; DOUBLE sums are rounded to cents (their order is not fixed)."""
     aggs = []
-    grouped = df.groupBy(F.col("PartnerCode"), F.lit(product_name).alias("product_name"), F.col("MON"))
+    grouped = df.groupBy(key("PartnerCode").alias("PartnerCode"), F.lit(product_name).alias("product_name"), F.col("MON"))
     for name, expr in measures.items():
         aggs.append(F.sum(expr).alias(name))
     out = grouped.agg(*aggs)
@@ -121,31 +134,13 @@ def summarize(df: DataFrame, product_name: str, measures: dict[str, Column]) ->
     for f in out.schema.fields:
         if f.name in ("PartnerCode", "product_name", "MON"):
             cols.append(F.col(f.name))
+        elif f.name in COUNTS:
+            cols.append(F.col(f.name).cast("long").alias(f.name))
         elif f.dataType.typeName() == "decimal":
             cols.append(F.col(f.name).cast("double").alias(f.name))
         elif f.dataType.typeName() == "double":
             cols.append(F.round(F.col(f.name), 2).alias(f.name))
         else:
             cols.append(F.col(f.name))
-    return out.select(*cols)
-
-
-def join_lookup(df: DataFrame, cat: Catalog, cfg: C.ReportConfig, name: str, lookup: DataFrame,
-                left_keys: list[str], right_keys: list[str], how: str = "left") -> DataFrame:
-    """Join a lead-keyed value lookup, splitting off hot lookup keys.
-
-    Whether the lookup has hot keys is checked once per catalog (an aggregation over the
-    lookup's key columns): with none the join is the plain shuffle join; with a bounded
-    number of them those keys are joined separately (``joins.lookup_join``); with more
-    than ``max_hot_keys`` the plain join is used and AQE handles what it can.
-    ``name`` identifies the lookup *including its filters*: the split is exact only if
-    every hot key has rows in the lookup that is joined."""
-
-    def detect():
-        hot = hot_keys(lookup, right_keys, cfg.hot_key_rows)
-        n = hot.limit(cfg.max_hot_keys + 1).count()
-        return hot if 0 < n <= cfg.max_hot_keys else None
-
-    key = ("hot_keys", name, tuple(right_keys), cfg.hot_key_rows, cfg.max_hot_keys)
-    hot = cat.derived(key, detect) if cat is not None else None
-    return lookup_join(df, lookup, left_keys, right_keys, hot, how, max_left_hot_rows=cfg.max_broadcast_rows)
+    out = out.select(*cols)
+    return out.where(condition) if condition is not None else out

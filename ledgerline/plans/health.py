@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.dates import add_months, in_window, renewal_locking_date
 from ..functions.text import isin_sql
+from ..operators.joins import counted_lookup
 from ..operators.ladders import HEALTH_INSURER_CLASSES, OTHERS, classify, compile_ladder, health_fresh_rules
 from ..operators.partners import attach_partner, partner_dimension
 from ..sources.catalog import PARTITION_MONTH, Catalog
-from .common import (bookings_in_period, compliance_flag, credited, exact_credited, expand_fanout, finish,
-                     flag, ints, join_deal_count, join_lookup, join_verification_count, month_partitions,
-                     summarize, with_month_and_lock)
+from .common import (bookings_in_period, compliance_flag, credited, exact_credited, finish, flag, ints,
+                     join_deal_count, join_verification_count, month_partitions, summarize, weighted, with_copies,
+                     with_month_and_lock)
 
 PRODUCT = "Health"
 HEALTH_WEIGHT = 4.0
@@ -32,12 +33,11 @@ def health_bt(variant: C.Variant) -> Column:
     return F.expr(f"CASE {' '.join(arms)} END")
 
 
-def join_sum_insured(df: DataFrame, cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
+def join_sum_insured(df: DataFrame, cat: Catalog) -> DataFrame:
     """Left join of the health booking details on (lead, product) for SumInsured."""
     d = cat.table("booking_details").where(F.col("ProductID").isin(list(C.HEALTH_FRESH_PRODUCTS))).select(
         F.col("LEADID").alias("_si_lead"), F.col("ProductID").alias("_si_prod"), "SumInsured")
-    return join_lookup(df, cat, cfg, "health_details", d, ["leadid", "ProductId"], ["_si_lead", "_si_prod"]) \
-        .drop("_si_lead", "_si_prod")
+    return counted_lookup(df, d, ["leadid", "ProductId"], ["_si_lead", "_si_prod"], "_n_si")
 
 
 # -- fresh -------------------------------------------------------------------------
@@ -56,7 +56,7 @@ def health_fresh_detail(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
     b = attach_partner(with_month_and_lock(b), cat, cfg)
     b = join_verification_count(b, cat)
     b = join_deal_count(b, cat, cfg, PRODUCT)
-    t = join_sum_insured(b, cat, cfg)
+    t = join_sum_insured(b, cat)
     t = t.withColumns({
         "Health_bt": health_bt(v),
         "netpr": F.expr("APE"),
@@ -76,8 +76,9 @@ def health_fresh_detail(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
     t = t.withColumns({
         "Accrual_Net_Ins": F.expr(f"CASE WHEN {psu} THEN Accrual_Net_Pr * 0 ELSE Accrual_Net_Pr END"),
         "compliance_flag": compliance_flag(v),
+        "pd": F.expr("'Health_Fresh'"),
     })
-    return expand_fanout(t, "_n_ver", "_n_deal")
+    return with_copies(t, "_n_ver", "_n_deal", "_n_si")
 
 
 def _head(v: C.Variant) -> list[str]:
@@ -112,23 +113,24 @@ def health_fresh_leads(cat: Catalog, cfg: C.ReportConfig, condition: Column | No
     return finish(t, health_fresh_columns(cfg.variant), condition)
 
 
-def _summary(t: DataFrame, label: str, *issued: str) -> DataFrame:
+def _summary(t: DataFrame, label: str, *issued: str, condition: Column | None = None) -> DataFrame:
     t = t.withColumns({
         "_booked": exact_credited("Accrual_Net_Ins", "special_deal_flag"),
         "_net": exact_credited("Accrual_Net_Ins", *issued, "special_deal_flag"),
     })
     return summarize(t, label, {
-        "TotalPremium": F.col("TotalPremium"),
-        "APE": F.col("APE"),
-        "Net_Pr": F.col("netpr"),
+        "TotalPremium": weighted("TotalPremium"),
+        "APE": weighted("APE"),
+        "Net_Pr": weighted("netpr"),
         "Accrual_Net_Booked": F.col("_booked"),
         "Accrual_Net": F.col("_net"),
         "Accrual_Net_C": F.when(F.col("compliance_flag") == 1, F.col("_net")).otherwise(F.lit(0)),
-    })
+    }, condition)
 
 
-def health_fresh_summary(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
-    return _summary(health_fresh_detail(cat, cfg), "Health_Fresh", "policy_issued_flag", "policy_verified_flag")
+def health_fresh_summary(cat: Catalog, cfg: C.ReportConfig, condition: Column | None = None) -> DataFrame:
+    return _summary(health_fresh_detail(cat, cfg), "Health_Fresh", "policy_issued_flag", "policy_verified_flag",
+                    condition=condition)
 
 
 # -- renewal -----------------------------------------------------------------------
@@ -141,12 +143,25 @@ def renewal_window(period: C.Period) -> tuple[dt.date, dt.date]:
     return lo, hi
 
 
-def renewal_bookings(cat: Catalog, cfg: C.ReportConfig) -> tuple[DataFrame, DataFrame]:
-    """The two halves of the renewal extract: renewal bookings of the partner universe
-    joined to their referral edge (``_ref_id`` = the renewed lead), and the prior
-    policies that ended inside the period (``_prev_lead``, ``_prev_end``).
+def prior_policies(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
+    """Per renewing lead, the prior policies that ended inside the period:
+    ``_ref_lead, _prev_end`` and the number of (edge, policy) pairs, ``_n_prev``.
+
+    booking -(leadid = LeadID)-> referral edge -(ReferralID = leadid)-> prior booking.
+    Edges and prior policies are counted before they meet, so equal ones are one row and
+    the booking stream is shuffled by lead id alone, for this and for all its lookups."""
+    p = cfg.period
+    edges = cat.table("lead_referral").where("LeadID IS NOT NULL AND ReferralID IS NOT NULL") \
+        .groupBy(F.col("LeadID").alias("_ref_lead"), F.col("ReferralID").alias("_ref_id")).agg(F.count(F.lit(1)).alias("_n_ref"))
+    prior = cat.table("bookings").where(in_window("PolicyEndDate", p.min_date, p.max_date) & F.col("leadid").isNotNull()) \
+        .groupBy(F.col("leadid").alias("_prev_lead"), F.col("PolicyEndDate").alias("_prev_end")).agg(F.count(F.lit(1)).alias("_n_pol"))
+    return edges.join(prior, F.expr("_ref_id = _prev_lead"), "inner").groupBy("_ref_lead", "_prev_end") \
+        .agg(F.expr("sum(_n_ref * _n_pol) AS _n_prev"))
+
 
-    booking -(leadid = LeadID)-> referral edge -(ReferralID = leadid)-> prior booking."""
+def renewal_bookings(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
+    """Renewal bookings of the partner universe joined to their prior policies, the most
+    selective join, before any enrichment."""
     p = cfg.period
     lo, hi = renewal_window(p)
     fact = cat.table("bookings")
@@ -155,32 +170,24 @@ def renewal_bookings(cat: Catalog, cfg: C.ReportConfig) -> tuple[DataFrame, Data
             & in_window("BookingDate", lo, hi))
     if PARTITION_MONTH in fact.columns:
         cond = cond & month_partitions(fact, lo, hi)
-    cur = fact.where(cond)
-    # the partner universe is a broadcast dimension: filter the renewals map-side first
-    cur = attach_partner(cur, cat, cfg)
-    ref = cat.table("lead_referral").selectExpr("LeadID AS _ref_lead", "ReferralID AS _ref_id")
-    prev = fact.where(in_window("PolicyEndDate", p.min_date, p.max_date)) \
-        .selectExpr("leadid AS _prev_lead", "PolicyEndDate AS _prev_end")
-    j = cur.join(ref, F.expr("leadid = _ref_lead"), "inner")
-    return j, prev
+    cur = attach_partner(fact.where(cond), cat, cfg)
+    return cur.join(prior_policies(cat, cfg), F.expr("leadid = _ref_lead"), "inner")
 
 
 def health_renewal_detail(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
     v = cfg.variant
-    j, prev = renewal_bookings(cat, cfg)
-    # lead-keyed enrichments first, while rows are still partitioned by lead id
-    j = join_verification_count(j, cat)
-    j = join_deal_count(j, cat, cfg, PRODUCT)
-    j = join_sum_insured(j, cat, cfg)
-    j = j.join(prev, F.expr("_ref_id = _prev_lead"), "inner")
+    j = renewal_bookings(cat, cfg)
     if v.renewal_early_guard:
         # keeps the time of day: month arithmetic on the timestamp, not on a date
         j = j.where("BookingDate >= _prev_end - INTERVAL 3 MONTHS")
+    j = join_verification_count(j, cat)
+    j = join_deal_count(j, cat, cfg, PRODUCT)
+    j = join_sum_insured(j, cat)
     partner_cols = [f"`{c}`" for c in partner_dimension(cat, cfg).columns if c != "_pk"]
     t = j.selectExpr(
         *partner_cols, "Utm_term", "leadid", "TotalPremium", "APE", "`Net Premium`", "ProductId", "IsComplianceN",
         "`Insurer Name`", "BookingMode", "BookingDate", "BusinessType", "Status", "StatusId", "SumInsured", "_n_ver",
-        "_n_deal", "special_deal_flag", "trunc(CAST(_prev_end AS DATE), 'month') AS MON",
+        "_n_deal", "_n_si", "_n_prev", "VerificationStatus", "MatrixLeadId", "special_deal_flag", "trunc(CAST(_prev_end AS DATE), 'month') AS MON",
         "CAST(PolicyStartDate AS DATE) AS PolicyStartDate", "CAST(_prev_end AS DATE) AS Prev_end_date",
         "ProductId AS Product_updated", f"'{PRODUCT}' AS product_name", "'Health_Renewal' AS bt", "_prev_end",
     ).withColumn("Qtr_Locking_Date", renewal_locking_date("_prev_end", "BookingDate")).drop("_prev_end")
@@ -194,7 +201,7 @@ def health_renewal_detail(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
         "Accrual_Net_Ins": F.expr("CASE WHEN health_insurers = 'PSU' THEN 0 ELSE netpr END"),
         "compliance_flag": compliance_flag(v),
     })
-    return expand_fanout(t, "_n_ver", "_n_deal")
+    return with_copies(t, "_n_ver", "_n_deal", "_n_si", "_n_prev")
 
 
 def health_renewal_columns(v: C.Variant) -> list[str]:
@@ -211,5 +218,5 @@ def health_renewal_leads(cat: Catalog, cfg: C.ReportConfig, condition: Column |
     return finish(t, health_renewal_columns(cfg.variant), condition)
 
 
-def health_renewal_summary(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
-    return _summary(health_renewal_detail(cat, cfg), "Health_Renewal", "policy_issued_flag")
+def health_renewal_summary(cat: Catalog, cfg: C.ReportConfig, condition: Column | None = None) -> DataFrame:
+    return _summary(health_renewal_detail(cat, cfg), "Health_Renewal", "policy_issued_flag", condition=condition)

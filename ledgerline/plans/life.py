@@ -6,13 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.text import isin, isin_sql
-from ..operators.joins import bounded_dimension
+from ..functions.text import isin, isin_sql, key
+from ..operators.joins import counted_lookup, salt_sql, spread
 from ..operators.ladders import LIFE_INSURER_CLASSES, OTHERS, classify, compile_ladder, life_rules
 from ..operators.partners import attach_partner
 from ..sources.catalog import Catalog
-from .common import (bookings_in_period, compliance_flag, credited, exact_credited, expand_fanout, finish,
-                     flag, ints, join_deal_count, join_lookup, summarize, with_month_and_lock)
+from .common import (bookings_in_period, compliance_flag, credited, exact_credited, finish, flag, ints,
+                     join_deal_count, summarize, weighted, with_copies, with_month_and_lock)
 
 PRODUCT = "Life"
 LIFE_WEIGHT = 1.5
@@ -21,8 +21,9 @@ LIFE_WEIGHT = 1.5
 def life_plan_details(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
     """Booking details of life leads with their plan's payout category.
 
-    The plan catalogue is de-duplicated and joined on (plan, product, supplier); it is a
-    small dimension with few distinct keys, so it is broadcast behind the row bound."""
+    The plan catalogue is de-duplicated under the collation (of spellings that differ in
+    case or trailing blanks the smallest remains) and joined on (plan, product, supplier),
+    few distinct keys, so the catalogue is spread by lead id."""
     d = cat.table("booking_details")
     if cfg.variant.life_details_product_filter:
         d = d.where(f"ProductID IN ({ints(C.LIFE_PRODUCTS)})")
@@ -30,14 +31,11 @@ def life_plan_details(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
         "LEADID AS _bp_lead", "PlanId", "SupplierId", "ProductID AS _bp_prod",
         "BasicPremium", "PaymentPeriodicity", "CAST(issuanceDate AS DATE) AS issuanceDate",
     )
-    plans = cat.derived(("life_plans", cfg.max_broadcast_rows), lambda: bounded_dimension(
-        cat.table("life_plans").select("PlanID", "ProductID", "SupplierID", "PayoutProdCat").distinct(),
-        cfg.max_broadcast_rows))
-    j = d.join(
-        plans,
-        (d["PlanId"] == plans["PlanID"]) & (d["_bp_prod"] == plans["ProductID"]) & (d["SupplierId"] == plans["SupplierID"]),
-        "left",
-    )  # PlanId / PlanID differ only in case: qualified references keep the sides apart
+    plans = cat.table("life_plans").groupBy(
+        F.col("PlanID").alias("_plan"), F.col("ProductID").alias("_product"), F.col("SupplierID").alias("_supplier"),
+        key("PayoutProdCat").alias("_category")).agg(F.min("PayoutProdCat").alias("PayoutProdCat"))
+    j = d.join(spread(plans), F.expr(
+        f"PlanId = _plan AND _bp_prod = _product AND SupplierId = _supplier AND {salt_sql('_bp_lead')}"), "left")
     return j.select("_bp_lead", "BasicPremium", "PaymentPeriodicity", "issuanceDate", "PayoutProdCat")
 
 
@@ -51,10 +49,9 @@ def life_detail(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
     )
     b = attach_partner(with_month_and_lock(b), cat, cfg)
     bp = life_plan_details(cat, cfg)
-    details = f"life_details:{cfg.variant.life_details_product_filter}"
-    b = join_lookup(b, cat, cfg, details, bp, ["leadid"], ["_bp_lead"]).drop("_bp_lead")
+    b = counted_lookup(b, bp, ["leadid"], ["_bp_lead"], "_n_bp")
     pt = cat.table("pay_term").selectExpr("LeadId AS _pt_lead", "PayTerm")
-    b = join_lookup(b, cat, cfg, "pay_term", pt, ["leadid"], ["_pt_lead"]).drop("_pt_lead")
+    b = counted_lookup(b, pt, ["leadid"], ["_pt_lead"], "_n_pt")
     t = join_deal_count(b, cat, cfg, PRODUCT)
     t = t.withColumns({
         "netpr": F.expr("BasicPremium"),
@@ -69,7 +66,7 @@ def life_detail(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
     t = t.withColumn("Accrual_Net_Ins", F.expr(
         f"CASE WHEN life_insurers = 'PSU' THEN 0 WHEN life_insurers = 'Pvt' THEN Accrual_Net_Pr "
         f"WHEN life_insurers = '{OTHERS}' THEN Accrual_Net_Pr * 0.75 ELSE Accrual_Net_Pr END"))
-    return expand_fanout(t, "_n_deal")
+    return with_copies(t, "_n_deal", "_n_bp", "_n_pt")
 
 
 def life_columns(v: C.Variant) -> list[str]:
@@ -98,16 +95,16 @@ def life_leads(cat: Catalog, cfg: C.ReportConfig, condition: Column | None = Non
     return finish(t, life_columns(cfg.variant), condition)
 
 
-def life_summary(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
+def life_summary(cat: Catalog, cfg: C.ReportConfig, condition: Column | None = None) -> DataFrame:
     t = life_detail(cat, cfg).withColumns({
         "_booked": exact_credited("Accrual_Net_Ins", "special_deal_flag"),
         "_net": exact_credited("Accrual_Net_Ins", "policy_issued_flag", "special_deal_flag"),
     })
     return summarize(t, PRODUCT, {
-        "TotalPremium": F.col("TotalPremium"),
-        "APE": F.col("APE"),
-        "Net_Pr": F.col("netpr"),
+        "TotalPremium": weighted("TotalPremium"),
+        "APE": weighted("APE"),
+        "Net_Pr": weighted("netpr"),
         "Accrual_Net_Booked": F.col("_booked"),
         "Accrual_Net": F.col("_net"),
         "Accrual_Net_C": F.when(F.col("compliance_flag") == 1, F.col("_net")).otherwise(F.lit(0)),
-    })
+    }, condition)

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.text import eq, isin_sql, key_sql, like
-from ..operators.joins import bounded_dimension
+from ..operators.joins import counted_lookup, salt_sql, spread
 from ..operators.ladders import MOTOR_INSURER_CLASSES, OTHERS, classify, compile_ladder, motor_rules
 from ..operators.partners import attach_partner
 from ..sources.catalog import Catalog
-from .common import (bookings_in_period, compliance_flag, credited, exact_credited, expand_fanout, finish,
-                     flag, join_deal_count, join_lookup, summarize, with_month_and_lock)
+from .common import (bookings_in_period, compliance_flag, credited, exact_credited, finish, flag, join_deal_count,
+                     summarize, weighted, with_copies, with_month_and_lock)
 
 PRODUCT = "Motor"
 
@@ -30,26 +30,24 @@ def motor_business_type(cat: Catalog) -> DataFrame:
     """Lead -> New / Renewal (a NULL business type counts as Renewal)."""
     return cat.table("business_type").selectExpr(
         "Leadid AS _bt_lead",
-        f"CASE WHEN {isin_sql('PBPBusinessType', C.MOTOR_NEW_TYPES)} THEN 'New' ELSE 'Renewal' END AS Motor_bt",
+        f"CASE WHEN {isin_sql('MotorBusinessType', C.MOTOR_NEW_TYPES)} THEN 'New' ELSE 'Renewal' END AS Motor_bt",
     )
 
 
-def status_classes(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
-    """Per status id: is any of its names a cancellation ('re%'), is any not.
-
-    The status master is a small dimension and bookings share few status ids, so it is
-    broadcast (behind the row bound) rather than shuffled on a low-cardinality key."""
+def status_classes(cat: Catalog) -> DataFrame:
+    """Per status id: is any of its names a cancellation ('re%'), is any not."""
+    name = F.col("StatusName")
+    return cat.table("status").where(F.col("StatusId").isNotNull()).groupBy(F.col("StatusId").alias("_sid")).agg(
+        F.max(F.when(like(name, "re%"), F.lit(1)).otherwise(F.lit(0))).alias("_cancel"),
+        F.max(F.when(~like(name, "re%"), F.lit(1)).otherwise(F.lit(0))).alias("_booked"),
+    )
 
-    def build():
-        s = cat.table("status")
-        name = F.col("StatusName")
-        classes = s.where(F.col("StatusId").isNotNull()).groupBy(F.col("StatusId").alias("_sid")).agg(
-            F.max(F.when(like(name, "re%"), F.lit(1)).otherwise(F.lit(0))).alias("_cancel"),
-            F.max(F.when(~like(name, "re%"), F.lit(1)).otherwise(F.lit(0))).alias("_booked"),
-        )
-        return bounded_dimension(classes, cfg.max_broadcast_rows)
 
-    return cat.derived(("status_classes", cfg.max_broadcast_rows), build)
+def join_status_classes(df: DataFrame, cat: Catalog) -> DataFrame:
+    """Left join to ``status_classes``; bookings share few status ids, so the classes are
+    spread by lead id."""
+    classes = spread(status_classes(cat))
+    return df.join(classes, F.expr(f"StatusId = _sid AND {salt_sql('leadid')}"), "left").drop("_sid", "_dsalt")
 
 
 def motor_detail(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
@@ -64,27 +62,27 @@ def motor_detail(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
     ).withColumn("Product_updated", motor_product(v.taxi_strict))
     b = attach_partner(with_month_and_lock(b), cat, cfg)
     mb = motor_business_type(cat)
-    b = join_lookup(b, cat, cfg, "business_type", mb, ["leadid"], ["_bt_lead"]).drop("_bt_lead")
+    b = counted_lookup(b, mb, ["leadid"], ["_bt_lead"], "_n_bt")
     t = join_deal_count(b, cat, cfg, PRODUCT)
     # premium per term year, in DOUBLE (premium cast before dividing); no term -> 0
-    t = t.withColumn("netpr", F.expr(
-        "CASE WHEN ODTerm > 0 THEN CAST(ODPremium AS DOUBLE) / ODTerm ELSE 0.0D END"
-        " + CASE WHEN TPTerm > 0 THEN CAST(TPPremium AS DOUBLE) / TPTerm ELSE 0.0D END"))
-    sc = status_classes(cat, cfg)
-    t = t.join(sc, F.expr("StatusId = _sid"), "left")
+    t = t.withColumns({
+        "od_netpr": F.expr("CASE WHEN ODTerm > 0 THEN CAST(ODPremium AS DOUBLE) / ODTerm ELSE 0.0D END"),
+        "tp_netpr": F.expr("CASE WHEN TPTerm > 0 THEN CAST(TPPremium AS DOUBLE) / TPTerm ELSE 0.0D END"),
+    }).withColumn("netpr", F.expr("od_netpr + tp_netpr"))
+    t = join_status_classes(t, cat)
     t = t.withColumns({
         "motor_booked_flag": F.expr("1"),
         "motor_cancelled_flag": flag("_cancel = 1"),
         "policy_booked_flag": flag("_booked = 1"),
         "motor_insurers": classify(MOTOR_INSURER_CLASSES, OTHERS),
         "Accrual_Net_Pr": compile_ladder(motor_rules(v.tw_tp_offline_factor), "netpr"),
-    }).drop("_sid", "_cancel", "_booked")
+    }).drop("_cancel", "_booked")
     t = t.withColumns({
         "Accrual_Net_Ins": F.expr("CASE WHEN motor_insurers = 'PSU' THEN Accrual_Net_Pr * 0.9D "
                                   "WHEN motor_insurers = 'Pvt' THEN Accrual_Net_Pr * 0.75D ELSE Accrual_Net_Pr END"),
         "compliance_flag": compliance_flag(v),
     })
-    return expand_fanout(t, "_n_deal")
+    return with_copies(t, "_n_deal", "_n_bt")
 
 
 def key_ne(c: str, value: str) -> Column:
@@ -111,15 +109,15 @@ def motor_leads(cat: Catalog, cfg: C.ReportConfig, condition: Column | None = No
     return finish(t, motor_columns(cfg.variant), condition)
 
 
-def motor_summary(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
+def motor_summary(cat: Catalog, cfg: C.ReportConfig, condition: Column | None = None) -> DataFrame:
     t = motor_detail(cat, cfg).withColumn(
         "_net", exact_credited("Accrual_Net_Ins", "policy_booked_flag", "special_deal_flag"))
     return summarize(t, PRODUCT, {
-        "TotalPremium": F.col("TotalPremium"),
-        "APE": F.col("APE"),
-        "Net_Pr": F.col("netpr"),
+        "TotalPremium": weighted("TotalPremium"),
+        "APE": weighted("APE"),
+        "Net_Pr": weighted("netpr"),
         "Accrual_Net": F.col("_net"),
         "Accrual_Net_C": F.when(F.col("compliance_flag") == 1, F.col("_net")).otherwise(F.lit(0.0)),
-        "motor_booked": F.col("motor_booked_flag"),
-        "motor_cancelled": F.col("motor_cancelled_flag"),
-    })
+        "motor_booked": weighted("motor_booked_flag"),
+        "motor_cancelled": weighted("motor_cancelled_flag"),
+    }, condition)

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.dates import month_start, qtr_locking_date, renewal_locking_date
+from ..operators.joins import counted_lookup, expand
 from ..sources.catalog import Catalog
-from .common import join_lookup
 from .life import life_plan_details
-from .motor import status_classes
+from .motor import join_status_classes
 
 
 def booking_calendar(cat: Catalog) -> DataFrame:
@@ -44,8 +44,7 @@ def motor_status_flags(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
     """Every motor booking with the status-master classes (existence tests of the
     status id among cancellation / non-cancellation names)."""
     b = cat.table("bookings").where(F.col("ProductId").isin(list(C.MOTOR_PRODUCTS))).select("leadid", "StatusId", "Status")
-    sc = status_classes(cat, cfg)
-    j = b.join(sc, b["StatusId"] == sc["_sid"], "left")
+    j = join_status_classes(b, cat)
     return j.select(
         "leadid", "StatusId", "Status",
         F.when(F.col("_cancel") == 1, F.lit(1)).otherwise(F.lit(0)).alias("motor_cancelled_flag"),
@@ -58,8 +57,8 @@ def life_plan_enrichment(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
     b = cat.table("bookings").where(F.col("ProductId").isin(list(C.LIFE_PRODUCTS))).select("leadid", "ProductId")
     bp = life_plan_details(cat, cfg)
     pt = cat.table("pay_term").select(F.col("LeadId").alias("_pt_lead"), "PayTerm")
-    j = join_lookup(b, cat, cfg, f"life_details:{cfg.variant.life_details_product_filter}", bp, ["leadid"], ["_bp_lead"])
-    j = join_lookup(j, cat, cfg, "pay_term", pt, ["leadid"], ["_pt_lead"])
+    j = counted_lookup(b, bp, ["leadid"], ["_bp_lead"], "_n_bp")
+    j = expand(counted_lookup(j, pt, ["leadid"], ["_pt_lead"], "_n_pt"), "_n_bp", "_n_pt")
     return j.select(
         "leadid", "ProductId", F.col("BasicPremium").cast("double").alias("BasicPremium"), "PaymentPeriodicity",
         "issuanceDate", "PayoutProdCat", "PayTerm",

@@ -10,8 +10,8 @@ from ..functions.text import isin
 from ..operators.ladders import compile_ladder, sme_rules
 from ..operators.partners import attach_partner
 from ..sources.catalog import Catalog
-from .common import (bookings_in_period, compliance_flag, credited, exact_credited, expand_fanout, finish,
-                     join_deal_count, summarize, with_month_and_lock)
+from .common import (bookings_in_period, compliance_flag, credited, exact_credited, finish, join_deal_count,
+                     summarize, weighted, with_copies, with_month_and_lock)
 
 PRODUCT = "SME"
 
@@ -31,7 +31,7 @@ def sme_detail(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
         "compliance_flag": compliance_flag(v),
     })
     t = t.withColumn("Accrual_Net_Pr", compile_ladder(sme_rules(), "netpr"))
-    return expand_fanout(t, "_n_deal")
+    return with_copies(t, "_n_deal")
 
 
 def sme_columns(v: C.Variant) -> list[str]:
@@ -55,14 +55,14 @@ def sme_leads(cat: Catalog, cfg: C.ReportConfig, condition: Column | None = None
     return finish(t, sme_columns(cfg.variant), condition)
 
 
-def sme_summary(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
+def sme_summary(cat: Catalog, cfg: C.ReportConfig, condition: Column | None = None) -> DataFrame:
     """Partner x month totals; the summary multiplies the deal flag into the insurer
     amount and sums it, with the compliant share separately."""
     t = sme_detail(cat, cfg).withColumn("Accrual_Net_Ins", exact_credited("Accrual_Net_Pr", "special_deal_flag"))
     return summarize(t, PRODUCT, {
-        "TotalPremium": F.col("TotalPremium"),
-        "APE": F.col("APE"),
-        "Net_Pr": F.col("netpr"),
+        "TotalPremium": weighted("TotalPremium"),
+        "APE": weighted("APE"),
+        "Net_Pr": weighted("netpr"),
         "Accrual_Net": F.col("Accrual_Net_Ins"),
         "Accrual_Net_C": F.when(F.col("compliance_flag") == 1, F.col("Accrual_Net_Ins")).otherwise(F.lit(0)),
-    })
+    }, condition)

@@ -96,29 +96,28 @@ def specs() -> dict[str, Spec]:
         "condition_pushdown": Spec(
             lambda cat, cfg: health.health_fresh_leads(cat, cfg, condition=eq("BookingMode", "Online"))),
     })
+    out["run_reports"] = Spec(combine.report_totals)
+    out.update({
+        # conditions on columns that only the marker sees, and on summaries and the vertical
+        "health_fresh_leads_verified": Spec(
+            lambda cat, cfg: health.health_fresh_leads(cat, cfg, condition=eq("VerificationStatus", "Verified"))),
+        "motor_leads_od": Spec(
+            lambda cat, cfg: motor.motor_leads(cat, cfg, condition=F.expr("od_netpr > tp_netpr AND MatrixLeadId IS NULL"))),
+        "motor_summary_condition": Spec(
+            lambda cat, cfg: motor.motor_summary(cat, cfg, condition=F.expr("motor_cancelled >= 1")), C.SUMMARY),
+        "partner_vertical_condition": Spec(
+            lambda cat, cfg: partners.partner_vertical(cat, cfg, condition=F.expr("Vertical = 'Motor'"))),
+    })
     return out
 
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-_CATALOGS: dict[tuple[int, str], tuple[SparkSession, Catalog]] = {}
-
-
-def shared_fixture_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
-    """One fixture catalog per live session and directory, so dimension size checks
-    and hot-key detection run once for all registered queries, not once per query."""
-    k = (id(spark), sf_dir)
-    hit = _CATALOGS.get(k)
-    if hit is None or hit[0] is not spark:
-        _CATALOGS[k] = (spark, fixture_catalog(spark, sf_dir))
-    return _CATALOGS[k][1]
-
-
 def queries() -> dict[str, Query]:
     def wrap(spec: Spec) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return spec.run(shared_fixture_catalog(spark, sf_dir))
+            return spec.run(fixture_catalog(spark, sf_dir))
 
         return run
 

@@ -37,10 +37,12 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared ``spark.checkpoint.dir``; a private temporary folder is
-    set only when the session has none (local runs and tests)."""
+    """The cluster's shared ``spark.checkpoint.dir``. Only a local session without one
+    gets a temporary folder (tests): on a cluster, executors would each write to their own disks."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

@@ -37,7 +37,6 @@ class Catalog:
         self.spark = spark
         self._loaders = dict(loaders)
         self._cache: dict[str, DataFrame] = {}
-        self._derived: dict[object, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         if name not in self._cache:
@@ -47,22 +46,9 @@ class Catalog:
             self._cache[name] = src if isinstance(src, DataFrame) else src()
         return self._cache[name]
 
-    def derived(self, key, build: Callable[[], DataFrame]) -> DataFrame:
-        """Memoised derived relation (e.g. a size-checked dimension), so its size check
-        and plan are made once per catalog, not once per report."""
-        if key not in self._derived:
-            self._derived[key] = build()
-        return self._derived[key]
-
     def with_table(self, name: str, df: DataFrame) -> "Catalog":
-        """A catalog identical to this one except for table ``name``. Memoised derived
-        relations are shared, so ``name`` must not feed any of them (the staged bookings
-        of the combined dataset do not: derived relations are dimensions and lookups)."""
-        loaders = dict(self._loaders)
-        loaders[name] = df
-        out = Catalog(self.spark, loaders)
-        out._derived = self._derived
-        return out
+        """A catalog identical to this one except for table ``name``."""
+        return Catalog(self.spark, self._loaders | {name: df})
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.table(name)
@@ -88,11 +74,14 @@ class Catalog:
 
         ``table_map`` maps a logical name to the remote table. ``partitioning`` may
         give, per logical name, ``column/lowerBound/upperBound/numPartitions`` so that
-        large remote tables are read in parallel ranges instead of one connection.
-        Credentials come from ``properties``; nothing is stored here.
+        large remote tables are read in parallel ranges instead of one connection; the
+        bookings fact must have it. Credentials come from ``properties``; nothing is
+        stored here.
         """
         props = dict(properties or {})
         parts = dict(partitioning or {})
+        if "bookings" in table_map and "bookings" not in parts:
+            raise ValueError("partitioning for the bookings fact is required: it is not read over one connection")
 
         def load(name: str) -> DataFrame:
             reader = spark.read.format("jdbc").option("url", url).option("dbtable", table_map[name])
@@ -118,16 +107,17 @@ class Catalog:
 PARTITION_MONTH = "BookingMonth"
 
 
-def write_bookings(bookings: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_bookings(bookings: DataFrame, path: str, mode: str = "overwrite", writers: int | None = None) -> None:
     """Store the bookings fact partitioned by booking month and product id.
 
     Each (month, product) directory is written by the tasks holding its rows after a
     shuffle on the partition columns plus the lead id (so one large month/product is
-    spread over many writers instead of one). Reports recognise the ``BookingMonth``
+    spread over ``writers`` tasks, by default the session's parallelism). Reports recognise the ``BookingMonth``
     column and add it to their period filter, which turns the period into partition
     pruning; the product filter prunes on ``ProductId`` directly."""
     from pyspark.sql import functions as F
 
+    writers = writers or bookings.sparkSession.sparkContext.defaultParallelism
     out = bookings.withColumn(PARTITION_MONTH, F.trunc(F.col("BookingDate").cast("date"), "month"))
-    out = out.repartition(PARTITION_MONTH, "ProductId", F.pmod(F.xxhash64("leadid"), F.lit(64)))
+    out = out.repartition(PARTITION_MONTH, "ProductId", F.pmod(F.xxhash64("leadid"), F.lit(writers)))
     out.write.mode(mode).partitionBy(PARTITION_MONTH, "ProductId").parquet(path)

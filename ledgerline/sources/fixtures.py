@@ -207,7 +207,7 @@ class FixtureTables:
         l = F.col("leadid")
         return self.bookings().where(l % 10 != 5).select(
             l.alias("Leadid"),
-            case_map(l % 4, {0: "New", 1: "Rollover", 2: "Renewal"}, None).cast("string").alias("PBPBusinessType"),
+            case_map(l % 4, {0: "New", 1: "Rollover", 2: "Renewal"}, None).cast("string").alias("MotorBusinessType"),
         )
 
     def status(self) -> DataFrame:

@@ -45,9 +45,25 @@ def test_bookings_scan_is_pushed_and_pruned(stored):
     assert "PolicyEndDate" not in read_schema  # pruned: the motor report does not read it
 
 
-def test_partner_dimension_is_broadcast(stored):
-    plan = _plan(run("sme_leads", stored))
-    assert "BroadcastHashJoin" in plan
+@pytest.mark.parametrize("name", ["sme_summary", "motor_summary", "health_fresh_summary", "health_renewal_summary", "life_summary"])
+def test_summaries_weight_instead_of_copying(stored, name):
+    assert "_copy" not in _plan(run(name, stored)).replace("_copies", "")
+
+
+def test_renewal_stream_is_shuffled_by_lead_only(spark, stored):
+    """Static plan without broadcasts, as in a plain session."""
+    import re
+
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = _plan(run("health_renewal_leads", stored))
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+    assert not re.search(r"hashpartitioning\(_ref_id#\d+L?, leadid", plan)
+    assert len(re.findall(r"hashpartitioning\(leadid#", plan)) <= 2
 
 
 @pytest.fixture(scope="module")

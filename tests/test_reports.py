@@ -138,24 +138,74 @@ def test_fanout_expand(spark):
     assert got == [1, 1, 1, 2, 3]
 
 
-def test_lookup_join_splits_hot_keys(spark):
-    from ledgerline.plans.common import join_lookup
+def test_counted_lookup_gives_the_rows_of_the_plain_join(spark):
+    from ledgerline.operators.joins import counted_lookup
 
-    left = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, "d")], "leadid long, x string")
-    rows = [(1, 7, i) for i in range(5)] + [(1, 8, 99), (2, 7, 1), (2, 7, 1), (5, 7, 3)]
+    left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (3, "d"), (None, "e")], "leadid long, x string")
+    # one lead owns most of the lookup; keys and values may be null
+    rows = [(1, 7, 5)] * 50 + [(1, 8, None)] * 3 + [(2, 7, 1)] * 2 + [(5, 7, 3), (None, 7, 1)]
     right = spark.createDataFrame(rows, "_lead long, _prod int, v int")
-    expected = sorted(tuple(r) for r in left.join(right, left["leadid"] == right["_lead"], "left").collect())
-    cfg = C.ReportConfig(period=C.Period.year(1997), hot_key_rows=2, max_hot_keys=10)
-    cat = Catalog(spark, {})
-    got_df = join_lookup(left, cat, cfg, "t", right, ["leadid"], ["_lead"])
-    assert cat._derived[("hot_keys", "t", ("_lead",), 2, 10)] is not None  # lead 1 is hot
-    assert sorted(tuple(r) for r in got_df.collect()) == expected
-    # two-key lookup: (1, 7) is hot, (1, 8) is not
-    left2 = left.withColumn("p", F.lit(7))
-    exp2 = sorted(tuple(r) for r in left2.join(
-        right, (left2["leadid"] == right["_lead"]) & (left2["p"] == right["_prod"]), "left").collect())
-    got2 = join_lookup(left2, cat, cfg, "t2", right, ["leadid", "p"], ["_lead", "_prod"])
-    assert sorted(tuple(r) for r in got2.collect()) == exp2
+    plain = left.join(right.drop("_prod"), left["leadid"] == right["_lead"], "left").select("leadid", "x", "v")
+    got = expand(counted_lookup(left, right.drop("_prod"), ["leadid"], ["_lead"], "n"), "n").select("leadid", "x", "v")
+    assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect()))
+    two = left.withColumn("p", F.lit(8))
+    plain = two.join(right, (two["leadid"] == right["_lead"]) & (two["p"] == right["_prod"]), "left").select("leadid", "x", "v")
+    got = expand(counted_lookup(two, right, ["leadid", "p"], ["_lead", "_prod"], "n"), "n").select("leadid", "x", "v")
+    assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_copies_beyond_int_and_beyond_one_chunk(spark):
+    from ledgerline.operators.joins import CHUNK
+    from ledgerline.plans.common import summarize, weighted, with_copies
+
+    rows = [(1, 70000, 70000), (2, None, None), (3, 3, None)]
+    df = spark.createDataFrame(rows, "leadid long, a long, b long")
+    assert [r._copies for r in with_copies(df, "a", "b").orderBy("leadid").collect()] == [4_900_000_000, 1, 3]
+    big = spark.createDataFrame([(1, 2 * CHUNK + 5), (2, CHUNK), (3, 0 + 1)], "leadid long, n long")
+    got = {r.leadid: r.c for r in expand(big, "n").groupBy("leadid").agg(F.count("*").alias("c")).collect()}
+    assert got == {1: 2 * CHUNK + 5, 2: CHUNK, 3: 1}
+    t = with_copies(df, "a", "b").selectExpr("concat('ip', leadid div 3, repeat(' ', leadid)) AS PartnerCode", "DATE'1997-01-01' AS MON", "CAST(2.5 AS DECIMAL(18,4)) AS x", "_copies")
+    out = {r.PartnerCode: r.x for r in summarize(t, "P", {"x": weighted("x")}).collect()}
+    assert out == {"IP0": 2.5 * 4_900_000_001, "IP1": 7.5}  # case and trailing blanks make no group of their own
+
+
+def test_collation_of_annual_and_life_plans(spark):
+    from ledgerline.plans import life
+
+    rows = [("IP1", 1997, "Q1-JFM", "Crown", Decimal(10)), ("ip1 ", 1997, "q1-jfm", "base", Decimal(20)), ("Ip1", 1997, "Q2-AMJ", "gold", Decimal(5))]
+    cat = Catalog(spark, {"partner_quarter": spark.createDataFrame(
+        rows, "PartnerCode string, CalendarYear int, Quarter string, Tier string, WeightedNet decimal(18,2)")})
+    out = annual.annual_clubs(cat, 1997).collect()
+    assert [(r.PartnerCode, r.JFM_Club, r.JFM_NWP, r.Total_NWP, r.Crown_Count) for r in out] == [("IP1", "Crown", 30.0, 35.0, 1)]
+    cat = Catalog(spark, {
+        "booking_details": spark.createDataFrame([(1, 5, 2, 7, Decimal(1), "Annual", None)],
+                                                 "LEADID long, PlanId int, SupplierId int, ProductID int, BasicPremium decimal(18,4), PaymentPeriodicity string, issuanceDate timestamp_ntz"),
+        "life_plans": spark.createDataFrame([(5, 7, 2, "ULIP"), (5, 7, 2, "ulip "), (5, 7, 2, "Term")],
+                                            "PlanID int, ProductID int, SupplierID int, PayoutProdCat string")})
+    got = [r.PayoutProdCat for r in life.life_plan_details(cat, fixture_config()).collect()]
+    assert sorted(x.strip().upper() for x in got) == ["TERM", "ULIP"]
+
+
+def test_building_a_report_runs_no_job(spark, small_catalog):
+    from ledgerline.registry import specs
+
+    for n in small_catalog.names():
+        small_catalog.table(n)
+    sc = spark.sparkContext
+    sc.setJobGroup("build", "plans only")
+    for name, spec in specs().items():
+        if name != "combined_leads_shared_scan":  # stages the fact, as documented
+            spec.run(small_catalog)
+    assert not sc.statusTracker().getJobIdsForGroup("build")
+    sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_jdbc_requires_partitioned_bookings(spark):
+    with pytest.raises(ValueError):
+        Catalog.from_jdbc(spark, "jdbc:x", {"bookings": "b"})
+    cat = Catalog.from_jdbc(spark, "jdbc:x", {"bookings": "b", "status": "s"}, partitioning={
+        "bookings": {"column": "leadid", "lowerBound": 0, "upperBound": 9, "numPartitions": 3}})
+    assert cat.names() == ["bookings", "status"]
 
 
 def test_summary_is_aggregate_of_its_lead_rows(spark, small_catalog):
@@ -196,55 +246,6 @@ def test_accrual_c_not_above_accrual(spark, small_catalog):
     assert rows and all(r.Accrual_Net_C <= r.Accrual_Net + 1e-9 for r in rows if r.Accrual_Net is not None)
 
 
-def test_lookup_join_fallback_when_left_hot_rows_exceed_bound(spark):
-    from ledgerline.operators.joins import hot_keys, lookup_join
-
-    left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "leadid long, x string")
-    right = spark.createDataFrame([(1, i) for i in range(4)] + [(2, 9)], "_lead long, v int")
-    hot = hot_keys(right, ["_lead"], 2)
-    expected = sorted(tuple(r) for r in left.join(right, left["leadid"] == right["_lead"], "left").collect())
-    for bound in (0, 10):  # 0: two left rows carry the hot key -> plain join; 10: split
-        got = lookup_join(left, right, ["leadid"], ["_lead"], hot, "left", max_left_hot_rows=bound)
-        assert sorted(tuple(r) for r in got.collect()) == expected
-
-
-@pytest.mark.parametrize("report", ["motor_leads", "health_fresh_leads", "life_leads", "health_renewal_leads"])
-def test_reports_identical_when_every_lookup_key_is_hot(spark, small_catalog, report):
-    """Force the hot-key split on every lead-keyed lookup: same rows as the plain join."""
-    import dataclasses
-
-    from ledgerline.plans import health, life, motor
-    from ledgerline.sources.fixtures import fixture_catalog
-
-    if report == "health_renewal_leads":  # no renewal rows at the smallest scale
-        small_catalog = fixture_catalog(spark, "/root/testdata/sf0.01")
-
-    fn = {"motor_leads": motor.motor_leads, "health_fresh_leads": health.health_fresh_leads,
-          "life_leads": life.life_leads, "health_renewal_leads": health.health_renewal_leads}[report]
-    cfg = fixture_config()
-    hot_cfg = dataclasses.replace(cfg, hot_key_rows=0, max_hot_keys=10**7)
-    plain = sorted(tuple(r) for r in fn(small_catalog, cfg).collect())
-    split = sorted(tuple(r) for r in fn(small_catalog, hot_cfg).collect())
-    assert plain and plain == split
-
-
-@pytest.mark.parametrize("report", ["motor_leads", "life_leads", "sme_summary"])
-def test_reports_identical_when_dimensions_exceed_the_broadcast_bound(spark, small_catalog, report):
-    """With a row bound of 1 no dimension is broadcast (shuffle joins): same rows."""
-    import dataclasses
-
-    from ledgerline.plans import life, motor, sme
-    from ledgerline.sources.fixtures import fixture_catalog
-
-    fn, variant = {"motor_leads": (motor.motor_leads, C.CURRENT), "life_leads": (life.life_leads, C.CURRENT),
-                   "sme_summary": (sme.sme_summary, C.SUMMARY)}[report]
-    cfg = fixture_config(variant)
-    plain = sorted(tuple(r) for r in fn(small_catalog, cfg).collect())
-    fresh = fixture_catalog(spark, "/root/testdata/sf0.001")  # no memoised broadcast decisions
-    shuffled = fn(fresh, dataclasses.replace(cfg, max_broadcast_rows=1))
-    assert plain and plain == sorted(tuple(r) for r in shuffled.collect())
-
-
 def test_run_reports_returns_the_six_reports_under_one_condition(spark, small_catalog):
     from ledgerline.functions.text import eq
     from ledgerline.plans import combine
@@ -305,7 +306,7 @@ def test_taxi_remap_business_types_and_compliance(spark):
     assert [r.b for r in bt.select(health.health_bt(C.CURRENT).alias("b")).collect()] == ["New", "New", "Port", None, None]
     assert [r.b for r in bt.select(health.health_bt(C.SUMMARY).alias("b")).collect()][3] == "Renewal"
 
-    mt = spark.createDataFrame([(1, "New"), (2, "rollover"), (3, "Renewal"), (4, None)], "Leadid long, PBPBusinessType string")
+    mt = spark.createDataFrame([(1, "New"), (2, "rollover"), (3, "Renewal"), (4, None)], "Leadid long, MotorBusinessType string")
     cat = Catalog(spark, {"business_type": mt})
     assert [r.Motor_bt for r in motor.motor_business_type(cat).orderBy("_bt_lead").collect()] == \
         ["New", "New", "Renewal", "Renewal"]
