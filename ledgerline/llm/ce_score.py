@@ -1,8 +1,7 @@
 """LM scoring: cross-entropy difference of two matched n-gram models.
 
-The target model is counted over documents labelled good (a hash-chosen sample of at
-most ``max_target_rows`` of them), the background model over all documents. Both are
-interpolated word bigram models over the same hashed vocabulary (``unigrams`` word
+The target model is counted over all documents labelled good, the background model over
+all documents. Both are interpolated word bigram models over the same hashed vocabulary (``unigrams`` word
 buckets, ``bigrams`` pair buckets) with the same smoothing. Every document is scored by
 the mean difference of its tokens' losses, target minus background: below 0 it is
 closer to the target than to the corpus.
@@ -36,7 +35,6 @@ class Bigrams:
     bigrams: int = 1 << 19
     weight: float = 0.6       # of the bigram part
     smoothing: float = 0.1
-    max_target_rows: int = 50_000
 
 
 def token_ids(words: np.ndarray, how: Bigrams) -> tuple[np.ndarray, np.ndarray]:
@@ -74,10 +72,8 @@ def _count(batches, how: Bigrams):
 
 def count(docs: DataFrame, target: DataFrame, how: Bigrams = Bigrams()) -> DataFrame:
     """``bucket, n, n_target`` over all documents; ``target``: ids of good documents."""
-    ids = target.where("doc_id IS NOT NULL").select("doc_id").distinct()
-    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(how.max_target_rows).withColumnRenamed("doc_id", "_id")
-    # the sample is bounded by `max_target_rows`, so it may be broadcast
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), F.expr("doc_id = _id"), "left")
+    ids = target.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("_id")).distinct()
+    rows = docs.select("doc_id", "text").join(ids, F.expr("doc_id = _id"), "left")
     rows = rows.select("text", F.expr("_id IS NOT NULL AS good"))
     counted = map_arrow(rows, lambda it: _count(it, how), "bucket int, n long, n_target long")
     return counted.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
