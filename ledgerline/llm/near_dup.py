@@ -13,6 +13,10 @@ in one component already and looks further back, so a large group of near copies
 a few candidates per member, never all pairs, and links that the first round missed are
 still looked for. Estimates only drop pairs far from the limit.
 
+No region is left half seen: a scan reports the regions (rows of one order that share
+``PREFIX`` values) that reach further back than it looked. As long as such a region
+holds more than one component, it is scanned again, ``FURTHER`` times as far back.
+
 Orders are range partitioned on the whole key (a crowded region spans several tasks);
 rows near a partition's ends meet in a second, small scan.
 
@@ -38,6 +42,8 @@ from .hashing import mix, text_buffers, word_hashes
 U = np.uint64
 TREES, DEPTH, PREFIX, SKETCH = 32, 8, 4, 128
 LABEL = 2 * DEPTH  # bytes
+FURTHER = 8
+FLUSH = 1 << 20    # candidate pairs held at once
 _RNG = np.random.Generator(np.random.PCG64(8))
 _ODD = _RNG.integers(0, 2**63, TREES * DEPTH, dtype=np.uint64) * U(2) + U(1)
 _XOR = _RNG.integers(0, 2**63, TREES * DEPTH, dtype=np.uint64)
@@ -112,15 +118,17 @@ def sketches(docs: DataFrame, how: Forest) -> DataFrame:
 
 def _scan(batches, look: int, how: Forest, ends: bool):
     """Candidate pairs among rows in sorted order; with ``ends`` also the rows that may
-    have neighbours in the partitions before and after (``b`` null)."""
+    have neighbours in the partitions before and after (``b`` null). Regions that reach
+    back further than ``look`` come as rows with ``a`` null."""
     import pyarrow as pa
 
     def columns(table):
         n = len(table)
         label = np.frombuffer(b"".join(table["label"].to_pylist()), np.uint16).reshape(n, DEPTH)
+        region = np.ascontiguousarray(label[:, :PREFIX]).view(np.uint64)[:, 0]
         have = table["sketch"].null_count == 0 and n > 0
         sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(n, SKETCH) if have else None
-        return [table[c].to_numpy(zero_copy_only=False) for c in ("t", "node", "component", "n")], label, sketch
+        return [table[c].to_numpy(zero_copy_only=False) for c in ("t", "node", "component", "n")], region, sketch
 
     def out(a, b, rows=None):
         k = len(a)
@@ -131,23 +139,29 @@ def _scan(batches, look: int, how: Forest, ends: bool):
     def edge_rows(rows):
         return out(rows["node"], pa.nulls(len(rows), pa.int64()), rows)
 
-    carry, first = None, ends
+    def pair_rows(pairs):
+        got = np.unique(np.concatenate(pairs, 1), axis=1)
+        return out(got[0], pa.array(got[1], pa.int64()))
+
+    carry, seen, marked = None, 0, None
     for batch in batches:
         if not len(batch):
             continue
-        if first:
-            yield edge_rows(batch.slice(0, look))
-            first = False
+        if ends and seen < look:
+            yield edge_rows(batch.slice(0, look - seen))
+        seen += len(batch)
         old = 0 if carry is None else len(carry)
         if old:
             batch = pa.Table.from_batches([carry, batch]).combine_chunks().to_batches()[0]
-        (t, node, component, n), label, sketch = columns(batch)
-        pairs = []
-        for lag in range(1, min(look, len(batch) - 1) + 1):
-            i = np.arange(max(lag, old), len(batch))
-            j = i - lag
-            ok = (t[i] == t[j]) & (label[i, :PREFIX] == label[j, :PREFIX]).all(1)
-            ok &= (component[i] != component[j]) & (node[i] != node[j])
+        (t, node, component, n), region, sketch = columns(batch)
+        pairs, held, lag = [], 0, 0
+        here = np.arange(old, len(batch))  # rows whose region reaches back that far
+        while lag < look and len(here):
+            lag += 1
+            here = here[here >= lag]
+            here = here[(t[here] == t[here - lag]) & (region[here] == region[here - lag])]
+            i, j = here, here - lag
+            ok = (component[i] != component[j]) & (node[i] != node[j])
             ok &= 100 * np.minimum(n[i], n[j]) >= how.similar * np.maximum(n[i], n[j])
             i, j = i[ok], j[ok]
             if sketch is not None and len(i):
@@ -155,25 +169,42 @@ def _scan(batches, look: int, how: Forest, ends: bool):
                 i, j = i[near], j[near]
             if len(i):
                 pairs.append(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])]))
+                held += len(i)
+                if held >= FLUSH:
+                    yield pair_rows(pairs)
+                    pairs, held = [], 0
         if pairs:
-            got = np.unique(np.concatenate(pairs, 1), axis=1)
-            yield out(got[0], pa.array(got[1], pa.int64()))
+            yield pair_rows(pairs)
+        if len(here):  # at the end of the look, one row for each region that goes on
+            first = [int(i) for k, i in enumerate(here) if not k or (t[i], region[i]) != (t[here[k - 1]], region[here[k - 1]])]
+            if (t[first[0]], region[first[0]]) == marked:
+                del first[0]
+            marked = (t[here[-1]], region[here[-1]])
+            if first:
+                rows = batch.take(pa.array(first))
+                yield out(pa.nulls(len(first), pa.int64()), pa.nulls(len(first), pa.int64()), rows)
         carry = batch.slice(max(0, len(batch) - look))
     if ends and carry is not None:
-        yield edge_rows(carry)
+        done = min(look, seen) - (seen - len(carry))  # rows of the end that were sent as rows of the start
+        yield edge_rows(carry.slice(max(0, done)))
 
 
 _SCANNED = "a long, b long, t int, label binary, component long, n long, sketch binary"
+_REGION = f"substring(label, 1, {2 * PREFIX})"
+#: A region as one column: order number, then prefix.
+REGION = f"concat(cast(cast(t AS STRING) AS BINARY), {_REGION})"
 
 
-def _neighbours(rows: DataFrame, look: int, how: Forest) -> DataFrame:
-    """Candidate pairs ``a, b`` of ``t, label, node, component, n, sketch`` rows."""
+def _neighbours(rows: DataFrame, look: int, how: Forest) -> tuple[DataFrame, DataFrame]:
+    """Of ``t, label, node, component, n, sketch`` rows: candidate pairs ``a, b``, and the
+    ``region`` s that reach back further than ``look``."""
     ordered = rows.repartitionByRange("t", "label", "node").sortWithinPartitions("t", "label", "node")
     got = stage_table(map_arrow(ordered, lambda it: _scan(it, look, how, True), _SCANNED), "candidates")
-    ends = got.where("b IS NULL").withColumnRenamed("a", "node").drop("b")
-    ends = ends.repartition("t", F.expr(f"substring(label, 1, {2 * PREFIX})")).sortWithinPartitions("t", "label", "node")
-    more = map_arrow(ends, lambda it: _scan(it, look, how, False), _SCANNED)
-    return got.where("b IS NOT NULL").unionByName(more).select("a", "b").distinct()
+    ends = got.where("a IS NOT NULL AND b IS NULL").withColumnRenamed("a", "node").drop("b")
+    ends = ends.repartition("t", F.expr(_REGION)).sortWithinPartitions("t", "label", "node")
+    more = stage_table(map_arrow(ends, lambda it: _scan(it, look, how, False), _SCANNED).drop("component", "n", "sketch"), "candidates")
+    both = got.select("a", "b", "t", "label").unionByName(more)
+    return both.where("b IS NOT NULL").select("a", "b").distinct(), both.where("a IS NULL").select(F.expr(REGION).alias("region")).distinct()
 
 
 def _trees(classes: DataFrame, first: int, last: int) -> DataFrame:
@@ -189,6 +220,31 @@ def _confirm(pairs: DataFrame, sets: DataFrame, how: Forest) -> DataFrame:
     return both.where(f"100L * i >= {how.similar}L * (total - i)").select("a", "b")
 
 
+def _placed(crowd: DataFrame, known: DataFrame | None) -> DataFrame:
+    """The classes with their components so far."""
+    if known is None:
+        return crowd.withColumn("component", F.col("node"))
+    now = crowd.join(known.select(F.col("node").alias("_n"), "component"), F.expr("node = _n"), "left").drop("_n")
+    return now.withColumn("component", F.coalesce("component", "node"))
+
+
+def _grown(found: DataFrame, known: DataFrame | None) -> DataFrame:
+    """Components after more links."""
+    if known is not None:
+        found = found.unionByName(known.select(F.col("node").alias("a"), F.col("component").alias("b")))
+    return connected_components(found)
+
+
+def _unseen(now: DataFrame, regions: DataFrame) -> DataFrame:
+    """The rows, in all orders, of those ``regions`` that hold more than one component."""
+    bare = _trees(now.withColumn("sketch", F.lit(None).cast("binary")), 0, TREES).drop("sketch").withColumn("region", F.expr(REGION))
+    rows = stage_table(salted_join(bare, regions, "region", F.col("node"), 8, "left_semi"), "unseen")
+    several = rows.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("region")
+    rows = salted_join(rows, several, "region", F.col("node"), 8, "left_semi").drop("region")
+    sketch = now.select(F.col("node").alias("_n"), "sketch")
+    return stage_table(rows.join(sketch, F.expr("node = _n")).select("t", "label", "node", "component", "n", "sketch"), "unseen")
+
+
 def link(docs: DataFrame, how: Forest = Forest()) -> DataFrame:
     """One row per row of ``doc_id, text``: ``doc_id, n_shingles, component_id, kept``."""
     rows = stage_table(sketches(docs, how), "sketches")
@@ -198,7 +254,7 @@ def link(docs: DataFrame, how: Forest = Forest()) -> DataFrame:
     bare = classes.withColumn("sketch", F.lit(None).cast("binary"))
 
     # classes that have a neighbour in any order; only their sets are made
-    pairs = _neighbours(_trees(bare, 0, TREES), 1, how)
+    pairs, _ = _neighbours(_trees(bare, 0, TREES), 1, how)
     near = stage_table(pairs.select(F.explode(F.array("a", "b")).alias("_near")).distinct(), "near")
     crowd = stage_table(classes.join(near, F.expr("node = _near"), "left_semi").drop("component"), "crowd")
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("node"), F.col("text").alias("_text"))
@@ -216,16 +272,19 @@ def link(docs: DataFrame, how: Forest = Forest()) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part["node"], pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["node", "s"])
 
     sets = stage_table(map_arrow(texts, make, "node long, s array<long>"), "sets")
-    known = None
+    known, regions, look = None, None, 0
     for first, last, look in how.rounds:
-        now = crowd.withColumn("component", F.col("node"))
-        if known is not None:
-            now = crowd.join(known.select(F.col("node").alias("_n"), "component"), F.expr("node = _n"), "left").drop("_n")
-            now = now.withColumn("component", F.coalesce("component", "node"))
-        found = _confirm(_neighbours(_trees(now, first, last), look, how), sets, how)
-        if known is not None:
-            found = found.unionByName(known.select(F.col("node").alias("a"), F.col("component").alias("b")))
-        known = connected_components(found)
+        found, further = _neighbours(_trees(_placed(crowd, known), first, last), look, how)
+        known = _grown(_confirm(found, sets, how), known)
+        regions = further if regions is None else regions.unionByName(further)
+    # regions that the rounds have not seen through: further back, until none is left
+    while True:
+        unseen = _unseen(_placed(crowd, known), stage_table(regions.distinct(), "regions"))
+        if unseen.isEmpty():
+            break
+        look *= FURTHER
+        found, regions = _neighbours(unseen, look, how)
+        known = _grown(_confirm(found, sets, how), known)
     # only classes of several rows or with a link need a join; the rest stand alone
     named = per_set.join(known.select(F.col("node").alias("_n"), "component"), F.expr("node = _n"), "left")
     named = named.where("c > 1 OR component IS NOT NULL").select("set_id", F.coalesce("component", "node").alias("component"))

@@ -292,6 +292,47 @@ def test_near_dup_groups(docs_of):
     assert all(x.kept == (x.doc_id == x.component_id) for x in out)
 
 
+def test_near_dup_crowd(docs_of):
+    """Texts that share a long passage but are no copies, with single links among them:
+    the same links, however little the rounds look at."""
+    r = random.Random(88)
+    base = prose(880, 150).split()
+    tail = lambda n: [f"w{r.randrange(10**9)}" for _ in range(n)]
+    rows = []
+    for k in range(150):
+        own = tail(26)
+        rows.append((k, " ".join(base + own)))
+        if k % 10 == 0:
+            rows.append((1000 + k, " ".join(base + own[:18] + tail(8))))
+    want = brute.near_dup(rows)
+    assert sum(c != i for i, _, c in want) == 15
+    for rounds in (near_dup.Forest().rounds, ((0, 32, 1),)):
+        out = near_dup.link(docs_of(rows), near_dup.Forest(rounds=rounds)).collect()
+        assert sorted((x.doc_id, x.n_shingles, x.component_id) for x in out) == want
+
+
+def test_near_dup_scan():
+    """Batches of any size give the same pairs, ends and unfinished regions."""
+    import numpy as np
+    import pyarrow as pa
+
+    r = np.random.default_rng(8)
+    n, how = 90, near_dup.Forest()
+    label = [bytes([int(k > 60)] * 8 + [0] * 8) for k in range(n)]
+    whole = pa.RecordBatch.from_arrays(
+        [pa.array([0] * n, pa.int32()), pa.array(label, pa.binary()), pa.array(range(n), pa.int64()), pa.array(r.integers(0, 50, n), pa.int64()),
+         pa.array([100] * n, pa.int64()), pa.nulls(n, pa.binary())], names=["t", "label", "node", "component", "n", "sketch"])
+    seen = []
+    for size in (1, 7, 90):
+        rows = [x for b in near_dup._scan((whole.slice(i, size) for i in range(0, n, size)), 40, how, True) for x in b.to_pylist()]
+        pairs = {(x["a"], x["b"]) for x in rows if x["b"] is not None}
+        ends = sorted(x["a"] for x in rows if x["a"] is not None and x["b"] is None)
+        seen.append((pairs, ends, {x["label"][:8] for x in rows if x["a"] is None}))
+    c = whole["component"].to_pylist()
+    want = {(j, i) for i in range(n) for j in range(max(0, i - 40), i) if label[i] == label[j] and c[i] != c[j]}
+    assert seen == [(want, [*range(40), *range(50, n)], {label[0][:8]})] * 3
+
+
 def test_near_dup_edges(edge):
     out = near_dup.link(edge)
     rows = {(x.doc_id, x.n_shingles): x.component_id for x in out.collect()}
