@@ -23,10 +23,11 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, wider
+from .common import map_arrow, salted_join, wider
 from .hashing import mix, text_buffers, word_hashes
 
 U = np.uint64
+SALTS = 8
 
 
 @dataclass(frozen=True)
@@ -72,9 +73,10 @@ def _count(batches, how: Bigrams):
 
 def count(docs: DataFrame, target: DataFrame, how: Bigrams = Bigrams()) -> DataFrame:
     """``bucket, n, n_target`` over all documents; ``target``: ids of good documents."""
-    ids = target.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("_id")).distinct()
-    rows = docs.select("doc_id", "text").join(ids, F.expr("doc_id = _id"), "left")
-    rows = rows.select("text", F.expr("_id IS NOT NULL AS good"))
+    ids = target.where("doc_id IS NOT NULL").select("doc_id", F.lit(True).alias("_good")).distinct()
+    # ids grow with the corpus, so they are merged, never broadcast: one plan at every size
+    rows = salted_join(docs.select("doc_id", "text"), ids.hint("merge"), "doc_id", F.col("text"), SALTS)
+    rows = rows.select("text", F.expr("_good IS NOT NULL AS good"))
     counted = map_arrow(rows, lambda it: _count(it, how), "bucket int, n long, n_target long")
     return counted.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
 
