@@ -79,7 +79,7 @@ class FixtureTables:
         return self._once("base_first", build)
 
     # -- relations ------------------------------------------------------------
-    def bookings(self) -> DataFrame:
+    def first_bookings(self) -> DataFrame:
         def build():
             b = self.base_first()
             price = _dec(F.col("l_extendedprice"), 12, 2)
@@ -128,11 +128,33 @@ class FixtureTables:
                 .otherwise(F.col("l_shipdate") - F.expr("INTERVAL 120 DAYS")).alias("PolicyEndDate"),
             )
 
+        return self._once("first_bookings", build)
+
+    def bookings(self) -> DataFrame:
+        """The first bookings, and for line 1 of each order a renewal of that booking
+        around the end of its policy."""
+
+        def build():
+            b = self.first_bookings()
+            r = b.where("leadid % 10 = 1")
+            changed = {
+                "leadid": "leadid + 7",
+                "ProductId": "CASE leadid % 30 WHEN 1 THEN 130 WHEN 11 THEN 190 ELSE 224 END",
+                "BusinessType": "CASE WHEN leadid % 4 = 1 THEN 'Renewal' ELSE 'RENEWAL ' END",
+                "StatusId": "CASE leadid % 40 WHEN 1 THEN 41 WHEN 11 THEN 42 WHEN 21 THEN 43 ELSE 44 END",
+                "Status": "CASE leadid % 40 WHEN 1 THEN 'Policy Issued' WHEN 11 THEN 'Sale Complete' "
+                          "WHEN 21 THEN 'Booked' ELSE 'Soft Copy Received' END",
+                "BookingDate": "PolicyEndDate + INTERVAL '1' DAY * CAST(leadid % 191 - 95 AS INT) + INTERVAL '10' HOUR",
+                "PolicyStartDate": "PolicyEndDate",
+                "PolicyEndDate": "PolicyEndDate + INTERVAL '365' DAY",
+            }
+            return b.unionByName(r.selectExpr(*[f"{changed.get(c, f'`{c}`')} AS `{c}`" for c in b.columns]))
+
         return self._once("bookings", build)
 
     def booking_details(self) -> DataFrame:
         b = self.bookings()
-        return b.where(F.col("leadid") % 10 != 7).select(
+        out = b.where(F.col("leadid") % 10 != 7).select(
             F.col("leadid").alias("LEADID"),
             F.col("ProductId").alias("ProductID"),
             case_map(F.col("leadid") % 5, {0: 300000, 1: 500000, 2: 750000, 3: 1000000}, None)
@@ -143,6 +165,8 @@ class FixtureTables:
             case_map(F.col("leadid") % 4, {0: "Single", 1: "single pay"}, "Annual").alias("PaymentPeriodicity"),
             F.col("BookingDate").alias("issuanceDate"),
         )
+        # a second row with another sum for every 11th lead
+        return out.unionByName(out.where("LEADID % 11 = 0").withColumn("SumInsured", F.lit(250000)))
 
     def verification(self) -> DataFrame:
         # from the un-deduplicated base: repeated lead ids on purpose (fan-out case)
@@ -153,7 +177,7 @@ class FixtureTables:
 
     def contest(self) -> DataFrame:
         p = F.col("ProductId")
-        return self.bookings().where(F.col("leadid") % 13 == 0).select(
+        out = self.bookings().where(F.col("leadid") % 13 == 0).select(
             F.col("leadid").alias("MatrixLeadId"),
             F.when(p.isin(186, 187, 188), F.lit("Motor"))
             .when(p.isin(7, 115, 200), F.lit("life"))
@@ -162,6 +186,7 @@ class FixtureTables:
             F.col("BookingDate").cast("date").alias("ContestMonth"),
             F.when(F.col("leadid") % 3 == 0, F.lit(0)).otherwise(F.lit(1)).alias("IsActive"),
         )
+        return out.unionByName(out.where("MatrixLeadId % 26 = 0"))
 
     def partners(self) -> DataFrame:
         def build():
@@ -200,15 +225,19 @@ class FixtureTables:
 
     def lead_referral(self) -> DataFrame:
         l = F.col("leadid")
-        return self.bookings().where((l % 10 <= 6) & (l % 8 != 0)).select(
+        out = self.bookings().where((l % 10 <= 6) & (l % 8 != 0)).select(
             (l + 1).alias("LeadID"), l.alias("ReferralID"))
+        # the renewals refer to the booking they renew, every third one twice
+        renewed = self.first_bookings().where("leadid % 10 = 1").selectExpr("leadid + 7 AS LeadID", "leadid AS ReferralID")
+        return out.unionByName(renewed).unionByName(renewed.where("ReferralID % 3 = 0"))
 
     def business_type(self) -> DataFrame:
         l = F.col("leadid")
-        return self.bookings().where(l % 10 != 5).select(
+        out = self.bookings().where(l % 10 != 5).select(
             l.alias("Leadid"),
             case_map(l % 4, {0: "New", 1: "Rollover", 2: "Renewal"}, None).cast("string").alias("MotorBusinessType"),
         )
+        return out.unionByName(out.where("Leadid % 12 = 1"))
 
     def status(self) -> DataFrame:
         rows = [(13, "Booked"), (39, "Payment Done"), (41, "Policy Issued"), (42, "Sale Complete"),
@@ -225,7 +254,8 @@ class FixtureTables:
 
     def pay_term(self) -> DataFrame:
         l = F.col("leadid")
-        return self.bookings().where(l % 10 != 6).select(l.alias("LeadId"), (l % 7).cast("int").alias("PayTerm"))
+        out = self.bookings().where(l % 10 != 6).select(l.alias("LeadId"), (l % 7).cast("int").alias("PayTerm"))
+        return out.unionByName(out.where("LeadId % 9 = 0"))
 
     def partner_quarter(self) -> DataFrame:
         o = self._read("orders")

@@ -32,9 +32,20 @@ def test_query_matches_oracle(spark, con, name):
     dcols = [d[0] for d in cur.description]
     drows = cur.fetchall()
     assert sorted(sdf.columns) == sorted(dcols)
+    assert srows, "an empty result tests nothing"
     assert rows_of(sdf.columns, srows) == rows_of(dcols, drows)
 
 
+def test_renewal_rows_cover_the_cases(spark):
+    rows = E.queries()["health_renewal_leads_no_sell_now"](spark, "/root/testdata/sf0.01").collect()
+    assert len(rows) >= 100
+    leads = [r["leadid"] for r in rows]
+    assert len(set(leads)) < len(leads)  # duplicate referrals, deals and details
+    assert {r["special_deal_flag"] for r in rows} == {0, 1}
+    assert {r["Qtr_Locking_Date"] is None for r in rows} == {True, False}  # late bookings
+    assert any(r["Accrual_Net_Ins"] == 0 for r in rows)  # PSU insurers
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() >= 0 and len(df.columns) > 10
