@@ -1,6 +1,7 @@
 """The ten operators and their queries against brute force on small whole tables."""
 
 import base64
+import collections
 import hashlib
 import math
 import random
@@ -411,6 +412,38 @@ def test_ce_difference(spark, docs_of):
     assert math.isclose(of[0][0].ce_background, loss / len(one), rel_tol=1e-5)
 
 
+def test_ce_difference_every_word(spark, docs_of, monkeypatch):
+    # far more words and pairs than any table of fixed size holds apart: by plain loops over the words themselves
+    monkeypatch.setattr(ce_score, "SHARE", 20_000)
+    rng = random.Random(10)
+    texts = [[f"w{int(90_000 * rng.random() ** 1.5)}" for _ in range(400)] for _ in range(500)] + [[f"only{i}" for i in range(90_000)]]
+    rows = [(i, " ".join(w)) for i, w in enumerate(texts)] + [(900, None), (None, "w1 w2")]
+    target = [i for i in range(0, 500, 3)]
+    out = ce_score.cross_entropy_difference(docs_of(rows), spark.createDataFrame([(i,) for i in target], "doc_id long"))
+    of = {r.doc_id: r for r in out.collect()}
+    assert len(of) == len(rows) and of[900].score is None and of[None].n_tokens == 2
+    how = ce_score.Bigrams()
+    every = {i: (t or "").split() for i, t in rows}
+    models = []
+    for ids in (target, list(every)):
+        one = collections.Counter(w for i in ids for w in every[i])
+        models.append((one, collections.Counter(p for i in ids for p in zip(every[i], every[i][1:])), sum(one.values())))
+    vocabulary = len(models[1][0])
+    assert vocabulary > 2 * how.unigrams
+    for i in (0, 1, 2, 3, 499, 500, None):
+        want = []
+        for one, two, total in models:
+            loss = 0.0
+            for k, w in enumerate(every[i]):
+                p = (one[w] + how.smoothing) / (total + how.smoothing * vocabulary)
+                if k:
+                    before = every[i][k - 1]
+                    p = how.weight * (two[before, w] / one[before] if one[before] else p) + (1 - how.weight) * p
+                loss -= math.log(p)
+            want.append(loss / len(every[i]))
+        assert math.isclose(of[i].ce_target, want[0], rel_tol=1e-9) and math.isclose(of[i].ce_background, want[1], rel_tol=1e-9)
+
+
 # pipeline
 
 def test_pipeline(spark, docs_of):
