@@ -16,14 +16,17 @@ from ledgerline.llm.registry import VOCABULARY
 
 #: A document goes when no language reaches this probability.
 LEAST_LANGUAGE_SCORE = 0.5
+#: Or when its n-grams are this far (in standard deviations) from what its language has.
+LEAST_LANGUAGE_FIT = -2.0
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents whose language is known; trained on the stage's own labelled rows."""
+    """Keeps documents that look like a known language; trained on the stage's own labelled rows."""
     # whole rows are carried along as one column, so no name can clash
     rows = docs.select("doc_id", "text", "lang", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    named = langid.identify(rows, keep=("_row",))
-    return named.where(F.expr(f"lang_pred <> 'und' AND score >= {LEAST_LANGUAGE_SCORE}")).select("_row.*")
+    named = langid.identify(rows, keep=("_row",), fit=True)
+    known = f"lang_pred <> 'und' AND score >= {LEAST_LANGUAGE_SCORE} AND fit >= {LEAST_LANGUAGE_FIT}"
+    return named.where(F.expr(known)).select("_row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -131,6 +131,15 @@ def test_langid_pieces(monkeypatch):
     assert whole == sorted(x for g in langid.grams(LONG, how) for x in g.tolist())
 
 
+def test_langid_spelled(monkeypatch):
+    text = LONG + " 12 a1 \n\n  ?! é\u4e00 İx"
+    for piece in (langid.PIECE, 777):
+        monkeypatch.setattr(langid, "PIECE", piece)
+        for g, m in zip(langid.grams(text, langid.NaiveBayes()), langid.spelled(text), strict=True):
+            assert len(g) == len(m)
+    assert [m.tolist() for m in langid.spelled("a 1  b")] == [[True, False, False, False, True], [False, False, False, True]]
+
+
 # 4 mixing
 
 def test_mix(spark, edge):
@@ -467,6 +476,20 @@ def test_pipeline(spark, docs_of):
     assert all(len(g & kept) <= 1 for g in groups.values())
 
 
+def test_pipeline_language(spark, docs_of):
+    # a probability among languages is near 1 for any long text: other scripts and noise must go all the same
+    import corpus_pipeline as C
+
+    r = random.Random(3)
+    alphabets = ["abcdefghijklmnopqrstuvwxyz", "bcdfghjklmnpqrstvwxz", *("".join(map(chr, range(a, b))) for a, b in ((0x430, 0x450), (0x4E00, 0x5E00)))]
+    noise = ["".join(" " if r.random() < 0.16 else r.choice(letters) for _ in range(n)) for letters in alphabets for n in (60, 300, 2000) for _ in range(5)]
+    noise += ["".join(r.choice("#*$%&|<>!? 0123456789") for _ in range(300)) + " a" for _ in range(5)]
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source").collect()
+    rows = [tuple(x) for x in table] + [(-1 - i, t, None, "noise") for i, t in enumerate(noise)]
+    kept = {x.doc_id for x in C.language(spark, docs_of(rows), SF).select("doc_id").collect()}
+    assert kept == {x.doc_id for x in table if x.text and langid.LETTER.search(x.text)}
+
+
 def test_pipeline_edges(spark, docs_of):
     import corpus_pipeline as C
 
