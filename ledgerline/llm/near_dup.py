@@ -29,7 +29,7 @@ never expanded into pairs; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -253,8 +253,9 @@ def link(docs: DataFrame, how: Forest = Forest()) -> DataFrame:
         "node", "labels", "sketch", "n", F.col("node").alias("component")).distinct()
     bare = classes.withColumn("sketch", F.lit(None).cast("binary"))
 
-    # classes that have a neighbour in any order; only their sets are made
-    pairs, _ = _neighbours(_trees(bare, 0, TREES), 1, how)
+    # classes that share a region with any other, of whatever size: a fitting one may lie
+    # further back; only their sets are made
+    pairs, _ = _neighbours(_trees(bare, 0, TREES), 1, replace(how, similar=0))
     near = stage_table(pairs.select(F.explode(F.array("a", "b")).alias("_near")).distinct(), "near")
     crowd = stage_table(classes.join(near, F.expr("node = _near"), "left_semi").drop("component"), "crowd")
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("node"), F.col("text").alias("_text"))

@@ -321,6 +321,26 @@ def test_near_dup_crowd(docs_of):
         assert sorted((x.doc_id, x.n_shingles, x.component_id) for x in out) == want
 
 
+def test_near_dup_among_excerpts(docs_of):
+    """A pair whose neighbours in the orders are excerpts, too short to be similar to it."""
+    r = random.Random(85)
+    rows = []
+    for k in range(4):
+        full = prose(8500 + k, 600).split()
+        changed = list(full)
+        for at in range(20, 600, 75):
+            changed[at] = f"w{k}x{at}"
+        rows += [(1000 * k, " ".join(full)), (1000 * k + 900, " ".join(changed))]
+        for i in range(60):
+            gone = set(r.sample(range(40), 7))
+            rows.append((1000 * k + 1 + i, " ".join(w for p, w in enumerate(full) if p // 15 not in gone)))
+    want = brute.near_dup(rows)
+    component = {i: c for i, _, c in want}
+    assert all(component[1000 * k + 900] == 1000 * k and component[1000 * k + 1] > 1000 * k for k in range(4))
+    out = near_dup.link(docs_of(rows)).collect()
+    assert sorted((x.doc_id, x.n_shingles, x.component_id) for x in out) == want
+
+
 def test_near_dup_scan():
     """Batches of any size give the same pairs, ends and unfinished regions."""
     import numpy as np
