@@ -341,6 +341,14 @@ def test_near_dup_among_excerpts(docs_of):
     assert sorted((x.doc_id, x.n_shingles, x.component_id) for x in out) == want
 
 
+@pytest.mark.parametrize("similar", [85, 80])
+def test_near_dup_slack(similar):
+    """The one estimate of a pair, the same in all orders, hardly ever drops a pair at the limit."""
+    n, p = near_dup.SKETCH, similar / 100
+    least = p - near_dup.Forest(similar=similar).slack
+    assert sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(n + 1) if k / n < least) < 1e-9
+
+
 def test_near_dup_scan():
     """Batches of any size give the same pairs, ends and unfinished regions."""
     import numpy as np
