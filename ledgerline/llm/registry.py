@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, ce_score, langid, mixing, near_dup, pfp_dedup, quality, secret_scan, topk, url_reputation
+from . import (bpe, ce_score, langid, merkle, mixing, near_dup, nra, pfp_dedup, quality, secret_scan, ss_packing, topk,
+               url_reputation)
 from .common import table
 
 URL_RULES = [url_reputation.Rule(*r) for r in (
     ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))]
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+WORD_VOCABULARY = "word_bpe_49k.json"
 
 
 def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +78,22 @@ def op10_ce_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ce_score.cross_entropy_difference(table(spark, sf_dir, "documents"), good)
 
 
+def op11_nra_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nra.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tampering deletes the line breaks of every document whose id has an even checksum."""
+    return merkle.verify(table(spark, sf_dir, "documents"), "crc32(cast(doc_id AS STRING)) % 2 = 0", r"replace(text, '\n', '')")
+
+
+def op13_ss_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as P
+
+    cut = ss_packing.pieces(table(spark, sf_dir, "documents"), P.path(WORD_VOCABULARY))
+    return ss_packing.pack(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -85,4 +103,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_url_reputation, op2_topk_search, op3_langid, op4_mix_sources, op5_substring_dedup, op6_quality_rules,
-        op7_secret_scan, op8_near_dup, op9_bpe, op10_ce_difference, pipeline)}
+        op7_secret_scan, op8_near_dup, op9_bpe, op10_ce_difference, op11_nra_search, op12_merkle_manifest,
+        op13_ss_packing, pipeline)}

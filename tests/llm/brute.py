@@ -1,6 +1,7 @@
 """Plain single-process versions of the operators' contracts, for small fixtures."""
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -68,3 +69,67 @@ def secrets(text):
     out += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
     out += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24]
     return sorted(out)
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def ranked_search(docs, items, k=50):
+    """(item, rank, doc, score) by scoring every document for every item."""
+    low = lambda t: TERM.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    rows = [(i, Counter(w), len(w)) for i, w in ((i, low(t)) for i, t in docs) if w]
+    n, words = len(rows), sum(r[2] for r in rows)
+    df = Counter(t for _, tf, _ in rows for t in tf)
+    wanted = defaultdict(set)
+    for i, t in items:
+        wanted[i] |= set(low(t))
+    out = []
+    for item, terms in wanted.items():
+        scored = []
+        for i, tf, size in rows:
+            m = 50 + (50 * size * n) // words
+            score = sum(math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) * (10**9 * tf[t] // (1000 * tf[t] + 20 * m))
+                        for t in terms if t in tf)
+            if score > 0:
+                scored.append((-score, i is None, i or 0, i))
+        out += [(item, r, s[3], -s[0]) for r, s in enumerate(sorted(scored)[:k], 1)]
+    return sorted(out, key=str)
+
+
+def merkle(rows, tampered, change):
+    """(doc_id, leaf, subroot, root, proof, folded root, verified) of ``doc_id, source, lang, n_chars, text`` rows."""
+    def h(*x):
+        return hashlib.sha256("".join(x).encode()).hexdigest()
+
+    def leaf(*values):
+        return h(*("-" if v is None else f"{len(str(v).encode())}:{v}" for v in values))
+
+    def climb(level):
+        """Root and, per leaf, the (left, right) siblings of each level."""
+        paths, at = [[] for _ in level], list(range(len(level)))
+        while len(level) > 1:
+            for k, path in enumerate(paths):
+                run = at[k] // 3 * 3
+                path.append((level[run:at[k]], level[at[k] + 1:run + 3]))
+                at[k] //= 3
+            level = [h(*level[i:i + 3]) for i in range(0, len(level), 3)]
+        return level[0], paths
+
+    groups = defaultdict(list)
+    for r in rows:
+        seen = leaf(*r[:4], change(r[4])) if tampered(r[0]) else leaf(*r)
+        groups[(r[1] is not None, (r[1] or "").encode())].append((r[0] is not None, r[0] or 0, leaf(*r), r[0], seen))
+    names = sorted(groups)
+    done = [climb([x[2] for x in sorted(groups[g])]) for g in names]
+    if not names:
+        return []
+    root, above = climb([d[0] for d in done])
+    out = []
+    for g, (sub, paths), up in zip(names, done, above):
+        for x, path in zip(sorted(groups[g]), paths):
+            fold, proof = x[4], ""
+            for left, right in path + up:
+                proof += "".join(left + right)
+                fold = h(*left, fold, *right)
+            out.append((x[3], x[2], sub, root, h(proof), fold, fold == root))
+    return sorted(out, key=str)
