@@ -14,8 +14,8 @@ has a sixteenth of the rows at most. Pieces that fill a sequence need no packing
 
 Tokens come from the tokenizer library. For texts of the characters below U+0250 (without
 those whose classes differ) its normalizer and splitting pattern are a lower-casing and a standard
-library pattern, so words are looked up among those seen before and only new ones are
-encoded; any other text, and any tokenizer that is built otherwise, is encoded whole.
+library pattern, so words are looked up among those seen before and only new ones go
+through the tokenizer's model; any other text, and any tokenizer that is built otherwise, is encoded whole.
 
 Defined cases: a null or empty text is the end token alone; rows with one id are packed
 one by one; very long texts are cut into full pieces and a rest; clashing columns are
@@ -37,57 +37,64 @@ from .common import map_arrow, stage_table, wider
 ROOM = 4096
 BLOCK = 16_384     # pieces packed by one task
 FAN = 16           # blocks whose emptiest sequences meet
-CACHED = 200_000   # words remembered per task
+CACHED = 300_000   # words of a worker's younger cache; the older one holds as many
 ROWS = 200         # texts handled at once
 
 # The parts of the public tokenizer file that the fast path stands for.
 NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
 SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
-WORD_END = "</w>"
 # The same splits for the plain characters.
 PLAIN_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 NOT_PLAIN = re.compile("[^\x00-\x1b\x20-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ɏ]")
 
 
-class Words:
-    """Token ids of texts as little-endian unsigned 32-bit bytes."""
+# The characters that stand for bytes in a byte-level vocabulary: printable ones for themselves,
+# the others, in order, from U+0100 on.
+_SHOWN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+BYTE_CHARS = {b: b for b in _SHOWN} | {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+
+
+class Words(dict):
+    """Words -> their token ids as little-endian unsigned 32-bit bytes; ``encode`` takes whole texts.
+
+    At ``CACHED`` words this becomes the older cache, from which words still in use come back."""
 
     def __init__(self, raw: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
+        self.older: dict[str, bytes] = {}
         self.own = Tokenizer.from_str(raw)
+        self.model = self.own.model
         spec = json.loads(raw)
         normalizers = (spec.get("normalizer") or {}).get("normalizers")
         splitters = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
-        self.plain = (normalizers == NORMALIZERS and len(splitters) == 2 and splitters[1].get("type") == "ByteLevel"
-                      and splitters[0].get("pattern") == {"Regex": SPLIT} and spec["model"].get("end_of_word_suffix") == WORD_END)
+        self.plain = (normalizers == NORMALIZERS and len(splitters) == 2 and splitters[0].get("pattern") == {"Regex": SPLIT}
+                      and splitters[1].get("type") == "ByteLevel" and not splitters[1].get("use_regex") and not splitters[1].get("add_prefix_space"))
         # strings that the tokenizer takes as one token of their own, whatever stands around them
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
-        vocabulary = self.own.get_vocab()
-        self.last = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
-        for token, i in vocabulary.items():
-            self.last[i] = token.endswith(WORD_END)
-        self.known: dict[str, bytes] = {}
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.own.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def learn(self, words: list[str]) -> None:
-        for at in range(0, len(words), 5000):
-            some = words[at:at + 5000]
-            ids = np.array(self.own.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
-            ends = (np.flatnonzero(self.last[ids]) + 1) * 4  # a word's last token and no other has the mark
-            assert len(ends) == len(some)
-            raw = ids.tobytes()
-            self.known.update(zip(some, (raw[s:e] for s, e in zip([0, *ends.tolist()], ends.tolist()))))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > CACHED:
-            self.known.clear()
-        split = [PLAIN_SPLIT.findall(t.lower())
-                 if self.plain and not NOT_PLAIN.search(t) and not any(s in t for s in self.special) else None for t in texts]
-        self.learn(list({w for words in split if words for w in words}.difference(self.known)))
-        return [self.whole(t) if words is None else b"".join(map(self.known.__getitem__, words)) for t, words in zip(texts, split)]
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            shown = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(BYTE_CHARS)
+            ids = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
+        self[word] = ids
+        return ids
+
+    def encode(self, text: str) -> bytes:
+        if not self.plain or NOT_PLAIN.search(text) or any(s in text for s in self.special):
+            return np.array(self.own.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        if len(self) > CACHED:
+            self.older = dict(self)
+            self.clear()
+        return b"".join(map(self.__getitem__, PLAIN_SPLIT.findall(text.lower())))
+
+
+@lru_cache(maxsize=1)
+def _words(raw: str) -> Words:
+    """A Python worker keeps the tokenizer and its words from task to task."""
+    return Words(raw)
 
 
 def pieces(docs: DataFrame, path: str, end: int = 1, room: int = ROOM, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -99,13 +106,13 @@ def pieces(docs: DataFrame, path: str, end: int = 1, room: int = ROOM, keep: tup
     def run(batches):
         import pyarrow as pa
 
-        words, tail, width = Words(shared.value), np.array([end], "<u4").tobytes(), 4 * room
+        words, tail, width = _words(shared.value), np.array([end], "<u4").tobytes(), 4 * room
         for batch in batches:
             for at in range(0, len(batch), ROWS):
                 part = batch.slice(at, ROWS)
                 row, piece, start, ids = [], [], [], []
-                for i, raw in enumerate(words.encode([t or "" for t in part.column(len(keep)).to_pylist()])):
-                    raw += tail
+                for i, text in enumerate(part.column(len(keep)).to_pylist()):
+                    raw = words.encode(text or "") + tail
                     for k, p in enumerate(range(0, len(raw), width)):
                         row.append(i), piece.append(k), start.append(p // 4), ids.append(raw[p:p + width])
                 mine = part.take(pa.array(row, pa.int32()))
