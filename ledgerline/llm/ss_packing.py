@@ -55,7 +55,8 @@ BYTE_CHARS = {b: b for b in _SHOWN} | {b: 256 + k for k, b in enumerate(b for b
 
 
 class Words(dict):
-    """Words -> their token ids as little-endian unsigned 32-bit bytes; ``encode`` takes whole texts.
+    """Words, and runs of words without white space -> their token ids as little-endian unsigned
+    32-bit bytes; ``encode`` takes whole texts.
 
     At ``CACHED`` words this becomes the older cache, from which words still in use come back."""
 
@@ -76,10 +77,13 @@ class Words(dict):
 
     def __missing__(self, word: str) -> bytes:
         ids = self.older.get(word)
-        if ids is None:
+        if ids is None and len(parts := PLAIN_SPLIT.findall(word)) > 1:
+            ids = b"".join(map(self.__getitem__, parts))
+        elif ids is None:
             shown = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(BYTE_CHARS)
             ids = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
-        self[word] = ids
+        if len(word) <= 64:
+            self[word] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
@@ -88,7 +92,7 @@ class Words(dict):
         if len(self) > CACHED:
             self.older = dict(self)
             self.clear()
-        return b"".join(map(self.__getitem__, PLAIN_SPLIT.findall(text.lower())))
+        return b"".join(map(self.__getitem__, text.lower().split()))
 
 
 @lru_cache(maxsize=1)
