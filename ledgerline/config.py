@@ -150,6 +150,8 @@ class ReportConfig:
     lists: PartnerLists = field(default_factory=PartnerLists)
     # renewal / persistency "today" (the reference reads the clock)
     as_of: dt.date | None = None
+    # tasks over which one partner, status or plan is spread (None: see joins.salt_width)
+    salts: int | None = None
 
     def with_variant(self, variant: Variant) -> "ReportConfig":
         return replace(self, variant=variant)

@@ -15,10 +15,14 @@ from .text import q
 def month_start(c: str | Column) -> Column:
     """``DATEFROMPARTS(YEAR(c), MONTH(c), 1)`` as a DATE."""
     if isinstance(c, str):
-        return F.expr(f"trunc(CAST({q(c)} AS DATE), 'month')")
+        return F.expr(month_start_sql(c))
     return F.trunc(c.cast("date"), "month")
 
 
+def month_start_sql(name: str) -> str:
+    return f"trunc(CAST({q(name)} AS DATE), 'month')"
+
+
 def quarter_lock_sql(name: str) -> str:
     c = q(name)
     return (f"CASE WHEN month({c}) <= 3 THEN make_date(year({c}), 5, 15) "
@@ -44,8 +48,12 @@ def renewal_locking_date(prev_end: str, booked: str) -> Column:
     """Lock date of the quarter in which the prior policy ended, or NULL when the
     renewal was booked after that lock. ``booked`` keeps its time of day: a booking
     at 10:00 on the lock day is late."""
+    return F.expr(renewal_lock_sql(prev_end, booked))
+
+
+def renewal_lock_sql(prev_end: str, booked: str) -> str:
     lock = quarter_lock_sql(prev_end)
-    return F.expr(f"CASE WHEN {q(booked)} <= CAST({lock} AS TIMESTAMP_NTZ) THEN {lock} END")
+    return f"CASE WHEN {q(booked)} <= CAST({lock} AS TIMESTAMP_NTZ) THEN {lock} END"
 
 
 def quarter_label(c: str) -> Column:
@@ -60,7 +68,11 @@ def ts_literal(d: dt.date | dt.datetime) -> str:
 
 def in_window(c: str, lo: dt.date | dt.datetime, hi: dt.date | dt.datetime) -> Column:
     """Half-open ``lo <= c < hi`` with literal bounds (pushed down to the scan)."""
-    return F.expr(f"{q(c)} >= {ts_literal(lo)} AND {q(c)} < {ts_literal(hi)}")
+    return F.expr(window_sql(c, lo, hi))
+
+
+def window_sql(c: str, lo: dt.date | dt.datetime, hi: dt.date | dt.datetime) -> str:
+    return f"{q(c)} >= {ts_literal(lo)} AND {q(c)} < {ts_literal(hi)}"
 
 
 def _ts(d: dt.date | dt.datetime) -> dt.datetime:

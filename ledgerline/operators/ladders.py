@@ -85,6 +85,10 @@ def compile_ladder(rules, base: str, otherwise: str | None = None) -> Column:
 
 
 def classify(classes, otherwise: str, col: str = "Insurer Name") -> Column:
+    return F.expr(classify_sql(classes, otherwise, col))
+
+
+def classify_sql(classes, otherwise: str, col: str = "Insurer Name") -> str:
     """Label from ordered ``(label, equals, patterns)`` classes: a row gets the first
     label whose exact values (collation) or LIKE patterns match."""
     arms = []
@@ -94,7 +98,7 @@ def classify(classes, otherwise: str, col: str = "Insurer Name") -> Column:
             tests.append(_test(col, "kin", equals))
         tests.extend(_test(col, "like", p) for p in patterns)
         arms.append(f"WHEN {' OR '.join(tests)} THEN {_s(label)}")
-    return F.expr(f"CASE {' '.join(arms)} ELSE {_s(otherwise)} END")
+    return f"CASE {' '.join(arms)} ELSE {_s(otherwise)} END"
 
 
 # ---------------------------------------------------------------------------

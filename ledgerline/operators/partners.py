@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.text import eq, isin, key, like
 from ..sources.catalog import Catalog
-from .joins import salt_sql, spread
+from .joins import join_dimension
 
 UNIVERSE_COLUMNS = ("PartnerCode", "SellNowEnabled", "ComplianceCertified", "Markettype")
 LEGACY_UNIVERSE_COLUMNS = ("PartnerCode", "SellNowEnabled", "ComplianceCertified")
@@ -20,11 +20,11 @@ def partner_universe(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
     p = cat.table("partners")
     base = p.where(like("PartnerCode", C.PARTNER_CODE_PREFIX) & ~isin("Markettype", C.CURRENT_EXCLUDED_MARKETS)) \
         .select(*UNIVERSE_COLUMNS)
-    listed = cat.table("inclusion").select(key("PartnerCode").alias("_k")).distinct()
+    listed = cat.table("inclusion").select(key("PartnerCode").alias("_listed")).distinct()
     # one row per key (partially aggregated), so a repeated code cannot skew the anti join
     base_keys = base.select(key("PartnerCode").alias("_b")).distinct()
     extra = (
-        p.join(listed, key(p["PartnerCode"]) == listed["_k"], "left_semi")
+        p.join(listed, key(p["PartnerCode"]) == listed["_listed"], "left_semi")
         .join(base_keys, key(p["PartnerCode"]) == base_keys["_b"], "left_anti")
         .select(*UNIVERSE_COLUMNS)
     )
@@ -67,13 +67,12 @@ def attach_partner(bookings: DataFrame, cat: Catalog, cfg: C.ReportConfig) -> Da
     under the collation. Output starts with ``upper(PartnerCode)`` and the partner
     columns, followed by every booking column.
 
-    The universe is repeated per salt value and bookings are salted by lead id, so a
-    partner owning a large share of bookings is spread over several tasks; whether the
-    universe is broadcast is Spark's decision, by bytes.
+    A partner owning a large share of bookings is split by Spark's skew join or, with
+    ``cfg.salts``, spread by lead id; whether the universe is broadcast is Spark's decision, by bytes.
     """
     u = partner_dimension(cat, cfg)
     cols = [c for c in u.columns if c not in ("_pk", "PartnerCode")]
-    joined = bookings.join(spread(u), F.expr(f"upper(rtrim(Utm_term)) = _pk AND {salt_sql('leadid')}"), "inner")
+    joined = join_dimension(bookings, u, {"upper(rtrim(Utm_term))": "_pk"}, "inner", "leadid", cfg.salts)
     return joined.selectExpr(*[f"`{c}`" for c in ("PartnerCode", *cols, *bookings.columns)])
 
 

@@ -1,18 +1,23 @@
-"""Steps shared by the lead-level reports of every product line."""
+"""Steps shared by the lead-level reports of every product line.
+
+A line's row rules are SQL strings in stages (``{column: expression}`` dicts; a later stage
+reads the columns of earlier ones). The line's own report applies them one after another,
+the combined report under a line tag, so both run the same rules."""
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.dates import in_window, month_start, qtr_locking_date
-from ..functions.text import key, key_sql, like
+from ..functions.dates import month_start_sql, quarter_lock_sql, window_sql
+from ..functions.text import key, key_sql, like, norm, s
 from ..operators.deals import special_deals
 from ..operators.joins import copies_sql, counted_lookup, expand, multiplicity
-from ..sources.catalog import PARTITION_MONTH, Catalog
+from ..sources.catalog import PARTITION_MONTH, Catalog, key_column
 
 # Money columns leave a report as DOUBLE: amounts are computed exactly in DECIMAL up to
 # the insurer step and converted once, so both engines of a comparison agree bit for bit.
@@ -25,63 +30,101 @@ MONEY = frozenset({
 # Summary measures that are counts of rows.
 COUNTS = frozenset({"motor_booked", "motor_cancelled"})
 
+# Columns of the fact that some line reads.
+FACT_COLUMNS = (
+    "Utm_term", "leadid", "TotalPremium", "APE", "Net Premium", "ProductId", "IsComplianceN", "Insurer Name",
+    "PlanName", "BookingMode", "BookingDate", "BusinessType", "SubProduct", "VehicleSubClass", "ODPremium",
+    "TPPremium", "ODTerm", "TPTerm", "Status", "StatusId", "PolicyStartDate",
+)
+
+Rules = list[dict[str, str]]
+
+
+def same(name: str) -> str:
+    return name
+
 
 def ints(values) -> str:
     """SQL list of integer literals."""
     return ", ".join(str(int(v)) for v in values)
 
 
-def flag(condition_sql: str) -> Column:
+def flag_sql(condition: str) -> str:
     """0/1 flag from a SQL condition (NULL counts as 0, as in ``CASE WHEN``)."""
-    return F.expr(f"CASE WHEN {condition_sql} THEN 1 ELSE 0 END")
+    return f"CASE WHEN {condition} THEN 1 ELSE 0 END"
+
 
+def fact_in_sql(fact: DataFrame, column: str, values) -> str:
+    """``column IN (values)`` under the collation. Where the stored fact keeps the column's
+    comparison key, the test is on that key and reaches the scan as a pushed filter."""
+    name = key_column(column)
+    left = f"`{name}`" if name in fact.columns else key_sql(column)
+    return f"{left} IN ({', '.join(s(norm(v)) for v in values)})"
 
-def bookings_in_period(cat: Catalog, cfg: C.ReportConfig, products, extra: Column | None = None) -> DataFrame:
-    """Fact rows of the given products booked inside the period. The predicate uses
-    literal bounds and an integer set, so it reaches the scan as pushed filters."""
-    cond = F.expr(f"ProductId IN ({ints(products)})") & in_window("BookingDate", cfg.period.min_date, cfg.period.max_date)
-    if extra is not None:
-        cond = cond & extra
-    fact = cat.table("bookings")
-    return fact.where(cond & month_partitions(fact, cfg.period.min_date, cfg.period.max_date)).drop(PARTITION_MONTH) \
-        if PARTITION_MONTH in fact.columns else fact.where(cond)
 
+def in_period_sql(fact: DataFrame, products, lo, hi, extra: str | None = None) -> str:
+    """Bookings of the given products in ``lo <= BookingDate < hi``. The bounds are literals
+    and the products an integer set, so both reach the scan; on a fact stored by month the months too."""
+    parts = [f"ProductId IN ({ints(products)})", window_sql("BookingDate", lo, hi)]
+    if PARTITION_MONTH in fact.columns:
+        parts.append(month_partitions_sql(lo, hi))
+    if extra:
+        parts.append(f"({extra})")
+    return " AND ".join(parts)
 
-def month_partitions(fact: DataFrame, lo, hi) -> Column:
+
+def month_partitions_sql(lo, hi) -> str:
     """Predicate on the month partition column implied by ``lo <= BookingDate < hi``
     (months from the month of ``lo`` up to the month of the last instant before ``hi``)."""
     first = dt.date(lo.year, lo.month, 1)
-    return F.expr(f"{PARTITION_MONTH} >= DATE '{first.isoformat()}' AND {PARTITION_MONTH} < DATE '{hi.isoformat()}'")
+    return f"{PARTITION_MONTH} >= DATE '{first.isoformat()}' AND {PARTITION_MONTH} < DATE '{hi.isoformat()}'"
+
 
+def fact_rows(fact: DataFrame, condition: str, *more: str) -> DataFrame:
+    """The fact's rows that fit, without the columns that only storage knows; ``more`` are added expressions."""
+    own = [c for c in FACT_COLUMNS if c in fact.columns]
+    cast = {"PolicyStartDate": "CAST(PolicyStartDate AS DATE) AS PolicyStartDate"}
+    return fact.where(condition).selectExpr(*[cast.get(c, _q(c)) for c in own], *more)
 
-def with_month_and_lock(df: DataFrame) -> DataFrame:
-    return df.withColumns({
-        "MON": month_start("BookingDate"),
-        "Qtr_Locking_Date": qtr_locking_date("BookingDate"),
-    })
+
+BOOKING_CALENDAR = {"MON": month_start_sql("BookingDate"), "Qtr_Locking_Date": quarter_lock_sql("BookingDate")}
+
+
+def deal_flag_sql() -> str:
+    return "CASE WHEN _n_deal IS NULL THEN 1 ELSE 0 END"
 
 
 def join_deal_count(df: DataFrame, cat: Catalog, cfg: C.ReportConfig, product: str) -> DataFrame:
     """Left join to the special deals of ``product`` reduced to a per-lead count
-    (``_n_deal``); ``special_deal_flag`` is 1 when the lead has no deal, and
-    ``MatrixLeadId`` (for conditions) is the deal's lead."""
+    (``_n_deal``); ``MatrixLeadId`` (for conditions) is the deal's lead."""
     m = multiplicity(special_deals(cat, cfg, product), "MatrixLeadId", "_n_deal")
-    out = df.join(m, F.expr("leadid = _k"), "left").withColumnRenamed("_k", "MatrixLeadId")
-    return out.withColumn("special_deal_flag", F.expr("CASE WHEN _n_deal IS NULL THEN 1 ELSE 0 END"))
+    return df.join(m, F.expr("leadid = _k"), "left").withColumnRenamed("_k", "MatrixLeadId")
 
 
-def join_verification_count(df: DataFrame, cat: Catalog) -> DataFrame:
-    """Left join to verified health leads: ``VerificationStatus`` (for conditions) and the
-    number of rows per lead and status (``_n_ver``)."""
+def join_verification_count(df: DataFrame, cat: Catalog, by_status: bool, only: str = "") -> DataFrame:
+    """Left join to verified health leads: number of rows (``_n_ver``), with ``by_status`` per
+    ``VerificationStatus`` (which only a caller's condition can read)."""
     v = cat.table("verification").where(like("VerificationStatus", "%Verif%"))
-    return counted_lookup(df, v.selectExpr("LeadId AS _ver_lead", "VerificationStatus"), ["leadid"], ["_ver_lead"], "_n_ver")
+    if by_status:
+        return counted_lookup(df, v.selectExpr("LeadId AS _ver_lead", "VerificationStatus"), ["leadid"], ["_ver_lead"], "_n_ver", only)
+    return df.join(multiplicity(v, "LeadId", "_n_ver"), F.expr(f"leadid = _k{only}"), "left").drop("_k")
 
 
-def compliance_flag(variant: C.Variant) -> Column:
+def compliance_sql(variant: C.Variant) -> str:
     cond = f"{key_sql('IsComplianceN')} = 'YES'"
     if variant.compliance_needs_certificate:
         cond = f"{key_sql('ComplianceCertified')} = 'YES' AND {cond}"
-    return F.expr(f"CASE WHEN {cond} THEN 1 ELSE 0 END")
+    return flag_sql(cond)
+
+
+def apply_rules(df: DataFrame, rules: Rules) -> DataFrame:
+    for stage in rules:
+        df = df.withColumns({c: F.expr(e) for c, e in stage.items()})
+    return df
+
+
+def head_columns(v: C.Variant) -> list[str]:
+    return ["PartnerCode", "SellNowEnabled", "ComplianceCertified"] + (["Markettype"] if v.markettype_in_output else [])
 
 
 def with_copies(df: DataFrame, *counts: str) -> DataFrame:
@@ -105,9 +148,9 @@ def _q(c: str) -> str:
     return "`" + c.replace("`", "``") + "`"
 
 
-def credited(ins: str, *flags: str) -> Column:
+def credited_sql(ins: str, *flags: str) -> str:
     """``Ins * flag1 * flag2 ...`` in DOUBLE (flags are 0/1 so every step is exact)."""
-    return F.expr(" * ".join([f"CAST({_q(ins)} AS DOUBLE)"] + [_q(f) for f in flags]))
+    return " * ".join([f"CAST({_q(ins)} AS DOUBLE)"] + [_q(f) for f in flags])
 
 
 def exact_credited(ins: str, *flags: str) -> Column:

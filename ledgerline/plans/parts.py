@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.dates import month_start, qtr_locking_date, renewal_locking_date
-from ..operators.joins import counted_lookup, expand
+from ..operators.joins import expand
 from ..sources.catalog import Catalog
-from .life import life_plan_details
+from .health import counted_policies, edge_slices, met_edges
+from .life import join_pay_term, join_plan_details
 from .motor import join_status_classes
 
 
@@ -23,15 +24,15 @@ def booking_calendar(cat: Catalog) -> DataFrame:
     )
 
 
-def renewal_calendar(cat: Catalog) -> DataFrame:
+def renewal_calendar(cat: Catalog, slices: int | None = None) -> DataFrame:
     """Every renewal edge (booking -> referred prior booking) with the prior end date
-    and the renewal locking date (NULL when booked after the lock)."""
-    b = cat.table("bookings")
-    ref = cat.table("lead_referral").select(F.col("LeadID").alias("_ref_lead"), F.col("ReferralID").alias("_ref_id"))
-    prev = b.select(F.col("leadid").alias("_prev_lead"), F.col("PolicyEndDate").alias("_prev_end"))
-    cur = b.select("leadid", "BookingDate")
-    j = cur.join(ref, cur["leadid"] == ref["_ref_lead"], "inner")
-    j = j.join(prev, j["_ref_id"] == prev["_prev_lead"], "inner")
+    and the renewal locking date (NULL when booked after the lock).
+
+    Edges meet the prior bookings by (referral, slice of the lead), so one referral that
+    very many leads share is split; equal results of one edge are a count until the end."""
+    fact = cat.table("bookings")
+    met = met_edges(cat, counted_policies(fact), edge_slices(cat, slices))
+    j = expand(fact.select("leadid", "BookingDate").join(met, F.expr("leadid = _ref_lead"), "inner"), "_n")
     return j.select(
         "leadid", F.col("_ref_id").alias("ReferralID"), "BookingDate",
         F.col("_prev_end").cast("date").alias("Prev_end_date"),
@@ -44,7 +45,7 @@ def motor_status_flags(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
     """Every motor booking with the status-master classes (existence tests of the
     status id among cancellation / non-cancellation names)."""
     b = cat.table("bookings").where(F.col("ProductId").isin(list(C.MOTOR_PRODUCTS))).select("leadid", "StatusId", "Status")
-    j = join_status_classes(b, cat)
+    j = join_status_classes(b, cat, cfg.salts)
     return j.select(
         "leadid", "StatusId", "Status",
         F.when(F.col("_cancel") == 1, F.lit(1)).otherwise(F.lit(0)).alias("motor_cancelled_flag"),
@@ -55,10 +56,7 @@ def motor_status_flags(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
 def life_plan_enrichment(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
     """Life bookings with booking details, de-duplicated plan category and pay term."""
     b = cat.table("bookings").where(F.col("ProductId").isin(list(C.LIFE_PRODUCTS))).select("leadid", "ProductId")
-    bp = life_plan_details(cat, cfg)
-    pt = cat.table("pay_term").select(F.col("LeadId").alias("_pt_lead"), "PayTerm")
-    j = counted_lookup(b, bp, ["leadid"], ["_bp_lead"], "_n_bp")
-    j = expand(counted_lookup(j, pt, ["leadid"], ["_pt_lead"], "_n_pt"), "_n_bp", "_n_pt")
+    j = expand(join_plan_details(join_pay_term(b, cat), cat, cfg), "_n_bp", "_n_pt")
     return j.select(
         "leadid", "ProductId", F.col("BasicPremium").cast("double").alias("BasicPremium"), "PaymentPeriodicity",
         "issuanceDate", "PayoutProdCat", "PayTerm",

@@ -6,37 +6,48 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.text import isin
-from ..operators.ladders import compile_ladder, sme_rules
+from ..operators.ladders import ladder_sql, sme_rules
 from ..operators.partners import attach_partner
 from ..sources.catalog import Catalog
-from .common import (bookings_in_period, compliance_flag, credited, exact_credited, finish, join_deal_count,
-                     summarize, weighted, with_copies, with_month_and_lock)
+from .common import (BOOKING_CALENDAR, Rules, apply_rules, compliance_sql, credited_sql, deal_flag_sql, exact_credited,
+                     fact_in_sql, fact_rows, finish, head_columns, in_period_sql, join_deal_count, summarize, weighted,
+                     with_copies)
 
 PRODUCT = "SME"
+SME_WEIGHT = 1.25
+
+
+def sme_predicate(fact: DataFrame, cfg: C.ReportConfig) -> str:
+    return in_period_sql(fact, C.SME_PRODUCTS, cfg.period.min_date, cfg.period.max_date, fact_in_sql(fact, "Status", C.SME_STATUSES))
+
+
+def sme_line_rules(v: C.Variant) -> Rules:
+    return [
+        BOOKING_CALENDAR | {
+            "product_name": f"'{PRODUCT}'",
+            "Product_updated": "ProductId",
+            "special_deal_flag": deal_flag_sql(),
+            "netpr": "`Net Premium`",
+            "compliance_flag": compliance_sql(v),
+        },
+        {"Accrual_Net_Pr": ladder_sql(sme_rules(), "netpr")},
+        {"Accrual_Net": credited_sql("Accrual_Net_Pr", "special_deal_flag"),
+         "Accrual_Net_C": credited_sql("Accrual_Net_Pr", "special_deal_flag", "compliance_flag")},
+        {"W_Net": f"Accrual_Net * {SME_WEIGHT}D", "W_Net_C": f"Accrual_Net_C * {SME_WEIGHT}D"},
+    ]
 
 
 def sme_detail(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
     """All pre-projection columns of the SME report (one row per credited lead)."""
-    v = cfg.variant
-    b = bookings_in_period(cat, cfg, C.SME_PRODUCTS, isin("Status", C.SME_STATUSES)).selectExpr(
-        "Utm_term", "leadid", "TotalPremium", "APE", "`Net Premium`", "ProductId", "IsComplianceN", "PlanName",
-        "BookingMode", "BookingDate", "BusinessType", "Status", "StatusId",
-        "CAST(PolicyStartDate AS DATE) AS PolicyStartDate", "ProductId AS Product_updated",
-        f"'{PRODUCT}' AS product_name",
-    )
-    b = attach_partner(with_month_and_lock(b), cat, cfg)
-    t = join_deal_count(b, cat, cfg, PRODUCT).withColumns({
-        "netpr": F.expr("`Net Premium`"),
-        "compliance_flag": compliance_flag(v),
-    })
-    t = t.withColumn("Accrual_Net_Pr", compile_ladder(sme_rules(), "netpr"))
+    fact = cat.table("bookings")
+    b = attach_partner(fact_rows(fact, sme_predicate(fact, cfg)), cat, cfg)
+    t = apply_rules(join_deal_count(b, cat, cfg, PRODUCT), sme_line_rules(cfg.variant))
     return with_copies(t, "_n_deal")
 
 
+# The report's columns in its order.
 def sme_columns(v: C.Variant) -> list[str]:
-    head = ["PartnerCode", "SellNowEnabled", "ComplianceCertified"] + (["Markettype"] if v.markettype_in_output else [])
-    return head + [
+    return head_columns(v) + [
         "IsComplianceN", "compliance_flag", "leadid", "TotalPremium", "APE", "netpr", "BookingDate", "MON", "Status",
         "StatusId", "Product_updated", "product_name", "PlanName", "Qtr_Locking_Date", "special_deal_flag",
         "Accrual_Net_Pr", "Accrual_Net", "Accrual_Net_C", "W_Net", "W_Net_C",
@@ -44,15 +55,7 @@ def sme_columns(v: C.Variant) -> list[str]:
 
 
 def sme_leads(cat: Catalog, cfg: C.ReportConfig, condition: Column | None = None) -> DataFrame:
-    t = sme_detail(cat, cfg).withColumns({
-        "Accrual_Net": credited("Accrual_Net_Pr", "special_deal_flag"),
-        "Accrual_Net_C": credited("Accrual_Net_Pr", "special_deal_flag", "compliance_flag"),
-    })
-    t = t.withColumns({
-        "W_Net": F.col("Accrual_Net") * F.lit(1.25),
-        "W_Net_C": F.col("Accrual_Net_C") * F.lit(1.25),
-    })
-    return finish(t, sme_columns(cfg.variant), condition)
+    return finish(sme_detail(cat, cfg), sme_columns(cfg.variant), condition)
 
 
 def sme_summary(cat: Catalog, cfg: C.ReportConfig, condition: Column | None = None) -> DataFrame:

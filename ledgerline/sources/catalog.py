@@ -8,7 +8,8 @@ one plan is the same DataFrame (identical sub-plans let Spark reuse exchanges).
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import datetime as dt
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,9 +74,9 @@ class Catalog:
         """Tables read through Spark's JDBC source.
 
         ``table_map`` maps a logical name to the remote table. ``partitioning`` may
-        give, per logical name, ``column/lowerBound/upperBound/numPartitions`` so that
-        large remote tables are read in parallel ranges instead of one connection; the
-        bookings fact must have it. Credentials come from ``properties``; nothing is
+        give, per logical name, ``partitionColumn/lowerBound/upperBound/numPartitions``, or a list of
+        ``predicates`` (see ``month_product_predicates``), so that large remote tables are read
+        by many tasks instead of over one connection; the bookings fact must have it. Credentials come from ``properties``; nothing is
         stored here.
         """
         props = dict(properties or {})
@@ -84,10 +85,13 @@ class Catalog:
             raise ValueError("partitioning for the bookings fact is required: it is not read over one connection")
 
         def load(name: str) -> DataFrame:
+            mine = dict(parts.get(name, {}))
+            predicates = mine.pop("predicates", None)
+            if predicates is not None:  # one read task per predicate
+                more = {k: str(v) for k, v in mine.items()}
+                return spark.read.jdbc(url, table_map[name], predicates=list(predicates), properties=props | more)
             reader = spark.read.format("jdbc").option("url", url).option("dbtable", table_map[name])
-            for k, v in props.items():
-                reader = reader.option(k, v)
-            for k, v in parts.get(name, {}).items():
+            for k, v in (props | mine).items():
                 reader = reader.option(k, str(v))
             return reader.load()
 
@@ -104,8 +108,38 @@ class Catalog:
                 self.table(n).write.mode(mode).parquet(f"{root}/{n}")
 
 
+def month_product_predicates(date_column: str, lo: dt.date, hi: dt.date, product_column: str | None = None,
+                             products: Sequence[Sequence[int]] = ()) -> list[str]:
+    """Remote predicates, one read task each: a month of ``lo <= date < hi``, times a group of
+    products. Together they hold every row of the window (and of the products) once."""
+    months = []
+    at = lo
+    while at < hi:
+        following = min(hi, dt.date(at.year + at.month // 12, at.month % 12 + 1, 1))
+        months.append(f"{date_column} >= '{at.isoformat()}' AND {date_column} < '{following.isoformat()}'")
+        at = following
+    if not products:
+        return months
+    groups = [f"{product_column} IN ({', '.join(str(int(p)) for p in g)})" for g in products]
+    return [f"{m} AND {g}" for m in months for g in groups]
+
+
 PARTITION_MONTH = "BookingMonth"
 
+#: Text columns of the fact that reports filter on. A stored fact keeps their comparison
+#: keys (upper case, without trailing blanks), so that the filters reach its scan.
+KEY_COLUMNS = ("Status", "BusinessType", "Leadsource")
+
+
+def key_column(column: str) -> str:
+    return f"_key_{column}"
+
+
+def with_key_columns(bookings: DataFrame) -> DataFrame:
+    from ..functions.text import key
+
+    return bookings.withColumns({key_column(c): key(c) for c in KEY_COLUMNS if c in bookings.columns})
+
 
 def write_bookings(bookings: DataFrame, path: str, mode: str = "overwrite", writers: int | None = None) -> None:
     """Store the bookings fact partitioned by booking month and product id.
@@ -114,10 +148,11 @@ def write_bookings(bookings: DataFrame, path: str, mode: str = "overwrite", writ
     shuffle on the partition columns plus the lead id (so one large month/product is
     spread over ``writers`` tasks, by default the session's parallelism). Reports recognise the ``BookingMonth``
     column and add it to their period filter, which turns the period into partition
-    pruning; the product filter prunes on ``ProductId`` directly."""
+    pruning; the product filter prunes on ``ProductId`` directly. Comparison keys of the text columns that
+    reports filter on are stored beside them (``KEY_COLUMNS``)."""
     from pyspark.sql import functions as F
 
     writers = writers or bookings.sparkSession.sparkContext.defaultParallelism
-    out = bookings.withColumn(PARTITION_MONTH, F.trunc(F.col("BookingDate").cast("date"), "month"))
+    out = with_key_columns(bookings).withColumn(PARTITION_MONTH, F.trunc(F.col("BookingDate").cast("date"), "month"))
     out = out.repartition(PARTITION_MONTH, "ProductId", F.pmod(F.xxhash64("leadid"), F.lit(writers)))
     out.write.mode(mode).partitionBy(PARTITION_MONTH, "ProductId").parquet(path)

@@ -182,7 +182,8 @@ def test_collation_of_annual_and_life_plans(spark):
                                                  "LEADID long, PlanId int, SupplierId int, ProductID int, BasicPremium decimal(18,4), PaymentPeriodicity string, issuanceDate timestamp_ntz"),
         "life_plans": spark.createDataFrame([(5, 7, 2, "ULIP"), (5, 7, 2, "ulip "), (5, 7, 2, "Term")],
                                             "PlanID int, ProductID int, SupplierID int, PayoutProdCat string")})
-    got = [r.PayoutProdCat for r in life.life_plan_details(cat, fixture_config()).collect()]
+    lead = spark.createDataFrame([(1,)], "leadid long")
+    got = [r.PayoutProdCat for r in life.join_plan_details(lead, cat, fixture_config()).collect()]
     assert sorted(x.strip().upper() for x in got) == ["TERM", "ULIP"]
 
 
@@ -292,29 +293,31 @@ def test_special_deals_cutoff_and_active_filter(spark):
 
 def test_taxi_remap_business_types_and_compliance(spark):
     from ledgerline.plans import health, motor
-    from ledgerline.plans.common import compliance_flag
+    from ledgerline.plans.common import compliance_sql
 
     rows = [(186, "Taxi", "Car"), (186, None, "taxi"), (186, "Private", "Taxi"), (187, "Taxi", "Taxi"), (186, None, None)]
     df = spark.createDataFrame(rows, "ProductId int, SubProduct string, VehicleSubClass string")
-    current = [r.p for r in df.select(motor.motor_product(False).alias("p")).collect()]
-    strict = [r.p for r in df.select(motor.motor_product(True).alias("p")).collect()]
+    current = [r.p for r in df.select(F.expr(motor.motor_product_sql(False)).alias("p")).collect()]
+    strict = [r.p for r in df.select(F.expr(motor.motor_product_sql(True)).alias("p")).collect()]
     assert current == [188, 188, 188, 187, 186]
     assert strict == [188, 188, 186, 187, 186]  # strict: VehicleSubClass counts only without SubProduct
 
     bt = spark.createDataFrame([("Fresh Booking",), ("new business ",), ("Rollover",), ("Renewal",), (None,)],
                                "BusinessType string")
-    assert [r.b for r in bt.select(health.health_bt(C.CURRENT).alias("b")).collect()] == ["New", "New", "Port", None, None]
-    assert [r.b for r in bt.select(health.health_bt(C.SUMMARY).alias("b")).collect()][3] == "Renewal"
+    assert [r.b for r in bt.select(F.expr(health.health_bt_sql(C.CURRENT)).alias("b")).collect()] == ["New", "New", "Port", None, None]
+    assert [r.b for r in bt.select(F.expr(health.health_bt_sql(C.SUMMARY)).alias("b")).collect()][3] == "Renewal"
 
-    mt = spark.createDataFrame([(1, "New"), (2, "rollover"), (3, "Renewal"), (4, None)], "Leadid long, MotorBusinessType string")
+    mt = spark.createDataFrame([(1, "New"), (2, "rollover"), (3, "Renewal"), (4, None), (5, "New "), (5, None), (5, "NEW")],
+                               "Leadid long, MotorBusinessType string")
     cat = Catalog(spark, {"business_type": mt})
-    assert [r.Motor_bt for r in motor.motor_business_type(cat).orderBy("_bt_lead").collect()] == \
-        ["New", "New", "Renewal", "Renewal"]
+    joined = motor.join_business_type(spark.range(1, 7).toDF("leadid"), cat).orderBy("leadid", "Motor_bt").collect()
+    assert [tuple(r) for r in joined] == [(1, "New", 1), (2, "New", 1), (3, "Renewal", 1), (4, "Renewal", 1), (5, "New", 2),
+                                          (5, "Renewal", 1), (6, None, None)]
 
     cf = spark.createDataFrame([("Yes", "Yes"), ("yes ", "No"), ("No", "Yes"), (None, "Yes")],
                                "IsComplianceN string, ComplianceCertified string")
-    assert [r.c for r in cf.select(compliance_flag(C.CURRENT).alias("c")).collect()] == [1, 1, 0, 0]
-    assert [r.c for r in cf.select(compliance_flag(C.LEGACY).alias("c")).collect()] == [1, 0, 0, 0]
+    assert [r.c for r in cf.select(F.expr(compliance_sql(C.CURRENT)).alias("c")).collect()] == [1, 1, 0, 0]
+    assert [r.c for r in cf.select(F.expr(compliance_sql(C.LEGACY)).alias("c")).collect()] == [1, 0, 0, 0]
 
 
 def test_status_existence_flags(spark):
