@@ -7,8 +7,8 @@ longest prefixes (``PREFIX`` values at least). In a sparse region these are all
 share so short a prefix; in a crowded region the nearest neighbours share long ones, so
 the depth follows the region.
 
-The orders are worked through in rounds. After each round the candidates are confirmed
-on full sets and components are formed; the next round passes over neighbours that are
+The orders are worked through in rounds. In each round the candidates are confirmed
+on full sets (in the first by joins, later inside the scanning tasks, see ``_links``) and components are formed; the next round passes over neighbours that are
 in one component already and looks further back, so a large group of near copies costs
 a few candidates per member, never all pairs, and links that the first round missed are
 still looked for. Estimates only drop pairs far from the limit.
@@ -44,6 +44,7 @@ TREES, DEPTH, PREFIX, SKETCH = 32, 8, 4, 128
 LABEL = 2 * DEPTH  # bytes
 FURTHER = 8
 FLUSH = 1 << 20    # candidate pairs held at once
+INLINE = 4096      # shingles of a set that scans carry along
 _RNG = np.random.Generator(np.random.PCG64(8))
 _ODD = _RNG.integers(0, 2**63, TREES * DEPTH, dtype=np.uint64) * U(2) + U(1)
 _XOR = _RNG.integers(0, 2**63, TREES * DEPTH, dtype=np.uint64)
@@ -116,12 +117,37 @@ def sketches(docs: DataFrame, how: Forest) -> DataFrame:
     return map_arrow(rows, run, "id long, n long, set_id binary, labels binary, sketch binary")
 
 
-def _scan(batches, look: int, how: Forest, ends: bool):
-    """Candidate pairs among rows in sorted order; with ``ends`` also the rows that may
-    have neighbours in the partitions before and after (``b`` null). Regions that reach
-    back further than ``look`` come as rows with ``a`` null."""
+#: Kinds of rows that a scan returns.
+PAIR, END, REGION, OPEN, LINK = range(5)
+
+
+def _similar(x: np.ndarray, y: np.ndarray, similar: int) -> bool:
+    both = np.concatenate([x, y])
+    both.sort()
+    i = int((both[1:] == both[:-1]).sum())
+    return 100 * i >= similar * (len(both) - i)
+
+
+def _root(up: dict, x: int) -> int:
+    while x in up:
+        x = up[x]
+    return x
+
+
+def _scan(batches, look: int, how: Forest, ends: bool, mode: str):
+    """Candidates among rows in sorted order: rows of one region, at most ``look`` apart, of
+    different components, fitting sizes and (with sketches) near enough by estimate.
+
+    ``pairs`` returns them as they are; ``open`` returns each row that has any, once; ``links``
+    compares them by their full sets (``s``) and returns those that are similar, passing
+    over pairs that links of this task connect already (pairs without sets come as ``PAIR``). With ``ends`` the
+    rows that may have neighbours in the partitions before and after come as ``END``; regions
+    that reach back further than ``look`` as ``REGION``."""
     import pyarrow as pa
 
+    names = ["kind", "a", "b", "t", "label", "component", "n", "sketch", "s"]
+    types = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+
     def columns(table):
         n = len(table)
         label = np.frombuffer(b"".join(table["label"].to_pylist()), np.uint16).reshape(n, DEPTH)
@@ -130,31 +156,32 @@ def _scan(batches, look: int, how: Forest, ends: bool):
         sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(n, SKETCH) if have else None
         return [table[c].to_numpy(zero_copy_only=False) for c in ("t", "node", "component", "n")], region, sketch
 
-    def out(a, b, rows=None):
-        k = len(a)
-        none = [pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary())]
-        rest = none if rows is None else [rows["t"], rows["label"], rows["component"], rows["n"], rows["sketch"]]
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), b, *rest], names=["a", "b", "t", "label", "component", "n", "sketch"])
+    def out(kind, k, **given):
+        return pa.RecordBatch.from_arrays([pa.array([kind] * k, pa.int32()), *[given.get(c, pa.nulls(k, t)) for c, t in zip(names[1:], types[1:])]], names=names)
 
-    def edge_rows(rows):
-        return out(rows["node"], pa.nulls(len(rows), pa.int64()), rows)
+    def row_rows(kind, rows, whole):
+        more = {"sketch": rows["sketch"], "s": rows["s"]} if whole else {}
+        return out(kind, len(rows), a=rows["node"], t=rows["t"], label=rows["label"], component=rows["component"], n=rows["n"], **more)
 
-    def pair_rows(pairs):
-        got = np.unique(np.concatenate(pairs, 1), axis=1)
-        return out(got[0], pa.array(got[1], pa.int64()))
+    def pair_rows(kind, pairs):
+        got = np.unique(np.array(pairs, np.int64).reshape(-1, 2), axis=0)
+        return out(kind, len(got), a=pa.array(got[:, 0]), b=pa.array(got[:, 1]))
 
-    carry, seen, marked = None, 0, None
+    carry, seen, marked, up = None, 0, None, {}
+    was_open: set[tuple[int, int]] = set()  # (order, node) of the carried rows that were returned
     for batch in batches:
         if not len(batch):
             continue
         if ends and seen < look:
-            yield edge_rows(batch.slice(0, look - seen))
+            yield row_rows(END, batch.slice(0, look - seen), True)
         seen += len(batch)
         old = 0 if carry is None else len(carry)
         if old:
             batch = pa.Table.from_batches([carry, batch]).combine_chunks().to_batches()[0]
         (t, node, component, n), region, sketch = columns(batch)
-        pairs, held, lag = [], 0, 0
+        sets = batch["s"] if mode == "links" else None
+        pairs, links, lag = [], [], 0
+        is_open = np.zeros(len(batch), bool)
         here = np.arange(old, len(batch))  # rows whose region reaches back that far
         while lag < look and len(here):
             lag += 1
@@ -167,14 +194,33 @@ def _scan(batches, look: int, how: Forest, ends: bool):
             if sketch is not None and len(i):
                 near = (sketch[i] == sketch[j]).mean(1) >= how.similar / 100 - how.slack
                 i, j = i[near], j[near]
-            if len(i):
-                pairs.append(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])]))
-                held += len(i)
-                if held >= FLUSH:
-                    yield pair_rows(pairs)
-                    pairs, held = [], 0
-        if pairs:
-            yield pair_rows(pairs)
+            if mode == "open":
+                is_open[i] = is_open[j] = True
+            elif mode == "pairs":
+                pairs.extend(zip(np.minimum(node[i], node[j]).tolist(), np.maximum(node[i], node[j]).tolist()))
+            else:
+                for x, y in zip(i.tolist(), j.tolist()):
+                    p, q = _root(up, int(component[x])), _root(up, int(component[y]))
+                    if p == q:
+                        continue
+                    pair = (min(int(node[x]), int(node[y])), max(int(node[x]), int(node[y])))
+                    if not sets[x].is_valid or not sets[y].is_valid:
+                        pairs.append(pair)
+                    elif _similar(np.frombuffer(sets[x].as_buffer(), np.uint64), np.frombuffer(sets[y].as_buffer(), np.uint64), how.similar):
+                        links.append(pair)
+                        up[max(p, q)] = min(p, q)
+            if len(pairs) >= FLUSH:
+                yield pair_rows(PAIR, pairs)
+                pairs = []
+        for kind, got in ((PAIR, pairs), (LINK, links)):
+            if got:
+                yield pair_rows(kind, got)
+        if mode == "open":
+            new = [k for k in np.flatnonzero(is_open).tolist() if k >= old or (int(t[k]), int(node[k])) not in was_open]
+            if new:
+                yield row_rows(OPEN, batch.take(pa.array(new)), False)
+            last = range(max(0, len(batch) - look), len(batch))
+            was_open = {x for k in last if (x := (int(t[k]), int(node[k]))) in was_open or is_open[k]}
         if len(here):  # at the end of the look, one row for each region that goes on
             first = [int(i) for k, i in enumerate(here) if not k or (t[i], region[i]) != (t[here[k - 1]], region[here[k - 1]])]
             if (t[first[0]], region[first[0]]) == marked:
@@ -182,39 +228,64 @@ def _scan(batches, look: int, how: Forest, ends: bool):
             marked = (t[here[-1]], region[here[-1]])
             if first:
                 rows = batch.take(pa.array(first))
-                yield out(pa.nulls(len(first), pa.int64()), pa.nulls(len(first), pa.int64()), rows)
+                yield out(REGION, len(rows), t=rows["t"], label=rows["label"])
         carry = batch.slice(max(0, len(batch) - look))
     if ends and carry is not None:
         done = min(look, seen) - (seen - len(carry))  # rows of the end that were sent as rows of the start
-        yield edge_rows(carry.slice(max(0, done)))
+        yield row_rows(END, carry.slice(max(0, done)), True)
 
 
-_SCANNED = "a long, b long, t int, label binary, component long, n long, sketch binary"
+_SCANNED = "kind int, a long, b long, t int, label binary, component long, n long, sketch binary, s binary"
 _REGION = f"substring(label, 1, {2 * PREFIX})"
 #: A region as one column: order number, then prefix.
-REGION = f"concat(cast(cast(t AS STRING) AS BINARY), {_REGION})"
+REGION_SQL = f"concat(cast(cast(t AS STRING) AS BINARY), {_REGION})"
 
 
-def _neighbours(rows: DataFrame, look: int, how: Forest) -> tuple[DataFrame, DataFrame]:
-    """Of ``t, label, node, component, n, sketch`` rows: candidate pairs ``a, b``, and the
-    ``region`` s that reach back further than ``look``."""
+def _neighbours(rows: DataFrame, look: int, how: Forest, mode: str = "pairs") -> DataFrame:
+    """What ``_scan`` finds among ``t, label, node, component, n, sketch, s`` rows, neighbours in other
+    partitions included."""
     ordered = rows.repartitionByRange("t", "label", "node").sortWithinPartitions("t", "label", "node")
-    got = stage_table(map_arrow(ordered, lambda it: _scan(it, look, how, True), _SCANNED), "candidates")
-    ends = got.where("a IS NOT NULL AND b IS NULL").withColumnRenamed("a", "node").drop("b")
+    got = stage_table(map_arrow(ordered, lambda it: _scan(it, look, how, True, mode), _SCANNED), "candidates")
+    ends = got.where(f"kind = {END}").withColumnRenamed("a", "node").drop("b", "kind")
     ends = ends.repartition("t", F.expr(_REGION)).sortWithinPartitions("t", "label", "node")
-    more = stage_table(map_arrow(ends, lambda it: _scan(it, look, how, False), _SCANNED).drop("component", "n", "sketch"), "candidates")
-    both = got.select("a", "b", "t", "label").unionByName(more)
-    return both.where("b IS NOT NULL").select("a", "b").distinct(), both.where("a IS NULL").select(F.expr(REGION).alias("region")).distinct()
+    more = stage_table(map_arrow(ends, lambda it: _scan(it, look, how, False, mode), _SCANNED).drop("sketch", "s"), "candidates")
+    return got.where(f"kind <> {END}").drop("sketch", "s").unionByName(more)
+
+
+def _pairs(found: DataFrame, kind: int = PAIR) -> DataFrame:
+    return found.where(f"kind = {kind}").select("a", "b").distinct()
+
+
+def _regions(found: DataFrame) -> DataFrame:
+    return found.where(f"kind = {REGION}").select(F.expr(REGION_SQL).alias("region")).distinct()
+
+
+def _links(rows: DataFrame, look: int, sketch: DataFrame, sets: DataFrame, how: Forest) -> tuple[DataFrame, DataFrame]:
+    """Links among the rows, and the regions that reach back further than ``look``.
+
+    A first scan only names the rows that have candidates. Those rows alone meet their sets,
+    and a second scan compares them where they lie, so a crowd of texts that share much but are not
+    similar is refuted inside the tasks: the tables hold rows and links, never all pairs. Sets above
+    ``INLINE`` shingles aren't carried along; their pairs are compared by joins."""
+    first = _neighbours(rows, look, how, "open")
+    opened = first.where(f"kind = {OPEN}").select("t", "label", F.col("a").alias("node"), "component", "n").distinct()
+    short = sets.where(f"size(s) <= {INLINE}").select(F.col("node").alias("_s"), "raw")
+    opened = opened.join(sketch, F.expr("node = _n")).drop("_n").join(short, F.expr("node = _s"), "left")
+    opened = stage_table(opened.select("t", "label", "node", "component", "n", "sketch", F.col("raw").alias("s")), "open")
+    second = stage_table(_neighbours(opened, look, how, "links").where(f"kind IN ({PAIR}, {LINK})"), "links")
+    links = _pairs(second, LINK).unionByName(_confirm(_pairs(second), sets, how))
+    return links, _regions(first)
 
 
 def _trees(classes: DataFrame, first: int, last: int) -> DataFrame:
     rows = classes.withColumn("t", F.explode(F.sequence(F.lit(first), F.lit(last - 1))))
-    return rows.selectExpr("t", f"substring(labels, t * {LABEL} + 1, {LABEL}) AS label", "node", "component", "n", "sketch")
+    return rows.selectExpr("t", f"substring(labels, t * {LABEL} + 1, {LABEL}) AS label", "node", "component", "n", "sketch",
+                           "cast(NULL AS BINARY) AS s")
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, how: Forest) -> DataFrame:
     """The pairs whose full sets are similar enough."""
-    a, b = sets.withColumnsRenamed({"node": "_a", "s": "sa"}), sets.withColumnsRenamed({"node": "_b", "s": "sb"})
+    a, b = (sets.select(F.col("node").alias(f"_{x}"), F.col("s").alias(f"s{x}")) for x in "ab")
     both = pairs.join(a, F.expr("a = _a")).join(b, F.expr("b = _b")).selectExpr(
         "a", "b", "size(sa) + size(sb) AS total", "size(array_intersect(sa, sb)) AS i")
     return both.where(f"100L * i >= {how.similar}L * (total - i)").select("a", "b")
@@ -237,12 +308,13 @@ def _grown(found: DataFrame, known: DataFrame | None) -> DataFrame:
 
 def _unseen(now: DataFrame, regions: DataFrame) -> DataFrame:
     """The rows, in all orders, of those ``regions`` that hold more than one component."""
-    bare = _trees(now.withColumn("sketch", F.lit(None).cast("binary")), 0, TREES).drop("sketch").withColumn("region", F.expr(REGION))
+    bare = _trees(now.withColumn("sketch", F.lit(None).cast("binary")), 0, TREES).drop("sketch", "s").withColumn("region", F.expr(REGION_SQL))
     rows = stage_table(salted_join(bare, regions, "region", F.col("node"), 8, "left_semi"), "unseen")
     several = rows.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("region")
     rows = salted_join(rows, several, "region", F.col("node"), 8, "left_semi").drop("region")
     sketch = now.select(F.col("node").alias("_n"), "sketch")
-    return stage_table(rows.join(sketch, F.expr("node = _n")).select("t", "label", "node", "component", "n", "sketch"), "unseen")
+    return stage_table(rows.join(sketch, F.expr("node = _n")).selectExpr(
+        "t", "label", "node", "component", "n", "sketch", "cast(NULL AS BINARY) AS s"), "unseen")
 
 
 def link(docs: DataFrame, how: Forest = Forest()) -> DataFrame:
@@ -255,8 +327,8 @@ def link(docs: DataFrame, how: Forest = Forest()) -> DataFrame:
 
     # classes that share a region with any other, of whatever size: a fitting one may lie
     # further back; only their sets are made
-    pairs, _ = _neighbours(_trees(bare, 0, TREES), 1, replace(how, similar=0))
-    near = stage_table(pairs.select(F.explode(F.array("a", "b")).alias("_near")).distinct(), "near")
+    shared = _neighbours(_trees(bare, 0, TREES), 1, replace(how, similar=0), "open")
+    near = stage_table(shared.where(f"kind = {OPEN}").select(F.col("a").alias("_near")).distinct(), "near")
     crowd = stage_table(classes.join(near, F.expr("node = _near"), "left_semi").drop("component"), "crowd")
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("node"), F.col("text").alias("_text"))
     texts = texts.join(near, F.expr("node = _near"), "left_semi").dropDuplicates(["node", "_text"])
@@ -270,13 +342,20 @@ def link(docs: DataFrame, how: Forest = Forest()) -> DataFrame:
                 got = list(_sets(part["_text"], how))
                 ends = np.concatenate([[0], np.cumsum([len(s) for s in got])]).astype(np.int32)
                 flat = np.concatenate([np.zeros(0, np.uint64), *got]).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part["node"], pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["node", "s"])
+                raw = pa.array([s.tobytes() for s in got], pa.binary())
+                yield pa.RecordBatch.from_arrays([part["node"], pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), raw], names=["node", "s", "raw"])
 
-    sets = stage_table(map_arrow(texts, make, "node long, s array<long>"), "sets")
+    sets = stage_table(map_arrow(texts, make, "node long, s array<long>, raw binary"), "sets")
+    sketch = crowd.select(F.col("node").alias("_n"), "sketch")
     known, regions, look = None, None, 0
     for first, last, look in how.rounds:
-        found, further = _neighbours(_trees(_placed(crowd, known), first, last), look, how)
-        known = _grown(_confirm(found, sets, how), known)
+        rows_now = _trees(_placed(crowd, known), first, last)
+        if known is None:  # the nearest neighbours: few candidates for each row
+            scanned = _neighbours(rows_now, look, how)
+            links, further = _confirm(_pairs(scanned), sets, how), _regions(scanned)
+        else:
+            links, further = _links(rows_now, look, sketch, sets, how)
+        known = _grown(links, known)
         regions = further if regions is None else regions.unionByName(further)
     # regions that the rounds have not seen through: further back, until none is left
     while True:
@@ -284,8 +363,8 @@ def link(docs: DataFrame, how: Forest = Forest()) -> DataFrame:
         if unseen.isEmpty():
             break
         look *= FURTHER
-        found, regions = _neighbours(unseen, look, how)
-        known = _grown(_confirm(found, sets, how), known)
+        links, regions = _links(unseen, look, sketch, sets, how)
+        known = _grown(links, known)
     # only classes of several rows or with a link need a join; the rest stand alone
     named = per_set.join(known.select(F.col("node").alias("_n"), "component"), F.expr("node = _n"), "left")
     named = named.where("c > 1 OR component IS NOT NULL").select("set_id", F.coalesce("component", "node").alias("component"))
@@ -297,11 +376,11 @@ def link(docs: DataFrame, how: Forest = Forest()) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, how: Forest = Forest()) -> DataFrame:
-    """The given columns of one document of each group: the row of its smallest id."""
-    kept = link(docs, how).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    names = docs.columns
-    own = docs.join(kept, F.expr("doc_id <=> _kept"), "left_semi")
-    # rows with one id: the first by its columns, so that reruns agree
-    rest = [F.col(c) for c in names if c != "doc_id"]
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(*rest))
-    return own.withColumn("_first", first).where("_first = 1").select(*names)
+    """The given columns of one document of each group: the row of its smallest id; of rows with
+    one id the first by its columns, so that reruns agree. Rows are carried as one
+    column, so no name can clash."""
+    kept = link(docs.select("doc_id", "text"), how).where("kept").select("doc_id").distinct()
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    own = own.join(kept, F.expr("row.doc_id <=> doc_id"), "left_semi")
+    first = F.row_number().over(Window.partitionBy("row.doc_id").orderBy("row"))
+    return own.withColumn("place", first).where("place = 1").select("row.*")

@@ -8,6 +8,7 @@ import random
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from ledgerline.llm import bpe, ce_score, langid, mixing, near_dup, oracle, pfp_dedup, quality, registry, secret_scan, topk, url_reputation
@@ -357,18 +358,64 @@ def test_near_dup_scan():
     r = np.random.default_rng(8)
     n, how = 90, near_dup.Forest()
     label = [bytes([int(k > 60)] * 8 + [0] * 8) for k in range(n)]
+    texts = r.integers(0, 4, n)  # rows of one text are similar, others not
+    sets = [None if k % 9 == 0 else (np.arange(20, dtype=np.uint64) + np.uint64(100 * texts[k])).tobytes() for k in range(n)]
     whole = pa.RecordBatch.from_arrays(
         [pa.array([0] * n, pa.int32()), pa.array(label, pa.binary()), pa.array(range(n), pa.int64()), pa.array(r.integers(0, 50, n), pa.int64()),
-         pa.array([100] * n, pa.int64()), pa.nulls(n, pa.binary())], names=["t", "label", "node", "component", "n", "sketch"])
-    seen = []
-    for size in (1, 7, 90):
-        rows = [x for b in near_dup._scan((whole.slice(i, size) for i in range(0, n, size)), 40, how, True) for x in b.to_pylist()]
-        pairs = {(x["a"], x["b"]) for x in rows if x["b"] is not None}
-        ends = sorted(x["a"] for x in rows if x["a"] is not None and x["b"] is None)
-        seen.append((pairs, ends, {x["label"][:8] for x in rows if x["a"] is None}))
+         pa.array([100] * n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(sets, pa.binary())], names=["t", "label", "node", "component", "n", "sketch", "s"])
     c = whole["component"].to_pylist()
     want = {(j, i) for i in range(n) for j in range(max(0, i - 40), i) if label[i] == label[j] and c[i] != c[j]}
-    assert seen == [(want, [*range(40), *range(50, n)], {label[0][:8]})] * 3
+
+    def scan(mode, size):
+        rows = [x for b in near_dup._scan((whole.slice(i, size) for i in range(0, n, size)), 40, how, True, mode) for x in b.to_pylist()]
+        return {k: [x for x in rows if x["kind"] == k] for k in range(5)}
+
+    for size in (1, 7, 90):
+        got = scan("pairs", size)
+        assert {(x["a"], x["b"]) for x in got[near_dup.PAIR]} == want
+        assert sorted(x["a"] for x in got[near_dup.END]) == [*range(40), *range(50, n)]
+        assert {x["label"][:8] for x in got[near_dup.REGION]} == {label[0][:8]}
+        opened = [x["a"] for x in scan("open", size)[near_dup.OPEN]]
+        assert set(opened) == {k for pair in want for k in pair} and len(opened) < 2 * n
+        # by full sets: the links connect what all similar pairs connect; pairs without sets are left over
+        got = scan("links", size)
+        links = {(x["a"], x["b"]) for x in got[near_dup.LINK]}
+        assert links <= {(a, b) for a, b in want if texts[a] == texts[b] and sets[a] and sets[b]}
+        assert {(x["a"], x["b"]) for x in got[near_dup.PAIR]} <= {(a, b) for a, b in want if not (sets[a] and sets[b])}
+
+        def parts(pairs):
+            up = {}
+            for a, b in pairs:
+                a, b = near_dup._root(up, c[a]), near_dup._root(up, c[b])
+                if a != b:
+                    up[max(a, b)] = min(a, b)
+            return [near_dup._root(up, x) for x in c]
+
+        assert parts(links) == parts((a, b) for a, b in want if texts[a] == texts[b] and sets[a] and sets[b])
+
+
+def test_near_dup_long_sets(docs_of, monkeypatch):
+    """Sets that scans don't carry along are compared by joins, with the same links."""
+    r = random.Random(4)
+    base = prose(44, 200).split()
+    rows = []
+    for k in range(60):
+        words = list(base)
+        for at in r.sample(range(200), r.randint(0, 8)):
+            words[at] = f"w{k}x{at}"
+        rows.append((k, " ".join(words)))
+    monkeypatch.setattr(near_dup, "INLINE", 150)
+    out = near_dup.link(docs_of(rows)).collect()
+    assert sorted((x.doc_id, x.n_shingles, x.component_id) for x in out) == brute.near_dup(rows)
+
+
+def test_keep_one_keeps_clashing_columns(spark):
+    rows = [(1, "a b c d e f", 7, 8, "x"), (1, "a b c d e f", 6, 9, "y"), (2, "a b c d e f", 1, 1, "z"), (3, "other", 3, 3, "w")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _kept long, _first long, place string") \
+        .withColumns({"row": F.lit(1), "component_id": F.lit(5), "set_id": F.lit("s")})
+    got = near_dup.keep_one(df)
+    assert got.columns == df.columns
+    assert sorted(tuple(x) for x in got.collect()) == [(1, "a b c d e f", 6, 9, "y", 1, 5, "s"), (3, "other", 3, 3, "w", 1, 5, "s")]
 
 
 def test_near_dup_edges(edge):
