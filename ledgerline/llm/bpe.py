@@ -143,6 +143,11 @@ class TreeBPE:
         pattern = LATIN_PATTERN if self.latin and not NOT_LATIN.search(text) else self.pattern
         return np.frombuffer(b"".join(map(self.matches.__getitem__, pattern.findall(text))), np.int32)
 
+    def forget(self) -> None:
+        """Drops what is remembered: a worker goes on to other operators' tasks."""
+        self.matches.clear()
+        self.steady.clear()
+
     def decode(self, ids) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
@@ -166,11 +171,15 @@ class _Matches(dict):
 _OPEN: dict[tuple[int, str], TreeBPE] = {}
 
 
-def _worker(shared, pattern: str) -> TreeBPE:
-    key = (hash(shared.value), pattern)
-    if key not in _OPEN:
-        _OPEN[key] = TreeBPE(read_ranks(shared.value), pattern)
-    return _OPEN[key]
+def _worker(shared, pattern: str | None) -> TreeBPE:
+    """A Python worker keeps one vocabulary; without a pattern (decoding) any of the same ranks serves."""
+    ranks = hash(shared.value)
+    for (have, with_pattern), own in _OPEN.items():
+        if have == ranks and pattern in (None, with_pattern):
+            return own
+    _OPEN.clear()
+    own = _OPEN[ranks, pattern or r"\X"] = TreeBPE(read_ranks(shared.value), pattern or r"\X")
+    return own
 
 
 def _vocabulary(df: DataFrame, path: str):
@@ -194,6 +203,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: st
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in got])]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *got])))
                 yield pa.RecordBatch.from_arrays([*[part[c] for c in keep], lists], names=[*keep, ids])
+        bpe.forget()
 
     rows = docs.select(*keep, F.col(text).alias("_text"))
     return map_arrow(rows, run, wider(rows.drop("_text"), f"{ids} array<int>"))
@@ -207,7 +217,7 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        bpe = _worker(shared, r"\X")
+        bpe = _worker(shared, None)
         for batch in batches:
             for at in range(0, len(batch), ROWS):
                 part = batch.slice(at, ROWS)
