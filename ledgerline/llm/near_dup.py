@@ -121,11 +121,25 @@ def sketches(docs: DataFrame, how: Forest) -> DataFrame:
 PAIR, END, REGION, OPEN, LINK = range(5)
 
 
-def _similar(x: np.ndarray, y: np.ndarray, similar: int) -> bool:
-    both = np.concatenate([x, y])
-    both.sort()
-    i = int((both[1:] == both[:-1]).sum())
-    return 100 * i >= similar * (len(both) - i)
+class _Sets:
+    """The sets of a batch's rows by dense shingle numbers, to compare one row with many at once."""
+
+    def __init__(self, column):
+        raw = [x or b"" for x in column.to_pylist()]
+        self.at = np.concatenate([[0], np.cumsum([len(x) // 8 for x in raw])]).astype(np.int64)
+        _, self.ids = np.unique(np.frombuffer(b"".join(raw), np.uint64), return_inverse=True)
+        self.mine = np.zeros(int(self.ids.max(initial=-1)) + 1, bool)
+
+    def shared(self, i: int, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Shingles that row ``i`` shares with each of ``rows``, and those that either has."""
+        own = self.ids[self.at[i]:self.at[i + 1]]
+        self.mine[own] = True
+        lo, hi = int(rows.min()), int(rows.max()) + 1
+        base = self.at[lo]
+        total = np.concatenate([[0], np.cumsum(self.mine[self.ids[base:self.at[hi]]])])
+        self.mine[own] = False
+        both = total[self.at[rows + 1] - base] - total[self.at[rows] - base]
+        return both, len(own) + self.at[rows + 1] - self.at[rows] - both
 
 
 def _root(up: dict, x: int) -> int:
@@ -179,8 +193,7 @@ def _scan(batches, look: int, how: Forest, ends: bool, mode: str):
         if old:
             batch = pa.Table.from_batches([carry, batch]).combine_chunks().to_batches()[0]
         (t, node, component, n), region, sketch = columns(batch)
-        sets = batch["s"] if mode == "links" else None
-        pairs, links, lag = [], [], 0
+        pairs, links, met, lag = [], [], [], 0
         is_open = np.zeros(len(batch), bool)
         here = np.arange(old, len(batch))  # rows whose region reaches back that far
         while lag < look and len(here):
@@ -190,6 +203,8 @@ def _scan(batches, look: int, how: Forest, ends: bool, mode: str):
             i, j = here, here - lag
             ok = (component[i] != component[j]) & (node[i] != node[j])
             ok &= 100 * np.minimum(n[i], n[j]) >= how.similar * np.maximum(n[i], n[j])
+            if mode == "open":
+                ok &= ~(is_open[i] & is_open[j])
             i, j = i[ok], j[ok]
             if sketch is not None and len(i):
                 near = (sketch[i] == sketch[j]).mean(1) >= how.similar / 100 - how.slack
@@ -198,20 +213,30 @@ def _scan(batches, look: int, how: Forest, ends: bool, mode: str):
                 is_open[i] = is_open[j] = True
             elif mode == "pairs":
                 pairs.extend(zip(np.minimum(node[i], node[j]).tolist(), np.maximum(node[i], node[j]).tolist()))
-            else:
-                for x, y in zip(i.tolist(), j.tolist()):
-                    p, q = _root(up, int(component[x])), _root(up, int(component[y]))
-                    if p == q:
-                        continue
-                    pair = (min(int(node[x]), int(node[y])), max(int(node[x]), int(node[y])))
-                    if not sets[x].is_valid or not sets[y].is_valid:
-                        pairs.append(pair)
-                    elif _similar(np.frombuffer(sets[x].as_buffer(), np.uint64), np.frombuffer(sets[y].as_buffer(), np.uint64), how.similar):
-                        links.append(pair)
-                        up[max(p, q)] = min(p, q)
+            elif len(i):
+                met.append(np.stack([i, j]).astype(np.int32))
             if len(pairs) >= FLUSH:
                 yield pair_rows(PAIR, pairs)
                 pairs = []
+        if met:
+            i, j = np.concatenate(met, 1)
+            order = np.lexsort((j, i))
+            i, j = i[order], j[order]
+            sets, none = _Sets(batch["s"]), batch["s"].is_null().to_numpy(zero_copy_only=False)
+            for at in np.split(np.arange(len(i)), np.flatnonzero(np.diff(i)) + 1):
+                x, others = int(i[at[0]]), j[at]
+                both, either = sets.shared(x, others)
+                unknown = none[others] | none[x]
+                some = unknown | (100 * both >= how.similar * either)
+                for y, sure in zip(others[some].tolist(), (~unknown[some]).tolist()):
+                    p, q = _root(up, int(component[x])), _root(up, int(component[y]))
+                    if p != q:
+                        pair = (min(int(node[x]), int(node[y])), max(int(node[x]), int(node[y])))
+                        if sure:
+                            links.append(pair)
+                            up[max(p, q)] = min(p, q)
+                        else:
+                            pairs.append(pair)
         for kind, got in ((PAIR, pairs), (LINK, links)):
             if got:
                 yield pair_rows(kind, got)
@@ -260,8 +285,8 @@ def _regions(found: DataFrame) -> DataFrame:
     return found.where(f"kind = {REGION}").select(F.expr(REGION_SQL).alias("region")).distinct()
 
 
-def _links(rows: DataFrame, look: int, sketch: DataFrame, sets: DataFrame, how: Forest) -> tuple[DataFrame, DataFrame]:
-    """Links among the rows, and the regions that reach back further than ``look``.
+def _links(rows: DataFrame, look: int, sketch: DataFrame, sets: DataFrame, how: Forest) -> tuple[DataFrame | None, DataFrame]:
+    """Links among the rows (None if there are none), and the regions that reach back further than ``look``.
 
     A first scan only names the rows that have candidates. Those rows alone meet their sets,
     and a second scan compares them where they lie, so a crowd of texts that share much but are not
@@ -273,8 +298,11 @@ def _links(rows: DataFrame, look: int, sketch: DataFrame, sets: DataFrame, how:
     opened = opened.join(sketch, F.expr("node = _n")).drop("_n").join(short, F.expr("node = _s"), "left")
     opened = stage_table(opened.select("t", "label", "node", "component", "n", "sketch", F.col("raw").alias("s")), "open")
     second = stage_table(_neighbours(opened, look, how, "links").where(f"kind IN ({PAIR}, {LINK})"), "links")
-    links = _pairs(second, LINK).unionByName(_confirm(_pairs(second), sets, how))
-    return links, _regions(first)
+    kinds = {r["kind"] for r in second.select("kind").distinct().collect()}  # two at most
+    if not kinds:
+        return None, _regions(first)
+    links = _pairs(second, LINK)
+    return links.unionByName(_confirm(_pairs(second), sets, how)) if PAIR in kinds else links, _regions(first)
 
 
 def _trees(classes: DataFrame, first: int, last: int) -> DataFrame:
@@ -355,7 +383,7 @@ def link(docs: DataFrame, how: Forest = Forest()) -> DataFrame:
             links, further = _confirm(_pairs(scanned), sets, how), _regions(scanned)
         else:
             links, further = _links(rows_now, look, sketch, sets, how)
-        known = _grown(links, known)
+        known = known if links is None else _grown(links, known)
         regions = further if regions is None else regions.unionByName(further)
     # regions that the rounds have not seen through: further back, until none is left
     while True:
@@ -364,7 +392,7 @@ def link(docs: DataFrame, how: Forest = Forest()) -> DataFrame:
             break
         look *= FURTHER
         links, regions = _links(unseen, look, sketch, sets, how)
-        known = _grown(links, known)
+        known = known if links is None else _grown(links, known)
     # only classes of several rows or with a link need a join; the rest stand alone
     named = per_set.join(known.select(F.col("node").alias("_n"), "component"), F.expr("node = _n"), "left")
     named = named.where("c > 1 OR component IS NOT NULL").select("set_id", F.coalesce("component", "node").alias("component"))
