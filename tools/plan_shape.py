@@ -4,8 +4,7 @@ Usage: python tools/plan_shape.py <tables_root> [name,name,...] [--tree]
 
 ``tables_root`` holds the report tables as parquet directories (e.g. written by
 ``ledgerline.sources.fixtures.write_fixture_tables``). Automatic broadcast is disabled
-and AQE is off, so only the explicitly size-checked dimensions are broadcast and every
-other join shows the shuffle it needs on large inputs.
+and AQE is off, so every join shows the shuffle it needs on large inputs.
 """
 
 from __future__ import annotations
