@@ -11,13 +11,14 @@ WITH u AS (
   SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          regexp_extract(rest, '^([^/?#]*)([^?#]*)', 2) AS path FROM u
 ), outcome AS (
-  SELECT doc_id, count(*) AS n, sum(CASE WHEN quality = 1 AND toxic = 0 THEN 1 ELSE 0 END) AS good
-  FROM labels WHERE (quality = 1 AND toxic = 0) IS NOT NULL GROUP BY doc_id
+  SELECT shown.page_id, count(*) AS n, sum(CASE WHEN quality = 1 AND toxic = 0 THEN 1 ELSE 0 END) AS good
+  FROM (SELECT DISTINCT page_id, try_cast(regexp_extract(url, '^[^:]*://[^/?#]*/[^/?#]*/([0-9]+)', 1) AS BIGINT) AS doc_id FROM pages) shown
+  JOIN labels ON shown.doc_id = labels.doc_id WHERE (quality = 1 AND toxic = 0) IS NOT NULL GROUP BY shown.page_id
 ), h AS (
   SELECT host, coalesce(sum(n), 0)::DOUBLE AS n, coalesce(sum(good), 0)::DOUBLE AS good,
          array_to_string(list_slice(string_split(host, '.'), greatest(1, len(string_split(host, '.')) - 1), len(string_split(host, '.'))), '.') AS domain,
          string_split(host, '.')[-1] AS suffix
-  FROM p LEFT JOIN outcome ON page_id = doc_id GROUP BY host
+  FROM p LEFT JOIN outcome ON p.page_id = outcome.page_id GROUP BY host
 ), d AS (SELECT domain, suffix, sum(n) AS n, sum(good) AS good FROM h GROUP BY 1, 2),
 s AS (SELECT suffix, sum(n) AS n, sum(good) AS good FROM d GROUP BY 1),
 r AS (SELECT (sum(good) + 1) / (sum(n) + 2) AS m FROM s),

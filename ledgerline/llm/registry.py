@@ -13,15 +13,19 @@ from .common import table
 
 URL_RULES = [url_reputation.Rule(*r) for r in (
     ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))]
+SHOWN_DOCUMENT = "^[^:]*://[^/?#]*/[^/?#]*/([0-9]+)"
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 WORD_VOCABULARY = "word_bpe_49k.json"
 
 
 def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A page's outcome is the label of the document with its number."""
-    outcomes = table(spark, sf_dir, "labels").select(
-        F.col("doc_id").alias("page_id"), F.expr("cast(quality = 1 AND toxic = 0 AS INT) AS good"))
-    out = url_reputation.filter_urls(table(spark, sf_dir, "pages"), outcomes, URL_RULES)
+    """A page's outcome is the label of the document it shows, whose number is in the url's path
+    (``host/language/number``); a page without such a number has none."""
+    pages = table(spark, sf_dir, "pages")
+    shown = pages.selectExpr("page_id", f"try_cast(regexp_extract(url, '{SHOWN_DOCUMENT}', 1) AS BIGINT) AS doc_id").distinct()
+    labels = table(spark, sf_dir, "labels").selectExpr("doc_id", "cast(quality = 1 AND toxic = 0 AS INT) AS good")
+    outcomes = shown.join(labels, "doc_id").select("page_id", "good")
+    out = url_reputation.filter_urls(pages, outcomes, URL_RULES)
     return out.select("page_id", "host", "path", "rule", "verdict", "n_labelled", F.round("good_rate", 6).alias("good_rate"))
 
 

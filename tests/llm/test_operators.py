@@ -75,6 +75,21 @@ def test_registered():
 
 # 1 url reputation
 
+def test_url_query_blocks_a_bad_host(spark, tmp_path):
+    """Labels belong to the documents that pages show, whatever the pages' own numbers."""
+    pages = [(i, f"https://{'bad' if i < 60 else 'good'}.example.net/{'fr'}/{5000 + i}{'.html' if i % 2 else '?x=1'}", "") for i in range(120)]
+    pages += [(500, "https://bad.example.net/fr/none", ""), (501, None, ""), (502, "http://bad.example.net", ""), (502, "http://bad.example.net", "")]
+    labels = [(5000 + i, int(i >= 55), 0) for i in range(120)] + [(i, 1, 0) for i in range(60)] + [(5000, None, 0)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    out = Q["op1_url_reputation"](spark, str(tmp_path)).collect()
+    of = {r.host: r for r in out}
+    assert len(out) == len(pages)
+    assert (of["bad.example.net"].verdict, of["bad.example.net"].n_labelled) == ("block", 60)
+    assert (of["good.example.net"].verdict, of["good.example.net"].n_labelled) == ("allow", 60)
+    assert of[""].verdict == "allow"
+
+
 def test_urls(spark):
     rows = [(1, None), (2, "no scheme"), (3, "http://A.Example.ORG/es/1?q=/en"), (4, "x://example.org/en/12#t"), (5, "s://sub.b.com/fr/x"),
             (6, "s://b.com/de"), (7, "s://b.com/de/"), (8, "s://notorg/"), (9, "s://h.org"), (10, "s://org/"), (11, "a://b.net?x=1"), (11, "a://b.net?x=1"),
