@@ -1,7 +1,10 @@
 """Quality rules by weak supervision (DataFrame functions only).
 
-Every rule looks at a document's counts and votes good (1), bad (-1) or abstains (0).
-Expectation-maximisation over the table of vote patterns estimates, for each rule, how
+Every rule looks at a document's counts and votes good (1), bad (-1) or abstains (0). The
+rules see length, repetition, symbols, capitals, and how far a text consists of words, of
+little but letters, and of lines that end like sentences. Most of them vote good on most
+texts of either kind; which votes tell the kinds apart is not given but estimated:
+expectation-maximisation over the table of vote patterns estimates, for each rule, how
 often its votes are right on good and on bad documents, and the share of good
 documents; a document is kept when its posterior probability of being good reaches
 ``keep_from`` and it does not fail the base limits.
@@ -11,7 +14,7 @@ at any corpus size; each step is one aggregation of that table into one row.
 
 Defined cases: a null or empty text has no words and fails the base limits; lines are
 compared as they stand; repeated rows are judged one by one; an empty table gives an
-empty result.
+empty result. Very long texts are counted whole, within their row.
 """
 
 from __future__ import annotations
@@ -24,6 +27,9 @@ from pyspark.sql import functions as F
 from .common import SPACE, stage_table, words_sql
 
 _SPACE = SPACE.replace("\\", "\\\\")
+# a word of letters with a little punctuation around it; a line that ends like a sentence
+_PLAIN = r"^\\p{P}?[\\p{L}\\p{M}][\\p{L}\\p{M}\\p{N}\'’-]*\\p{P}{0,2}$"
+_ENDED = r"[.!?…。！？][\"\'”’»)\\]]*[" + _SPACE + "]*$"
 
 #: Rules over the counts: (name, SQL for a good vote, SQL for a bad vote).
 RULES = (
@@ -34,19 +40,23 @@ RULES = (
     ("repeats", "10 * n_repeat_words <= 2 * n_words", "10 * n_repeat_words > 4 * n_words"),
     ("capitals", "5 * n_upper <= word_chars", "2 * n_upper > word_chars"),
     ("exclaim", "50 * n_exclaim <= n_words", "3 * n_exclaim > n_words"),
+    ("lettered", "10 * n_lettered >= 9 * n_words", "10 * n_lettered < 8 * n_words"),
+    ("plain", "10 * n_plain >= 9 * n_words", "10 * n_plain < 7 * n_words"),
+    ("marks", "20 * n_marks <= word_chars", "10 * n_marks > word_chars"),
+    ("endings", "10 * n_ended >= 9 * n_lines", "2 * n_ended < n_lines"),
 )
 
 
 @dataclass(frozen=True)
 class WeakSupervision:
     """``steps`` of EM from ``start`` (accuracy of every rule) and ``prior`` (share of
-    good documents); accuracies stay within ``[low, high]``, so a rule never turns into
-    its opposite and no single vote decides alone."""
+    good documents). Accuracies stay within ``[1 - high, high]``, so no single vote decides
+    alone, and a rule's two accuracies add up to 1 at least: a rule that votes alike on good and
+    bad documents then says nothing, and none turns into its opposite."""
 
     steps: int = 15
     start: float = 0.75
     prior: float = 0.8
-    low: float = 0.55
     high: float = 0.98
     keep_from: float = 0.5
 
@@ -65,12 +75,15 @@ def text_counts(docs: DataFrame) -> DataFrame:
         "length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]+', '')) AS n_symbols",
         r"length(regexp_replace(coalesce(text, ''), '[^\\p{Lu}]+', '')) AS n_upper",
         "length(regexp_replace(coalesce(text, ''), '[^!]+', '')) AS n_exclaim",
+        rf"length(regexp_replace(coalesce(text, ''), '[\\p{{L}}\\p{{M}}\\p{{N}}{_SPACE}]+', '')) AS n_marks",
     )
     got = got.selectExpr(
         "doc_id", "w", "size(w) AS n", "length(bin(size(w))) AS bits", "size(lines) AS n_lines",
-        "size(lines) - size(array_distinct(lines)) AS n_dup_lines", "n_symbols", "n_upper", "n_exclaim",
-        "length(array_join(w, '')) AS word_chars")
-    keep = ["doc_id", "n", "n_lines", "n_dup_lines", "n_symbols", "n_upper", "n_exclaim", "word_chars"]
+        "size(lines) - size(array_distinct(lines)) AS n_dup_lines", "n_symbols", "n_upper", "n_exclaim", "n_marks",
+        r"size(filter(w, x -> x rlike '\\p{L}')) AS n_lettered", f"size(filter(w, x -> x rlike '{_PLAIN}')) AS n_plain",
+        f"size(filter(lines, x -> x rlike '{_ENDED}')) AS n_ended", "length(array_join(w, '')) AS word_chars")
+    keep = ["doc_id", "n", "n_lines", "n_dup_lines", "n_symbols", "n_upper", "n_exclaim", "n_marks", "n_lettered", "n_plain",
+            "n_ended", "word_chars"]
     got = got.selectExpr(
         *keep, "w", "bits",
         "CASE WHEN n >= 3 THEN sort_array(transform(sequence(0, n - 3), i -> "
@@ -112,7 +125,7 @@ def estimate(voted: DataFrame, how: WeakSupervision = WeakSupervision()) -> tupl
     names = [n for n, _, _ in RULES]
     patterns = stage_table(voted.groupBy(*[f"v_{n}" for n in names]).agg(F.count(F.lit(1)).alias("c")).coalesce(1), "vote-patterns")
     prior, right = how.prior, {n: (how.start, how.start) for n in names}
-    within = lambda x: float(min(max(x, how.low), how.high))
+    within = lambda x: float(min(max(x, 1 - how.high), how.high))
     for _ in range(how.steps):
         scored = patterns.withColumn("q", F.expr(posterior_sql(prior, right)))
         row = scored.selectExpr(
@@ -127,6 +140,7 @@ def estimate(voted: DataFrame, how: WeakSupervision = WeakSupervision()) -> tupl
         # two votes of the starting accuracy steady a rule that hardly votes
         right = {n: (within((row[f"gg_{n}"] + 2 * how.start) / (row[f"g_{n}"] + 2)),
                      within((row[f"bb_{n}"] + 2 * how.start) / (row[f"b_{n}"] + 2))) for n in names}
+        right = {n: (g, max(b, 1 - g)) for n, (g, b) in right.items()}
     return prior, right
 
 

@@ -242,7 +242,7 @@ def test_quality_em(spark):
     how = quality.WeakSupervision()
     prior, right = quality.estimate(voted, how)
     p, acc = how.prior, [(how.start, how.start)] * len(quality.RULES)
-    clip = lambda x: min(max(x, how.low), how.high)
+    clip = lambda x: min(max(x, 1 - how.high), how.high)
     for _ in range(how.steps):
         post = []
         for v in rows:
@@ -255,13 +255,24 @@ def test_quality_em(spark):
         acc = [(clip((sum(q for q, v in zip(post, rows) if v[j] == 1) + 2 * how.start) / (sum(q for q, v in zip(post, rows) if v[j]) + 2)),
                 clip((sum(1 - q for q, v in zip(post, rows) if v[j] == -1) + 2 * how.start) / (sum(1 - q for q, v in zip(post, rows) if v[j]) + 2)))
                for j in range(len(quality.RULES))]
+        acc = [(g, max(b, 1 - g)) for g, b in acc]
     assert math.isclose(p, prior, rel_tol=1e-6)
     assert all(math.isclose(a, b, rel_tol=1e-6) for x, y in zip(acc, right.values()) for a, b in zip(x, y))
     labels = {r.doc_id: r.quality for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
-    out = {r.doc_id: r.kept for r in quality.judge_quality(docs).collect()}
-    good = [out[i] for i, q in labels.items() if q]
-    bad = [out[i] for i, q in labels.items() if not q]
-    assert sum(good) >= 0.8 * len(good) and sum(bad) <= 0.5 * len(bad)
+    # labels measure only: of the documents past the base limits the bad ones go, the good ones stay
+    def share_kept(how, want):
+        past = [r.kept for r in quality.judge_quality(docs, how).collect() if labels.get(r.doc_id) == want and not r.base_failed]
+        return sum(past) / len(past)
+
+    assert share_kept(how, 0) <= 0.1 and share_kept(how, 1) >= 0.98
+    # the rules alone, all trusted alike, let every bad one pass: the estimation decides
+    assert share_kept(quality.WeakSupervision(steps=0), 0) >= 0.9
+
+
+def test_quality_counts(spark, docs_of):
+    rows = [(1, "Who's \"there?\"\nx1 -- 12 a$$ l’eau\nfin. \t"), (2, None), (3, " \n "), (4, "é" * 100_000 + " " + "b! " * 1_000)]
+    out = {r.doc_id: (r.n_words, r.n_lettered, r.n_plain, r.n_marks, r.n_ended, r.n_lines) for r in quality.text_counts(docs_of(rows)).collect()}
+    assert out == {1: (8, 6, 5, 10, 2, 3), 2: (0,) * 6, 3: (0,) * 6, 4: (1001, 1001, 1001, 1000, 1, 1)}
 
 
 # 7 secrets
