@@ -19,7 +19,7 @@ about n * n / 2**64 pairs of keys meet (none to be expected below 4 billion keys
 Defined cases: words are separated by ASCII white space, A-Z read as a-z; a null or blank
 text has 0 tokens and null scores; the first word is scored by the unigram part alone;
 repeated rows count and are scored one by one; without target documents the target
-model is uniform; the vocabulary of both is what the corpus holds, ``unigrams`` at least.
+model is uniform; the vocabulary of both is the number of distinct words in the corpus.
 """
 
 from __future__ import annotations
@@ -43,7 +43,6 @@ SHARE = 600_000        # tokens of the corpus to each owner
 
 @dataclass(frozen=True)
 class Bigrams:
-    unigrams: int = 1 << 16   # least size of the vocabulary
     weight: float = 0.6       # of the bigram part
     smoothing: float = 0.1
 
@@ -58,7 +57,7 @@ class Totals:
 def token_ids(words: np.ndarray, how: Bigrams) -> tuple[np.ndarray, np.ndarray]:
     """Ids of words (negative), and of pairs of each word with the one before it (0 or more)."""
     one = (words | U(1 << 63)).view(np.int64)
-    two = (mix(words[:-1] * U(0x9E3779B97F4A7C15) + words[1:]) % U((1 << 63) - how.unigrams)).astype(np.int64)
+    two = (mix(words[:-1] * U(0x9E3779B97F4A7C15) + words[1:]) % U(1 << 63)).astype(np.int64)
     return one, two
 
 
@@ -139,7 +138,7 @@ def _block_keys(words: list[np.ndarray], how: Bigrams) -> np.ndarray:
     """Keys of all words, then of all pairs."""
     none = np.zeros(0, np.int64)
     got = [token_ids(w, how) for w in words if len(w)]
-    return _keys(np.concatenate([none, *[one for one, _ in got], *[two + how.unigrams for _, two in got]]))
+    return _keys(np.concatenate([none, *[one for one, _ in got], *[two for _, two in got]]))
 
 
 def _own_words(batches, owners: int, how: Bigrams):
@@ -240,7 +239,7 @@ def _score(block, answers, totals: Totals, how: Bigrams):
         first = np.zeros(int(ends[-1]), bool)
         first[[b - n for n, b in zip(n_tokens, ends.tolist()) if n]] = True
         single, pair = at[:len(first)], at[len(first):]
-        vocabulary = max(how.unigrams, totals.vocabulary)
+        vocabulary = totals.vocabulary
         for k, total, out in ((0, totals.tokens, back), (1, totals.target, target)):
             loss = _losses(sums[k, single].astype(np.int64), sums[k, pair].astype(np.int64), first, total, vocabulary, how)
             out += [float(loss[b - n:b].mean()) if n else None for n, b in zip(n_tokens, ends.tolist())]
@@ -269,8 +268,8 @@ def _asked(docs: DataFrame, target: DataFrame, how: Bigrams) -> tuple[DataFrame,
 
 
 def count(docs: DataFrame, target: DataFrame, how: Bigrams = Bigrams()) -> DataFrame:
-    """Both models as a table: ``bucket, n, n_target`` of every word (its id) and pair (its
-    id + ``unigrams``) of all documents; ``target``: ids of good documents."""
+    """Both models as a table: ``bucket, n, n_target`` of every word and pair (their ids)
+    of all documents; ``target``: ids of good documents."""
     return _asked(docs, target, how)[2].groupBy("owner").applyInArrow(_listed, "bucket long, n long, n_target long")
 
 
