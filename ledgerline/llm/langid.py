@@ -117,12 +117,14 @@ def train(rows: DataFrame, how: NaiveBayes = NaiveBayes()) -> Model:
     if n > how.max_train_rows:
         share = int(how.max_train_rows / n * (1 << 30))
         rows = rows.where(F.expr(f"pmod(xxhash64(doc_id, {how.seed}), {1 << 30}) < {share}"))
+    # the number of languages bounds what the driver gets, so it is known before anything is collected
+    most = (how.max_matrix_mb << 20) // (how.buckets * 4)
+    if rows.select("lang").distinct().limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} languages: the matrix would exceed {how.max_matrix_mb} MB")
     counted = map_arrow(rows.select("text", "lang"), lambda it: _count(it, how), "lang string, bucket int, n long")
     counted = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     got = counted.toArrow()
     langs = sorted(set(got["lang"].to_pylist()), key=lambda s: s.encode())
-    if len(langs) * how.buckets * 4 > how.max_matrix_mb << 20:
-        raise ValueError(f"{len(langs)} languages: the matrix would exceed {how.max_matrix_mb} MB")
     counts, docs = np.zeros((how.buckets, len(langs))), np.zeros(len(langs))
     if langs:
         place = {x: i for i, x in enumerate(langs)}

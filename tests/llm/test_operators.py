@@ -140,6 +140,35 @@ def test_langid(spark, edge):
     assert odd == {(i, "und", 0.0) for i in (1, 2, 3)}
 
 
+def test_langid_model_by_plain_loops(spark, docs_of, edge):
+    rows = [(i, prose(i, 30) if i % 2 else "älter größer über " * (1 + i), None, None) for i in range(40)]
+    docs = spark.createDataFrame([(i, t, "ab"[i % 2]) for i, t, *_ in rows] + [(90, None, "a"), (91, "  1", "b"), (92, "no", None)], "doc_id long, text string, lang string")
+    how = langid.NaiveBayes(buckets=512)
+    counts, n_docs = {x: collections.Counter() for x in "ab"}, collections.Counter()
+    for i, t, *_ in rows:
+        n_docs["ab"[i % 2]] += 1
+        for g in langid.grams(t, how):
+            counts["ab"[i % 2]].update(g.tolist())
+    model = langid.train(docs, how)
+    assert model.langs == ["a", "b"]
+    got = {r.doc_id: r for r in langid.predict(docs, model, how).collect()}
+    for i, t, *_ in rows:
+        total = {x: math.log(n_docs[x] / 40) + sum(
+            math.log((counts[x][b] + how.smoothing) / (sum(counts[x].values()) + how.smoothing * how.buckets))
+            for g in langid.grams(t, how) for b in g.tolist()) for x in "ab"}
+        best = max("ab", key=total.get)
+        assert got[i].lang_pred == best
+        assert math.isclose(got[i].score, 1 / sum(math.exp(v - total[best]) for v in total.values()), rel_tol=1e-3)
+    assert (got[90].lang_pred, got[91].lang_pred) == ("und", "und")
+
+
+def test_langid_too_many_languages(spark, monkeypatch):
+    many = spark.range(200).selectExpr("id AS doc_id", "'abc' AS text", "cast(id AS STRING) AS lang")
+    monkeypatch.setattr(langid, "map_arrow", None)  # nothing is counted or collected
+    with pytest.raises(ValueError, match="more than 32 languages"):
+        langid.train(many, langid.NaiveBayes(max_matrix_mb=4))
+
+
 def test_langid_pieces(monkeypatch):
     how = langid.NaiveBayes()
     whole = sorted(x for g in langid.grams(LONG, how) for x in g.tolist())
