@@ -152,6 +152,8 @@ class ReportConfig:
     as_of: dt.date | None = None
     # tasks over which one partner, status or plan is spread (None: see joins.salt_width)
     salts: int | None = None
+    # tasks over which the copies of one booking are spread (None: no exchange is spent on them)
+    copy_tasks: int | None = None
 
     def with_variant(self, variant: Variant) -> "ReportConfig":
         return replace(self, variant=variant)

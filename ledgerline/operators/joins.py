@@ -83,14 +83,18 @@ def copies_sql(*counts: str) -> str:
     return " * ".join(f"coalesce(CAST({c} AS BIGINT), 1L)" for c in counts) or "1L"
 
 
-def expand(df: DataFrame, *counts: str) -> DataFrame:
+def expand(df: DataFrame, *counts: str, tasks: int | None = None) -> DataFrame:
     """Re-create the row multiplication of left joins whose matches were counted.
 
     A left join to a lookup with ``n`` matches yields ``n`` copies (1 when none); with
     several lookups the copies multiply. Copies are made in chunks: first one row per
     ``CHUNK`` copies, then the copies of each chunk, so no array grows with the count.
+    With ``tasks`` the chunks are dealt to that many tasks first (one exchange of rows and chunks,
+    not of copies), so the copies of one row leave several tasks; without it they leave one.
     """
     n = copies_sql(*counts)
     chunks = df.selectExpr("*", f"{n} AS _copies", f"explode(sequence(0L, ({n} - 1L) div {CHUNK})) AS _chunk")
+    if tasks:
+        chunks = chunks.repartition(tasks, *[F.col("`" + c.replace("`", "``") + "`") for c in chunks.columns])
     return chunks.selectExpr("*", f"explode(sequence(1L, least({CHUNK}L, _copies - _chunk * {CHUNK}))) AS _copy") \
         .drop("_copies", "_chunk", "_copy")

@@ -20,8 +20,8 @@ from ..functions.text import norm
 @dataclass(frozen=True)
 class Rule:
     """``tests``: ``(column, op, value)`` triples, all must hold. ``op`` is one of
-    ``in`` (numeric set), ``kin`` (string set under the collation), ``nkin``
-    (string NOT IN), ``>=``, ``>``, ``=``, ``<``, ``like``, ``nlike``.
+    ``in`` (numeric set), ``kin`` (string set under the collation),
+    ``>=``, ``>``, ``=``, ``<``, ``like``, ``nlike``.
     ``factor``: multiply the base by it ("1" returns the base unchanged);
     ``constant``: return this value instead (the base is not read)."""
 
@@ -48,9 +48,8 @@ def _test(col: str, op: str, value) -> str:
     c = _q(col)
     if op == "in":
         return f"{c} IN ({', '.join(str(int(v)) for v in value)})"
-    if op in ("kin", "nkin"):
-        t = f"{_key(col)} IN ({', '.join(_s(norm(v)) for v in value)})"
-        return t if op == "kin" else f"NOT ({t})"
+    if op == "kin":
+        return f"{_key(col)} IN ({', '.join(_s(norm(v)) for v in value)})"
     if op in (">=", ">", "=", "<"):
         return f"{c} {op} {value}"
     if op == "like":
@@ -171,8 +170,8 @@ def sme_rules() -> tuple:
     gg = "Group Gratuity Plan"
     return (
         Rule((("PlanName", "kin", (gg,)),), ".1"),
-        Rule((("PlanName", "nkin", (gg,)), ("PlanName", "like", "%Group%")), ".25"),
-        Rule((("PlanName", "nkin", (gg,)), ("PlanName", "nlike", "%Group%")), "1.25"),
+        Rule((("PlanName", "like", "%Group%"),), ".25"),
+        Rule((("PlanName", "nlike", "%Group%"),), "1.25"),
     )
 
 

@@ -18,7 +18,7 @@ from ..operators.partners import attach_partner
 from ..session import ensure_checkpoint_dir
 from ..sources.catalog import Catalog
 from . import health, life, motor, persistency, sme
-from .common import Rules, fact_rows, finish, ints, join_verification_count
+from .common import MONEY, Rules, fact_rows, finish, ints, join_verification_count
 
 # Constant fills, then ordered fallbacks (target <- source). Later
 # fallbacks see the results of earlier ones.
@@ -186,7 +186,7 @@ def one_pass_leads(cat: Catalog, cfg: C.ReportConfig, condition: Column | None =
     columns = list(dict.fromkeys(c for cols in reported.values() for c in cols))
     counts = [c for c in ("_n_deal", "_n_ver", "_n_bt", "_n_pt", "_n_details", "_n_prev")]
     t = t.withColumn("_copies", F.expr(copies_sql(*counts))).drop(*counts)
-    out = finish(t, [*columns, "_line"], condition)
+    out = finish(t, [*columns, "_line"], condition, cfg.copy_tasks)
     mine = {c: [n for n, cols in reported.items() if c in cols] for c in columns}
     return out.selectExpr(*[
         f"`{c}`" if len(mine[c]) == len(reported) else f"CASE WHEN _line IN ({', '.join(map(s, mine[c]))}) THEN `{c}` END AS `{c}`"
@@ -241,9 +241,11 @@ def run_reports(cat: Catalog, cfg: C.ReportConfig, condition: Column | None = No
 
 
 def report_totals(cat: Catalog, cfg: C.ReportConfig, condition: Column | None = None) -> DataFrame:
-    """One row per report of ``run_reports``: its name and number of rows."""
-    parts = [df.select(F.lit(name).alias("report")).groupBy("report").agg(F.count(F.lit(1)).alias("n_rows"))
-             for name, df in run_reports(cat, cfg, condition).items()]
+    """One row per report of ``run_reports``: its name, number of rows, and the sum of each amount it
+    has (summed as exact decimals, so in any order; null where the report lacks the column)."""
+    parts = [df.groupBy(F.lit(name).alias("report")).agg(F.count(F.lit(1)).alias("n_rows"), *[
+        F.expr(f"CAST(round(sum(CAST(`{c}` AS DECIMAL(28, 6))), 2) AS DOUBLE) AS total_{c}" if c in df.columns else f"CAST(NULL AS DOUBLE) AS total_{c}")
+        for c in sorted(MONEY)]) for name, df in run_reports(cat, cfg, condition).items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

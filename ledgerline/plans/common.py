@@ -133,13 +133,13 @@ def with_copies(df: DataFrame, *counts: str) -> DataFrame:
     return df.withColumn("_copies", F.expr(copies_sql(*counts))).drop(*counts)
 
 
-def finish(df: DataFrame, columns, condition: Column | None) -> DataFrame:
+def finish(df: DataFrame, columns, condition: Column | None, copy_tasks: int | None = None) -> DataFrame:
     """Apply the caller's condition to the pre-projection rows (it may use any input
     column, as the reference's placeholder sits before the final projection), restore
     the row copies, then project the output columns, money as DOUBLE."""
     if condition is not None:
         df = df.where(condition)
-    df = expand(df.withColumnRenamed("_copies", "_n"), "_n")
+    df = expand(df.withColumnRenamed("_copies", "_n"), "_n", tasks=copy_tasks)
     # one projection expression list: a single call to build, however many columns
     return df.selectExpr(*[f"CAST({_q(c)} AS DOUBLE) AS {_q(c)}" if c in MONEY else _q(c) for c in columns])
 

@@ -106,7 +106,7 @@ def health_fresh_columns(v: C.Variant) -> list[str]:
 
 
 def health_fresh_leads(cat: Catalog, cfg: C.ReportConfig, condition: Column | None = None) -> DataFrame:
-    return finish(health_fresh_detail(cat, cfg, condition is not None), health_fresh_columns(cfg.variant), condition)
+    return finish(health_fresh_detail(cat, cfg, condition is not None), health_fresh_columns(cfg.variant), condition, cfg.copy_tasks)
 
 
 def _summary(t: DataFrame, label: str, *issued: str, condition: Column | None = None) -> DataFrame:
@@ -237,7 +237,7 @@ def health_renewal_columns(v: C.Variant) -> list[str]:
 
 
 def health_renewal_leads(cat: Catalog, cfg: C.ReportConfig, condition: Column | None = None) -> DataFrame:
-    return finish(health_renewal_detail(cat, cfg, condition is not None), health_renewal_columns(cfg.variant), condition)
+    return finish(health_renewal_detail(cat, cfg, condition is not None), health_renewal_columns(cfg.variant), condition, cfg.copy_tasks)
 
 
 def health_renewal_summary(cat: Catalog, cfg: C.ReportConfig, condition: Column | None = None) -> DataFrame:

@@ -100,7 +100,7 @@ def life_columns(v: C.Variant) -> list[str]:
 
 
 def life_leads(cat: Catalog, cfg: C.ReportConfig, condition: Column | None = None) -> DataFrame:
-    return finish(life_detail(cat, cfg), life_columns(cfg.variant), condition)
+    return finish(life_detail(cat, cfg), life_columns(cfg.variant), condition, cfg.copy_tasks)
 
 
 def life_summary(cat: Catalog, cfg: C.ReportConfig, condition: Column | None = None) -> DataFrame:

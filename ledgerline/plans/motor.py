@@ -106,7 +106,7 @@ def motor_columns(v: C.Variant) -> list[str]:
 
 
 def motor_leads(cat: Catalog, cfg: C.ReportConfig, condition: Column | None = None) -> DataFrame:
-    return finish(motor_detail(cat, cfg), motor_columns(cfg.variant), condition)
+    return finish(motor_detail(cat, cfg), motor_columns(cfg.variant), condition, cfg.copy_tasks)
 
 
 def motor_summary(cat: Catalog, cfg: C.ReportConfig, condition: Column | None = None) -> DataFrame:

@@ -24,7 +24,7 @@ def booking_calendar(cat: Catalog) -> DataFrame:
     )
 
 
-def renewal_calendar(cat: Catalog, slices: int | None = None) -> DataFrame:
+def renewal_calendar(cat: Catalog, slices: int | None = None, copy_tasks: int | None = None) -> DataFrame:
     """Every renewal edge (booking -> referred prior booking) with the prior end date
     and the renewal locking date (NULL when booked after the lock).
 
@@ -32,7 +32,7 @@ def renewal_calendar(cat: Catalog, slices: int | None = None) -> DataFrame:
     very many leads share is split; equal results of one edge are a count until the end."""
     fact = cat.table("bookings")
     met = met_edges(cat, counted_policies(fact), edge_slices(cat, slices))
-    j = expand(fact.select("leadid", "BookingDate").join(met, F.expr("leadid = _ref_lead"), "inner"), "_n")
+    j = expand(fact.select("leadid", "BookingDate").join(met, F.expr("leadid = _ref_lead"), "inner"), "_n", tasks=copy_tasks)
     return j.select(
         "leadid", F.col("_ref_id").alias("ReferralID"), "BookingDate",
         F.col("_prev_end").cast("date").alias("Prev_end_date"),
@@ -56,7 +56,7 @@ def motor_status_flags(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
 def life_plan_enrichment(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
     """Life bookings with booking details, de-duplicated plan category and pay term."""
     b = cat.table("bookings").where(F.col("ProductId").isin(list(C.LIFE_PRODUCTS))).select("leadid", "ProductId")
-    j = expand(join_plan_details(join_pay_term(b, cat), cat, cfg), "_n_bp", "_n_pt")
+    j = expand(join_plan_details(join_pay_term(b, cat), cat, cfg), "_n_bp", "_n_pt", tasks=cfg.copy_tasks)
     return j.select(
         "leadid", "ProductId", F.col("BasicPremium").cast("double").alias("BasicPremium"), "PaymentPeriodicity",
         "issuanceDate", "PayoutProdCat", "PayTerm",

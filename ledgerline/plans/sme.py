@@ -55,7 +55,7 @@ def sme_columns(v: C.Variant) -> list[str]:
 
 
 def sme_leads(cat: Catalog, cfg: C.ReportConfig, condition: Column | None = None) -> DataFrame:
-    return finish(sme_detail(cat, cfg), sme_columns(cfg.variant), condition)
+    return finish(sme_detail(cat, cfg), sme_columns(cfg.variant), condition, cfg.copy_tasks)
 
 
 def sme_summary(cat: Catalog, cfg: C.ReportConfig, condition: Column | None = None) -> DataFrame:

@@ -35,8 +35,6 @@ def _test(row, col, op, value):
         return x in value
     if op == "kin":
         return _norm(x) in {_norm(v) for v in value}
-    if op == "nkin":
-        return _norm(x) not in {_norm(v) for v in value}
     if op == ">=":
         return x >= value
     if op == ">":

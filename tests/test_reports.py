@@ -169,6 +169,27 @@ def test_copies_beyond_int_and_beyond_one_chunk(spark):
     assert out == {"IP0": 2.5 * 4_900_000_001, "IP1": 7.5}  # case and trailing blanks make no group of their own
 
 
+def test_copies_of_one_booking_leave_several_tasks(spark):
+    df = spark.createDataFrame([(1, 10_000_000, "a b"), (2, None, None), (3, 2, "c")], "leadid long, n long, `x y` string").coalesce(1)
+    one, many = expand(df, "n"), expand(df, "n", tasks=16)
+    per_task = [r.c for r in many.groupBy(F.spark_partition_id()).agg(F.count("*").alias("c")).collect()]
+    assert sum(per_task) == 10_000_003 and len(per_task) == 16 and max(per_task) < 2 * 10_000_003 / 16
+    for out in (one, many):
+        assert {r.leadid: r.c for r in out.groupBy("leadid").agg(F.count("*").alias("c")).collect()} == {1: 10_000_000, 2: 1, 3: 2}
+    assert "Exchange" not in one._jdf.queryExecution().executedPlan().toString()
+
+
+def test_copy_tasks_leave_reports_as_they_are(spark, small_catalog):
+    from dataclasses import replace
+
+    from ledgerline.plans import combine, health, life, motor, parts, sme
+
+    cfg = fixture_config()
+    for report in (motor.motor_leads, health.health_renewal_leads, life.life_leads, sme.sme_leads, combine.combined_leads, parts.life_plan_enrichment):
+        plain, spread = (report(small_catalog, c) for c in (cfg, replace(cfg, copy_tasks=5)))
+        assert plain.columns == spread.columns and sorted(map(str, plain.collect())) == sorted(map(str, spread.collect()))
+
+
 def test_collation_of_annual_and_life_plans(spark):
     from ledgerline.plans import life
 
