@@ -7,6 +7,7 @@ import math
 import random
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -126,6 +127,39 @@ def test_topk_ties_and_bad_vectors(spark):
         assert sorted(mine) == sorted(want)
 
 
+def _plain_topk(a, b, ids, k):
+    whole = a.astype(object) @ b.T.astype(object)
+    return [[(j, s) for s, j in sorted((-whole[q, j], j) for j in range(len(b)) if j != ids[q])[:k]] for q in range(len(a))]
+
+
+@pytest.mark.parametrize("lists", [1, 2, 3, 4])
+@pytest.mark.parametrize("kind", ["spread", "copies", "negative", "huge"])
+def test_topk_block(lists, kind):
+    """A block's phases, with any safe cutoff, equal plain integer sums; far cutoffs spare products."""
+    r = np.random.default_rng(5)
+    v = r.integers(-1000, 1000, (600, 24))
+    if kind == "copies":
+        v = v[r.integers(0, 7, 600)]
+    elif kind == "negative":
+        v = np.where(np.arange(600)[:, None] % 50 == 0, -1, 1) * np.abs(v)
+    elif kind == "huge":
+        v = v * 40_000
+    own = np.arange(0, 600, 50)
+    how = topk.Threshold(k=5, lists=lists)
+    a, b = topk._sides(list(v[own]), list(v))
+    assert a.dtype == (np.int64 if kind == "huge" else np.float64)
+    ids = np.arange(600)
+    want = _plain_topk(v[own], v, own, 5)
+    lead = [score[-1] for _, score in topk.leaders(a, b, own, ids, 1, how)]
+    assert all(t <= -w[-1][1] for t, w in zip(lead, want))  # safe
+    exact = np.array([float(-w[-1][1]) for w in want])
+    for cutoffs in (np.full(len(own), np.nan), np.array(lead, float), exact, np.full(len(own), -1e18)):
+        got = list(topk.collect(a, b, own, ids, cutoffs, how))
+        assert [list(zip(at, (-score).astype(object))) for at, score, _ in got] == want
+    if kind == "spread" and lists == 4:
+        assert sum(n for *_, n in topk.collect(a, b, own, ids, exact, how)) < 0.95 * a.size * len(b)
+
+
 # 3 language ID
 
 def test_langid(spark, edge):
