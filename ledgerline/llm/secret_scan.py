@@ -8,7 +8,9 @@ chi-squared uniformity, runs above and below the median, lag-1 serial correlatio
 candidate that passes gets the probability that ordinary writing of its length looks
 like it: writing that stays within the hex alphabet throughout, or, for the larger alphabets,
 writing that repeats characters as rarely (index of coincidence, whose spread shrinks
-with length) and that leaves lower-case letters as often; the larger of the two counts.
+with length) and that turns as often from one kind of character to another (lower case,
+capital, digit, mark; a capital before a lower-case letter is no turn, so that names in
+mixed case turn once a word). Fisher's method combines the two.
 Over the whole corpus these probabilities go through
 Benjamini-Hochberg false-discovery control, one family per length class.
 
@@ -60,16 +62,16 @@ ALPHABETS = [(name, frozenset(a), {c: i for i, c in enumerate(a)}) for name, a i
 class Battery:
     """``alpha``: level at which a uniformity test rejects; ``fdr``: share of false
     discoveries allowed per length class; ``coincidence`` and ``cubes``: sums of squared
-    and cubed character frequencies of ordinary writing; ``in_hex`` and ``not_lower``: its
-    shares of characters within a hex alphabet and besides lower-case letters; ``classes``: lower ends of the
-    length classes; ``bins`` per factor of ten of the probability, down to 1e-``digits``."""
+    and cubed character frequencies of ordinary writing; ``in_hex``: its share of characters
+    within a hex alphabet; ``turns``: the share of places where names, paths and numbers
+    turn to another kind of character; ``classes``: lower ends of the length classes; ``bins`` per factor of ten of the probability, down to 1e-``digits``."""
 
     alpha: float = 0.001
     fdr: float = 0.01
     coincidence: float = 0.065
     cubes: float = 0.0056
     in_hex: float = 0.3
-    not_lower: float = 0.08
+    turns: float = 0.2
     classes: tuple[int, ...] = (20, 28, 40, 64, 128)
     bins: int = 20
     digits: int = 16
@@ -120,6 +122,18 @@ def at_least(x: int, n: int, share: float) -> float:
                                  + (n - i) * math.log1p(-share)) for i in range(x, n + 1)))
 
 
+def turns(run: str) -> int:
+    """Places where the kind of character changes, but from a capital to a lower-case letter."""
+    kinds = ["a" if "a" <= c <= "z" else "A" if "A" <= c <= "Z" else "0" if "0" <= c <= "9" else "-" for c in run]
+    return sum(x != y and (x, y) != ("A", "a") for x, y in zip(kinds, kinds[1:]))
+
+
+def combined(p: float, q: float) -> float:
+    """Fisher's method for two probabilities."""
+    both = max(p * q, 1e-300)
+    return both * (1 - math.log(both))
+
+
 def probability(run: str, how: Battery) -> float | None:
     """The candidate's probability as text; None when it isn't a uniform draw either."""
     have = set(run)
@@ -135,7 +149,7 @@ def probability(run: str, how: Battery) -> float | None:
     p = chance_as_text(codes, k, how)
     if name in ("letters", "LETTERS"):
         return p
-    return max(p, at_least(sum(not "a" <= c <= "z" for c in run), len(run), how.not_lower))
+    return combined(p, at_least(turns(run), len(run) - 1, how.turns))
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -147,10 +161,14 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def candidates(text: str, base: Sequence[tuple[int, int, int]], how: Battery) -> list[tuple[int, int, float]]:
-    """(start, end, probability) of runs that overlap no base span and pass the battery."""
-    out = []
+    """(start, end, probability) of runs that overlap no base span and pass the battery.
+    ``base`` is in order of start."""
+    out, at, reach = [], 0, 0  # reach: where the base spans that start before a run's end come to
     for m in RUN.finditer(text):
-        if not any(s < m.end() and m.start() < e for s, _, e in base):
+        while at < len(base) and base[at][0] < m.end():
+            reach = max(reach, base[at][2])
+            at += 1
+        if reach <= m.start():
             p = probability(m[0], how)
             if p is not None:
                 out.append((m.start(), m.end(), p))

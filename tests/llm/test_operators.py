@@ -365,6 +365,45 @@ def test_secrets(spark, docs_of, small):
         assert set(joined(spans).split(",")) - {""} <= set(r.spans.split(","))
 
 
+def runs(seed, letters, n, length):
+    r = random.Random(seed)
+    return ["".join(r.choice(letters) for _ in range(length)) for _ in range(n)]
+
+
+BASE62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+
+def test_secrets_random_spans(spark, docs_of, small):
+    """The ``random`` spans of a whole table equal those of plain loops, whatever else the texts hold."""
+    names = ["com/projects/issues/118027", "test_decompressor_of_two_files", "ResponseWithInitialHeaderNames", "THE_LARGEST_BUFFER_SIZE", "x86_64-linux-android-tools"]
+    mixed = [r for n in (20, 24, 30, 45, 70, 140) for a in (BASE62, BASE62 + "+/", "0123456789ABCDEF", BASE62[26:], BASE62[:26] + "234567") for r in runs(n, a, 6, n)]
+    texts = [None, "", "A" * 3000, "ab" * 40, " ".join(names), "token=" + mixed[0] + " " + mixed[1] + "=" + mixed[2], " ".join(mixed), mixed[7], mixed[7]]
+    texts += [f"see {x} or {names[i % 5]}{i}" for i, x in enumerate(mixed)] + [x for _, x, *_ in small]
+    out = secret_scan.scan(docs_of(list(enumerate(texts)))).collect()
+    mine = {(r.doc_id, x.start, x.end) for r in out for x in r.spans if x.kind == "random"}
+    assert mine == brute.random_spans(texts) and len(mine) > 180  # half of all runs drawn
+    query = {r.doc_id: r.spans for r in Q["op7_secret_scan"](spark, SF).collect()}
+    want = brute.random_spans([x for _, x, *_ in small])
+    got = {(i, int(p[1]), int(p[2])) for i, (d, *_) in enumerate(small) for p in (x.split(":") for x in query[d].split(",") if x) if p[0] == "random"}
+    assert got == want
+
+
+@pytest.mark.parametrize("length, least", [(20, 0.6), (24, 0.85), (28, 0.9), (40, 0.98)])
+def test_secrets_recall(length, least):
+    how = secret_scan.Battery()
+    p = [secret_scan.probability(x, how) for x in runs(length, BASE62, 400, length)]
+    assert sum(x is not None and x <= how.fdr for x in p) >= least * 400
+
+
+def test_secrets_many_spans():
+    """Runs between very many base spans are found in one pass over both."""
+    long = runs(1, BASE62, 1, 30)[0]
+    text = f"token=abcdef {long} " * 20_000
+    base = secret_scan.base_spans(text)
+    found = secret_scan.candidates(text, base, secret_scan.Battery())
+    assert len(base) == len(found) == 20_000 and text[found[-1][0]:found[-1][1]] == long
+
+
 # 8 near-dup
 
 def test_near_dup(spark, small, docs_of):
