@@ -1,9 +1,12 @@
 """LM scoring: cross-entropy difference of two matched n-gram models.
 
 The target model is counted over all documents labelled good, the background model over
-all documents. Both are interpolated word bigram models over the same words with the same
-smoothing. Every document is scored by the mean difference of its tokens' losses, target
-minus background: below 0 it is closer to the target than to the corpus.
+all documents. Both are interpolated word bigram models over the same words, matched in
+their smoothing: it adds the same share to both, whatever their sizes, so a word that
+neither has seen makes no difference. Every document is scored by the mean difference of its tokens' losses, target
+minus background: below 0 it is closer to the target than to the corpus. A document's own
+tokens are left out of the models that score it, or good ones would look nearer to the
+target than others like them.
 
 Every word and every pair of words has a count of its own, so the models grow with the
 corpus and no task, driver or broadcast holds one. Documents are staged in blocks of
@@ -18,7 +21,8 @@ about n * n / 2**64 pairs of keys meet (none to be expected below 4 billion keys
 
 Defined cases: words are separated by ASCII white space, A-Z read as a-z; a null or blank
 text has 0 tokens and null scores; the first word is scored by the unigram part alone;
-repeated rows count and are scored one by one; without target documents the target
+repeated rows count and are scored one by one (a row leaves out its own counts, not those
+of its copies); without target documents the target
 model is uniform; the vocabulary of both is the number of distinct words in the corpus.
 """
 
@@ -208,10 +212,13 @@ def _listed(table):
     return pa.table({"bucket": _ids(keys), "n": sums[0].astype(np.int64), "n_target": sums[1].astype(np.int64)})
 
 
-def _losses(single: np.ndarray, pair: np.ndarray, first: np.ndarray, total: int, vocabulary: int, how: Bigrams) -> np.ndarray:
+def _losses(single: np.ndarray, pair: np.ndarray, first: np.ndarray, total: np.ndarray, background: np.ndarray, vocabulary: int, how: Bigrams) -> np.ndarray:
     """Loss of every token under one model (natural logarithms): counts of the tokens and,
-    where a word is not the ``first`` of its document, of the pair that it ends."""
-    p = (single + how.smoothing) / (total + how.smoothing * vocabulary)
+    where a word is not the ``first`` of its document, of the pair that it ends; ``total``:
+    per token the tokens that its model counts, ``background``: that the background counts.
+    A model of no tokens is uniform."""
+    each = np.where(total > 0, how.smoothing * total / np.maximum(background, 1), 1.0)
+    p = (single + each) / (total + each * vocabulary)
     later = np.flatnonzero(~first)
     seen = single[later - 1].astype(np.float64)
     with np.errstate(divide="ignore", invalid="ignore"):
@@ -220,9 +227,20 @@ def _losses(single: np.ndarray, pair: np.ndarray, first: np.ndarray, total: int,
     return -np.log(p)
 
 
+def _own(at: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """For every place the number of equal places within its document; ``ends`` of documents."""
+    out = np.zeros(len(at), np.int64)
+    for a, b in zip([0, *ends[:-1].tolist()], ends.tolist()):
+        _, back, n = np.unique(at[a:b], return_inverse=True, return_counts=True)
+        out[a:b] = n[back]
+    return out
+
+
 def _score(block, answers, totals: Totals, how: Bigrams):
-    """Scores of one block's documents from the sums that its keys have."""
+    """Scores of one block's documents from the sums that its keys have, and the row that
+    names its good documents."""
     import pyarrow as pa
+    import pyarrow.compute as pc
 
     n_tokens, target, back = [], [], []
     ids = block["ids"].combine_chunks().flatten()
@@ -230,7 +248,8 @@ def _score(block, answers, totals: Totals, how: Bigrams):
         words = _block_words(block["n_bytes"][0].as_py(), block["text"][0].as_py())
         n_tokens = [len(w) for w in words]
         keys, at = np.unique(_block_keys(words, how), return_inverse=True)
-        answers = answers.sort_by("owner")
+        good = [i for part in answers["good"].to_pylist() for i in part or ()]
+        answers = answers.filter(pc.is_valid(answers["sums"])).sort_by("owner")
         got = [_unpack(s, 2, n) for n, s in zip(answers["n"].to_pylist(), answers["sums"].to_pylist())]
         sums = np.concatenate([np.zeros((2, 0), U), *got], axis=1)
         if sums.shape[1] != len(keys):
@@ -239,9 +258,16 @@ def _score(block, answers, totals: Totals, how: Bigrams):
         first = np.zeros(int(ends[-1]), bool)
         first[[b - n for n, b in zip(n_tokens, ends.tolist()) if n]] = True
         single, pair = at[:len(first)], at[len(first):]
-        vocabulary = totals.vocabulary
+        lengths = np.array(n_tokens, np.int64)
+        own_single, own_pair = _own(single, ends), _own(pair, np.cumsum(np.maximum(lengths - 1, 0)))
+        counted = np.ones((2, len(words)), np.int64)  # whether a document is in the model itself
+        counted[1] = 0
+        counted[1, good] = 1
+        others = totals.tokens - np.repeat(lengths, lengths)
         for k, total, out in ((0, totals.tokens, back), (1, totals.target, target)):
-            loss = _losses(sums[k, single].astype(np.int64), sums[k, pair].astype(np.int64), first, total, vocabulary, how)
+            mine = np.repeat(counted[k], lengths)
+            loss = _losses(sums[k, single].astype(np.int64) - own_single * mine, sums[k, pair].astype(np.int64) - own_pair * mine[~first],
+                           first, total - np.repeat(counted[k] * lengths, lengths), others, totals.vocabulary, how)
             out += [float(loss[b - n:b].mean()) if n else None for n, b in zip(n_tokens, ends.tolist())]
     diff = [None if a is None else a - b for a, b in zip(target, back)]
     return pa.table(
@@ -280,6 +306,8 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, how: Bigrams =
     words = words.groupBy("owner").applyInArrow(_distinct, "n long").agg(F.sum("n")).first()[0] or 0
     totals = Totals(tokens, good.agg(F.sum("n")).first()[0] or 0, words)
     answers = asked.groupBy("owner").applyInArrow(_answer, "block string, owner long, n long, sums binary")
+    # a block's good documents travel with its answers
+    answers = answers.withColumn("good", F.lit(None).cast(good.schema["good"].dataType)).unionByName(good.select("block", "good"), allowMissingColumns=True)
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         lambda block, answers: _score(block, answers, totals, how),
         wider(docs.select("doc_id"), "n_tokens long, ce_target double, ce_background double, score double"))

@@ -614,13 +614,16 @@ def test_ce_difference(spark, docs_of):
 
     words = ce_score.word_hashes(np.frombuffer(rows[0][1].encode(), np.uint8))
     one, two = ce_score.token_ids(words, how)
-    total, loss = 80 * 80 + 2, 0.0
+    total, loss = 80 * 80 + 2 - len(one), 0.0
+    mine = collections.Counter([*one.tolist(), *two.tolist()])
+    counts = {b: (n - mine[b], m) for b, (n, m) in counts.items()}  # a document's own counts are left out
     vocabulary = len({w.lower() for _, t in rows for w in (t or "").split()})
     for k, w in enumerate(one.tolist()):
         n = counts[w][0]
         p = (n + how.smoothing) / (total + how.smoothing * vocabulary)
         if k:
-            p = how.weight * min(1.0, counts[two[k - 1]][0] / counts[one[k - 1]][0]) + (1 - how.weight) * p
+            before = counts[one[k - 1]][0]
+            p = how.weight * (counts[two[k - 1]][0] / before if before else p) + (1 - how.weight) * p
         loss -= math.log(p)
     assert math.isclose(of[0][0].ce_background, loss / len(one), rel_tol=1e-5)
 
@@ -645,10 +648,14 @@ def test_ce_difference_every_word(spark, docs_of, monkeypatch):
     assert vocabulary > 100_000
     for i in (0, 1, 2, 3, 499, 500, None):
         want = []
-        for one, two, total in models:
+        for m, (one, two, total) in enumerate(models):
             loss = 0.0
+            if m == 1 or i in target:  # a document's own counts are left out
+                one, two = one - collections.Counter(every[i]), two - collections.Counter(zip(every[i], every[i][1:]))
+                total -= len(every[i])
+            each = how.smoothing * total / (models[1][2] - len(every[i]))  # the same share of both models
             for k, w in enumerate(every[i]):
-                p = (one[w] + how.smoothing) / (total + how.smoothing * vocabulary)
+                p = (one[w] + each) / (total + each * vocabulary)
                 if k:
                     before = every[i][k - 1]
                     p = how.weight * (two[before, w] / one[before] if one[before] else p) + (1 - how.weight) * p
@@ -657,6 +664,23 @@ def test_ce_difference_every_word(spark, docs_of, monkeypatch):
         assert math.isclose(of[i].ce_target, want[0], rel_tol=1e-9) and math.isclose(of[i].ce_background, want[1], rel_tol=1e-9)
 
 
+def test_ce_difference_leaves_own_counts_out(spark, docs_of):
+    """Documents of one kind score alike, whether they are in the target or not."""
+    rows = [(i, " ".join(random.Random(i).choice([f"x{j}" for j in range(400)]) for _ in range(60))) for i in range(80)] + [(80, "alone here")]
+    target = spark.createDataFrame([(i,) for i in [*range(0, 80, 2), 80]], "doc_id long")
+    of = {r.doc_id: r for r in ce_score.cross_entropy_difference(docs_of(rows), target).collect()}
+    inside, outside = ([of[i].score for i in range(start, 80, 2)] for start in (0, 1))
+    spread = np.std(inside + outside)
+    assert abs(np.mean(inside) - np.mean(outside)) < spread
+    # only this document has its words: both models give it the smoothing alone
+    how, vocabulary = ce_score.Bigrams(), len({w for _, t in rows for w in t.split()})
+    floor = -math.log(how.smoothing / (4800 + how.smoothing * vocabulary))
+    assert math.isclose(of[80].ce_background, floor, rel_tol=1e-9) and abs(of[80].score) < 1e-9
+    # no target: a uniform model
+    none = ce_score.cross_entropy_difference(docs_of(rows), target.where("false")).collect()
+    assert all(math.isclose(r.ce_target, math.log(vocabulary), rel_tol=1e-9) for r in none)
+
+
 # pipeline
 
 def test_pipeline(spark, docs_of):
