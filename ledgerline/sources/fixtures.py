@@ -14,6 +14,7 @@ import itertools
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import stage
 from .catalog import Catalog, write_bookings
 
 
@@ -29,6 +30,15 @@ def _dec(c: Column, p: int, s: int) -> Column:
     return c.cast(f"decimal({p},{s})")
 
 
+def twice(rows: DataFrame, condition: str) -> DataFrame:
+    """The rows, those that meet the condition a second time, in one pass."""
+    return rows.withColumn("_copy", F.expr(f"explode(CASE WHEN {condition} THEN array(0, 1) ELSE array(0) END)")).drop("_copy")
+
+
+#: Kinds of stored bookings.
+FIRST, RENEWAL, REPEATED = range(3)
+
+
 class FixtureTables:
     """Lazily derived fixture relations over one scale-factor directory."""
 
@@ -47,7 +57,8 @@ class FixtureTables:
 
     # -- base ---------------------------------------------------------------
     def base(self) -> DataFrame:
-        """lineitem joined to its order, with derived keys; duplicates kept."""
+        """lineitem joined to its order, with derived keys; duplicates kept, ``rn`` 1 for the
+        first row of an (order, line) by the listed columns."""
 
         def build():
             l = self._read("lineitem").select(
@@ -56,8 +67,13 @@ class FixtureTables:
             )
             o = self._read("orders").select("o_orderkey", "o_custkey", "o_orderdate")
             b = l.join(o, l.l_orderkey == o.o_orderkey, "inner")
+            w = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(
+                "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
+                "l_shipdate", "l_discount", "l_tax", "l_returnflag",
+            )
             return b.select(
                 "*",
+                F.row_number().over(w).alias("rn"),
                 (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("leadid"),
                 ((F.col("l_partkey") * 7 + F.col("l_linenumber") * 3 + F.col("l_suppkey")) % 18).alias("k_prod"),
                 ((F.col("l_orderkey") + F.col("l_partkey")) % 9).alias("k_stat"),
@@ -66,25 +82,21 @@ class FixtureTables:
 
         return self._once("base", build)
 
-    def base_first(self) -> DataFrame:
-        """One row per (order, line): the first by the listed columns."""
-
-        def build():
-            w = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(
-                "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
-                "l_shipdate", "l_discount", "l_tax", "l_returnflag",
-            )
-            return self.base().withColumn("rn", F.row_number().over(w)).where(F.col("rn") == 1).drop("rn")
+    # -- relations ------------------------------------------------------------
+    def stored(self) -> DataFrame:
+        """Every booking that the tables derive from, with its ``_kind``: the first of a lead, the renewal
+        of a first one, or another row of a lead.
 
-        return self._once("base_first", build)
+        All tables but the partners' derive from these rows, each with other columns, so that Spark would
+        join, sort and derive them again for every reference. They are derived in one pass and stored once,
+        under the shared checkpoint folder, when a table is first asked for."""
 
-    # -- relations ------------------------------------------------------------
-    def first_bookings(self) -> DataFrame:
         def build():
-            b = self.base_first()
+            b = self.base()
             price = _dec(F.col("l_extendedprice"), 12, 2)
             code = F.concat(F.lit("IP"), (F.col("o_custkey") % 40).cast("string"))
-            return b.select(
+            b = b.select(
+                "rn",
                 F.col("leadid"),
                 F.when(F.col("l_linenumber") == 3, F.lower(code)).otherwise(code).alias("Utm_term"),
                 case_map(F.col("k_prod"), {
@@ -127,16 +139,7 @@ class FixtureTables:
                 F.when(F.col("l_suppkey") % 2 == 0, F.col("l_shipdate") + F.expr("INTERVAL 30 DAYS"))
                 .otherwise(F.col("l_shipdate") - F.expr("INTERVAL 120 DAYS")).alias("PolicyEndDate"),
             )
-
-        return self._once("first_bookings", build)
-
-    def bookings(self) -> DataFrame:
-        """The first bookings, and for line 1 of each order a renewal of that booking
-        around the end of its policy."""
-
-        def build():
-            b = self.first_bookings()
-            r = b.where("leadid % 10 = 1")
+            kinds = f"CASE WHEN rn > 1 THEN array({REPEATED}) WHEN leadid % 10 = 1 THEN array({FIRST}, {RENEWAL}) ELSE array({FIRST}) END"
             changed = {
                 "leadid": "leadid + 7",
                 "ProductId": "CASE leadid % 30 WHEN 1 THEN 130 WHEN 11 THEN 190 ELSE 224 END",
@@ -148,29 +151,39 @@ class FixtureTables:
                 "PolicyStartDate": "PolicyEndDate",
                 "PolicyEndDate": "PolicyEndDate + INTERVAL '365' DAY",
             }
-            return b.unionByName(r.selectExpr(*[f"{changed.get(c, f'`{c}`')} AS `{c}`" for c in b.columns]))
+            columns = [c for c in b.columns if c != "rn"]
+            return stage(b.selectExpr("*", f"explode({kinds}) AS _kind").selectExpr("_kind", *[
+                f"CASE WHEN _kind = {RENEWAL} THEN {changed[c]} ELSE {c} END AS {c}" if c in changed else f"`{c}`"
+                for c in columns]), "bookings")
 
-        return self._once("bookings", build)
+        return self._once("stored", build)
+
+    def first_bookings(self) -> DataFrame:
+        return self.stored().where(f"_kind = {FIRST}").drop("_kind")
+
+    def bookings(self) -> DataFrame:
+        """The first bookings, and for line 1 of each order a renewal of that booking
+        around the end of its policy."""
+        return self._once("bookings", lambda: self.stored().where(f"_kind <> {REPEATED}").drop("_kind"))
 
     def booking_details(self) -> DataFrame:
-        b = self.bookings()
-        out = b.where(F.col("leadid") % 10 != 7).select(
+        insured = case_map(F.col("leadid") % 5, {0: 300000, 1: 500000, 2: 750000, 3: 1000000}, None).cast("int")
+        # a second row with another sum for every 11th lead
+        return self.bookings().where(F.col("leadid") % 10 != 7).select(
             F.col("leadid").alias("LEADID"),
             F.col("ProductId").alias("ProductID"),
-            case_map(F.col("leadid") % 5, {0: 300000, 1: 500000, 2: 750000, 3: 1000000}, None)
-            .cast("int").alias("SumInsured"),
+            F.explode(F.when(F.col("leadid") % 11 == 0, F.array(insured, F.lit(250000))).otherwise(F.array(insured)))
+            .alias("SumInsured"),
             (F.col("leadid") % 6).cast("int").alias("PlanId"),
             (F.col("leadid") % 3).cast("int").alias("SupplierId"),
             F.col("APE").alias("BasicPremium"),
             case_map(F.col("leadid") % 4, {0: "Single", 1: "single pay"}, "Annual").alias("PaymentPeriodicity"),
             F.col("BookingDate").alias("issuanceDate"),
         )
-        # a second row with another sum for every 11th lead
-        return out.unionByName(out.where("LEADID % 11 = 0").withColumn("SumInsured", F.lit(250000)))
 
     def verification(self) -> DataFrame:
-        # from the un-deduplicated base: repeated lead ids on purpose (fan-out case)
-        return self.base().where((F.col("leadid") % 10).isin(1, 2, 3, 4)).select(
+        # from the un-deduplicated rows: repeated lead ids on purpose (fan-out case)
+        return self.stored().where(F.expr(f"_kind <> {RENEWAL}") & (F.col("leadid") % 10).isin(1, 2, 3, 4)).select(
             F.col("leadid").alias("LeadId"),
             case_map(F.col("leadid") % 3, {0: "Verified", 1: "verification done"}, "Pending").alias("VerificationStatus"),
         )
@@ -186,7 +199,7 @@ class FixtureTables:
             F.col("BookingDate").cast("date").alias("ContestMonth"),
             F.when(F.col("leadid") % 3 == 0, F.lit(0)).otherwise(F.lit(1)).alias("IsActive"),
         )
-        return out.unionByName(out.where("MatrixLeadId % 26 = 0"))
+        return twice(out, "MatrixLeadId % 26 = 0")
 
     def partners(self) -> DataFrame:
         def build():
@@ -237,7 +250,7 @@ class FixtureTables:
             l.alias("Leadid"),
             case_map(l % 4, {0: "New", 1: "Rollover", 2: "Renewal"}, None).cast("string").alias("MotorBusinessType"),
         )
-        return out.unionByName(out.where("Leadid % 12 = 1"))
+        return twice(out, "Leadid % 12 = 1")
 
     def status(self) -> DataFrame:
         rows = [(13, "Booked"), (39, "Payment Done"), (41, "Policy Issued"), (42, "Sale Complete"),
@@ -255,7 +268,7 @@ class FixtureTables:
     def pay_term(self) -> DataFrame:
         l = F.col("leadid")
         out = self.bookings().where(l % 10 != 6).select(l.alias("LeadId"), (l % 7).cast("int").alias("PayTerm"))
-        return out.unionByName(out.where("LeadId % 9 = 0"))
+        return twice(out, "LeadId % 9 = 0")
 
     def partner_quarter(self) -> DataFrame:
         o = self._read("orders")

@@ -353,3 +353,25 @@ def test_status_existence_flags(spark):
     got = {r.leadid: (r.motor_cancelled_flag, r.policy_booked_flag)
            for r in parts.motor_status_flags(cat, fixture_config()).collect()}
     assert got == {1: (1, 1), 2: (1, 0), 3: (0, 0), 4: (0, 1), 5: (0, 0)}  # lead 6 is not motor
+
+
+def test_given_tables_are_derived_once(spark):
+    """However often a report refers to the derived tables, their rows are joined and derived in one pass;
+    no report's own plan reads lineitem or orders again, and a table that repeats rows is read once."""
+    from ledgerline.registry import run
+    from ledgerline.sources.fixtures import FixtureTables
+
+    ft = FixtureTables(spark, "/root/testdata/sf0.001")
+    cat = ft.catalog()
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    scans = lambda df: plan(df).count("Relation [")
+    lineitem = {f"{c}#" for c in spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").columns}
+    for name in ("run_reports", "combined_leads", "health_renewal_leads", "health_renewal_summary"):
+        assert not [c for c in lineitem if c in plan(run(name, cat))]
+    for name in ("booking_details", "contest", "business_type", "pay_term", "verification"):
+        assert scans(cat.table(name)) == 1
+    # the rows are those of the rules as they are written down
+    b = ft.bookings()
+    assert b.count() == ft.first_bookings().count() + ft.first_bookings().where("leadid % 10 = 1").count()
+    d = cat.table("booking_details").groupBy("LEADID").agg(F.count(F.lit(1)).alias("n"), F.max(F.expr("SumInsured = 250000")).alias("other"))
+    assert not d.where("n <> IF(LEADID % 11 = 0, 2, 1) OR coalesce(other, false) <> (LEADID % 11 = 0)").count()
