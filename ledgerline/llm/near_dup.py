@@ -45,6 +45,7 @@ LABEL = 2 * DEPTH  # bytes
 FURTHER = 8
 FLUSH = 1 << 20    # candidate pairs held at once
 INLINE = 4096      # shingles of a set that scans carry along
+PIECE = 8 << 20    # bytes of rows that a scan looks at together, besides those that it looks back at
 _RNG = np.random.Generator(np.random.PCG64(8))
 _ODD = _RNG.integers(0, 2**63, TREES * DEPTH, dtype=np.uint64) * U(2) + U(1)
 _XOR = _RNG.integers(0, 2**63, TREES * DEPTH, dtype=np.uint64)
@@ -127,7 +128,8 @@ class _Sets:
     def __init__(self, column):
         raw = [x or b"" for x in column.to_pylist()]
         self.at = np.concatenate([[0], np.cumsum([len(x) // 8 for x in raw])]).astype(np.int64)
-        _, self.ids = np.unique(np.frombuffer(b"".join(raw), np.uint64), return_inverse=True)
+        _, ids = np.unique(np.frombuffer(b"".join(raw), np.uint64), return_inverse=True)
+        self.ids = ids.astype(np.int32)
         self.mine = np.zeros(int(self.ids.max(initial=-1)) + 1, bool)
 
     def shared(self, i: int, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -148,11 +150,20 @@ def _root(up: dict, x: int) -> int:
     return x
 
 
+def _pieces(batches, look: int):
+    """The rows in batches of ``PIECE`` bytes, or of ``look`` rows where those take more: rows
+    with sets are up to 8 * ``INLINE`` bytes each."""
+    for batch in batches:
+        step = max(look, len(batch) * PIECE // max(batch.nbytes, 1), 1)
+        for at in range(0, len(batch), step):
+            yield batch.slice(at, step)
+
+
 def _scan(batches, look: int, how: Forest, ends: bool, mode: str):
     """Candidates among rows in sorted order: rows of one region, at most ``look`` apart, of
     different components, fitting sizes and (with sketches) near enough by estimate.
 
-    ``pairs`` returns them as they are; ``open`` returns each row that has any, once; ``links``
+    ``pairs`` returns them as they are; ``open`` returns each row that has any, once, with its sketch; ``links``
     compares them by their full sets (``s``) and returns those that are similar, passing
     over pairs that links of this task connect already (pairs without sets come as ``PAIR``). With ``ends`` the
     rows that may have neighbours in the partitions before and after come as ``END``; regions
@@ -174,7 +185,7 @@ def _scan(batches, look: int, how: Forest, ends: bool, mode: str):
         return pa.RecordBatch.from_arrays([pa.array([kind] * k, pa.int32()), *[given.get(c, pa.nulls(k, t)) for c, t in zip(names[1:], types[1:])]], names=names)
 
     def row_rows(kind, rows, whole):
-        more = {"sketch": rows["sketch"], "s": rows["s"]} if whole else {}
+        more = {"sketch": rows["sketch"]} | ({"s": rows["s"]} if whole else {})
         return out(kind, len(rows), a=rows["node"], t=rows["t"], label=rows["label"], component=rows["component"], n=rows["n"], **more)
 
     def pair_rows(kind, pairs):
@@ -183,9 +194,7 @@ def _scan(batches, look: int, how: Forest, ends: bool, mode: str):
 
     carry, seen, marked, up = None, 0, None, {}
     was_open: set[tuple[int, int]] = set()  # (order, node) of the carried rows that were returned
-    for batch in batches:
-        if not len(batch):
-            continue
+    for batch in _pieces(batches, look):
         if ends and seen < look:
             yield row_rows(END, batch.slice(0, look - seen), True)
         seen += len(batch)
@@ -273,8 +282,8 @@ def _neighbours(rows: DataFrame, look: int, how: Forest, mode: str = "pairs") ->
     got = stage_table(map_arrow(ordered, lambda it: _scan(it, look, how, True, mode), _SCANNED), "candidates")
     ends = got.where(f"kind = {END}").withColumnRenamed("a", "node").drop("b", "kind")
     ends = ends.repartition("t", F.expr(_REGION)).sortWithinPartitions("t", "label", "node")
-    more = stage_table(map_arrow(ends, lambda it: _scan(it, look, how, False, mode), _SCANNED).drop("sketch", "s"), "candidates")
-    return got.where(f"kind <> {END}").drop("sketch", "s").unionByName(more)
+    more = stage_table(map_arrow(ends, lambda it: _scan(it, look, how, False, mode), _SCANNED).drop("s"), "candidates")
+    return got.where(f"kind <> {END}").drop("s").unionByName(more)
 
 
 def _pairs(found: DataFrame, kind: int = PAIR) -> DataFrame:
@@ -285,17 +294,17 @@ def _regions(found: DataFrame) -> DataFrame:
     return found.where(f"kind = {REGION}").select(F.expr(REGION_SQL).alias("region")).distinct()
 
 
-def _links(rows: DataFrame, look: int, sketch: DataFrame, sets: DataFrame, how: Forest) -> tuple[DataFrame | None, DataFrame]:
+def _links(rows: DataFrame, look: int, sets: DataFrame, how: Forest) -> tuple[DataFrame | None, DataFrame]:
     """Links among the rows (None if there are none), and the regions that reach back further than ``look``.
 
-    A first scan only names the rows that have candidates. Those rows alone meet their sets,
+    A first scan only returns the rows that have candidates. Those rows alone meet their sets,
     and a second scan compares them where they lie, so a crowd of texts that share much but are not
     similar is refuted inside the tasks: the tables hold rows and links, never all pairs. Sets above
     ``INLINE`` shingles aren't carried along; their pairs are compared by joins."""
     first = _neighbours(rows, look, how, "open")
-    opened = first.where(f"kind = {OPEN}").select("t", "label", F.col("a").alias("node"), "component", "n").distinct()
+    opened = first.where(f"kind = {OPEN}").select("t", "label", F.col("a").alias("node"), "component", "n", "sketch").distinct()
     short = sets.where(f"size(s) <= {INLINE}").select(F.col("node").alias("_s"), "raw")
-    opened = opened.join(sketch, F.expr("node = _n")).drop("_n").join(short, F.expr("node = _s"), "left")
+    opened = opened.join(short, F.expr("node = _s"), "left")
     opened = stage_table(opened.select("t", "label", "node", "component", "n", "sketch", F.col("raw").alias("s")), "open")
     second = stage_table(_neighbours(opened, look, how, "links").where(f"kind IN ({PAIR}, {LINK})"), "links")
     kinds = {r["kind"] for r in second.select("kind").distinct().collect()}  # two at most
@@ -374,7 +383,6 @@ def link(docs: DataFrame, how: Forest = Forest()) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part["node"], pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), raw], names=["node", "s", "raw"])
 
     sets = stage_table(map_arrow(texts, make, "node long, s array<long>, raw binary"), "sets")
-    sketch = crowd.select(F.col("node").alias("_n"), "sketch")
     known, regions, look = None, None, 0
     for first, last, look in how.rounds:
         rows_now = _trees(_placed(crowd, known), first, last)
@@ -382,7 +390,7 @@ def link(docs: DataFrame, how: Forest = Forest()) -> DataFrame:
             scanned = _neighbours(rows_now, look, how)
             links, further = _confirm(_pairs(scanned), sets, how), _regions(scanned)
         else:
-            links, further = _links(rows_now, look, sketch, sets, how)
+            links, further = _links(rows_now, look, sets, how)
         known = known if links is None else _grown(links, known)
         regions = further if regions is None else regions.unionByName(further)
     # regions that the rounds have not seen through: further back, until none is left
@@ -391,7 +399,7 @@ def link(docs: DataFrame, how: Forest = Forest()) -> DataFrame:
         if unseen.isEmpty():
             break
         look *= FURTHER
-        links, regions = _links(unseen, look, sketch, sets, how)
+        links, regions = _links(unseen, look, sets, how)
         known = known if links is None else _grown(links, known)
     # only classes of several rows or with a link need a join; the rest stand alone
     named = per_set.join(known.select(F.col("node").alias("_n"), "component"), F.expr("node = _n"), "left")

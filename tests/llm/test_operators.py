@@ -522,6 +522,29 @@ def test_near_dup_scan():
         assert parts(links) == parts((a, b) for a, b in want if texts[a] == texts[b] and sets[a] and sets[b])
 
 
+def test_near_dup_scan_holds_pieces(monkeypatch):
+    """A large batch is looked at in pieces, with the same finds; rows with candidates come with their sketches."""
+    import pyarrow as pa
+
+    n, how = 400, near_dup.Forest()
+    sets = [near_dup.np.arange(k // 2, k // 2 + 200, dtype=near_dup.np.uint64).tobytes() for k in range(n)]
+    sketch = [bytes([k // 100] * near_dup.SKETCH) for k in range(n)]
+    whole = pa.RecordBatch.from_arrays(
+        [pa.array([0] * n, pa.int32()), pa.array([bytes(16)] * n, pa.binary()), pa.array(range(n), pa.int64()), pa.array(range(n), pa.int64()),
+         pa.array([200] * n, pa.int64()), pa.array(sketch, pa.binary()), pa.array(sets, pa.binary())],
+        names=["t", "label", "node", "component", "n", "sketch", "s"])
+    scan = lambda mode: [x for b in near_dup._scan([whole], 5, how, False, mode) for x in b.to_pylist()]
+    pairs = lambda: {(x["a"], x["b"]) for x in scan("pairs") if x["kind"] == near_dup.PAIR}
+    want = pairs()
+    assert [len(b) for b in near_dup._pieces([whole], 5)] == [n]
+    monkeypatch.setattr(near_dup, "PIECE", whole.nbytes // 10)
+    sizes = [len(b) for b in near_dup._pieces([whole], 5)]
+    assert len(sizes) >= 10 and sum(sizes) == n and pairs() == want
+    assert max(len(b) for b in near_dup._pieces([whole], 300)) == 300
+    opened = [x for x in scan("open") if x["kind"] == near_dup.OPEN]
+    assert opened and all(x["sketch"] == sketch[x["a"]] for x in opened)
+
+
 def test_near_dup_long_sets(docs_of, monkeypatch):
     """Sets that scans don't carry along are compared by joins, with the same links."""
     r = random.Random(4)
