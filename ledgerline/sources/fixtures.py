@@ -311,7 +311,8 @@ def write_fixture_tables(spark: SparkSession, sf_dir: str, root: str, partition_
     if partition_fact:
         write_bookings(ft.bookings(), f"{root}/bookings")
     else:
-        ft.bookings().write.mode("overwrite").parquet(f"{root}/bookings")
+        # several files also of a small table, as a large one has
+        ft.bookings().repartition(spark.sparkContext.defaultParallelism, "leadid").write.mode("overwrite").parquet(f"{root}/bookings")
     ft._memo["bookings"] = spark.read.parquet(f"{root}/bookings")
     cat = ft.catalog()
     for n in cat.names():
