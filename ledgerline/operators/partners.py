@@ -20,14 +20,12 @@ def partner_universe(cat: Catalog, cfg: C.ReportConfig) -> DataFrame:
     p = cat.table("partners")
     base = p.where(like("PartnerCode", C.PARTNER_CODE_PREFIX) & ~isin("Markettype", C.CURRENT_EXCLUDED_MARKETS)) \
         .select(*UNIVERSE_COLUMNS)
-    listed = cat.table("inclusion").select(key("PartnerCode").alias("_listed")).distinct()
-    # one row per key (partially aggregated), so a repeated code cannot skew the anti join
-    base_keys = base.select(key("PartnerCode").alias("_b")).distinct()
-    extra = (
-        p.join(listed, key(p["PartnerCode"]) == listed["_listed"], "left_semi")
-        .join(base_keys, key(p["PartnerCode"]) == base_keys["_b"], "left_anti")
-        .select(*UNIVERSE_COLUMNS)
-    )
+    # codes of the list that no base partner has, grouped as one table of codes (combined map-side, so a
+    # repeated code is one row): one exchange for both sides of the NOT EXISTS
+    codes = cat.table("inclusion").select(key("PartnerCode").alias("_listed"), F.lit(False).alias("_base")).unionByName(
+        base.select(key("PartnerCode").alias("_listed"), F.lit(True).alias("_base")))
+    listed = codes.groupBy("_listed").agg(F.max("_base").alias("_base")).where("NOT _base")
+    extra = p.join(listed, key(p["PartnerCode"]) == listed["_listed"], "left_semi").select(*UNIVERSE_COLUMNS)
     return base.unionByName(extra)
 
 

@@ -37,6 +37,28 @@ def twice(rows: DataFrame, condition: str) -> DataFrame:
 
 #: Kinds of stored bookings.
 FIRST, RENEWAL, REPEATED = range(3)
+#: Amounts stored as their share of the premium (few values, so a small column) and multiplied where they are read.
+SHARES = ("APE", "Net Premium", "ODPremium", "TPPremium")
+#: Texts stored as a small number: what the numbers stand for, and the text of all others.
+TEXTS = {
+    "BookingMode": ({0: "Online", 1: "Offline", 2: "offline", 3: "Online"}, None),
+    "Insurer Name": ({
+        0: "National Insurance Co", 1: "The Oriental", 2: "united india",
+        3: "New India Assurance", 4: "Future Sompo", 5: "IFFCO General", 6: "LIC India",
+        7: "SBI Cover", 8: "HDFC Cover", 9: "BAJAJ Cover", 10: "Axis Cover",
+        11: "Birla Cover", 12: "Acme Cover",
+    }, None),
+    "BusinessType": ({
+        0: "Fresh Booking", 1: "New", 2: "NEW BUSINESS", 3: "Rollover", 4: "New Port",
+        5: "Renewal", 6: "renewal", 8: "RENEWAL ",
+    }, None),
+    "Status": ({2: "Policy Issued", 3: "Sale Complete", 5: "Soft Copy Received", 7: "Refunded", 8: "Rejected"}, "Booked"),
+    "IsComplianceN": ({0: "No"}, "Yes"),
+    "PlanName": ({0: "Group Gratuity Plan", 1: "Employee group cover", 2: "Fire"}, None),
+    "SubProduct": ({0: "Taxi", 1: None, 2: None}, "Private"),
+    "VehicleSubClass": ({0: "Taxi"}, "Car"),
+    "Leadsource": ({0: "B2CMRP", 1: None}, "POS"),
+}
 
 
 class FixtureTables:
@@ -58,22 +80,27 @@ class FixtureTables:
     # -- base ---------------------------------------------------------------
     def base(self) -> DataFrame:
         """lineitem joined to its order, with derived keys; duplicates kept, ``rn`` 1 for the
-        first row of an (order, line) by the listed columns."""
+        first row of an (order, line) by the listed columns.
+
+        Lines and orders are numbered before they meet, so that the order of rows that numbers them serves the join
+        too: lineitem is shuffled and sorted once."""
 
         def build():
             l = self._read("lineitem").select(
                 "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                 "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate",
-            )
+            ).repartition("l_orderkey")
             o = self._read("orders").select("o_orderkey", "o_custkey", "o_orderdate")
-            b = l.join(o, l.l_orderkey == o.o_orderkey, "inner")
-            w = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(
+            lines = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(
                 "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
                 "l_shipdate", "l_discount", "l_tax", "l_returnflag",
             )
-            return b.select(
-                "*",
-                F.row_number().over(w).alias("rn"),
+            orders = Window.partitionBy("o_orderkey").orderBy("o_orderdate", "o_custkey")
+            l = l.withColumn("_line", F.row_number().over(lines))
+            o = o.withColumn("_order", F.row_number().over(orders))
+            return l.join(o, l.l_orderkey == o.o_orderkey, "inner").select(
+                *l.columns[:-1], *o.columns[:-1],
+                F.expr("_line + _order - 1 AS rn"),
                 (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("leadid"),
                 ((F.col("l_partkey") * 7 + F.col("l_linenumber") * 3 + F.col("l_suppkey")) % 18).alias("k_prod"),
                 ((F.col("l_orderkey") + F.col("l_partkey")) % 9).alias("k_stat"),
@@ -88,8 +115,8 @@ class FixtureTables:
         of a first one, or another row of a lead.
 
         All tables but the partners' derive from these rows, each with other columns, so that Spark would
-        join, sort and derive them again for every reference. They are derived in one pass and stored once,
-        under the shared checkpoint folder, when a table is first asked for."""
+        join, sort and derive them again for every reference. They are derived in one pass and stored once, amounts as
+        shares of the premium and texts as numbers (a reference makes those it reads), under the shared checkpoint folder, when a table is first asked for."""
 
         def build():
             b = self.base()
@@ -104,36 +131,22 @@ class FixtureTables:
                     9: 221, 10: 190, 11: 190, 12: 130, 13: 224, 14: 3, 15: 118, 16: 106,
                 }, 187).alias("ProductId"),
                 price.alias("TotalPremium"),
-                _dec(price * _dec(1 - F.col("l_discount"), 3, 2), 18, 4).alias("APE"),
-                _dec(price * _dec(1 - F.col("l_tax"), 3, 2), 18, 4).alias("Net Premium"),
-                _dec(price * _dec(F.lit(0.6), 2, 1), 18, 4).alias("ODPremium"),
-                _dec(price * _dec(F.lit(0.4), 2, 1), 18, 4).alias("TPPremium"),
+                _dec(1 - F.col("l_discount"), 3, 2).alias("APE"),
+                _dec(1 - F.col("l_tax"), 3, 2).alias("Net Premium"),
+                _dec(F.lit(0.6), 2, 1).alias("ODPremium"),
+                _dec(F.lit(0.4), 2, 1).alias("TPPremium"),
                 case_map(F.col("qty") % 4, {0: 0, 1: 1, 2: 3}, None).cast("int").alias("ODTerm"),
                 case_map(F.col("l_partkey") % 5, {0: 0, 1: 1, 2: 3}, 5).alias("TPTerm"),
-                case_map(F.col("l_orderkey") % 5, {0: "Online", 1: "Offline", 2: "offline", 3: "Online"},
-                         None).cast("string").alias("BookingMode"),
-                case_map((F.col("l_suppkey") + F.col("l_partkey")) % 14, {
-                    0: "National Insurance Co", 1: "The Oriental", 2: "united india",
-                    3: "New India Assurance", 4: "Future Sompo", 5: "IFFCO General", 6: "LIC India",
-                    7: "SBI Cover", 8: "HDFC Cover", 9: "BAJAJ Cover", 10: "Axis Cover",
-                    11: "Birla Cover", 12: "Acme Cover",
-                }, None).cast("string").alias("Insurer Name"),
-                case_map((F.col("l_orderkey") + F.col("l_linenumber")) % 8, {
-                    0: "Fresh Booking", 1: "New", 2: "NEW BUSINESS", 3: "Rollover", 4: "New Port",
-                    5: "Renewal", 6: "renewal",
-                }, None).cast("string").alias("BusinessType"),
+                (F.col("l_orderkey") % 5).alias("BookingMode"),
+                ((F.col("l_suppkey") + F.col("l_partkey")) % 14).alias("Insurer Name"),
+                ((F.col("l_orderkey") + F.col("l_linenumber")) % 8).alias("BusinessType"),
                 case_map(F.col("k_stat"), {0: 13, 1: 39, 2: 41, 3: 42, 4: 43, 5: 44, 6: 77, 7: 50}, 51).alias("StatusId"),
-                case_map(F.col("k_stat"), {
-                    2: "Policy Issued", 3: "Sale Complete", 5: "Soft Copy Received", 7: "Refunded", 8: "Rejected",
-                }, "Booked").alias("Status"),
-                F.when(F.col("l_returnflag") == "R", F.lit("No")).otherwise(F.lit("Yes")).alias("IsComplianceN"),
-                case_map(F.col("l_partkey") % 4, {0: "Group Gratuity Plan", 1: "Employee group cover", 2: "Fire"},
-                         None).cast("string").alias("PlanName"),
-                F.when(F.col("qty") % 6 == 0, F.lit("Taxi"))
-                .when((F.col("qty") % 6).isin(1, 2), F.lit(None).cast("string"))
-                .otherwise(F.lit("Private")).alias("SubProduct"),
-                F.when(F.col("l_suppkey") % 4 == 0, F.lit("Taxi")).otherwise(F.lit("Car")).alias("VehicleSubClass"),
-                case_map(F.col("qty") % 11, {0: "B2CMRP", 1: None}, "POS").cast("string").alias("Leadsource"),
+                F.col("k_stat").alias("Status"),
+                F.when(F.col("l_returnflag") == "R", F.lit(0)).alias("IsComplianceN"),
+                (F.col("l_partkey") % 4).alias("PlanName"),
+                (F.col("qty") % 6).alias("SubProduct"),
+                (F.col("l_suppkey") % 4).alias("VehicleSubClass"),
+                (F.col("qty") % 11).alias("Leadsource"),
                 (F.col("o_orderdate") + F.expr("INTERVAL 10 HOURS")).alias("BookingDate"),
                 F.col("l_shipdate").alias("PolicyStartDate"),
                 F.when(F.col("l_suppkey") % 2 == 0, F.col("l_shipdate") + F.expr("INTERVAL 30 DAYS"))
@@ -143,18 +156,20 @@ class FixtureTables:
             changed = {
                 "leadid": "leadid + 7",
                 "ProductId": "CASE leadid % 30 WHEN 1 THEN 130 WHEN 11 THEN 190 ELSE 224 END",
-                "BusinessType": "CASE WHEN leadid % 4 = 1 THEN 'Renewal' ELSE 'RENEWAL ' END",
+                "BusinessType": "CASE WHEN leadid % 4 = 1 THEN 5 ELSE 8 END",
                 "StatusId": "CASE leadid % 40 WHEN 1 THEN 41 WHEN 11 THEN 42 WHEN 21 THEN 43 ELSE 44 END",
-                "Status": "CASE leadid % 40 WHEN 1 THEN 'Policy Issued' WHEN 11 THEN 'Sale Complete' "
-                          "WHEN 21 THEN 'Booked' ELSE 'Soft Copy Received' END",
+                "Status": "CASE leadid % 40 WHEN 1 THEN 2 WHEN 11 THEN 3 WHEN 21 THEN 0 ELSE 5 END",
                 "BookingDate": "PolicyEndDate + INTERVAL '1' DAY * CAST(leadid % 191 - 95 AS INT) + INTERVAL '10' HOUR",
                 "PolicyStartDate": "PolicyEndDate",
                 "PolicyEndDate": "PolicyEndDate + INTERVAL '365' DAY",
             }
             columns = [c for c in b.columns if c != "rn"]
-            return stage(b.selectExpr("*", f"explode({kinds}) AS _kind").selectExpr("_kind", *[
-                f"CASE WHEN _kind = {RENEWAL} THEN {changed[c]} ELSE {c} END AS {c}" if c in changed else f"`{c}`"
-                for c in columns]), "bookings")
+            kept = {c: f"CASE WHEN _kind = {RENEWAL} THEN {changed[c]} ELSE {c} END" if c in changed else f"`{c}`" for c in columns}
+            rows = stage(b.selectExpr("*", f"explode({kinds}) AS _kind").selectExpr("_kind", *[
+                f"CAST({e} AS TINYINT) AS `{c}`" if c in TEXTS else f"{e} AS `{c}`" for c, e in kept.items()]), "bookings")
+            return rows.withColumns(
+                {c: _dec(F.col("TotalPremium") * F.col(f"`{c}`"), 18, 4) for c in SHARES}
+                | {c: case_map(F.col(f"`{c}`"), texts, other).cast("string") for c, (texts, other) in TEXTS.items()})
 
         return self._once("stored", build)
 

@@ -14,7 +14,7 @@ from ledgerline.plans import combine, health, motor, parts
 from ledgerline.registry import fixture_config, run, specs
 from ledgerline.session import MOST_FILTER_BITS, runtime_filter_conf
 from ledgerline.sources.catalog import Catalog, key_column, month_product_predicates
-from ledgerline.sources.fixtures import fixture_catalog, write_fixture_tables
+from ledgerline.sources.fixtures import FIRST, RENEWAL, REPEATED, FixtureTables, fixture_catalog, write_fixture_tables
 from ledgerline.sources.layout import LEAD_KEYS, bucket_rows, open_lead_layout, write_lead_layout
 
 SF = "/root/testdata/sf0.001"
@@ -284,3 +284,32 @@ def test_every_report_runs_on_plain_columns(spark):
     cat = fixture_catalog(spark, SF)
     assert key_column("Status") not in cat.table("bookings").columns
     assert "sme_leads" in specs() and run("sme_leads", cat).count() > 0
+
+
+def test_bookings_derive_in_one_sort_and_store_no_texts(spark, tmp_path):
+    # two copies of an order, a repeated line, a line without an order, null keys
+    spark.sql("""SELECT * FROM VALUES (1L, 5L, timestamp_ntz'1997-02-01 00:00:00'), (1L, 5L, timestamp_ntz'1997-02-01 00:00:00'),
+        (2L, null, timestamp_ntz'1997-03-01 00:00:00'), (null, 7L, null) AS t(o_orderkey, o_custkey, o_orderdate)""").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql("""SELECT *, timestamp_ntz'1997-05-01 00:00:00' AS l_shipdate FROM VALUES
+        (1L, 3L, 4L, 1, 6D, 100.5D, 0.05D, 0.02D, 'R'), (1L, 3L, 4L, 1, 6D, 100.5D, 0.05D, 0.02D, 'R'), (1L, 2L, 9L, 1, 7D, 10D, 0.1D, 0D, 'A'),
+        (1L, 8L, 1L, 3, 11D, 20D, 0D, 0.08D, 'N'), (2L, null, 4L, 4, null, null, null, null, null), (2L, 1L, 1L, null, 1D, 1D, 0D, 0D, 'N'),
+        (9L, 1L, 1L, 1, 1D, 1D, 0D, 0D, 'N'), (null, 1L, 1L, 1, 1D, 1D, 0D, 0D, 'N')
+        AS t(l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag)""").write.parquet(f"{tmp_path}/lineitem.parquet")
+    with settings(spark, adaptive__enabled="false", autoBroadcastJoinThreshold="-1"):
+        ft = FixtureTables(spark, str(tmp_path))
+        assert len(re.findall(r"(?m)^[ :+*()\d-]*Sort \[", physical(ft.base()))) == 2  # lineitem, orders
+        rows = ft.stored()
+    stored = spark.read.parquet(*rows.inputFiles())
+    assert [c for c, t in stored.dtypes if t == "string"] == ["Utm_term"]
+    kinds = Counter((r["leadid"], r["_kind"]) for r in rows.collect())
+    # per lead of order 1, both copies of the order: line 1 in three rows, line 3 in one
+    assert kinds == {(11, FIRST): 1, (18, RENEWAL): 1, (11, REPEATED): 5, (13, FIRST): 1, (13, REPEATED): 1, (24, FIRST): 1, (None, FIRST): 1}
+    got = {(r["leadid"], r["_kind"]): r for r in rows.where("_kind <> 2").collect()}
+    first, renewed, bare = got[11, FIRST], got[18, RENEWAL], got[24, FIRST]
+    # the first row is that of the least part
+    assert [str(first[c]) for c in ("TotalPremium", "APE", "Net Premium", "ODPremium", "TPPremium")] == ["10.00", "9.0000", "10.0000", "6.0000", "4.0000"]
+    assert [first[c] for c in ("BookingMode", "Insurer Name", "BusinessType", "IsComplianceN", "PlanName", "SubProduct", "VehicleSubClass", "Leadsource")] == [
+        "Offline", "Birla Cover", "NEW BUSINESS", "Yes", "Fire", None, "Car", "POS"]
+    assert (renewed["BusinessType"], renewed["Status"], renewed["APE"]) == ("RENEWAL ", "Sale Complete", first["APE"])
+    assert [bare[c] for c in ("TotalPremium", "APE", "Insurer Name", "Status", "IsComplianceN", "PlanName", "SubProduct", "Leadsource", "Utm_term")] == [
+        None, None, None, "Booked", "Yes", None, "Private", "POS", None]
