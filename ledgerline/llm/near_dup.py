@@ -35,7 +35,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_arrow, salted_join, stage_table
+from .common import map_arrow, salted_join, stage_table, tasks_for
 from .components import connected_components
 from .hashing import mix, text_buffers, word_hashes
 
@@ -275,14 +275,14 @@ _REGION = f"substring(label, 1, {2 * PREFIX})"
 REGION_SQL = f"concat(cast(cast(t AS STRING) AS BINARY), {_REGION})"
 
 
-def _neighbours(rows: DataFrame, look: int, how: Forest, mode: str = "pairs") -> DataFrame:
+def _neighbours(rows: DataFrame, look: int, how: Forest, mode: str = "pairs", tasks: int | None = None) -> DataFrame:
     """What ``_scan`` finds among ``t, label, node, component, n, sketch, s`` rows, neighbours in other
-    partitions included."""
+    partitions included. With ``tasks`` a task scans several partitions, one after the other, into one file."""
     ordered = rows.repartitionByRange("t", "label", "node").sortWithinPartitions("t", "label", "node")
-    got = stage_table(map_arrow(ordered, lambda it: _scan(it, look, how, True, mode), _SCANNED), "candidates")
+    got = stage_table(map_arrow(ordered, lambda it: _scan(it, look, how, True, mode), _SCANNED), "candidates", tasks)
     ends = got.where(f"kind = {END}").withColumnRenamed("a", "node").drop("b", "kind")
     ends = ends.repartition("t", F.expr(_REGION)).sortWithinPartitions("t", "label", "node")
-    more = stage_table(map_arrow(ends, lambda it: _scan(it, look, how, False, mode), _SCANNED).drop("s"), "candidates")
+    more = stage_table(map_arrow(ends, lambda it: _scan(it, look, how, False, mode), _SCANNED).drop("s"), "candidates", tasks)
     return got.where(f"kind <> {END}").drop("s").unionByName(more)
 
 
@@ -294,19 +294,19 @@ def _regions(found: DataFrame) -> DataFrame:
     return found.where(f"kind = {REGION}").select(F.expr(REGION_SQL).alias("region")).distinct()
 
 
-def _links(rows: DataFrame, look: int, sets: DataFrame, how: Forest) -> tuple[DataFrame | None, DataFrame]:
+def _links(rows: DataFrame, look: int, sets: DataFrame, how: Forest, tasks: int) -> tuple[DataFrame | None, DataFrame]:
     """Links among the rows (None if there are none), and the regions that reach back further than ``look``.
 
     A first scan only returns the rows that have candidates. Those rows alone meet their sets,
     and a second scan compares them where they lie, so a crowd of texts that share much but are not
     similar is refuted inside the tasks: the tables hold rows and links, never all pairs. Sets above
     ``INLINE`` shingles aren't carried along; their pairs are compared by joins."""
-    first = _neighbours(rows, look, how, "open")
+    first = _neighbours(rows, look, how, "open", tasks)
     opened = first.where(f"kind = {OPEN}").select("t", "label", F.col("a").alias("node"), "component", "n", "sketch").distinct()
     short = sets.where(f"size(s) <= {INLINE}").select(F.col("node").alias("_s"), "raw")
     opened = opened.join(short, F.expr("node = _s"), "left")
-    opened = stage_table(opened.select("t", "label", "node", "component", "n", "sketch", F.col("raw").alias("s")), "open")
-    second = stage_table(_neighbours(opened, look, how, "links").where(f"kind IN ({PAIR}, {LINK})"), "links")
+    opened = stage_table(opened.select("t", "label", "node", "component", "n", "sketch", F.col("raw").alias("s")), "open", tasks)
+    second = _neighbours(opened, look, how, "links", tasks).where(f"kind IN ({PAIR}, {LINK})")
     kinds = {r["kind"] for r in second.select("kind").distinct().collect()}  # two at most
     if not kinds:
         return None, _regions(first)
@@ -336,37 +336,40 @@ def _placed(crowd: DataFrame, known: DataFrame | None) -> DataFrame:
     return now.withColumn("component", F.coalesce("component", "node"))
 
 
-def _grown(found: DataFrame, known: DataFrame | None) -> DataFrame:
+def _grown(found: DataFrame, known: DataFrame | None, tasks: int) -> DataFrame:
     """Components after more links."""
     if known is not None:
         found = found.unionByName(known.select(F.col("node").alias("a"), F.col("component").alias("b")))
-    return connected_components(found)
+    return connected_components(found, tasks)
 
 
-def _unseen(now: DataFrame, regions: DataFrame) -> DataFrame:
+def _unseen(now: DataFrame, regions: DataFrame, tasks: int) -> DataFrame:
     """The rows, in all orders, of those ``regions`` that hold more than one component."""
     bare = _trees(now.withColumn("sketch", F.lit(None).cast("binary")), 0, TREES).drop("sketch", "s").withColumn("region", F.expr(REGION_SQL))
-    rows = stage_table(salted_join(bare, regions, "region", F.col("node"), 8, "left_semi"), "unseen")
+    rows = stage_table(salted_join(bare, regions, "region", F.col("node"), 8, "left_semi"), "unseen", tasks)
     several = rows.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("region")
     rows = salted_join(rows, several, "region", F.col("node"), 8, "left_semi").drop("region")
     sketch = now.select(F.col("node").alias("_n"), "sketch")
     return stage_table(rows.join(sketch, F.expr("node = _n")).selectExpr(
-        "t", "label", "node", "component", "n", "sketch", "cast(NULL AS BINARY) AS s"), "unseen")
+        "t", "label", "node", "component", "n", "sketch", "cast(NULL AS BINARY) AS s"), "unseen", tasks)
 
 
 def link(docs: DataFrame, how: Forest = Forest()) -> DataFrame:
     """One row per row of ``doc_id, text``: ``doc_id, n_shingles, component_id, kept``."""
     rows = stage_table(sketches(docs, how), "sketches")
-    per_set = stage_table(rows.where("n > 0").groupBy("set_id").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("c")), "classes")
+    per_tree = rows.count()  # at most, of each order
+    tasks, few = tasks_for(docs.sparkSession, TREES * per_tree), tasks_for(docs.sparkSession, per_tree)
+    per_set = stage_table(rows.where("n > 0").groupBy("set_id").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("c")), "classes", few)
     classes = rows.join(per_set.selectExpr("set_id AS _s", "node"), F.expr("set_id = _s AND id = node")).select(
         "node", "labels", "sketch", "n", F.col("node").alias("component")).distinct()
     bare = classes.withColumn("sketch", F.lit(None).cast("binary"))
 
     # classes that share a region with any other, of whatever size: a fitting one may lie
     # further back; only their sets are made
-    shared = _neighbours(_trees(bare, 0, TREES), 1, replace(how, similar=0), "open")
-    near = stage_table(shared.where(f"kind = {OPEN}").select(F.col("a").alias("_near")).distinct(), "near")
-    crowd = stage_table(classes.join(near, F.expr("node = _near"), "left_semi").drop("component"), "crowd")
+    shared = _neighbours(_trees(bare, 0, TREES), 1, replace(how, similar=0), "open", tasks)
+    near = stage_table(shared.where(f"kind = {OPEN}").select(F.col("a").alias("_near")).distinct(), "near", few)
+    crowd = stage_table(classes.join(near, F.expr("node = _near"), "left_semi").drop("component"), "crowd", few)
+    tasks = tasks_for(docs.sparkSession, TREES * crowd.count())
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("node"), F.col("text").alias("_text"))
     texts = texts.join(near, F.expr("node = _near"), "left_semi").dropDuplicates(["node", "_text"])
 
@@ -382,25 +385,25 @@ def link(docs: DataFrame, how: Forest = Forest()) -> DataFrame:
                 raw = pa.array([s.tobytes() for s in got], pa.binary())
                 yield pa.RecordBatch.from_arrays([part["node"], pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), raw], names=["node", "s", "raw"])
 
-    sets = stage_table(map_arrow(texts, make, "node long, s array<long>, raw binary"), "sets")
+    sets = stage_table(map_arrow(texts, make, "node long, s array<long>, raw binary"), "sets", tasks)
     known, regions, look = None, None, 0
     for first, last, look in how.rounds:
         rows_now = _trees(_placed(crowd, known), first, last)
         if known is None:  # the nearest neighbours: few candidates for each row
-            scanned = _neighbours(rows_now, look, how)
+            scanned = _neighbours(rows_now, look, how, tasks=tasks)
             links, further = _confirm(_pairs(scanned), sets, how), _regions(scanned)
         else:
-            links, further = _links(rows_now, look, sets, how)
-        known = known if links is None else _grown(links, known)
+            links, further = _links(rows_now, look, sets, how, tasks)
+        known = known if links is None else _grown(links, known, tasks)
         regions = further if regions is None else regions.unionByName(further)
     # regions that the rounds have not seen through: further back, until none is left
     while True:
-        unseen = _unseen(_placed(crowd, known), stage_table(regions.distinct(), "regions"))
+        unseen = _unseen(_placed(crowd, known), stage_table(regions.distinct(), "regions", tasks), tasks)
         if unseen.isEmpty():
             break
         look *= FURTHER
-        links, regions = _links(unseen, look, sets, how)
-        known = known if links is None else _grown(links, known)
+        links, regions = _links(unseen, look, sets, how, tasks)
+        known = known if links is None else _grown(links, known, tasks)
     # only classes of several rows or with a link need a join; the rest stand alone
     named = per_set.join(known.select(F.col("node").alias("_n"), "component"), F.expr("node = _n"), "left")
     named = named.where("c > 1 OR component IS NOT NULL").select("set_id", F.coalesce("component", "node").alias("component"))

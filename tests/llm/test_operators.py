@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from ledgerline.llm import bpe, ce_score, langid, mixing, near_dup, oracle, pfp_dedup, quality, registry, secret_scan, topk, url_reputation
+from ledgerline.llm import bpe, ce_score, components, langid, mixing, near_dup, oracle, pfp_dedup, quality, registry, secret_scan, topk, url_reputation
 from tests.llm import brute
 
 SF = "/root/testdata/sf0.001"
@@ -560,6 +560,35 @@ def test_near_dup_long_sets(docs_of, monkeypatch):
     assert sorted((x.doc_id, x.n_shingles, x.component_id) for x in out) == brute.near_dup(rows)
 
 
+def test_near_dup_few_files(spark, docs_of, monkeypatch):
+    """Tables of few rows are written by few tasks, however many partitions a shuffle has."""
+    r, rows = random.Random(12), []
+    for g in range(60):
+        base = prose(1200 + g, 80).split()
+        rows += [(10 * g + k, " ".join(w if r.random() > 0.01 else f"x{k}" for w in base)) for k in range(4)]
+    files, stage = [], near_dup.stage_table
+
+    def counted(*given):
+        out = stage(*given)
+        files.append((given[1], len(out.inputFiles())))
+        return out
+
+    for module in (near_dup, components):
+        monkeypatch.setattr(module, "stage_table", counted)
+    conf = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = near_dup.link(docs_of(rows)).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted((x.doc_id, x.n_shingles, x.component_id) for x in out) == brute.near_dup(rows)
+    assert {"candidates", "edges", "open", "sets"} <= {label for label, _ in files}
+    assert max(n for _, n in files) <= spark.sparkContext.defaultParallelism
+
+
 def test_keep_one_keeps_clashing_columns(spark):
     rows = [(1, "a b c d e f", 7, 8, "x"), (1, "a b c d e f", 6, 9, "y"), (2, "a b c d e f", 1, 1, "z"), (3, "other", 3, 3, "w")]
     df = spark.createDataFrame(rows, "doc_id long, text string, _kept long, _first long, place string") \
