@@ -418,8 +418,9 @@ def keep_one(docs: DataFrame, how: Forest = Forest()) -> DataFrame:
     """The given columns of one document of each group: the row of its smallest id; of rows with
     one id the first by its columns, so that reruns agree. Rows are carried as one
     column, so no name can clash."""
-    kept = link(docs.select("doc_id", "text"), how).where("kept").select("doc_id").distinct()
-    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    own = own.join(kept, F.expr("row.doc_id <=> doc_id"), "left_semi")
-    first = F.row_number().over(Window.partitionBy("row.doc_id").orderBy("row"))
+    kept = link(docs.select("doc_id", "text"), how).where("kept").select(F.struct("doc_id").alias("_kept")).distinct()
+    # structs of null are equal, and one key for the join and the window moves the texts once
+    own = docs.select(F.struct("doc_id").alias("_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    own = own.join(kept, F.expr("_id = _kept"), "left_semi")
+    first = F.row_number().over(Window.partitionBy("_id").orderBy("row"))
     return own.withColumn("place", first).where("place = 1").select("row.*")

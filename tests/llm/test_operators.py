@@ -589,6 +589,25 @@ def test_near_dup_few_files(spark, docs_of, monkeypatch):
     assert max(n for _, n in files) <= spark.sparkContext.defaultParallelism
 
 
+def test_keep_one_moves_the_rows_once(spark):
+    rows = [(None, "a b c d e f", 1), (None, "a b c d e f", 0), (3, "a b c d e f", 5), (4, "u v w x y z", 6), (4, "u v w x y z", 2), (5, None, 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, other int")
+    before = spark.conf.get("spark.sql.adaptive.enabled"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = near_dup.keep_one(df)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert sorted(tuple(r) for r in out.where("doc_id IS NOT NULL").collect()) == [(4, "u v w x y z", 2), (5, None, 7)]
+        assert [tuple(r) for r in out.where("doc_id IS NULL").collect()] == [(None, "a b c d e f", 0)]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before[0])
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before[1])
+    # the window's sort lies on the join, without an exchange of the texts between them
+    top = plan[:plan.index("SortMergeJoin")]
+    assert "Window" in top and "Exchange" not in top
+
+
 def test_keep_one_keeps_clashing_columns(spark):
     rows = [(1, "a b c d e f", 7, 8, "x"), (1, "a b c d e f", 6, 9, "y"), (2, "a b c d e f", 1, 1, "z"), (3, "other", 3, 3, "w")]
     df = spark.createDataFrame(rows, "doc_id long, text string, _kept long, _first long, place string") \
