@@ -43,6 +43,7 @@ SALTS = 8
 BLOCK = 8 << 20        # bytes of text in a block, at least one document
 BLOCK_ROWS = 100_000   # documents in a block
 SHARE = 600_000        # tokens of the corpus to each owner
+PART = 1 << 17         # tokens of a block that are scored together, at least one document
 
 
 @dataclass(frozen=True)
@@ -254,21 +255,29 @@ def _score(block, answers, totals: Totals, how: Bigrams):
         sums = np.concatenate([np.zeros((2, 0), U), *got], axis=1)
         if sums.shape[1] != len(keys):
             raise ValueError(f"{sums.shape[1]} answers to {len(keys)} keys")
-        ends = np.cumsum(n_tokens)
-        first = np.zeros(int(ends[-1]), bool)
-        first[[b - n for n, b in zip(n_tokens, ends.tolist()) if n]] = True
-        single, pair = at[:len(first)], at[len(first):]
+        del words, keys, answers, got
+        at = at.astype(np.int32)
         lengths = np.array(n_tokens, np.int64)
-        own_single, own_pair = _own(single, ends), _own(pair, np.cumsum(np.maximum(lengths - 1, 0)))
-        counted = np.ones((2, len(words)), np.int64)  # whether a document is in the model itself
+        counted = np.ones((2, len(lengths)), np.int64)  # whether a document is in the model itself
         counted[1] = 0
         counted[1, good] = 1
-        others = totals.tokens - np.repeat(lengths, lengths)
-        for k, total, out in ((0, totals.tokens, back), (1, totals.target, target)):
-            mine = np.repeat(counted[k], lengths)
-            loss = _losses(sums[k, single].astype(np.int64) - own_single * mine, sums[k, pair].astype(np.int64) - own_pair * mine[~first],
-                           first, total - np.repeat(counted[k] * lengths, lengths), others, totals.vocabulary, how)
-            out += [float(loss[b - n:b].mean()) if n else None for n, b in zip(n_tokens, ends.tolist())]
+        ends, pairs = np.cumsum(lengths), int(lengths.sum()) + np.cumsum(np.maximum(lengths - 1, 0))
+        # a few documents at a time: what each token takes here is many times what it takes above
+        for d in np.split(np.arange(len(lengths)), np.flatnonzero(np.diff(ends // PART)) + 1):
+            a, b = d[0], d[-1] + 1
+            n = lengths[a:b]
+            later = np.maximum(n - 1, 0)
+            single, pair = at[ends[a] - n[0]:ends[b - 1]], at[pairs[a] - later[0]:pairs[b - 1]]
+            stop = np.cumsum(n)
+            first = np.zeros(len(single), bool)
+            first[(stop - n)[n > 0]] = True
+            own_single, own_pair = _own(single, stop), _own(pair, np.cumsum(later))
+            others = totals.tokens - np.repeat(n, n)
+            for k, total, out in ((0, totals.tokens, back), (1, totals.target, target)):
+                mine = np.repeat(counted[k, a:b], n)
+                loss = _losses(sums[k, single].astype(np.int64) - own_single * mine, sums[k, pair].astype(np.int64) - own_pair * mine[~first],
+                               first, total - np.repeat(counted[k, a:b] * n, n), others, totals.vocabulary, how)
+                out += [float(loss[q - m:q].mean()) if m else None for m, q in zip(n.tolist(), stop.tolist())]
     diff = [None if a is None else a - b for a, b in zip(target, back)]
     return pa.table(
         [ids, pa.array(n_tokens, pa.int64()), *[pa.array(x, pa.float64()) for x in (target, back, diff)]],

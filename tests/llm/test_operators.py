@@ -735,6 +735,34 @@ def test_ce_difference_every_word(spark, docs_of, monkeypatch):
         assert math.isclose(of[i].ce_target, want[0], rel_tol=1e-9) and math.isclose(of[i].ce_background, want[1], rel_tol=1e-9)
 
 
+def test_ce_scores_few_documents_at_a_time(monkeypatch):
+    import pyarrow as pa
+
+    texts = ["", prose(70, 3000), None, prose(71, 1), prose(72, 4000), prose(73, 2500) + " " + prose(70, 40), " "]
+    rows = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts)), pa.int64()), "_text": pa.array(texts)})
+    block = pa.Table.from_batches(list(ce_score._make_blocks(iter([rows]))))
+    assert len(block) == 1
+    how = ce_score.Bigrams()
+    good = pa.array([[1, 3]], pa.list_(pa.int32()))
+    answers = ce_score._answer(ce_score._ask(block, pa.table({"good": good}), 1, how))
+    answers = answers.append_column("good", pa.nulls(len(answers), good.type))
+    answers = pa.concat_tables([answers, pa.table({"block": block["block"], "good": good})], promote_options="default")
+    seen, losses = [], ce_score._losses
+
+    def watched(single, *more):
+        seen.append(len(single))
+        return losses(single, *more)
+
+    monkeypatch.setattr(ce_score, "_losses", watched)
+    totals = ce_score.Totals(sum(block["n_tokens"][0].as_py()), 3001, 3000)
+    whole = ce_score._score(block, answers, totals, how).to_pydict()
+    monkeypatch.setattr(ce_score, "PART", 1000)
+    seen.clear()
+    assert ce_score._score(block, answers, totals, how).to_pydict() == whole
+    assert max(seen) < 1000 + 4000 and sum(seen) == 2 * totals.tokens
+    assert [x is None for x in whole["score"]] == [t is None or not t.split() for t in texts]
+
+
 def test_ce_difference_leaves_own_counts_out(spark, docs_of):
     """Documents of one kind score alike, whether they are in the target or not."""
     rows = [(i, " ".join(random.Random(i).choice([f"x{j}" for j in range(400)]) for _ in range(60))) for i in range(80)] + [(80, "alone here")]
